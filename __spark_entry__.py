@@ -23,8 +23,8 @@ from mallscope.operators.ads import (ad_minute_counts, ad_minute_json, blacklist
                                      user_ad_daily_counts)
 from mallscope.operators.joins import click_star_join, drop_in, keep_in
 from mallscope.operators.ranking import top_ranked
-from mallscope.operators.sequences import (page_flow_pairs, page_jump_counts, page_view_counts,
-                                           session_transitions)
+from mallscope.operators.sequences import (action_minute, page_flow_pairs, page_jump_counts,
+                                           page_view_counts, session_transitions)
 from mallscope.plans import adclicks, retail
 from mallscope.plans.oracle_sql import SPAN, TASK
 from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql
@@ -95,11 +95,12 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         fx.actions(s, d, COND["startDate"], COND["endDate"]), fx.users(s, d), COND, task_id=TASK)
     q["keep_in"] = lambda s, d: keep_in(fx.actions(s, d), "page_id", [1, 2, 3]).select("event_id", "page_id")
     # R3
-    q["session_transitions"] = lambda s, d: session_transitions(fx.actions(s, d))
+    q["session_transitions"] = lambda s, d: session_transitions(fx.actions(s, d), chunk=action_minute())
     q["page_view_counts"] = lambda s, d: page_view_counts(
         fx.actions(s, d), sorted({a for a, _ in page_flow_pairs(COND["targetPageFlow"])}))
     q["page_jump_counts"] = lambda s, d: page_jump_counts(
-        session_transitions(fx.actions(s, d)), page_flow_pairs(COND["targetPageFlow"]))
+        session_transitions(fx.actions(s, d), chunk=action_minute()),
+        page_flow_pairs(COND["targetPageFlow"]))
     q["page_jump_ratio"] = lambda s, d: retail.page_jump_ratio(
         fx.actions(s, d), COND["targetPageFlow"], task_id=TASK)
     # R4

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute,
                                          minute_to_hhmm, pairs_to_json)
-from mallscope.operators.joins import broadcast_if_small
+from mallscope.operators.joins import broadcast_if_small, materialize
 from mallscope.operators.ranking import top_ranked
 
 # Fixed value: clicks of one user on one ad in one day that put the user on
@@ -64,7 +64,7 @@ def blacklist_filter(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     one row per blocked user; it is broadcast only below the size bound,
     otherwise this is a shuffle join that AQE splits when one user is hot.
     """
-    bp = points if points is not None else blacklist_points(ads, threshold)
+    bp = points if points is not None else materialize(blacklist_points(ads, threshold))
     bp = broadcast_if_small(bp.select(F.col("userid").alias("__u"), "blocked_ts", "blocked_event_id"))
     j = ads.join(bp, ads["userid"] == bp["__u"], "left")
     keep = (F.col("__u").isNull() |

@@ -25,6 +25,18 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared checkpoint folder and read it back.
+
+    Used for small derived tables that a later join needs to size-check:
+    the check then reads the written rows instead of re-running the plan,
+    and the lineage is cut (a lost executor does not recompute upstream).
+    """
+    from mallscope.session import checkpoint_root
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def broadcast_bounded(df: DataFrame) -> DataFrame:
     """Broadcast a side whose size is bounded by construction (e.g. a top-10)."""
     return F.broadcast(df)

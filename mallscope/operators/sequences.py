@@ -34,38 +34,48 @@ def flow_pairs_column(flow) -> Column:
 def session_transitions(actions: DataFrame, session: str = "session_id",
                         order: tuple[str, ...] = ("action_time", "event_id"),
                         value: str = "page_id", next_name: str = "next_page_id",
-                        split_hot: bool = True, chunks: int | None = None) -> DataFrame:
+                        chunk: Column | None = None) -> DataFrame:
     """Each action with the ``value`` of the next action of its session.
 
     Order is ``order`` ascending (end it with a unique column to break ties).
     The last action of a session gets null.
 
-    ``split_hot=False`` is the plain ``lead`` over a per-session window: one
-    task sorts a whole session. With ``split_hot`` (default) a session that
-    holds a large share of all rows is split: rows are range-partitioned on
-    (session, order...) into contiguous chunks, ``lead`` runs per
-    (session, chunk), and the last row of each chunk takes the first value of
-    the session's next chunk from a small per-chunk table (one row per
-    chunk of a session, at most ``chunks`` per session). No task ever holds
-    more than about ``1/chunks`` of the rows.
+    ``chunk=None`` is the plain ``lead`` over a per-session window: one task
+    sorts a whole session. With ``chunk`` - an expression that never
+    decreases along ``order``, e.g. the minute of the action - a session
+    holding a large share of all rows is split: ``lead`` runs per
+    (session, chunk), spread over tasks by hash; then only the boundary rows
+    (first and last of each session-chunk, at most two per chunk) meet in a
+    second, small window per session, where a chunk's last row takes the
+    first value of the session's next chunk. The chunk key is a pure
+    function of the row, so any re-execution gives the same answer.
     """
     cols = [session, *order, value]
-    base = actions.select(*cols)
-    if not split_hot:
+    if chunk is None:
         w = Window.partitionBy(session).orderBy(*order)
-        return base.withColumn(next_name, F.lead(value).over(w))
+        return actions.select(*cols).withColumn(next_name, F.lead(value).over(w))
 
-    spark = actions.sparkSession
-    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = base.repartitionByRange(n, session, *order).withColumn("__chunk", F.spark_partition_id())
+    base = actions.select(*cols, chunk.alias("__chunk"))
     w = Window.partitionBy(session, "__chunk").orderBy(*order)
-    within = ranged.withColumn("__next", F.lead(F.struct(F.col(value).alias("v"))).over(w))
-    firsts = within.groupBy(session, "__chunk").agg(
-        F.min_by(F.struct(F.col(value).alias("v")), F.struct(*order)).alias("__first"))
-    carry = firsts.select(session, "__chunk", F.lead("__first").over(
-        Window.partitionBy(session).orderBy("__chunk")).alias("__carry"))
-    return (within.join(carry, [session, "__chunk"], "left")
-                  .select(*cols, F.coalesce("__next", "__carry")["v"].alias(next_name)))
+    boxed = F.struct(F.col(value).alias("v"))
+    within = (base.withColumn("__next", F.lead(boxed).over(w))
+                  .withColumn("__prev", F.lag(F.lit(1)).over(w)))
+    # rows with a successor inside their chunk are done
+    inner = within.filter(F.col("__next").isNotNull()).select(
+        *cols, F.col("__next")["v"].alias(next_name))
+    # boundary rows: in (chunk, order) order a chunk's last row is followed
+    # by the first row of the session's next chunk
+    edges = within.filter(F.col("__next").isNull() | F.col("__prev").isNull())
+    wb = Window.partitionBy(session).orderBy("__chunk", *order)
+    last = (edges.withColumn("__carry", F.lead(boxed).over(wb))
+                 .filter(F.col("__next").isNull())
+                 .select(*cols, F.col("__carry")["v"].alias(next_name)))
+    return inner.unionByName(last)
+
+
+def action_minute(action_time: str = "action_time") -> Column:
+    """Chunk key for ``session_transitions``: the ``yyyy-MM-dd HH:mm`` of the action."""
+    return F.substring(F.col(action_time), 1, 16)
 
 
 def page_view_counts(actions: DataFrame, pages: list[str], page: str = "page_id") -> DataFrame:

@@ -36,7 +36,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """city_info: one city per nation, its area is the nation's region."""
     n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    r = broadcast_if_small(table(spark, sf_dir, "region").select("r_regionkey", "r_name"))
+    # both sides are dimensions; Spark's size estimate picks the join
+    r = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     return (n.join(r, n["n_regionkey"] == r["r_regionkey"])
              .select(F.col("n_nationkey").cast("bigint").alias("city_id"),
                      F.col("n_name").alias("city_name"),
