@@ -8,6 +8,8 @@ matching DuckDB SQL (same column names) for the correctness check.
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,6 +33,11 @@ from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql
 from mallscope.sources import fixtures as fx
 from mallscope.sources.streams import offset_ranges
 from mallscope.sources.tables import conform, load_table
+from mallscope.operators.ads import trailing_minutes
+from mallscope.session import checkpoint_root
+from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
+from mallscope.sinks.tables import replace_table
+from mallscope.streaming import dashboard
 
 SF_SMOKE = "/root/testdata/sf0.001"
 COND = fx.CONDITIONS
@@ -128,9 +135,56 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["top3_ads_json"] = lambda s, d: top3_ads_json(top3_ads_by_area(date_area_ad_rollup(_r6(s, d))))
     q["ad_minute_counts"] = lambda s, d: ad_minute_counts(_kept(s, d), SPAN)
     q["ad_minute_json"] = lambda s, d: ad_minute_json(ad_minute_counts(_kept(s, d), SPAN))
+    # streaming twins: the dashboard fed with time slices of the clicks,
+    # results read back from its stores (same oracle as the batch forms)
+    q["stream_blacklist_filter"] = lambda s, d: _stream(s, d)["kept"]
+    q["stream_date_area_city_ad_count"] = lambda s, d: _stream(s, d)["r6"]
+    q["stream_top3_ads_json"] = lambda s, d: _stream(s, d)["r7"]
+    q["stream_ad_minute_counts"] = lambda s, d: trailing_minutes(_stream(s, d)["minutes"], SPAN)
+    q["stream_ad_minute_json"] = lambda s, d: _stream(s, d)["r8"]
+    q["checkpoint_restart"] = lambda s, d: _stream(s, d, restart_after=1)["kept"]
+    # sinks: write, read back
+    q["upsert_kv"] = _sink_upsert
+    q["replace_kv"] = _sink_replace
+    q["replace_table"] = _sink_table
     return q
 
 
+def _stream(spark, d, restart_after=None):
+    root = dashboard.replay_once(spark, d, fx.ads(spark, d), THRESHOLD, SPAN,
+                                 restart_after=restart_after)
+    return dashboard.read_results(spark, root)
+
+
+def _scratch(spark, name):
+    return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def _sink_upsert(spark, d):
+    # two overlapping upserts: batch 0 writes every key with value 0, batch 1
+    # the real totals; the store must hold the latest value per key
+    root = _scratch(spark, "kv")
+    kv = adclicks.daily_city_kv(_r6(spark, d))
+    upsert_kv(kv.withColumn("value", F.lit("0")), root, 0)
+    upsert_kv(kv, root, 1)
+    upsert_kv(kv, root, 1)                    # a replayed batch changes nothing
+    return read_kv(spark, root, ["hash_key", "field"])
+
+
+def _sink_replace(spark, d):
+    root = _scratch(spark, "replace")
+    r7 = top3_ads_json(top3_ads_by_area(date_area_ad_rollup(_r6(spark, d))))
+    replace_kv(r7.limit(1), root, 0)          # an older version, fully replaced
+    replace_kv(r7, root, 1)
+    return read_replaced(spark, root)
+
+
+def _sink_table(spark, d):
+    name = "mallscope_r6_" + uuid.uuid4().hex[:8]
+    replace_table(_r6(spark, d), name, path=_scratch(spark, "table"), partition_by=["date"])
+    return spark.table(name).select("date", "area", "city", "adid", "n")
+
+
 def _wrap(fn):
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         _ensure_utc(spark)

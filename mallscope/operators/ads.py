@@ -118,6 +118,17 @@ def ad_minute_counts(ads: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
              .withColumn("hhmm", minute_to_hhmm("minute")))
 
 
+def trailing_minutes(minute_counts: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
+                     as_of_minute=None) -> DataFrame:
+    """C3 on stored buckets: keep (adid, minute, n) rows of the trailing span, add ``hhmm``."""
+    if not 0 < span_minutes < 24 * 60:
+        raise ValueError("span_minutes must be in 1..1439 (HH:mm labels repeat daily)")
+    m = minute_counts.select("adid", "minute", "n")
+    as_of = F.lit(as_of_minute) if as_of_minute is not None else m.select(F.max("minute")).scalar()
+    return (m.filter(F.col("minute") > as_of - F.lit(span_minutes))
+             .withColumn("hhmm", minute_to_hhmm("minute")))
+
+
 def ad_minute_json(minute_counts: DataFrame) -> DataFrame:
     """Per ad, the minute counts as ``[{"HH:mm":n},...]`` in time order.
 

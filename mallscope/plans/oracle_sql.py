@@ -204,4 +204,13 @@ def oracle_sql() -> dict[str, str]:
     q["ad_minute_json"] = with_views(
         """select adid, concat('[', string_agg(concat('{"', hhmm, '":', n, '}'), ',' order by "minute"), ']') minutes_json
            from mc group by adid""", _blk() + [("mc", MINUTES)])
+    q["stream_blacklist_filter"] = q["blacklist_filter"]
+    q["checkpoint_restart"] = q["blacklist_filter"]
+    q["stream_date_area_city_ad_count"] = q["date_area_city_ad_count"]
+    q["replace_table"] = q["date_area_city_ad_count"]
+    q["stream_top3_ads_json"] = q["top3_ads_json"]
+    q["replace_kv"] = q["top3_ads_json"]
+    q["stream_ad_minute_counts"] = q["ad_minute_counts"]
+    q["stream_ad_minute_json"] = q["ad_minute_json"]
+    q["upsert_kv"] = q["kv_key"]
     return q

@@ -1,0 +1,5 @@
+from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
+from mallscope.sinks.tables import jdbc_options, replace_table, write_jdbc
+
+__all__ = ["upsert_kv", "read_kv", "replace_kv", "read_replaced",
+           "write_jdbc", "jdbc_options", "replace_table"]

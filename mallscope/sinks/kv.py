@@ -1,0 +1,52 @@
+"""K4-K6: keyed result stores on plain files, safe under batch replays.
+
+A keyed store is a log of versions: each write lands in its own
+``batch_id=<n>`` folder (overwritten if the same batch is written again, so
+a replayed micro-batch gives the same store). Readers resolve it with Spark:
+
+* ``upsert_kv`` / ``read_kv``: the latest value per key across versions
+  (hash-field upsert, K4/K5). Writes cost only the changed keys.
+* ``replace_kv`` / ``read_replaced``: the newest version only (whole-hash
+  replace, K6), published in one step by the folder commit.
+
+On a cluster the root is a shared folder (e.g. under ``spark.checkpoint.dir``);
+a table format with MERGE can stand in for the same calls.
+"""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+VERSION_COL = "batch_id"
+
+
+def _version_path(root: str, batch_id: int) -> str:
+    return os.path.join(root, f"{VERSION_COL}={int(batch_id)}")
+
+
+def upsert_kv(df: DataFrame, root: str, batch_id: int) -> None:
+    """Write the changed (key, value) rows of one batch as version ``batch_id``."""
+    df.write.mode("overwrite").parquet(_version_path(root, batch_id))
+
+
+def read_kv(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
+    """Latest row per key over all versions (a partial WindowGroupLimit of 1 per key)."""
+    log = spark.read.parquet(root)
+    w = Window.partitionBy(*keys).orderBy(F.desc(VERSION_COL))
+    return (log.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
+               .drop("__rn", VERSION_COL))
+
+
+def replace_kv(df: DataFrame, root: str, batch_id: int) -> None:
+    """Publish ``df`` as the whole content of the store from ``batch_id`` on."""
+    df.write.mode("overwrite").parquet(_version_path(root, batch_id))
+
+
+def read_replaced(spark: SparkSession, root: str) -> DataFrame:
+    """The newest published version (newest ``batch_id`` folder with rows)."""
+    log = spark.read.parquet(root)
+    newest = log.select(F.max(VERSION_COL)).scalar()
+    return log.filter(F.col(VERSION_COL) == newest).drop(VERSION_COL)
