@@ -30,10 +30,9 @@ def _regex_quote(sep: str) -> str:
 
 
 def ntz_epoch_ms(c) -> Column:
-    """Wall-clock ``timestamp_ntz`` read as UTC -> epoch milliseconds."""
-    us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})"
-                .format(_sql_name(c)))
-    return F.floor(us / F.lit(1000)).cast("bigint")
+    """Wall-clock ``timestamp_ntz`` read as UTC -> epoch milliseconds (exact floor)."""
+    us = "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {})".format(_sql_name(c))
+    return F.expr(f"({us} - pmod({us}, 1000)) div 1000")
 
 
 def _sql_name(c) -> str:

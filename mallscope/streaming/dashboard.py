@@ -50,13 +50,20 @@ def paths(root: str) -> dict:
 
 
 def start_kept(spark: SparkSession, root: str, threshold: int = DEFAULT_THRESHOLD,
-               trigger: dict | None = None, max_files_per_trigger: int | None = None):
-    """Query 1: text lines in ``root/src`` -> kept clicks in ``root/kept``."""
+               trigger: dict | None = None, max_files_per_trigger: int | None = None,
+               lines: DataFrame | None = None):
+    """Query 1: text lines -> kept clicks in ``root/kept``.
+
+    ``lines`` is any streaming DataFrame with ``line`` and ``event_id``
+    columns (e.g. ``read_ad_stream(spark, "kafka", ...)`` with the Kafka
+    offset as ``event_id``); by default the Parquet files in ``root/src``.
+    """
     p = paths(root)
-    r = spark.readStream.schema(LINE_SCHEMA)
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    lines = r.parquet(p["src"])
+    if lines is None:
+        r = spark.readStream.schema(LINE_SCHEMA)
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
+        lines = r.parquet(p["src"])
     kept = blacklist_filter_stream(parse_ad_log(lines, keep=["event_id"]), threshold)
     return start_query(kept, p["ck_kept"], sink="parquet", path=p["kept"], trigger=trigger)
 
@@ -107,6 +114,24 @@ def start_trend(spark: SparkSession, root: str, span_minutes: int = DEFAULT_SPAN
                        on_batch=_trend_batch(spark, root, span_minutes), trigger=trigger)
 
 
+def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
+                     threshold: int = DEFAULT_THRESHOLD,
+                     span_minutes: int = DEFAULT_SPAN_MINUTES,
+                     trigger: dict | None = None) -> list:
+    """Start the three dashboard queries on a live ``lines`` stream.
+
+    Returns the query handles; each resumes from its checkpoint under
+    ``root/_checkpoints`` when started again. The kept-clicks query must have
+    committed once before the two readers of its output start.
+    """
+    from mallscope.streaming.queries import DEFAULT_TRIGGER
+    trig = trigger or DEFAULT_TRIGGER
+    kq = start_kept(spark, root, threshold, trigger=trig, lines=lines)
+    kq.processAllAvailable()
+    return [kq, start_daily(spark, root, trigger=trig),
+            start_trend(spark, root, span_minutes, trigger=trig)]
+
+
 def write_slices(ads: DataFrame, src: str, slices: int):
     """Yield after writing each time slice of ``ads`` as lines into ``src``.
 
