@@ -32,9 +32,15 @@ def materialize(df: DataFrame) -> DataFrame:
     the check then reads the written rows instead of re-running the plan,
     and the lineage is cut (a lost executor does not recompute upstream).
     """
-    from mallscope.session import checkpoint_root
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A Parquet table (not RDD checkpoint): computed once, columnar, and its
+    # file sizes are real statistics for the planner and AQE.
+    import uuid
+
+    from mallscope.session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, "materialized", uuid.uuid4().hex)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def broadcast_bounded(df: DataFrame) -> DataFrame:

@@ -29,8 +29,22 @@ TEST_THRESHOLD = 3
 CITY_MODULUS = 25
 
 
+_RELATIONS: dict = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    """A driver table as a lazy relation, opened once per session and path.
+
+    The driver tables are read-only, so, like a catalog table, the relation
+    (file listing and footer schema) is resolved once and reused; every
+    query still scans the files when it runs.
+    """
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    key = (id(spark), spark.sparkContext.applicationId, path)
+    df = _RELATIONS.get(key)
+    if df is None:
+        df = _RELATIONS[key] = spark.read.parquet(path)
+    return df
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
