@@ -165,10 +165,11 @@ def _sink_upsert(spark, d):
     # the real totals; the store must hold the latest value per key
     root = _scratch(spark, "kv")
     kv = adclicks.daily_city_kv(_r6(spark, d))
-    upsert_kv(kv.withColumn("value", F.lit("0")), root, 0)
-    upsert_kv(kv, root, 1)
-    upsert_kv(kv, root, 1)                    # a replayed batch changes nothing
-    return read_kv(spark, root, ["hash_key", "field"])
+    keys = ["hash_key", "field"]
+    upsert_kv(kv.withColumn("value", F.lit("0")), root, 0, keys)
+    upsert_kv(kv, root, 1, keys)
+    upsert_kv(kv, root, 1, keys)              # a replayed batch changes nothing
+    return read_kv(spark, root)
 
 
 def _sink_replace(spark, d):

@@ -1,52 +1,106 @@
 """K4-K6: keyed result stores on plain files, safe under batch replays.
 
-A keyed store is a log of versions: each write lands in its own
-``batch_id=<n>`` folder (overwritten if the same batch is written again, so
-a replayed micro-batch gives the same store). Readers resolve it with Spark:
-
-* ``upsert_kv`` / ``read_kv``: the latest value per key across versions
-  (hash-field upsert, K4/K5). Writes cost only the changed keys.
-* ``replace_kv`` / ``read_replaced``: the newest version only (whole-hash
-  replace, K6), published in one step by the folder commit.
-
-On a cluster the root is a shared folder (e.g. under ``spark.checkpoint.dir``);
-a table format with MERGE can stand in for the same calls.
+A store is a folder of versions ``batch_id=<n>``; every version is a complete
+snapshot, so a reader opens only the newest one and its cost does not grow
+with the age of the stream.
+
+* ``upsert_kv``: version ``n`` = version before ``n`` with the batch's rows
+  replacing rows of equal key (hash-field upsert, K4/K5). The previous
+  version is read by number, so a replayed batch rebuilds the same version.
+* ``replace_kv``: version ``n`` = the batch's rows (whole-hash replace, K6),
+  published by the folder commit.
+
+Versions older than the last ``retain`` are removed after a write (the one
+before the newest stays for replays). On a cluster the root is a shared
+folder (e.g. under ``spark.checkpoint.dir``); a table format with MERGE can
+stand in for the same calls.
 """
 
 from __future__ import annotations
 
-import os
+import re
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 VERSION_COL = "batch_id"
+_VERSION_DIR = re.compile(rf"^{VERSION_COL}=(\d+)$")
+
+
+def _fs(spark: SparkSession, root: str):
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(root)
+    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def versions(spark: SparkSession, root: str) -> list[int]:
+    """Committed version numbers (folders holding a ``_SUCCESS`` marker), ascending."""
+    path, fs = _fs(spark, root)
+    if not fs.exists(path):
+        return []
+    out = []
+    for st in fs.listStatus(path):
+        m = _VERSION_DIR.match(st.getPath().getName())
+        if m and st.isDirectory() and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            out.append(int(m.group(1)))
+    return sorted(out)
 
 
 def _version_path(root: str, batch_id: int) -> str:
-    return os.path.join(root, f"{VERSION_COL}={int(batch_id)}")
+    return f"{root.rstrip('/')}/{VERSION_COL}={int(batch_id)}"
 
 
-def upsert_kv(df: DataFrame, root: str, batch_id: int) -> None:
-    """Write the changed (key, value) rows of one batch as version ``batch_id``."""
-    df.write.mode("overwrite").parquet(_version_path(root, batch_id))
+def _prune(spark: SparkSession, root: str, retain: int) -> None:
+    vs = versions(spark, root)
+    path, fs = _fs(spark, root)
+    for v in vs[:-retain] if retain > 0 else []:
+        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version_path(root, v)), True)
+
+
+def read_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
+    """The newest committed version (strictly before ``before`` if given), or None."""
+    vs = [v for v in versions(spark, root) if before is None or v < before]
+    return spark.read.parquet(_version_path(root, vs[-1])) if vs else None
+
+
+def latest_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
+    """One row per key: the first by ``order`` (a partial WindowGroupLimit of 1)."""
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return rows.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
+
+
+def upsert_kv(df: DataFrame, root: str, batch_id: int, keys: list[str],
+              keep=None, retain: int = 2) -> None:
+    """Write version ``batch_id``: the previous version with ``df``'s rows upserted.
+
+    ``keep`` (a Column, or a function of the merged DataFrame returning one)
+    drops rows that no longer belong in the store, e.g. minute buckets that
+    left the trailing span.
+    """
+    spark = df.sparkSession
+    prev = read_version(spark, root, before=batch_id)
+    merged = df
+    if prev is not None:
+        both = df.withColumn("__src", F.lit(0)).unionByName(
+            prev.select(*df.columns).withColumn("__src", F.lit(1)))
+        merged = latest_per_key(both, keys, [F.col("__src")]).drop("__src")
+    if keep is not None:
+        merged = merged.filter(keep(merged) if callable(keep) else keep)
+    merged.write.mode("overwrite").parquet(_version_path(root, batch_id))
+    _prune(spark, root, retain)
 
 
-def read_kv(spark: SparkSession, root: str, keys: list[str]) -> DataFrame:
-    """Latest row per key over all versions (a partial WindowGroupLimit of 1 per key)."""
-    log = spark.read.parquet(root)
-    w = Window.partitionBy(*keys).orderBy(F.desc(VERSION_COL))
-    return (log.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1")
-               .drop("__rn", VERSION_COL))
+def read_kv(spark: SparkSession, root: str) -> DataFrame:
+    """The current content of an upsert store (its newest version)."""
+    return read_version(spark, root)
 
 
-def replace_kv(df: DataFrame, root: str, batch_id: int) -> None:
+def replace_kv(df: DataFrame, root: str, batch_id: int, retain: int = 2) -> None:
     """Publish ``df`` as the whole content of the store from ``batch_id`` on."""
     df.write.mode("overwrite").parquet(_version_path(root, batch_id))
+    _prune(df.sparkSession, root, retain)
 
 
 def read_replaced(spark: SparkSession, root: str) -> DataFrame:
-    """The newest published version (newest ``batch_id`` folder with rows)."""
-    log = spark.read.parquet(root)
-    newest = log.select(F.max(VERSION_COL)).scalar()
-    return log.filter(F.col(VERSION_COL) == newest).drop(VERSION_COL)
+    """The newest published version of a replace store."""
+    return read_version(spark, root)

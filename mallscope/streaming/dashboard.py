@@ -73,10 +73,13 @@ def _daily_batch(spark: SparkSession, root: str):
 
     def on_batch(changed: DataFrame, batch_id: int) -> None:
         changed = changed.persist()
-        upsert_kv(changed, p["r6"], batch_id)
-        touched = F.broadcast(changed.select(*R7_KEYS).distinct())   # one row per touched group
-        totals = read_kv(spark, p["r6"], R6_KEYS).join(touched, R7_KEYS, "left_semi")
-        upsert_kv(top3_ads_json(top3_ads_by_area(date_area_ad_rollup(totals))), p["r7"], batch_id)
+        upsert_kv(changed, p["r6"], batch_id, R6_KEYS)
+        # re-rank only the (date, area) groups this batch touched; the list
+        # is bounded by the batch (and by dates x areas)
+        touched = changed.select(*R7_KEYS).distinct()
+        totals = read_kv(spark, p["r6"]).join(touched, R7_KEYS, "left_semi")
+        upsert_kv(top3_ads_json(top3_ads_by_area(date_area_ad_rollup(totals))), p["r7"], batch_id,
+                  R7_KEYS)
         changed.unpersist()
     return on_batch
 
@@ -97,12 +100,20 @@ def _trend_batch(spark: SparkSession, root: str, span_minutes: int):
         buckets = changed.select(
             "adid", (F.unix_seconds(F.col("window.start")) / 60).cast("bigint").alias("minute"),
             F.col("count").alias("n"))
-        upsert_kv(buckets, p["minutes"], batch_id)
-        recent = trailing_minutes(read_kv(spark, p["minutes"], MINUTE_KEYS), span_minutes)
+        # the bucket store keeps only the trailing span, so it stays bounded
+        upsert_kv(buckets, p["minutes"], batch_id, MINUTE_KEYS, keep=_in_span(span_minutes))
+        recent = trailing_minutes(read_kv(spark, p["minutes"]), span_minutes)
         replace_kv(ad_minute_json(recent), p["r8"], batch_id)
     return on_batch
 
 
+def _in_span(span_minutes: int):
+    def keep(merged: DataFrame):
+        newest = merged.select(F.max("minute")).scalar()
+        return F.col("minute") > newest - F.lit(span_minutes)
+    return keep
+
+
 def start_trend(spark: SparkSession, root: str, span_minutes: int = DEFAULT_SPAN_MINUTES,
                 watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None):
     """Query 3 (C3): per-minute clicks per ad by event time, trailing-span JSON."""
@@ -190,9 +201,9 @@ def read_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     p = paths(root)
     return {
         "kept": spark.read.schema(KEPT_SCHEMA).parquet(p["kept"]),
-        "r6": read_kv(spark, p["r6"], R6_KEYS),
-        "r7": read_kv(spark, p["r7"], R7_KEYS),
-        "minutes": read_kv(spark, p["minutes"], MINUTE_KEYS),
+        "r6": read_kv(spark, p["r6"]),
+        "r7": read_kv(spark, p["r7"]),
+        "minutes": read_kv(spark, p["minutes"]),
         "r8": read_replaced(spark, p["r8"]),
     }
 

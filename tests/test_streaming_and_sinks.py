@@ -35,10 +35,15 @@ def test_upsert_is_latest_per_key_and_replay_safe(spark):
     root = os.path.join(checkpoint_root(spark), "t-kv-" + uuid.uuid4().hex[:8])
     a = spark.createDataFrame([("k1", 1), ("k2", 1)], "k string, v long")
     b = spark.createDataFrame([("k2", 5)], "k string, v long")
-    upsert_kv(a, root, 0)
-    upsert_kv(b, root, 1)
-    upsert_kv(b, root, 1)
-    assert sorted(tuple(r) for r in read_kv(spark, root, ["k"]).collect()) == [("k1", 1), ("k2", 5)]
+    upsert_kv(a, root, 0, ["k"])
+    upsert_kv(b, root, 1, ["k"])
+    upsert_kv(b, root, 1, ["k"])
+    assert sorted(tuple(r) for r in read_kv(spark, root).collect()) == [("k1", 1), ("k2", 5)]
+    upsert_kv(spark.createDataFrame([("k3", 7)], "k string, v long"), root, 2, ["k"],
+              keep=F.col("k") != "k1")
+    assert sorted(tuple(r) for r in read_kv(spark, root).collect()) == [("k2", 5), ("k3", 7)]
+    from mallscope.sinks.kv import versions
+    assert versions(spark, root) == [1, 2]     # older versions pruned
 
 
 def test_replace_publishes_newest_version_only(spark):
