@@ -50,8 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this must be set (a folder every executor and the driver
-    can reach, e.g. on HDFS or an object store). Only when it is unset, as in
-    local tests, a scratch folder is made and recorded in the session.
+    can reach, e.g. on HDFS or an object store); unset, this raises. Only in
+    local mode with it unset (tests) a scratch folder is made and recorded.
     """
     sc = spark.sparkContext
     root = sc.getConf().get("spark.checkpoint.dir", None)
@@ -60,6 +60,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = sc.getCheckpointDir()
     if current:
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the driver and "
+                           "all executors (e.g. on HDFS or an object store)")
     root = tempfile.mkdtemp(prefix="mallscope-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

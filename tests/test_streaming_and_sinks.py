@@ -63,3 +63,41 @@ def test_minute_span_rejects_a_day(spark):
     import pytest
     with pytest.raises(ValueError):
         A.ad_minute_counts(fx.ads(spark, SF_SMALL), 24 * 60)
+
+
+def test_watermark_keeps_late_within_and_drops_too_late(spark):
+    root = os.path.join(checkpoint_root(spark), "t-wm-" + uuid.uuid4().hex[:8])
+    p = D.paths(root)
+    schema = "timestamp long, area string, city string, userid string, adid string, event_id long"
+    m = 60_000
+    t0 = 1_704_067_200_000 + 100 * m
+    slices = [[(t0, "A", "c", "u1", "1", 1), (t0 + 30 * m, "A", "c", "u2", "1", 2)],
+              [(t0 + 25 * m, "A", "c", "u3", "1", 3)],      # 5 min late: within the 10 min watermark
+              [(t0 + 1 * m, "A", "c", "u4", "1", 4)]]       # 29 min late: dropped
+    qs = []
+    try:
+        for i, rows in enumerate(slices):
+            from mallscope.functions.adlog import render_ad_log
+            render_ad_log(spark.createDataFrame(rows, schema), keep=["event_id"]) \
+                .write.mode("append").parquet(p["src"])
+            if not qs:
+                kq = D.start_kept(spark, root, threshold=50)
+                kq.processAllAvailable()
+                qs = [kq, D.start_trend(spark, root, span_minutes=120)]
+            for q in qs:
+                q.processAllAvailable()
+    finally:
+        for q in qs:
+            q.stop()
+    got = {(r.minute - t0 // m, r.n) for r in D.read_results(spark, root)["minutes"].collect()}
+    assert got == {(0, 1), (30, 1), (25, 1)}
+
+
+def test_conditions_from_properties_file(spark, tmp_path):
+    from mallscope.sources.conditions import load_conditions
+    f = tmp_path / "conditions.properties"
+    f.write_text('condition.params.json={startDate:"2024-01-05", \\\n  endDate:"2024-01-25", \\\n'
+                 '  startAge: "20", \\\n  targetPageFlow:"1,2,3"}\n', encoding="utf-8")
+    c = load_conditions(spark, str(f))
+    assert (c["startDate"], c["endDate"], c["startAge"], c["targetPageFlow"]) == \
+        ("2024-01-05", "2024-01-25", "20", "1,2,3")
