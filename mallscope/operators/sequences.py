@@ -31,30 +31,57 @@ def flow_pairs_column(flow) -> Column:
                                          F.slice(arr, 2, n - 1).alias("to")))
 
 
+# Sessions with more rows than this take the chunked path (about one
+# shuffle partition's worth of rows).
+DEFAULT_HOT_ROWS = 2_000_000
+
+
 def session_transitions(actions: DataFrame, session: str = "session_id",
                         order: tuple[str, ...] = ("action_time", "event_id"),
                         value: str = "page_id", next_name: str = "next_page_id",
-                        chunk: Column | None = None) -> DataFrame:
+                        chunk: Column | None = None,
+                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Each action with the ``value`` of the next action of its session.
 
     Order is ``order`` ascending (end it with a unique column to break ties).
     The last action of a session gets null.
 
-    ``chunk=None`` is the plain ``lead`` over a per-session window: one task
-    sorts a whole session. With ``chunk`` - an expression that never
-    decreases along ``order``, e.g. the minute of the action - a session
-    holding a large share of all rows is split: ``lead`` runs per
-    (session, chunk), spread over tasks by hash; then only the boundary rows
-    (first and last of each session-chunk, at most two per chunk) meet in a
-    second, small window per session, where a chunk's last row takes the
-    first value of the session's next chunk. The chunk key is a pure
-    function of the row, so any re-execution gives the same answer.
+    ``chunk=None`` is the plain ``lead`` over a per-session window: one
+    shuffle, one task sorts a whole session. ``chunk`` - an expression that
+    never decreases along ``order``, e.g. the minute of the action - splits
+    sessions: ``lead`` runs per (session, chunk), spread over tasks by hash,
+    then only the boundary rows (first and last of each session-chunk) meet
+    in a second window per session, where a chunk's last row takes the first
+    value of the session's next chunk. The chunk key is a pure function of
+    the row, so any re-execution gives the same answer.
+
+    With ``hot_rows`` only sessions holding more than ``hot_rows`` rows take
+    the chunked path: a partial-aggregate count per session finds them, the
+    (written, size-checked) list is broadcast into a semi / anti join, and
+    every other session keeps the one-shuffle plain window.
     """
     cols = [session, *order, value]
     if chunk is None:
-        w = Window.partitionBy(session).orderBy(*order)
-        return actions.select(*cols).withColumn(next_name, F.lead(value).over(w))
-
+        return _plain(actions.select(*cols), session, order, value, next_name)
+    if hot_rows is None:
+        return _chunked(actions, cols, session, order, value, next_name, chunk)
+    from mallscope.operators.joins import broadcast_if_small, materialize
+    hot = materialize(actions.groupBy(session).count()
+                             .filter(F.col("count") > hot_rows).select(session))
+    hot = broadcast_if_small(hot)
+    normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
+                    session, order, value, next_name)
+    split = _chunked(actions.join(hot, session, "left_semi"), cols, session, order, value,
+                     next_name, chunk)
+    return normal.unionByName(split)
+
+
+def _plain(rows: DataFrame, session, order, value, next_name) -> DataFrame:
+    w = Window.partitionBy(session).orderBy(*order)
+    return rows.withColumn(next_name, F.lead(value).over(w))
+
+
+def _chunked(actions: DataFrame, cols, session, order, value, next_name, chunk) -> DataFrame:
     base = actions.select(*cols, chunk.alias("__chunk"))
     w = Window.partitionBy(session, "__chunk").orderBy(*order)
     boxed = F.struct(F.col(value).alias("v"))

@@ -56,7 +56,9 @@ def test_chunked_hot_session_equals_plain_and_brute_force(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
     assert as_map(session_transitions(df)) == want
-    assert as_map(session_transitions(df, chunk=action_minute())) == want
+    assert as_map(session_transitions(df, chunk=action_minute(), hot_rows=None)) == want
+    # only the 400-row session takes the chunked path
+    assert as_map(session_transitions(df, chunk=action_minute(), hot_rows=50)) == want
 
 
 def test_jumps_and_ratio(spark):
