@@ -60,9 +60,11 @@ def blacklist_filter(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
 
     A blocked user's clicks are kept up to and including the blocking click
     and dropped after it (on every ad): the closed form of "count, then block
-    from the next batch on" with one click per batch. The block table has
-    one row per blocked user; it is broadcast only below the size bound,
-    otherwise this is a shuffle join that AQE splits when one user is hot.
+    from the next batch on" with one click per batch. The block table (one
+    row per blocked user) is computed first and written to the shared
+    checkpoint folder; it is broadcast only when the written table is below
+    the size bound, otherwise this is a shuffle join that AQE splits when one
+    user is hot.
     """
     bp = points if points is not None else materialize(blacklist_points(ads, threshold))
     bp = broadcast_if_small(bp.select(F.col("userid").alias("__u"), "blocked_ts", "blocked_event_id"))

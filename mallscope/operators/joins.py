@@ -43,11 +43,6 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def broadcast_bounded(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction (e.g. a top-10)."""
-    return F.broadcast(df)
-
-
 def click_star_join(actions: DataFrame, cities: DataFrame, products: DataFrame,
                     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
     """Fact inner-join city and product dimensions -> (area, product_name, city_name).

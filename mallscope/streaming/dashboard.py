@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mallscope.functions.adlog import parse_ad_log, render_ad_log
+from mallscope.functions.scalars import epoch_ms_to_timestamp
 from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad_minute_json,
                                      date_area_ad_rollup, date_area_city_ad_count,
                                      top3_ads_by_area, top3_ads_json, trailing_minutes)
@@ -119,7 +120,7 @@ def start_trend(spark: SparkSession, root: str, span_minutes: int = DEFAULT_SPAN
     """Query 3 (C3): per-minute clicks per ad by event time, trailing-span JSON."""
     p = paths(root)
     kept = spark.readStream.schema(KEPT_SCHEMA).parquet(p["kept"])
-    ev = kept.withColumn("event_time", F.timestamp_millis("timestamp")).withWatermark("event_time", watermark)
+    ev = kept.withColumn("event_time", epoch_ms_to_timestamp("timestamp")).withWatermark("event_time", watermark)
     agg = ev.groupBy(F.window("event_time", "1 minute"), "adid").count()
     return start_query(agg, p["ck_trend"], output_mode="update",
                        on_batch=_trend_batch(spark, root, span_minutes), trigger=trigger)
