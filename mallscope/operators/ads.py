@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute,
                                          minute_to_hhmm, pairs_to_json)
-from mallscope.operators.joins import broadcast_if_small, materialize
+from mallscope.operators.joins import broadcast_if_small, materialize_small
 from mallscope.operators.ranking import top_ranked
 
 # Fixed value: clicks of one user on one ad in one day that put the user on
@@ -41,11 +41,19 @@ def blacklist_points(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Data
     that brings some (date, user, ad) count to ``threshold``. Returns
     (userid, blocked_ts, blocked_event_id).
 
-    The ``row_number() = threshold`` filter becomes a WindowGroupLimit: each
-    map task keeps at most ``threshold`` rows per (date, user, ad) before the
-    shuffle, so even a bot with a third of all clicks ships a few rows.
+    Only groups that reach the threshold matter, so their keys are found
+    first with a partial aggregate (a count per group; the shuffle carries
+    one row per group and map task) and written; just the clicks of those
+    groups go on to the ranking, through a semi join with the size-checked
+    key list. The ``row_number() = threshold`` filter there becomes a
+    WindowGroupLimit: each map task keeps at most ``threshold`` rows per
+    (date, user, ad), so even a bot with a third of all clicks ships a few
+    rows.
     """
     r = with_date(ads.select("userid", "adid", *ORDER_KEY))
+    heavy = materialize_small(r.groupBy("date", "userid", "adid").count()
+                               .filter(F.col("count") >= threshold).drop("count"))
+    r = r.join(heavy, ["date", "userid", "adid"], "left_semi")
     w = Window.partitionBy("date", "userid", "adid").orderBy(*ORDER_KEY)
     hit = r.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == threshold)
     return (hit.groupBy("userid")
@@ -62,12 +70,15 @@ def blacklist_filter(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     and dropped after it (on every ad): the closed form of "count, then block
     from the next batch on" with one click per batch. The block table (one
     row per blocked user) is computed first and written to the shared
-    checkpoint folder; it is broadcast only when the written table is below
-    the size bound, otherwise this is a shuffle join that AQE splits when one
+    checkpoint folder; it is broadcast only when the written files are below
+    the byte bound, otherwise this is a shuffle join that AQE splits when one
     user is hot.
     """
-    bp = points if points is not None else materialize(blacklist_points(ads, threshold))
-    bp = broadcast_if_small(bp.select(F.col("userid").alias("__u"), "blocked_ts", "blocked_event_id"))
+    if points is None:
+        bp = materialize_small(blacklist_points(ads, threshold))
+    else:
+        bp = broadcast_if_small(points)
+    bp = bp.select(F.col("userid").alias("__u"), "blocked_ts", "blocked_event_id")
     j = ads.join(bp, ads["userid"] == bp["__u"], "left")
     keep = (F.col("__u").isNull() |
             (F.struct(*ORDER_KEY) <= F.struct(F.col("blocked_ts").alias("timestamp"),

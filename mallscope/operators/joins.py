@@ -25,6 +25,28 @@ def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if has_at_most(df, max_rows) else df
 
 
+# Largest written table we broadcast, in bytes on disk (columnar, compressed).
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def written_bytes(spark, path: str) -> int:
+    """Total size of the files under ``path`` (a listing, no Spark job)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return int(fs.getContentSummary(p).getLength())
+
+
+def materialize_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Write a derived table, then broadcast it only if the written bytes are under the bound.
+
+    The size is measured on the written files, so the check costs no job and
+    does not re-run the plan; above the bound the table joins by shuffle.
+    """
+    out, path = _write(df)
+    return F.broadcast(out) if written_bytes(df.sparkSession, path) <= max_bytes else out
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
@@ -34,13 +56,17 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     # A Parquet table (not RDD checkpoint): computed once, columnar, and its
     # file sizes are real statistics for the planner and AQE.
+    return _write(df)[0]
+
+
+def _write(df: DataFrame):
     import uuid
 
     from mallscope.session import scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, "materialized", uuid.uuid4().hex)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.parquet(path), path
 
 
 def click_star_join(actions: DataFrame, cities: DataFrame, products: DataFrame,

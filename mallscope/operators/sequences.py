@@ -65,10 +65,9 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
         return _plain(actions.select(*cols), session, order, value, next_name)
     if hot_rows is None:
         return _chunked(actions, cols, session, order, value, next_name, chunk)
-    from mallscope.operators.joins import broadcast_if_small, materialize
-    hot = materialize(actions.groupBy(session).count()
-                             .filter(F.col("count") > hot_rows).select(session))
-    hot = broadcast_if_small(hot)
+    from mallscope.operators.joins import materialize_small
+    hot = materialize_small(actions.groupBy(session).count()
+                                   .filter(F.col("count") > hot_rows).select(session))
     normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
                     session, order, value, next_name)
     split = _chunked(actions.join(hot, session, "left_semi"), cols, session, order, value,
