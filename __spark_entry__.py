@@ -102,7 +102,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         fx.actions(s, d, COND["startDate"], COND["endDate"]), fx.users(s, d), COND, task_id=TASK)
     q["keep_in"] = lambda s, d: keep_in(fx.actions(s, d), "page_id", [1, 2, 3]).select("event_id", "page_id")
     # R3
-    q["session_transitions"] = lambda s, d: session_transitions(fx.actions(s, d), chunk=action_minute())
+    # a low hot-session bound so the driver tables exercise both the plain and
+    # the chunked path (sessions here hold a handful of actions)
+    q["session_transitions"] = lambda s, d: session_transitions(fx.actions(s, d), chunk=action_minute(),
+                                                                hot_rows=3)
     q["page_view_counts"] = lambda s, d: page_view_counts(
         fx.actions(s, d), sorted({a for a, _ in page_flow_pairs(COND["targetPageFlow"])}))
     q["page_jump_counts"] = lambda s, d: page_jump_counts(

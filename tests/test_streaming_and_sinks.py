@@ -101,3 +101,14 @@ def test_conditions_from_properties_file(spark, tmp_path):
     c = load_conditions(spark, str(f))
     assert (c["startDate"], c["endDate"], c["startAge"], c["targetPageFlow"]) == \
         ("2024-01-05", "2024-01-25", "20", "1,2,3")
+
+
+def test_start_query_memory_sink_available_now(spark):
+    from mallscope.streaming.queries import start_query
+    root = os.path.join(checkpoint_root(spark), "t-q-" + uuid.uuid4().hex[:8])
+    spark.range(5).write.parquet(root + "/in")
+    src = spark.readStream.schema("id long").parquet(root + "/in")
+    q = start_query(src.withColumn("twice", F.col("id") * 2), root + "/ck", sink="memory",
+                    query_name="t_mem_" + uuid.uuid4().hex[:6], trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert sorted(r.twice for r in spark.table(q.name).collect()) == [0, 2, 4, 6, 8]
