@@ -5,36 +5,43 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast by hint: rows are checked before hinting, so a
-# dimension that grows with the data falls back to a shuffle join (which AQE
-# may still turn into a broadcast at run time from the real shuffle sizes).
-DEFAULT_BROADCAST_ROWS = 1_000_000
-
+# Largest side we broadcast by hint, in bytes of the Parquet files it reads
+# (columnar, compressed). Above it the join is a shuffle join, which AQE may
+# still turn into a broadcast from the real shuffle sizes, or split when one
+# key is hot.
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Reads at most ``max_rows + 1`` rows (a ``limit`` pushed into the scan),
-    so the check costs the same however large ``df`` is.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
 
+def _file_system(spark, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``broadcast`` only when the row count is proven to be bounded."""
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
 
+def input_bytes_at_most(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    """True when the files ``df`` reads add up to at most ``max_bytes``.
 
-# Largest written table we broadcast, in bytes on disk (columnar, compressed).
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+    Uses the relation's own file list (``inputFiles``) and file sizes: no
+    Spark job, and the listing stops as soon as the bound is passed. A
+    dimension built from its inputs by projections, filters and lookups is
+    no larger than they are. Without input files (no file source) there is
+    no proof and the answer is False.
+    """
+    files = df.inputFiles()
+    if not files:
+        return False
+    total = 0
+    for f in files:
+        p, fs = _file_system(df.sparkSession, f)
+        total += int(fs.getFileStatus(p).getLen())
+        if total > max_bytes:
+            return False
+    return True
 
 
-def written_bytes(spark, path: str) -> int:
-    """Total size of the files under ``path`` (a listing, no Spark job)."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(p).getLength())
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """Hint ``broadcast`` only when the input size is proven to be under the bound."""
+    return F.broadcast(df) if input_bytes_at_most(df, max_bytes) else df
 
 
 def materialize_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
@@ -43,8 +50,7 @@ def materialize_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
     The size is measured on the written files, so the check costs no job and
     does not re-run the plan; above the bound the table joins by shuffle.
     """
-    out, path = _write(df)
-    return F.broadcast(out) if written_bytes(df.sparkSession, path) <= max_bytes else out
+    return broadcast_if_small(_write(df)[0], max_bytes)
 
 
 def materialize(df: DataFrame) -> DataFrame:
@@ -70,14 +76,14 @@ def _write(df: DataFrame):
 
 
 def click_star_join(actions: DataFrame, cities: DataFrame, products: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Fact inner-join city and product dimensions -> (area, product_name, city_name).
 
     Rows whose click product has no product row (``-1`` = no click) drop out,
     as in an inner join.
     """
-    c = broadcast_if_small(cities.select("city_id", "city_name", "area"), max_broadcast_rows)
-    p = broadcast_if_small(products.select("product_id", "product_name"), max_broadcast_rows)
+    c = broadcast_if_small(cities.select("city_id", "city_name", "area"), max_broadcast_bytes)
+    p = broadcast_if_small(products.select("product_id", "product_name"), max_broadcast_bytes)
     a = actions.select("city_id", "click_product_id")
     return (a.join(c, "city_id")
              .join(p, a["click_product_id"] == p["product_id"])
@@ -85,7 +91,7 @@ def click_star_join(actions: DataFrame, cities: DataFrame, products: DataFrame,
 
 
 def keep_in(df: DataFrame, column: str, keys, key_column: str | None = None,
-            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Keep rows whose ``column`` is in ``keys``.
 
     ``keys`` is a Python list (becomes ``isin``, for short literal lists) or a
@@ -93,20 +99,20 @@ def keep_in(df: DataFrame, column: str, keys, key_column: str | None = None,
     """
     if isinstance(keys, DataFrame):
         kc = key_column or keys.columns[0]
-        k = broadcast_if_small(keys.select(F.col(kc).alias("__k")).distinct(), max_broadcast_rows)
+        k = broadcast_if_small(keys.select(F.col(kc).alias("__k")).distinct(), max_broadcast_bytes)
         return df.join(k, df[column] == k["__k"], "left_semi")
     return df.filter(F.col(column).isin(list(keys)))
 
 
 def drop_in(df: DataFrame, column: str, keys, key_column: str | None = None,
-            max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Drop rows whose ``column`` is in ``keys`` (left-anti join).
 
     Null keys in ``keys`` do not remove anything (anti-join, not NOT IN).
     """
     if isinstance(keys, DataFrame):
         kc = key_column or keys.columns[0]
-        k = broadcast_if_small(keys.select(F.col(kc).alias("__k")).distinct(), max_broadcast_rows)
+        k = broadcast_if_small(keys.select(F.col(kc).alias("__k")).distinct(), max_broadcast_bytes)
         return df.join(k, df[column] == k["__k"], "left_anti")
     keys = [k for k in keys if k is not None]
     return df.filter(~F.col(column).isin(keys) | F.col(column).isNull()) if keys else df
