@@ -20,9 +20,14 @@ LINE_SCHEMA = T.StructType([T.StructField("line", T.StringType()),
                             T.StructField("event_id", T.LongType())])
 
 
+# Largest micro-batch read from Kafka: it bounds every per-key step of a
+# batch (e.g. one user's clicks in the blacklist state function).
+DEFAULT_MAX_OFFSETS_PER_TRIGGER = 5_000_000
+
+
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
                   starting_offsets: dict | str | None = None,
-                  max_offsets_per_trigger: int | None = None) -> dict:
+                  max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER) -> dict:
     """The reader options for a Kafka topic.
 
     ``starting_offsets`` is ``"earliest"``, ``"latest"`` or a map
