@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -126,10 +127,29 @@ def start_trend(spark: SparkSession, root: str, span_minutes: int = DEFAULT_SPAN
                        on_batch=_trend_batch(spark, root, span_minutes), trigger=trigger)
 
 
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None):
+    """Start stateful queries with ``n`` state partitions.
+
+    A stateful query takes its partition count from
+    ``spark.sql.shuffle.partitions`` when it first starts and keeps it in its
+    checkpoint; size it to the state (users, keys), not to the batch.
+    """
+    if n is None:
+        yield
+        return
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(n))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
                      threshold: int = DEFAULT_THRESHOLD,
                      span_minutes: int = DEFAULT_SPAN_MINUTES,
-                     trigger: dict | None = None) -> list:
+                     trigger: dict | None = None, partitions: int | None = None) -> list:
     """Start the three dashboard queries on a live ``lines`` stream.
 
     Returns the query handles; each resumes from its checkpoint under
@@ -138,10 +158,11 @@ def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
     """
     from mallscope.streaming.queries import DEFAULT_TRIGGER
     trig = trigger or DEFAULT_TRIGGER
-    kq = start_kept(spark, root, threshold, trigger=trig, lines=lines)
-    kq.processAllAvailable()
-    return [kq, start_daily(spark, root, trigger=trig),
-            start_trend(spark, root, span_minutes, trigger=trig)]
+    with state_partitions(spark, partitions):
+        kq = start_kept(spark, root, threshold, trigger=trig, lines=lines)
+        kq.processAllAvailable()
+        return [kq, start_daily(spark, root, trigger=trig),
+                start_trend(spark, root, span_minutes, trigger=trig)]
 
 
 def write_slices(ads: DataFrame, src: str, slices: int):
@@ -166,20 +187,23 @@ def write_slices(ads: DataFrame, src: str, slices: int):
 
 def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
            span_minutes: int = DEFAULT_SPAN_MINUTES, slices: int = 4,
-           restart_after: int | None = None, root: str | None = None) -> str:
+           restart_after: int | None = None, root: str | None = None,
+           partitions: int | None = 8) -> str:
     """Feed ``ads`` through the dashboard slice by slice; return the output root.
 
     With ``restart_after=i`` every query is stopped after slice ``i`` and
-    started again from its checkpoint (recovery test).
+    started again from its checkpoint (recovery test). ``partitions`` is the
+    state partition count of the stateful queries.
     """
     root = root or os.path.join(checkpoint_root(spark), "dashboard-" + uuid.uuid4().hex[:12])
     p = paths(root)
     qs: list = []
 
     def start_all():
-        kq = start_kept(spark, root, threshold)
-        kq.processAllAvailable()
-        return [kq, start_daily(spark, root), start_trend(spark, root, span_minutes)]
+        with state_partitions(spark, partitions):
+            kq = start_kept(spark, root, threshold)
+            kq.processAllAvailable()
+            return [kq, start_daily(spark, root), start_trend(spark, root, span_minutes)]
 
     try:
         for i in write_slices(ads, p["src"], slices):
