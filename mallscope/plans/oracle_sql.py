@@ -94,7 +94,7 @@ AREA_COUNTS = """select c.area, p.product_name, c.city_name, count(*) n
 SHARES = """select *, sum(n) over (partition by area, product_name) ct,
       row_number() over (partition by area, product_name order by n desc, city_name) rn from ac"""
 
-SHARE_TEXT = """select area, product_name, max(ct) product_count,
+SHARE_TEXT = """select area, product_name, cast(max(ct) as bigint) product_count,
     concat(string_agg(concat(coalesce(city_name, 'null'), ':', cast(pct as varchar), '%'), ',' order by rn),
            ',其他:', cast(floor((100.0 - max(case when rn = 1 then pct end) - coalesce(max(case when rn = 2 then pct end), 0.0)) * 10 + 0.5) / 10 as varchar), '%') city_click_ratio
   from (select *, floor(n * cast(1000 as double) / ct + 0.5) / 10 pct from sh where rn <= 2) s
@@ -111,7 +111,8 @@ KEPT = """select a.* from ads a left join b on a.userid = b.userid
 
 R6 = f"""select {DAY} "date", area, city, adid, count(*) n from kept group by all"""
 ROLLUP = """select "date", area, adid, cast(sum(n) as bigint) n from r6 group by all"""
-RANKED = """select * from (select *, row_number() over (partition by "date", area order by n desc, adid) rn from ro) where rn <= 3"""
+RANKED = """select * from (select *, cast(row_number() over (partition by "date", area order by n desc, adid) as integer) rn
+  from ro) where rn <= 3"""
 MINUTES = f"""select adid, "timestamp" // 60000 as "minute", count(*) n,
     strftime(make_timestamp(("timestamp" // 60000) * 60000000), '%H:%M') hhmm
   from kept where "timestamp" // 60000 > (select max("timestamp" // 60000) from kept) - {SPAN}
@@ -172,7 +173,7 @@ def oracle_sql() -> dict[str, str]:
     q["top_share_text"] = with_views("select * from st", [("ac", AREA_COUNTS), ("sh", SHARES), ("st", SHARE_TEXT)])
     q["area_product_rank"] = with_views(
         """select area, product_name, product_count, rk from (
-             select *, rank() over (partition by area order by product_count desc) rk from (
+             select *, cast(rank() over (partition by area order by product_count desc) as integer) rk from (
                select area, product_name, cast(sum(n) as bigint) product_count from ac group by area, product_name))
            where rk <= 3""",
         [("ac", AREA_COUNTS)])

@@ -28,6 +28,22 @@ def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "boolean": "BOOLEAN", "smallint": "SMALLINT", "tinyint": "TINYINT", "float": "FLOAT",
+                 "date": "DATE"}
+
+
+def type_mismatches(df, rel) -> list:
+    duck = {c[0]: str(c[1]) for c in rel.description}
+    out = []
+    for name, t in df.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = duck.get(name)
+        if got is not None and got.upper() != want:
+            out.append((name, t, got))
+    return out
+
+
 def _norm(v):
     if v is None:
         return ("~null",)
@@ -77,11 +93,14 @@ def compare(spark, sf_dir, keys=None, verbose=True):
             results[k] = f"DUCK ERROR {str(e)[:300]}"
             print(k, results[k])
             continue
+        bad_types = type_mismatches(df, rel)
+        if bad_types:
+            print(f"   TYPES {k}: {bad_types}")
         ok_cols = sorted(s_cols) == sorted(d_cols)
         ok_n = len(s_rows) == len(d_rows)
         ok_v = ok_cols and rows_of(s_cols, s_rows) == rows_of(d_cols, d_rows)
-        results[k] = "OK" if (ok_cols and ok_n and ok_v) else \
-            f"MISMATCH cols={ok_cols} n={len(s_rows)}/{len(d_rows)} vals={ok_v}"
+        results[k] = "OK" if (ok_cols and ok_n and ok_v and not bad_types) else \
+            f"MISMATCH cols={ok_cols} n={len(s_rows)}/{len(d_rows)} vals={ok_v} types={bad_types}"
         if verbose:
             print(f"{k:28s} {results[k]:40s} spark {t1 - t0:5.2f}s rows={len(s_rows)}")
             if not ok_cols:
@@ -95,10 +114,16 @@ def compare(spark, sf_dir, keys=None, verbose=True):
 
 
 if __name__ == "__main__":
-    from mallscope.session import get_session
-    sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
-    keys = sys.argv[2:] or None
-    spark = get_session("local[8]", shuffle_partitions=8)
+    args = [a for a in sys.argv[1:] if a != "--plain"]
+    sf = args[0] if args else "/root/testdata/sf0.01"
+    keys = args[1:] or None
+    if "--plain" in sys.argv:      # a default session, as a caller might bring
+        from pyspark.sql import SparkSession
+        spark = SparkSession.builder.master("local[*]").getOrCreate()
+        spark.sparkContext.setLogLevel("ERROR")
+    else:
+        from mallscope.session import get_session
+        spark = get_session("local[8]", shuffle_partitions=8)
     res = compare(spark, sf, keys)
     bad = {k: v for k, v in res.items() if not (v == "OK" or v.startswith("rows-only"))}
     print(f"{len(res) - len(bad)}/{len(res)} ok")
