@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mallscope.session import scratch_path
+
 # Largest side we broadcast by hint, in bytes of the Parquet files it reads
 # (columnar, compressed). Above it the join is a shuffle join, which AQE may
 # still turn into a broadcast from the real shuffle sizes, or split when one
@@ -56,19 +60,14 @@ def materialize_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
-    Used for small derived tables that a later join needs to size-check:
-    the check then reads the written rows instead of re-running the plan,
-    and the lineage is cut (a lost executor does not recompute upstream).
+    A Parquet table rather than an RDD checkpoint: computed once, columnar,
+    its file sizes are real statistics for the planner and AQE, and the
+    lineage is cut (a lost executor does not recompute upstream stages).
     """
-    # A Parquet table (not RDD checkpoint): computed once, columnar, and its
-    # file sizes are real statistics for the planner and AQE.
     return _write(df)[0]
 
 
 def _write(df: DataFrame):
-    import uuid
-
-    from mallscope.session import scratch_path
     spark = df.sparkSession
     path = scratch_path(spark, "materialized", uuid.uuid4().hex)
     df.write.parquet(path)

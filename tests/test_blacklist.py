@@ -49,3 +49,49 @@ def test_block_hits_last_and_other_ads_and_dates(spark):
     assert sorted(r.event_id for r in blacklist_filter(df, 2).collect()) == [1, 2, 4, 5]
     pts = {r.userid: (r.blocked_ts, r.blocked_event_id) for r in blacklist_points(df, 2).collect()}
     assert pts == {"u": (t0 + 2, 2)}
+
+
+class _State:
+    """Stand-in for GroupState: exists / get / update."""
+
+    def __init__(self):
+        self.value = None
+
+    @property
+    def exists(self):
+        return self.value is not None
+
+    @property
+    def get(self):
+        return self.value
+
+    def update(self, v):
+        self.value = v
+
+
+def test_stream_state_step_blocks_across_batches_and_prunes_days():
+    import json
+
+    import pandas as pd
+
+    from mallscope.streaming.blacklist import _make_state_fn
+
+    def frame(rows):
+        return pd.DataFrame(rows, columns=["timestamp", "area", "city", "userid", "adid", "event_id", "date"])
+
+    step = _make_state_fn(threshold=3, keep_days=1)
+    st = _State()
+    b1 = frame([(2, "A", "c", "u", "1", 2, "2024-01-01"), (1, "A", "c", "u", "1", 1, "2024-01-01")])
+    out = list(step(("u",), iter([b1]), st))
+    assert list(out[0]["event_id"]) == [1, 2] and st.value[0] is False
+    b2 = frame([(5, "A", "c", "u", "2", 5, "2024-01-03"), (3, "A", "c", "u", "1", 3, "2024-01-01"),
+                (4, "A", "c", "u", "1", 4, "2024-01-01")])
+    out = list(step(("u",), iter([b2]), st))
+    # the third click on ad 1 blocks the user; the later clicks of the batch are dropped
+    assert list(out[0]["event_id"]) == [3] and st.value == (True, "")
+    assert list(step(("u",), iter([b1]), st)) == []            # blocked for ever
+
+    st2 = _State()
+    list(step(("v",), iter([frame([(1, "A", "c", "v", "1", 1, "2024-01-01")])]), st2))
+    list(step(("v",), iter([frame([(9, "A", "c", "v", "1", 9, "2024-01-05")])]), st2))
+    assert set(json.loads(st2.value[1])) == {"2024-01-05|1"}    # older day pruned
