@@ -130,6 +130,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["user_ad_daily_counts"] = lambda s, d: user_ad_daily_counts(fx.ads(s, d))
     q["blacklist_users"] = lambda s, d: adclicks.blacklist_users(fx.ads(s, d), THRESHOLD)
     q["blacklist_filter"] = _kept
+    # micro-batch semantics: clicks grouped into the stream's 3-second batches
+    q["blacklist_filter_micro_batch"] = lambda s, d: blacklist_filter(
+        fx.ads(s, d).withColumn("batch", F.floor(F.col("timestamp") / 3000)), THRESHOLD,
+        batch_col="batch").drop("batch")
     q["drop_in"] = lambda s, d: drop_in(fx.ads(s, d), "userid", blacklist_points(fx.ads(s, d), THRESHOLD))
     q["date_area_city_ad_count"] = _r6
     q["kv_key"] = lambda s, d: adclicks.daily_city_kv(_r6(s, d))

@@ -34,12 +34,15 @@ def user_ad_daily_counts(ads: DataFrame) -> DataFrame:
                           .agg(F.count(F.lit(1)).alias("n")))
 
 
-def blacklist_points(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+def blacklist_points(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
+                     batch_col: str | None = None) -> DataFrame:
     """Blocked users and the click that blocked them.
 
     A user is blocked at the earliest click (by ``timestamp``, ``event_id``)
     that brings some (date, user, ad) count to ``threshold``. Returns
-    (userid, blocked_ts, blocked_event_id).
+    (userid, blocked_ts, blocked_event_id). With ``batch_col`` (micro-batch
+    semantics) clicks are ordered by batch first and the batch of that click
+    is returned as ``blocked_batch`` as well.
 
     Only groups that reach the threshold matter, so their keys are found
     first with a partial aggregate (a count per group; the shuffle carries
@@ -50,39 +53,49 @@ def blacklist_points(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Data
     (date, user, ad), so even a bot with a third of all clicks ships a few
     rows.
     """
-    r = with_date(ads.select("userid", "adid", *ORDER_KEY))
+    order = ORDER_KEY if batch_col is None else (batch_col, *ORDER_KEY)
+    r = with_date(ads.select("userid", "adid", *order))
     heavy = materialize_small(r.groupBy("date", "userid", "adid").count()
                                .filter(F.col("count") >= threshold).drop("count"))
     r = r.join(heavy, ["date", "userid", "adid"], "left_semi")
-    w = Window.partitionBy("date", "userid", "adid").orderBy(*ORDER_KEY)
+    w = Window.partitionBy("date", "userid", "adid").orderBy(*order)
     hit = r.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == threshold)
-    return (hit.groupBy("userid")
-               .agg(F.min(F.struct(*ORDER_KEY)).alias("__bp"))
-               .select("userid", F.col("__bp.timestamp").alias("blocked_ts"),
-                       F.col("__bp.event_id").alias("blocked_event_id")))
+    out = [F.col("__bp.timestamp").alias("blocked_ts"),
+           F.col("__bp.event_id").alias("blocked_event_id")]
+    if batch_col is not None:
+        out.append(F.col(f"__bp.{batch_col}").alias("blocked_batch"))
+    return (hit.groupBy("userid").agg(F.min(F.struct(*order)).alias("__bp"))
+               .select("userid", *out))
 
 
 def blacklist_filter(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                     points: DataFrame | None = None) -> DataFrame:
+                     points: DataFrame | None = None, batch_col: str | None = None) -> DataFrame:
     """The clicks the blacklist lets through.
 
-    A blocked user's clicks are kept up to and including the blocking click
-    and dropped after it (on every ad): the closed form of "count, then block
-    from the next batch on" with one click per batch. The block table (one
-    row per blocked user) is computed first and written to the shared
-    checkpoint folder; it is broadcast only when the written files are below
-    the byte bound, otherwise this is a shuffle join that AQE splits when one
-    user is hot.
+    Record-exact (default): a blocked user's clicks are kept up to and
+    including the blocking click and dropped after it, on every ad - the
+    stream with one click per batch. Micro-batch (``batch_col``): the
+    blacklist is read when a batch starts and counters are raised after it,
+    so the whole batch in which the user reached the threshold passes and
+    later batches are dropped.
+
+    The block table (one row per blocked user) is computed first and written
+    to the shared checkpoint folder; it is broadcast only when the written
+    files are below the byte bound, otherwise this is a shuffle join that AQE
+    splits when one user is hot.
     """
     if points is None:
-        bp = materialize_small(blacklist_points(ads, threshold))
+        bp = materialize_small(blacklist_points(ads, threshold, batch_col))
     else:
         bp = broadcast_if_small(points)
-    bp = bp.select(F.col("userid").alias("__u"), "blocked_ts", "blocked_event_id")
+    bp = bp.withColumnRenamed("userid", "__u")
     j = ads.join(bp, ads["userid"] == bp["__u"], "left")
-    keep = (F.col("__u").isNull() |
-            (F.struct(*ORDER_KEY) <= F.struct(F.col("blocked_ts").alias("timestamp"),
-                                               F.col("blocked_event_id").alias("event_id"))))
+    if batch_col is not None:
+        keep = F.col("__u").isNull() | (F.col(batch_col) <= F.col("blocked_batch"))
+    else:
+        keep = (F.col("__u").isNull() |
+                (F.struct(*ORDER_KEY) <= F.struct(F.col("blocked_ts").alias("timestamp"),
+                                                   F.col("blocked_event_id").alias("event_id"))))
     return j.filter(keep).select(*ads.columns)
 
 

@@ -191,6 +191,14 @@ def oracle_sql() -> dict[str, str]:
     q["blacklist_users"] = with_views("select userid, bp.ts blocked_ts, bp.eid blocked_event_id from b",
                                       [("b", BLOCKS)])
     q["blacklist_filter"] = with_views("select * from kept", _blk())
+    q["blacklist_filter_micro_batch"] = with_views(
+        """select a."timestamp", a.area, a.city, a.userid, a.adid, a.event_id
+           from a left join mb on a.userid = mb.userid where mb.userid is null or a.batch <= mb.bb""",
+        [("a", 'select *, "timestamp" // 3000 batch from ads'),
+         ("mb", f"""select userid, min(batch) bb from (
+                      select *, row_number() over (partition by {DAY}, userid, adid
+                                                   order by batch, "timestamp", event_id) rn from a)
+                    where rn = {T} group by userid""")])
     q["drop_in"] = with_views("select * from ads where userid not in (select userid from b)", [("b", BLOCKS)])
     q["date_area_city_ad_count"] = with_views("select * from r6", _blk() + [("r6", R6)])
     q["kv_key"] = with_views(

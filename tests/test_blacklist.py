@@ -95,3 +95,13 @@ def test_stream_state_step_blocks_across_batches_and_prunes_days():
     list(step(("v",), iter([frame([(1, "A", "c", "v", "1", 1, "2024-01-01")])]), st2))
     list(step(("v",), iter([frame([(9, "A", "c", "v", "1", 9, "2024-01-05")])]), st2))
     assert set(json.loads(st2.value[1])) == {"2024-01-05|1"}    # older day pruned
+
+
+def test_micro_batch_form_equals_replay_with_larger_batches(spark):
+    for seed in (4, 5):
+        rows = sorted(random_clicks(seed), key=lambda r: (r[0], r[5]))
+        for size in (7, 50):
+            with_batch = [r + (i // size,) for i, r in enumerate(rows)]
+            df = spark.createDataFrame(with_batch, SCHEMA + ", batch long")
+            got = sorted(r.event_id for r in blacklist_filter(df, 3, batch_col="batch").collect())
+            assert got == replay_reference(rows, 3, size), (seed, size)
