@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mallscope.functions.adlog import parse_ad_log, render_ad_log
-from mallscope.functions.scalars import epoch_ms_to_timestamp
+from mallscope.functions.scalars import epoch_ms_to_date, epoch_ms_to_timestamp
 from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad_minute_json,
                                      date_area_ad_rollup, date_area_city_ad_count,
                                      top3_ads_by_area, top3_ads_json, trailing_minutes)
@@ -86,11 +86,29 @@ def _daily_batch(spark: SparkSession, root: str):
     return on_batch
 
 
-def start_daily(spark: SparkSession, root: str, trigger: dict | None = None):
+def daily_counts(kept: DataFrame, expire_after: str | None = None) -> DataFrame:
+    """C2 on a stream: running clicks per (date, area, city, adid).
+
+    Without ``expire_after`` the totals are kept for ever. With it the day is
+    an event-time window (UTC days, the same ``date``) under a watermark of
+    ``expire_after``: a day's state is dropped once the watermark passes its
+    end, and clicks later than that are not counted.
+    """
+    if expire_after is None:
+        return date_area_city_ad_count(kept)
+    ev = kept.withColumn("event_time", epoch_ms_to_timestamp("timestamp")) \
+             .withWatermark("event_time", expire_after)
+    agg = ev.groupBy(F.window("event_time", "1 day"), "area", "city", "adid").count()
+    return agg.select(epoch_ms_to_date(F.unix_millis(F.col("window.start"))).alias("date"),
+                      "area", "city", "adid", F.col("count").alias("n"))
+
+
+def start_daily(spark: SparkSession, root: str, trigger: dict | None = None,
+                expire_after: str | None = None):
     """Query 2 (C2 + C7): running totals per (date, area, city, adid) and top-3 per (date, area)."""
     p = paths(root)
     kept = spark.readStream.schema(KEPT_SCHEMA).parquet(p["kept"])
-    counts = date_area_city_ad_count(kept)
+    counts = daily_counts(kept, expire_after)
     return start_query(counts, p["ck_daily"], output_mode="update",
                        on_batch=_daily_batch(spark, root), trigger=trigger)
 
@@ -188,7 +206,7 @@ def write_slices(ads: DataFrame, src: str, slices: int):
 def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
            span_minutes: int = DEFAULT_SPAN_MINUTES, slices: int = 4,
            restart_after: int | None = None, root: str | None = None,
-           partitions: int | None = 8) -> str:
+           partitions: int | None = 8, expire_after: str | None = None) -> str:
     """Feed ``ads`` through the dashboard slice by slice; return the output root.
 
     With ``restart_after=i`` every query is stopped after slice ``i`` and
@@ -203,7 +221,8 @@ def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHO
         with state_partitions(spark, partitions):
             kq = start_kept(spark, root, threshold)
             kq.processAllAvailable()
-            return [kq, start_daily(spark, root), start_trend(spark, root, span_minutes)]
+            return [kq, start_daily(spark, root, expire_after=expire_after),
+                    start_trend(spark, root, span_minutes)]
 
     try:
         for i in write_slices(ads, p["src"], slices):

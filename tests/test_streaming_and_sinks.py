@@ -112,3 +112,10 @@ def test_start_query_memory_sink_available_now(spark):
                     query_name="t_mem_" + uuid.uuid4().hex[:6], trigger={"availableNow": True})
     q.awaitTermination(120)
     assert sorted(r.twice for r in spark.table(q.name).collect()) == [0, 2, 4, 6, 8]
+
+
+def test_daily_totals_with_state_expiry_equal_batch(spark):
+    ads = fx.ads(spark, SF_SMALL)
+    root = D.replay(spark, ads, threshold=2, span_minutes=600, slices=3, expire_after="2 days")
+    r6 = A.date_area_city_ad_count(A.blacklist_filter(ads, 2))
+    assert same(D.read_results(spark, root)["r6"], r6)
