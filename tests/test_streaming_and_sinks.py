@@ -119,3 +119,20 @@ def test_daily_totals_with_state_expiry_equal_batch(spark):
     root = D.replay(spark, ads, threshold=2, span_minutes=600, slices=3, expire_after="2 days")
     r6 = A.date_area_city_ad_count(A.blacklist_filter(ads, 2))
     assert same(D.read_results(spark, root)["r6"], r6)
+
+
+def test_run_reports_writes_every_batch_result(spark):
+    import __spark_entry__ as E
+    from mallscope.plans.oracle_sql import TASK
+    from mallscope.plans.reports import run_reports, table_writer
+    prefix = "t_" + uuid.uuid4().hex[:6] + "_"
+    root = os.path.join(checkpoint_root(spark), "reports-" + uuid.uuid4().hex[:8])
+    d = SF_SMALL
+    tables = run_reports(fx.actions(spark, d), fx.users(spark, d), fx.cities(spark, d),
+                         fx.products(spark, d), fx.CONDITIONS, table_writer(prefix, root),
+                         task_id=TASK)
+    q = E.queries()
+    want = {"r1": "hot_category_top10", "r2": "hot_category_top_sessions",
+            "r3": "page_jump_ratio", "r4": "area_product_top3"}
+    for key, table in tables.items():
+        assert same(spark.table(prefix + table), q[want[key]](spark, d)), key
