@@ -209,33 +209,35 @@ def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHO
            partitions: int | None = 8, expire_after: str | None = None) -> str:
     """Feed ``ads`` through the dashboard slice by slice; return the output root.
 
-    With ``restart_after=i`` every query is stopped after slice ``i`` and
-    started again from its checkpoint (recovery test). ``partitions`` is the
-    state partition count of the stateful queries.
+    Each slice is committed to the source folder first, then the kept-clicks
+    query runs once over everything new (``availableNow``) from its
+    checkpoint, so no micro-batch ever sees half a slice. The two readers of
+    its output keep running (the Parquet sink's log publishes whole batches);
+    with ``restart_after=i`` they too are stopped after slice ``i`` and
+    started again from their checkpoints. ``partitions`` is the state
+    partition count of the stateful queries.
     """
     root = root or os.path.join(checkpoint_root(spark), "dashboard-" + uuid.uuid4().hex[:12])
     p = paths(root)
-    qs: list = []
-
-    def start_all():
-        with state_partitions(spark, partitions):
-            kq = start_kept(spark, root, threshold)
-            kq.processAllAvailable()
-            return [kq, start_daily(spark, root, expire_after=expire_after),
-                    start_trend(spark, root, span_minutes)]
-
+    readers: list = []
     try:
         for i in write_slices(ads, p["src"], slices):
-            if not qs:
-                qs = start_all()
-            for q in qs:
+            with state_partitions(spark, partitions):
+                kq = start_kept(spark, root, threshold, trigger={"availableNow": True})
+                kq.awaitTermination()
+                if kq.exception() is not None:
+                    raise kq.exception()
+                if not readers:
+                    readers = [start_daily(spark, root, expire_after=expire_after),
+                               start_trend(spark, root, span_minutes)]
+            for q in readers:
                 q.processAllAvailable()
             if restart_after is not None and i == restart_after:
-                for q in qs:
+                for q in readers:
                     q.stop()
-                qs = start_all()
+                readers = []
     finally:
-        for q in qs:
+        for q in readers:
             q.stop()
     return root
 
