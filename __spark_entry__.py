@@ -25,8 +25,8 @@ from mallscope.operators.ads import (ad_minute_counts, ad_minute_json, blacklist
                                      user_ad_daily_counts)
 from mallscope.operators.joins import click_star_join, drop_in, keep_in
 from mallscope.operators.ranking import top_ranked
-from mallscope.operators.sequences import (action_minute, page_flow_pairs, page_jump_counts,
-                                           page_view_counts, session_transitions)
+from mallscope.operators.sequences import (page_flow_pairs, page_jump_counts, page_view_counts,
+                                           session_chunks, session_transitions)
 from mallscope.plans import adclicks, retail
 from mallscope.plans.oracle_sql import SPAN, TASK
 from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql
@@ -104,12 +104,12 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # R3
     # a low hot-session bound so the driver tables exercise both the plain and
     # the chunked path (sessions here hold a handful of actions)
-    q["session_transitions"] = lambda s, d: session_transitions(fx.actions(s, d), chunk=action_minute(),
-                                                                hot_rows=3)
+    q["session_transitions"] = lambda s, d: session_transitions(
+        fx.actions(s, d), chunk=session_chunks(burst_rows=1000), hot_rows=3)
     q["page_view_counts"] = lambda s, d: page_view_counts(
         fx.actions(s, d), sorted({a for a, _ in page_flow_pairs(COND["targetPageFlow"])}))
     q["page_jump_counts"] = lambda s, d: page_jump_counts(
-        session_transitions(fx.actions(s, d), chunk=action_minute()),
+        session_transitions(fx.actions(s, d), chunk=session_chunks()),
         page_flow_pairs(COND["targetPageFlow"]))
     q["page_jump_ratio"] = lambda s, d: retail.page_jump_ratio(
         fx.actions(s, d), COND["targetPageFlow"], task_id=TASK)

@@ -39,21 +39,22 @@ DEFAULT_HOT_ROWS = 2_000_000
 def session_transitions(actions: DataFrame, session: str = "session_id",
                         order: tuple[str, ...] = ("action_time", "event_id"),
                         value: str = "page_id", next_name: str = "next_page_id",
-                        chunk: Column | None = None,
-                        hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
+                        chunk=None, hot_rows: int | None = DEFAULT_HOT_ROWS) -> DataFrame:
     """Each action with the ``value`` of the next action of its session.
 
     Order is ``order`` ascending (end it with a unique column to break ties).
     The last action of a session gets null.
 
     ``chunk=None`` is the plain ``lead`` over a per-session window: one
-    shuffle, one task sorts a whole session. ``chunk`` - an expression that
-    never decreases along ``order``, e.g. the minute of the action - splits
-    sessions: ``lead`` runs per (session, chunk), spread over tasks by hash,
-    then only the boundary rows (first and last of each session-chunk) meet
-    in a second window per session, where a chunk's last row takes the first
-    value of the session's next chunk. The chunk key is a pure function of
-    the row, so any re-execution gives the same answer.
+    shuffle, one task sorts a whole session. ``chunk`` - a key, or a list of
+    keys from fine to coarse, each never decreasing along ``order`` and each
+    finer chunk inside one coarser chunk (see ``session_chunks``) - splits
+    sessions: ``lead`` runs per (session, chunk), spread over tasks by hash;
+    only the boundary rows (first and last of each session-chunk) go on to
+    the next, coarser level, where a chunk's last row meets the first row of
+    the session's next chunk; the coarsest level ends in a per-session
+    window over its boundary rows. Chunk keys are pure functions of the row,
+    so any re-execution gives the same answer.
 
     With ``hot_rows`` only sessions holding more than ``hot_rows`` rows take
     the chunked path: a partial-aggregate count per session finds them, the
@@ -63,16 +64,36 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     cols = [session, *order, value]
     if chunk is None:
         return _plain(actions.select(*cols), session, order, value, next_name)
+    chunks = list(chunk) if isinstance(chunk, (list, tuple)) else [chunk]
     if hot_rows is None:
-        return _chunked(actions, cols, session, order, value, next_name, chunk)
+        return _chunked(actions.select(*cols, *[c.alias(f"__c{i}") for i, c in enumerate(chunks)]),
+                        cols, session, order, value, next_name, len(chunks))
     from mallscope.operators.joins import materialize_small
     hot = materialize_small(actions.groupBy(session).count()
                                    .filter(F.col("count") > hot_rows).select(session))
     normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
                     session, order, value, next_name)
-    split = _chunked(actions.join(hot, session, "left_semi"), cols, session, order, value,
-                     next_name, chunk)
-    return normal.unionByName(split)
+    split = actions.join(hot, session, "left_semi").select(
+        *cols, *[c.alias(f"__c{i}") for i, c in enumerate(chunks)])
+    return normal.unionByName(_chunked(split, cols, session, order, value, next_name, len(chunks)))
+
+
+def session_chunks(action_time: str = "action_time", event_id: str = "event_id",
+                   burst_rows: int = 100_000) -> list[Column]:
+    """Chunk keys for ``session_transitions`` over (action_time, event_id) order.
+
+    (second, event_id // burst_rows) holds at most ``burst_rows`` rows
+    (event ids are unique), then the second, then the minute: every level
+    passes on at most two rows per chunk, so no task gets a whole burst.
+    """
+    t = F.col(action_time)
+    return [F.struct(t.alias("t"), F.floor(F.col(event_id) / burst_rows).alias("b")),
+            t, F.substring(t, 1, 16)]
+
+
+def action_minute(action_time: str = "action_time") -> Column:
+    """A single chunk key: the ``yyyy-MM-dd HH:mm`` of the action."""
+    return F.substring(F.col(action_time), 1, 16)
 
 
 def _plain(rows: DataFrame, session, order, value, next_name) -> DataFrame:
@@ -80,30 +101,30 @@ def _plain(rows: DataFrame, session, order, value, next_name) -> DataFrame:
     return rows.withColumn(next_name, F.lead(value).over(w))
 
 
-def _chunked(actions: DataFrame, cols, session, order, value, next_name, chunk) -> DataFrame:
-    base = actions.select(*cols, chunk.alias("__chunk"))
-    w = Window.partitionBy(session, "__chunk").orderBy(*order)
+def _chunked(rows: DataFrame, cols, session, order, value, next_name, levels: int,
+             level: int = 0) -> DataFrame:
+    """``rows`` carry ``cols`` and the chunk keys ``__c{level}..``; returns ``cols`` + next."""
+    if level == levels:
+        return _plain(rows.select(*cols), session, order, value, next_name)
+    key = f"__c{level}"
+    rest = [f"__c{i}" for i in range(level + 1, levels)]
+    w = Window.partitionBy(session, key).orderBy(*order)
     boxed = F.struct(F.col(value).alias("v"))
-    within = (base.withColumn("__next", F.lead(boxed).over(w))
+    within = (rows.withColumn("__next", F.lead(boxed).over(w))
                   .withColumn("__prev", F.lag(F.lit(1)).over(w)))
     # rows with a successor inside their chunk are done
     inner = within.filter(F.col("__next").isNotNull()).select(
         *cols, F.col("__next")["v"].alias(next_name))
-    # boundary rows: in (chunk, order) order a chunk's last row is followed
-    # by the first row of the session's next chunk
-    edges = within.filter(F.col("__next").isNull() | F.col("__prev").isNull())
-    wb = Window.partitionBy(session).orderBy("__chunk", *order)
-    last = (edges.withColumn("__carry", F.lead(boxed).over(wb))
-                 .filter(F.col("__next").isNull())
-                 .select(*cols, F.col("__carry")["v"].alias(next_name)))
+    # boundary rows: a chunk's last row is followed, in session order, by
+    # the first row of the session's next chunk - found one level up
+    is_last = f"__last{level}"
+    edges = (within.filter(F.col("__next").isNull() | F.col("__prev").isNull())
+                   .select(*cols, *rest, F.col("__next").isNull().alias(is_last)))
+    up = _chunked(edges, cols + [is_last], session, order, value, next_name, levels, level + 1)
+    last = up.filter(F.col(is_last)).select(*cols, next_name)
     return inner.unionByName(last)
 
 
-def action_minute(action_time: str = "action_time") -> Column:
-    """Chunk key for ``session_transitions``: the ``yyyy-MM-dd HH:mm`` of the action."""
-    return F.substring(F.col(action_time), 1, 16)
-
-
 def page_view_counts(actions: DataFrame, pages: list[str], page: str = "page_id") -> DataFrame:
     """A4: visits per listed page (page compared as text), -> (page, n)."""
     p = F.col(page).cast("string")

@@ -16,7 +16,7 @@ from mallscope.operators.actions import (category_events, category_pivot,
 from mallscope.operators.joins import broadcast_if_small
 from mallscope.operators.ranking import top_ranked
 from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts,
-                                           page_view_counts, session_transitions, action_minute)
+                                           page_view_counts, session_chunks, session_transitions)
 from mallscope.operators.shares import OTHER_LABEL, top_share_text
 
 DEFAULT_TASK_ID = "mallscope-task"
@@ -63,7 +63,7 @@ def page_jump_ratio(actions: DataFrame, flow: str, task_id: str = DEFAULT_TASK_I
     """
     pairs = page_flow_pairs(flow)
     from_pages = sorted({a for a, _ in pairs})
-    t = session_transitions(actions, chunk=action_minute() if split_hot else None)
+    t = session_transitions(actions, chunk=session_chunks() if split_hot else None)
     jumps = page_jump_counts(t, pairs)
     views = page_view_counts(actions, from_pages)
     return with_task_id(jump_ratio(jumps, views), task_id)

@@ -2,7 +2,7 @@ import random
 
 from mallscope.operators.sequences import (action_minute, flow_pairs_column, jump_ratio,
                                            page_flow_pairs, page_jump_counts, page_view_counts,
-                                           session_transitions)
+                                           session_chunks, session_transitions)
 
 SCHEMA = "session_id string, action_time string, event_id long, page_id long"
 
@@ -52,13 +52,19 @@ def test_chunked_hot_session_equals_plain_and_brute_force(spark):
             sec = rnd.randint(0, 2)
             rows.append((s, f"2024-01-01 00:{minute:02d}:{sec:02d}", eid, rnd.randint(1, 7)))
             eid += 1
+    for _ in range(60):                        # a burst: many actions in one second
+        rows.append(("hot", "2024-01-01 00:07:01", eid, rnd.randint(1, 7)))
+        eid += 1
     rnd.shuffle(rows)
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
     assert as_map(session_transitions(df)) == want
     assert as_map(session_transitions(df, chunk=action_minute(), hot_rows=None)) == want
-    # only the 400-row session takes the chunked path
+    # only the hot session takes the chunked path
     assert as_map(session_transitions(df, chunk=action_minute(), hot_rows=50)) == want
+    # three levels; bursts split into chunks of at most 7 actions
+    assert as_map(session_transitions(df, chunk=session_chunks(burst_rows=7), hot_rows=50)) == want
+    assert as_map(session_transitions(df, chunk=session_chunks(burst_rows=7), hot_rows=None)) == want
 
 
 def test_jumps_and_ratio(spark):
