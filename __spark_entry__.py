@@ -150,6 +150,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_ad_minute_counts"] = lambda s, d: trailing_minutes(_stream(s, d)["minutes"], SPAN)
     q["stream_ad_minute_json"] = lambda s, d: _stream(s, d)["r8"]
     q["checkpoint_restart"] = lambda s, d: _stream(s, d, restart_after=1)["kept"]
+    q["stream_offset_ranges"] = _stream_offsets
     # sinks: write, read back
     q["upsert_kv"] = _sink_upsert
     q["replace_kv"] = _sink_replace
@@ -163,6 +164,31 @@ def _stream(spark, d, restart_after=None):
     return dashboard.read_results(spark, root)
 
 
+def _stream_offsets(spark, d):
+    # Kafka-shaped rows arrive in three offset slices; each micro-batch's
+    # ranges are recorded by foreachBatch, then folded per partition
+    from mallscope.sources.streams import KAFKA_ROW_SCHEMA, read_offsets, record_offsets
+    from mallscope.streaming.queries import start_query
+    root = _scratch(spark, "offsets")
+    rows = fx.kafka_rows(spark, d)
+    bounds = rows.approxQuantile("offset", [1 / 3, 2 / 3], 0.001)
+    edges = [None, *bounds, None]
+    for i in range(3):
+        part = rows
+        if edges[i] is not None:
+            part = part.filter(F.col("offset") >= int(edges[i]))
+        if edges[i + 1] is not None:
+            part = part.filter(F.col("offset") < int(edges[i + 1]))
+        part.write.mode("append").parquet(root + "/src")
+        src = spark.readStream.schema(KAFKA_ROW_SCHEMA).parquet(root + "/src")
+        qy = start_query(src, root + "/ck", on_batch=record_offsets(root + "/ranges"),
+                         trigger={"availableNow": True})
+        qy.awaitTermination()
+    return (read_offsets(spark, root + "/ranges").groupBy("topic", "partition")
+            .agg(F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"),
+                 F.sum("n").alias("n")))
+
+
 def _scratch(spark, name):
     return os.path.join(checkpoint_root(spark), f"{name}-{uuid.uuid4().hex[:12]}")
 

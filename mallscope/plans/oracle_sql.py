@@ -222,4 +222,5 @@ def oracle_sql() -> dict[str, str]:
     q["stream_ad_minute_counts"] = q["ad_minute_counts"]
     q["stream_ad_minute_json"] = q["ad_minute_json"]
     q["upsert_kv"] = q["kv_key"]
+    q["stream_offset_ranges"] = q["offset_ranges"]
     return q

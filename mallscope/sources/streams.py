@@ -74,3 +74,26 @@ def offset_ranges(rows: DataFrame) -> DataFrame:
         F.min("offset").alias("from_offset"),
         (F.max("offset") + 1).alias("until_offset"),
         F.count(F.lit(1)).alias("n"))
+
+
+def record_offsets(root: str):
+    """S7 on a stream: a ``foreachBatch`` function that stores each batch's
+    offset ranges (topic, partition, from, until) as version ``batch_id``
+    of a store under ``root``; replaying a batch rewrites the same version.
+    """
+    from mallscope.sinks.kv import replace_kv
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        replace_kv(offset_ranges(batch), root, batch_id, retain=0)
+    return on_batch
+
+
+def read_offsets(spark: SparkSession, root: str) -> DataFrame:
+    """All recorded batches' offset ranges (``batch_id`` from the folder names)."""
+    return spark.read.parquet(root)
+
+
+KAFKA_ROW_SCHEMA = T.StructType([T.StructField("topic", T.StringType()),
+                                 T.StructField("partition", T.IntegerType()),
+                                 T.StructField("offset", T.LongType()),
+                                 T.StructField("value", T.StringType())])
