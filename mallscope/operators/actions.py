@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import split_ids
-from mallscope.operators.joins import broadcast_if_small
+from mallscope.operators.joins import (DEFAULT_BROADCAST_BYTES, broadcast_if_small,
+                                       input_bytes_at_most)
 
 KINDS = ("click", "order", "pay")
 
@@ -19,29 +20,40 @@ def _bound(value):
     return value or None
 
 
-def filter_actions(actions: DataFrame, users: DataFrame, cond: dict) -> DataFrame:
-    """P1 + J1: actions of users inside the optional inclusive bounds.
-
-    Bounds: ``startDate``/``endDate`` compare the ``date`` text, ``startAge``/
-    ``endAge`` the user's age. Each is applied only when given; an empty
-    value counts as absent. Only action columns are returned (``ac.*``).
-    The age bounds are applied to the user dimension *before* the join, so
-    the join's build side is as small as possible.
-    """
+def date_filter(actions: DataFrame, cond: dict) -> DataFrame:
+    """The ``startDate`` / ``endDate`` part of P1 (inclusive text bounds)."""
     a = actions
     lo_d, hi_d = _bound(cond.get("startDate")), _bound(cond.get("endDate"))
     if lo_d is not None:
         a = a.filter(F.col("date") >= F.lit(lo_d))
     if hi_d is not None:
         a = a.filter(F.col("date") <= F.lit(hi_d))
+    return a
+
+
+def users_in_age(users: DataFrame, cond: dict) -> DataFrame:
+    """The ``startAge`` / ``endAge`` part of P1, applied to the user dimension."""
     u = users.select("user_id", "age")
     lo_a, hi_a = _bound(cond.get("startAge")), _bound(cond.get("endAge"))
     if lo_a is not None:
         u = u.filter(F.col("age") >= F.lit(int(lo_a)))
     if hi_a is not None:
         u = u.filter(F.col("age") <= F.lit(int(hi_a)))
-    u = broadcast_if_small(u.select("user_id"))
-    return a.join(u, "user_id").select(*actions.columns)
+    return u.select("user_id")
+
+
+def filter_actions(actions: DataFrame, users: DataFrame, cond: dict,
+                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """P1 + J1: actions of users inside the optional inclusive bounds.
+
+    Bounds: ``startDate``/``endDate`` compare the ``date`` text, ``startAge``/
+    ``endAge`` the user's age. Each is applied only when given; an empty
+    value counts as absent. Only action columns are returned (``ac.*``).
+    The age bounds are applied to the user dimension *before* the join, so
+    the join's build side is as small as possible.
+    """
+    u = broadcast_if_small(users_in_age(users, cond), max_broadcast_bytes)
+    return date_filter(actions, cond).join(u, "user_id").select(*actions.columns)
 
 
 def classify_action(actions: DataFrame) -> DataFrame:
@@ -67,10 +79,11 @@ def explode_ids(df: DataFrame, column: str, alias: str = "id") -> DataFrame:
     return df.withColumn(alias, F.explode(split_ids(column)))
 
 
-def category_events(actions: DataFrame) -> DataFrame:
-    """P5 + P11: one (category_id, kind) row per counted list entry."""
-    c = classify_action(actions.select("click_category_id", "order_category_ids", "pay_category_ids"))
-    return c.select(F.explode("category_ids").alias("category_id"), "kind")
+def category_events(actions: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """P5 + P11: one (category_id, kind) row per counted list entry (+ ``keep`` columns)."""
+    c = classify_action(actions.select(*keep, "click_category_id", "order_category_ids",
+                                       "pay_category_ids"))
+    return c.select(*keep, F.explode("category_ids").alias("category_id"), "kind")
 
 
 def category_action_counts(actions: DataFrame) -> DataFrame:
@@ -78,15 +91,37 @@ def category_action_counts(actions: DataFrame) -> DataFrame:
     return category_events(actions).groupBy("category_id", "kind").agg(F.count(F.lit(1)).alias("n"))
 
 
-def category_pivot(events: DataFrame) -> DataFrame:
+def category_pivot(events: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """A2: (category_id, kind) rows -> one row per category, missing kinds = 0.
 
-    One aggregation with conditional counts (no pivot pre-pass job).
+    One aggregation with conditional counts (no pivot pre-pass job);
+    ``by`` adds grouping columns (e.g. ``user_id`` for a pre-aggregation).
     """
-    return events.groupBy("category_id").agg(
+    return events.groupBy(*by, "category_id").agg(
         *[F.count_if(F.col("kind") == k).alias(f"{k}_count") for k in KINDS])
 
 
+def category_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict,
+                              max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """P1 + A1 + A2: category counts of the filtered actions, planned by the user-side size.
+
+    Small user side: broadcast semi-filter of the actions, then one
+    aggregate on the category. Large user side: the actions are first
+    reduced to counts per (user, category) by a partial aggregate, and only
+    those join the users - the join shuffles user-category pairs instead of
+    every action. Counts add up, so both give the same numbers (a user row
+    that appears twice counts its actions twice, as a plain join does).
+    """
+    u = users_in_age(users, cond)
+    acts = date_filter(actions, cond)
+    if input_bytes_at_most(u, max_broadcast_bytes):
+        f = acts.join(F.broadcast(u), "user_id")
+        return category_pivot(category_events(f))
+    per_user = category_pivot(category_events(acts, keep=("user_id",)), by=("user_id",))
+    return (per_user.join(u, "user_id").groupBy("category_id")
+                    .agg(*[F.sum(f"{k}_count").cast("bigint").alias(f"{k}_count") for k in KINDS]))
+
+
 def hot_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` by pay, then order, then click count; ties by id text.
 

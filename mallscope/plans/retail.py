@@ -10,9 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import with_task_id
-from mallscope.operators.actions import (category_events, category_pivot,
-                                         category_session_counts, filter_actions,
-                                         hot_categories)
+from mallscope.operators.actions import (category_counts_for_users, category_session_counts,
+                                         filter_actions, hot_categories)
 from mallscope.operators.joins import broadcast_if_small
 from mallscope.operators.ranking import top_ranked
 from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts,
@@ -26,12 +25,12 @@ def hot_category_top10(actions: DataFrame, users: DataFrame, cond: dict, n: int
                        task_id: str = DEFAULT_TASK_ID) -> DataFrame:
     """Top categories by pay, order, click counts among filtered actions.
 
-    Plan: scan (pruned, date bounds pushed) -> semi-filter by users in the
-    age range -> explode category lists -> one partial+final aggregate on the
-    category id -> TakeOrderedAndProject(n).
+    Plan: scan (pruned, date bounds pushed) -> users in the age range
+    (broadcast when small; otherwise the fact is pre-aggregated per
+    (user, category) before the join) -> explode category lists -> one
+    partial+final aggregate on the category id -> TakeOrderedAndProject(n).
     """
-    f = filter_actions(actions, users, cond)
-    top = hot_categories(category_pivot(category_events(f)), n)
+    top = hot_categories(category_counts_for_users(actions, users, cond), n)
     return with_task_id(top.select("category_id", "click_count", "order_count", "pay_count"), task_id)
 
 
@@ -45,9 +44,9 @@ def hot_category_top_sessions(actions: DataFrame, users: DataFrame, cond: dict,
     and a partial WindowGroupLimit, so a huge category ships only its top
     rows out of each map task.
     """
-    f = filter_actions(actions, users, cond)
-    top = hot_categories(category_pivot(category_events(f)), n_categories).select("category_id")
-    counts = category_session_counts(f, top)
+    top = hot_categories(category_counts_for_users(actions, users, cond), n_categories) \
+        .select("category_id")
+    counts = category_session_counts(filter_actions(actions, users, cond), top)
     ranked = top_ranked(counts, ["category_id"], [F.desc("click_count"), F.asc("session_id")],
                         n_sessions, ties="row_number", rank_col=None)
     return with_task_id(ranked.select("category_id", "session_id", "click_count"), task_id)

@@ -45,3 +45,17 @@ def test_condition_bounds_inclusive_optional_and_empty(spark):
     assert ids({**full, "startDate": ""}) == [1, 2]          # user 3 is 51, outside the ages
     assert ids({**full, "startDate": None, "endAge": "  "}) == [1, 2, 4]
     assert ids({}) == [1, 2, 3, 4]
+
+
+def test_category_counts_same_with_and_without_broadcast(spark):
+    from mallscope.operators.actions import category_counts_for_users
+    from mallscope.sources import fixtures as fx
+    d = "/root/testdata/sf0.01"
+    acts, users = fx.actions(spark, d), fx.users(spark, d)
+    small = category_counts_for_users(acts, users, fx.CONDITIONS)
+    big = category_counts_for_users(acts, users, fx.CONDITIONS, max_broadcast_bytes=0)
+    import re
+    plan = big._jdf.queryExecution().optimizedPlan().toString()
+    assert re.search(r"Aggregate \[user_id#\d+L?, category_id", plan)     # pre-aggregated per user
+    cols = ["category_id", "click_count", "order_count", "pay_count"]
+    assert sorted(map(tuple, small.select(*cols).collect())) == sorted(map(tuple, big.select(*cols).collect()))
