@@ -141,3 +141,27 @@ def category_session_counts(actions: DataFrame, categories: DataFrame | None = N
         k = F.broadcast(categories.select(F.col("category_id").alias("__k")))
         a = a.join(k, a["category_id"] == k["__k"], "left_semi")
     return a.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
+
+
+def session_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict,
+                             categories: DataFrame,
+                             max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    """A3 + J4 over P1-filtered actions, planned by the user-side size.
+
+    Clicks are first kept only in ``categories`` (a bounded top-n,
+    broadcast). Small user side: broadcast join, then the count per
+    (category, session). Large user side: counts per (user, category,
+    session) by a partial aggregate first, and only those join the users.
+    """
+    u = users_in_age(users, cond)
+    acts = date_filter(actions, cond)
+    if input_bytes_at_most(u, max_broadcast_bytes):
+        return category_session_counts(acts.join(F.broadcast(u), "user_id"), categories)
+    a = acts.filter(F.col("click_category_id") != -1).select(
+        "user_id", F.col("click_category_id").cast("string").alias("category_id"), "session_id")
+    k = F.broadcast(categories.select(F.col("category_id").alias("__k")))
+    per_user = (a.join(k, a["category_id"] == k["__k"], "left_semi")
+                 .groupBy("user_id", "category_id", "session_id")
+                 .agg(F.count(F.lit(1)).alias("click_count")))
+    return (per_user.join(u, "user_id").groupBy("category_id", "session_id")
+                    .agg(F.sum("click_count").cast("bigint").alias("click_count")))

@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import with_task_id
-from mallscope.operators.actions import (category_counts_for_users, category_session_counts,
-                                         filter_actions, hot_categories)
+from mallscope.operators.actions import (category_counts_for_users, hot_categories,
+                                         session_counts_for_users)
 from mallscope.operators.joins import broadcast_if_small
 from mallscope.operators.ranking import top_ranked
 from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts,
@@ -46,7 +46,7 @@ def hot_category_top_sessions(actions: DataFrame, users: DataFrame, cond: dict,
     """
     top = hot_categories(category_counts_for_users(actions, users, cond), n_categories) \
         .select("category_id")
-    counts = category_session_counts(filter_actions(actions, users, cond), top)
+    counts = session_counts_for_users(actions, users, cond, top)
     ranked = top_ranked(counts, ["category_id"], [F.desc("click_count"), F.asc("session_id")],
                         n_sessions, ties="row_number", rank_col=None)
     return with_task_id(ranked.select("category_id", "session_id", "click_count"), task_id)
