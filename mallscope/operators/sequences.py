@@ -59,7 +59,8 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     With ``hot_rows`` only sessions holding more than ``hot_rows`` rows take
     the chunked path: a partial-aggregate count per session finds them, the
     (written, size-checked) list is broadcast into a semi / anti join, and
-    every other session keeps the one-shuffle plain window.
+    every other session keeps the one-shuffle plain window; with no hot
+    session the plan is just the plain window.
     """
     cols = [session, *order, value]
     if chunk is None:
@@ -71,6 +72,8 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     from mallscope.operators.joins import materialize_small
     hot = materialize_small(actions.groupBy(session).count()
                                    .filter(F.col("count") > hot_rows).select(session))
+    if hot.isEmpty():                           # reads the small written list
+        return _plain(actions.select(*cols), session, order, value, next_name)
     normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
                     session, order, value, next_name)
     split = actions.join(hot, session, "left_semi").select(

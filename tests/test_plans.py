@@ -46,5 +46,9 @@ def test_r5_broadcasts_the_written_block_table(spark):
 
 
 def test_r3_normal_sessions_skip_the_chunked_path(spark):
-    p = plan_of(spark, "page_jump_ratio")
+    # registered with a low hot-session bound: both paths are planned
+    p = plan_of(spark, "session_transitions")
     assert "LeftAnti" in p and "LeftSemi" in p
+    # default bound, no hot session at this size: only the plain window
+    p = plan_of(spark, "page_jump_ratio")
+    assert "LeftAnti" not in p
