@@ -1,5 +1,6 @@
 from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
-from mallscope.sinks.tables import jdbc_options, replace_table, write_jdbc
+from mallscope.sinks.tables import (jdbc_options, kafka_records, publish_ad_log, replace_table,
+                                    write_jdbc)
 
 __all__ = ["upsert_kv", "read_kv", "replace_kv", "read_replaced",
-           "write_jdbc", "jdbc_options", "replace_table"]
+           "write_jdbc", "jdbc_options", "replace_table", "kafka_records", "publish_ad_log"]

@@ -1,4 +1,4 @@
-"""K1 K2 K3: JDBC append and catalog table replace."""
+"""JDBC append, catalog table replace, publishing ad lines to Kafka."""
 
 from __future__ import annotations
 
@@ -42,3 +42,23 @@ def replace_table(df: DataFrame, name: str, path: str | None = None,
     if path:
         w = w.option("path", path)
     w.saveAsTable(name)
+
+
+def kafka_records(ads: DataFrame, key: str | None = "userid") -> DataFrame:
+    """Typed clicks -> Kafka records (``key``, ``value`` = the text line)."""
+    from mallscope.functions.adlog import render_ad_log
+    lines = render_ad_log(ads, keep=[key] if key else [])
+    cols = [lines["line"].alias("value")]
+    if key:
+        cols.insert(0, lines[key].cast("string").alias("key"))
+    return lines.select(*cols)
+
+
+def publish_ad_log(ads: DataFrame, bootstrap_servers: str, topic: str,
+                   key: str | None = "userid") -> None:
+    """Send the clicks as text lines to a Kafka topic (from the executors).
+
+    Needs the ``spark-sql-kafka`` package on the cluster's classpath.
+    """
+    (kafka_records(ads, key).write.format("kafka")
+        .option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic).save())

@@ -136,3 +136,11 @@ def test_run_reports_writes_every_batch_result(spark):
             "r3": "page_jump_ratio", "r4": "area_product_top3"}
     for key, table in tables.items():
         assert same(spark.table(prefix + table), q[want[key]](spark, d)), key
+
+
+def test_kafka_records_shape(spark):
+    from mallscope.sinks.tables import kafka_records
+    ads = spark.createDataFrame([(1704067207179, "EUROPE", "FRANCE", "7", "3", 1)],
+                                "timestamp long, area string, city string, userid string, adid string, event_id long")
+    r = kafka_records(ads).collect()[0]
+    assert (r.key, r.value) == ("7", "1704067207179 EUROPE FRANCE 7 3")
