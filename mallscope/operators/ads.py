@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute,
                                          minute_to_hhmm, pairs_to_json)
-from mallscope.operators.joins import broadcast_if_small, materialize_small
+from mallscope.operators.joins import broadcast_if_small, materialize, materialize_small
 from mallscope.operators.ranking import top_ranked
 
 # Fixed value: clicks of one user on one ad in one day that put the user on
@@ -131,17 +131,20 @@ def ad_minute_counts(ads: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
     """Clicks per (adid, minute) for the trailing ``span_minutes``.
 
     ``as_of_minute`` (minutes since the epoch) defaults to the newest minute
-    in the data, computed as a scalar subquery (no join, no collect). Whole
-    minute buckets with ``minute > as_of - span`` are kept. Spans of a day or
-    more are rejected because ``HH:mm`` labels would collide.
+    in the data. Clicks are counted per (adid, minute) first (partial +
+    final aggregate, at most ads x minutes rows) and, when the newest minute
+    must be found, that aggregate is written once: the scalar subquery and
+    the span filter read the small table, so the clicks are read once.
+    Whole minute buckets with ``minute > as_of - span`` are kept. Spans of a
+    day or more are rejected because ``HH:mm`` labels would collide.
     """
     if not 0 < span_minutes < 24 * 60:
         raise ValueError("span_minutes must be in 1..1439 (HH:mm labels repeat daily)")
-    m = ads.select("adid", epoch_ms_to_minute("timestamp").alias("minute"))
-    as_of = F.lit(as_of_minute) if as_of_minute is not None else m.select(F.max("minute")).scalar()
-    return (m.filter(F.col("minute") > as_of - F.lit(span_minutes))
-             .groupBy("adid", "minute").agg(F.count(F.lit(1)).alias("n"))
-             .withColumn("hhmm", minute_to_hhmm("minute")))
+    counts = (ads.select("adid", epoch_ms_to_minute("timestamp").alias("minute"))
+                 .groupBy("adid", "minute").agg(F.count(F.lit(1)).alias("n")))
+    if as_of_minute is None:
+        counts = materialize(counts)
+    return trailing_minutes(counts, span_minutes, as_of_minute)
 
 
 def trailing_minutes(minute_counts: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
