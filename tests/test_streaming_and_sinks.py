@@ -144,3 +144,20 @@ def test_kafka_records_shape(spark):
                                 "timestamp long, area string, city string, userid string, adid string, event_id long")
     r = kafka_records(ads).collect()[0]
     assert (r.key, r.value) == ("7", "1704067207179 EUROPE FRANCE 7 3")
+
+
+def test_run_ad_dashboard_on_a_line_stream(spark):
+    from mallscope.sources.streams import read_ad_stream
+    ads = fx.ads(spark, SF_SMALL)
+    root = os.path.join(checkpoint_root(spark), "live-" + uuid.uuid4().hex[:8])
+    fx.ad_lines(spark, SF_SMALL).write.parquet(root + "/in")
+    lines = read_ad_stream(spark, "parquet", path=root + "/in")
+    qs = D.run_ad_dashboard(spark, root, lines, threshold=2, span_minutes=600,
+                            trigger={"availableNow": True}, partitions=4)
+    for q in qs:
+        q.awaitTermination(300)
+    res = D.read_results(spark, root)
+    kept = A.blacklist_filter(ads, 2)
+    assert same(res["kept"], kept)
+    assert same(res["r6"], A.date_area_city_ad_count(kept))
+    assert same(res["r8"], A.ad_minute_json(A.ad_minute_counts(kept, 600)))
