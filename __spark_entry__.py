@@ -9,9 +9,15 @@ matching DuckDB SQL (same column names) for the correctness check.
 from __future__ import annotations
 
 import os
+import sys
 import uuid
 from collections.abc import Callable
 
+# importable however this file is loaded (by path or as a module)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
