@@ -1,0 +1,4 @@
+"""Structured Streaming: query start, per-user blacklist state, the ad dashboard."""
+
+from mallscope.streaming.blacklist import blacklist_filter_stream
+from mallscope.streaming.queries import DEFAULT_TRIGGER, start_query
