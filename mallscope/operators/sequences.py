@@ -56,11 +56,12 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     window over its boundary rows. Chunk keys are pure functions of the row,
     so any re-execution gives the same answer.
 
-    With ``hot_rows`` only sessions holding more than ``hot_rows`` rows take
-    the chunked path: a partial-aggregate count per session finds them, the
-    (written, size-checked) list is broadcast into a semi / anti join, and
-    every other session keeps the one-shuffle plain window; with no hot
-    session the plan is just the plain window.
+    With ``hot_rows`` only sessions holding more than about ``hot_rows`` rows
+    take the chunked path: ``hot_keys`` finds them on a sample, the (written,
+    size-checked) list is broadcast into a semi / anti join, and every other
+    session keeps the one-shuffle plain window; with no hot session the plan
+    is just the plain window. Both paths give exact answers, so the sample
+    only decides which plan a session takes.
     """
     cols = [session, *order, value]
     if chunk is None:
@@ -70,8 +71,7 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
         return _chunked(actions.select(*cols, *[c.alias(f"__c{i}") for i, c in enumerate(chunks)]),
                         cols, session, order, value, next_name, len(chunks))
     from mallscope.operators.joins import materialize_small
-    hot = materialize_small(actions.groupBy(session).count()
-                                   .filter(F.col("count") > hot_rows).select(session))
+    hot = materialize_small(hot_keys(actions, session, hot_rows))
     if hot.isEmpty():                           # reads the small written list
         return _plain(actions.select(*cols), session, order, value, next_name)
     normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
@@ -81,6 +81,26 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     return normal.unionByName(_chunked(split, cols, session, order, value, next_name, len(chunks)))
 
 
+# Expected sampled rows of a session with exactly ``hot_rows`` rows.
+HOT_SAMPLE_ROWS = 10_000
+
+
+def hot_keys(rows: DataFrame, key: str, hot_rows: int, seed: int = 17) -> DataFrame:
+    """Keys with more than about ``hot_rows`` rows, found on a fixed-seed sample.
+
+    The sample fraction gives a key with ``hot_rows`` rows some
+    ``HOT_SAMPLE_ROWS`` expected sampled rows; keys with at least half that
+    are returned (a key with ``hot_rows`` rows is missed with negligible
+    probability, smaller keys may be flagged too). When the fraction would
+    be 1 the count is exact. Only the sample is shuffled.
+    """
+    fraction = min(1.0, HOT_SAMPLE_ROWS / max(hot_rows, 1))
+    if fraction >= 1.0:
+        return rows.groupBy(key).count().filter(F.col("count") > hot_rows).select(key)
+    counts = rows.select(key).sample(fraction=fraction, seed=seed).groupBy(key).count()
+    return counts.filter(F.col("count") >= HOT_SAMPLE_ROWS / 2).select(key)
+
+
 def session_chunks(action_time: str = "action_time", event_id: str = "event_id",
                    burst_rows: int = 100_000) -> list[Column]:
     """Chunk keys for ``session_transitions`` over (action_time, event_id) order.

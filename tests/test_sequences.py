@@ -76,3 +76,19 @@ def test_jumps_and_ratio(spark):
     views = page_view_counts(df, ["1", "2"])
     got = {r.jump: r.ratio for r in jump_ratio(jumps, views).collect()}
     assert got == {"1-2": 1 / 2, "2-3": 1 / 2}
+
+
+def test_hot_keys_sampled_and_exact(spark):
+    from pyspark.sql import functions as F
+
+    from mallscope.operators import sequences as S
+    rows = spark.range(300_000).select(
+        F.when(F.col("id") < 200_000, F.lit("hot")).otherwise((F.col("id") % 5000).cast("string"))
+        .alias("s"))
+    old = S.HOT_SAMPLE_ROWS
+    try:
+        S.HOT_SAMPLE_ROWS = 2_000          # fraction 0.02 for hot_rows=100_000
+        assert [r.s for r in S.hot_keys(rows, "s", 100_000).collect()] == ["hot"]
+    finally:
+        S.HOT_SAMPLE_ROWS = old
+    assert sorted(r.s for r in S.hot_keys(rows, "s", 1_000).collect()) == ["hot"]   # exact count
