@@ -104,8 +104,9 @@ def actions(spark: SparkSession, sf_dir: str, date_from: str | None = None,
     if hi is not None:
         e = e.filter(F.col("ts") < F.lit(hi.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz"))
     k = F.get_json_object("props", "$.k").cast("bigint")
-    d = F.date_format("ts", "yyyy-MM-dd")
-    e = e.select("event_id", "ts", "user_id", "event_type", k.alias("k"), d.alias("d"))
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    e = e.select("event_id", "user_id", "event_type", k.alias("k"), at.alias("at"))
+    e = e.withColumn("d", F.substring("at", 1, 10))     # the day is a prefix of the time text
     et, k, eid = F.col("event_type"), F.col("k"), F.col("event_id")
     is_click = et.isin("click", "view")
     s = lambda c: c.cast("string")
@@ -114,7 +115,7 @@ def actions(spark: SparkSession, sf_dir: str, date_from: str | None = None,
         F.col("user_id"),
         F.concat(s(F.col("user_id")), F.lit("_"), F.col("d")).alias("session_id"),
         (k % 10 + 1).alias("page_id"),
-        F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("action_time"),
+        F.col("at").alias("action_time"),
         F.when(et == "error", F.concat(F.lit("kw"), s(k % 6))).alias("search_keyword"),
         F.when(is_click, k % 20 + 1).otherwise(F.lit(-1)).cast("bigint").alias("click_category_id"),
         F.when(is_click, eid % 40).otherwise(F.lit(-1)).cast("bigint").alias("click_product_id"),
