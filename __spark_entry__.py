@@ -106,6 +106,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["category_session_counts"] = lambda s, d: act.category_session_counts(_filtered(s, d))
     q["hot_category_top_sessions"] = lambda s, d: retail.hot_category_top_sessions(
         fx.actions(s, d, COND["startDate"], COND["endDate"]), fx.users(s, d), COND, task_id=TASK)
+    # the behaviour log as a date-partitioned table: P1's date bounds prune folders
+    q["hot_category_top10_partitioned"] = lambda s, d: retail.hot_category_top10(
+        _partitioned_actions(s, d), fx.users(s, d), COND, task_id=TASK)
     q["keep_in"] = lambda s, d: keep_in(fx.actions(s, d), "page_id", [1, 2, 3]).select("event_id", "page_id")
     # R3
     # a low hot-session bound so the driver tables exercise both the plain and
@@ -219,6 +222,12 @@ def _sink_replace(spark, d):
     return read_replaced(spark, root)
 
 
+def _partitioned_actions(spark, d):
+    name = "mallscope_uva_" + uuid.uuid4().hex[:8]
+    replace_table(fx.actions(spark, d), name, path=_scratch(spark, "uva"), partition_by=["date"])
+    return spark.table(name)
+
+
 def _sink_table(spark, d):
     name = "mallscope_r6_" + uuid.uuid4().hex[:8]
     replace_table(_r6(spark, d), name, path=_scratch(spark, "table"), partition_by=["date"])

@@ -213,6 +213,7 @@ def oracle_sql() -> dict[str, str]:
     q["ad_minute_json"] = with_views(
         """select adid, concat('[', string_agg(concat('{"', hhmm, '":', n, '}'), ',' order by "minute"), ']') minutes_json
            from mc group by adid""", _blk() + [("mc", MINUTES)])
+    q["hot_category_top10_partitioned"] = q["hot_category_top10"]
     q["stream_blacklist_filter"] = q["blacklist_filter"]
     q["checkpoint_restart"] = q["blacklist_filter"]
     q["stream_date_area_city_ad_count"] = q["date_area_city_ad_count"]

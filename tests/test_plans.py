@@ -52,3 +52,8 @@ def test_r3_normal_sessions_skip_the_chunked_path(spark):
     # default bound, no hot session at this size: only the plain window
     p = plan_of(spark, "page_jump_ratio")
     assert "LeftAnti" not in p
+
+
+def test_r1_on_a_date_partitioned_log_prunes_folders(spark):
+    p = plan_of(spark, "hot_category_top10_partitioned")
+    assert re.search(r"PartitionFilters: \[[^\]]*date[^\]]*2024-01-05", p)
