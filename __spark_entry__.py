@@ -18,32 +18,31 @@ _HERE = os.path.dirname(os.path.abspath(__file__))
 if _HERE not in sys.path:
     sys.path.insert(0, _HERE)
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
-
-from mallscope.functions.adlog import parse_ad_log, render_ad_log
-from mallscope.functions.scalars import with_task_id
-from mallscope.operators import actions as act
-from mallscope.operators.ads import (ad_minute_counts, ad_minute_json, blacklist_filter,
+from pyspark.sql import DataFrame, SparkSession  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
+from pyspark.sql import types as T  # noqa: E402
+
+from mallscope.functions.adlog import parse_ad_log, render_ad_log  # noqa: E402
+from mallscope.functions.scalars import with_task_id  # noqa: E402
+from mallscope.operators import actions as act  # noqa: E402
+from mallscope.operators.ads import (ad_minute_counts, ad_minute_json, blacklist_filter,  # noqa: E402
                                      blacklist_points, date_area_ad_rollup,
                                      date_area_city_ad_count, top3_ads_by_area, top3_ads_json,
-                                     user_ad_daily_counts)
-from mallscope.operators.joins import click_star_join, drop_in, keep_in
-from mallscope.operators.ranking import top_ranked
-from mallscope.operators.sequences import (page_flow_pairs, page_jump_counts, page_view_counts,
-                                           session_chunks, session_transitions)
-from mallscope.plans import adclicks, retail
-from mallscope.plans.oracle_sql import SPAN, TASK
-from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql
-from mallscope.sources import fixtures as fx
-from mallscope.sources.streams import offset_ranges
-from mallscope.sources.tables import conform, load_table
-from mallscope.operators.ads import trailing_minutes
-from mallscope.session import checkpoint_root
-from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
-from mallscope.sinks.tables import replace_table
-from mallscope.streaming import dashboard
+                                     trailing_minutes, user_ad_daily_counts)
+from mallscope.operators.joins import click_star_join, drop_in, keep_in  # noqa: E402
+from mallscope.operators.ranking import top_ranked  # noqa: E402
+from mallscope.operators.sequences import (page_flow_pairs, page_jump_counts,  # noqa: E402
+                                           page_view_counts, session_chunks, session_transitions)
+from mallscope.plans import adclicks, retail  # noqa: E402
+from mallscope.plans.oracle_sql import SPAN, TASK  # noqa: E402
+from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
+from mallscope.session import checkpoint_root  # noqa: E402
+from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv  # noqa: E402
+from mallscope.sinks.tables import replace_table  # noqa: E402
+from mallscope.sources import fixtures as fx  # noqa: E402
+from mallscope.sources.streams import offset_ranges  # noqa: E402
+from mallscope.sources.tables import conform, load_table  # noqa: E402
+from mallscope.streaming import dashboard  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 COND = fx.CONDITIONS
