@@ -41,3 +41,30 @@ def test_top_ranked_plans_a_partial_group_limit(spark):
     plan = top_ranked(df, ["g"], [F.desc("n")], 2, ties="row_number")._jdf.queryExecution() \
         .executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def _expected_share_text(counts: dict, k: int = 2) -> str:
+    """The share rule, written directly: top k by count (ties by name), each
+    share rounded half-up to one decimal, the remainder rounded the same way."""
+    import math
+    total = sum(counts.values())
+    top = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0]))[:k]
+    rest = 100.0
+    parts = []
+    for item, n in top:
+        pct = math.floor(n * 1000.0 / total + 0.5) / 10.0
+        rest -= pct
+        parts.append(f"{item}:{pct}%")
+    parts.append(f"{OTHER_LABEL}:{math.floor(rest * 10 + 0.5) / 10.0}%")
+    return ",".join(parts)
+
+
+def test_share_text_matches_the_rule_on_random_groups(spark):
+    import random
+    rnd = random.Random(11)
+    rows, want = [], {}
+    for g in range(300):
+        items = {f"c{j:02d}": rnd.randint(1, 500) for j in rnd.sample(range(30), rnd.randint(1, 6))}
+        want[f"g{g}"] = (sum(items.values()), _expected_share_text(items))
+        rows += [(f"g{g}", i, n) for i, n in items.items()]
+    assert share(spark, rows) == want
