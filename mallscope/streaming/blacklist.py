@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from mallscope.functions.scalars import epoch_ms_to_date
+from mallscope.functions.scalars import epoch_ms_to_date, epoch_ms_to_timestamp
 from mallscope.operators.ads import DEFAULT_THRESHOLD
 
 CLICK_COLUMNS = ["timestamp", "area", "city", "userid", "adid", "event_id"]
@@ -30,8 +30,16 @@ OUTPUT_SCHEMA = ("timestamp long, area string, city string, userid string, adid
 STATE_SCHEMA = "blocked boolean, counts string"
 
 
-def _make_state_fn(threshold: int, keep_days: int | None):
+DAY_MS = 86_400_000
+
+
+def _make_state_fn(threshold: int, keep_days: int | None, expire: bool = False):
     def step(key, batches, state):
+        if expire and state.hasTimedOut:
+            # the watermark passed this quiet user's newest day + keep_days:
+            # their counters can no longer reach the threshold
+            state.remove()
+            return
         if state.exists:
             blocked, counts_text = state.get
             counts = json.loads(counts_text) if counts_text else {}
@@ -54,24 +62,37 @@ def _make_state_fn(threshold: int, keep_days: int | None):
         else:
             for key_, n in k.value_counts().items():
                 counts[key_] = int(counts.get(key_, 0)) + int(n)
-            if keep_days is not None and counts:
-                newest = max(c.split("|")[0] for c in counts)
+            newest = max(c.split("|")[0] for c in counts)
+            if keep_days is not None:
                 cutoff = (pd.Timestamp(newest) - pd.Timedelta(days=keep_days)).strftime("%Y-%m-%d")
                 counts = {c: n for c, n in counts.items() if c.split("|")[0] >= cutoff}
             state.update((False, json.dumps(counts)))
+            if expire:
+                day_end = int(pd.Timestamp(newest).value // 1_000_000) + DAY_MS
+                state.setTimeoutTimestamp(day_end + (keep_days or 0) * DAY_MS)
         yield pdf[CLICK_COLUMNS]
     return step
 
 
 def blacklist_filter_stream(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                            keep_days: int | None = None) -> DataFrame:
+                            keep_days: int | None = None,
+                            watermark: str | None = None) -> DataFrame:
     """Streaming C5: the clicks that pass the blacklist (append mode output).
 
     ``keep_days`` drops a user's counters of days older than their newest
-    day minus ``keep_days`` (bounded state; exact when clicks of a day stop
-    arriving after that); ``None`` keeps every counter.
+    day minus ``keep_days`` (exact when clicks of a day stop arriving after
+    that); ``None`` keeps every counter. With ``watermark`` as well, a user
+    who is not blocked and goes quiet is removed from the state once the
+    event-time watermark passes their newest day plus ``keep_days``
+    (an event-time timeout), so the state holds active users and the
+    blocked flags only.
     """
     c = clicks.select(*CLICK_COLUMNS).withColumn("date", epoch_ms_to_date("timestamp"))
+    expire = watermark is not None
+    if expire:
+        c = (c.withColumn("event_time", epoch_ms_to_timestamp("timestamp"))
+              .withWatermark("event_time", watermark))
+    timeout = GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout
     return c.groupBy("userid").applyInPandasWithState(
-        _make_state_fn(threshold, keep_days), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+        _make_state_fn(threshold, keep_days, expire), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+        timeout)

@@ -53,12 +53,15 @@ def paths(root: str) -> dict:
 
 def start_kept(spark: SparkSession, root: str, threshold: int = DEFAULT_THRESHOLD,
                trigger: dict | None = None, max_files_per_trigger: int | None = None,
-               lines: DataFrame | None = None):
+               lines: DataFrame | None = None, keep_days: int | None = None,
+               watermark: str | None = None):
     """Query 1: text lines -> kept clicks in ``root/kept``.
 
     ``lines`` is any streaming DataFrame with ``line`` and ``event_id``
     columns (e.g. ``read_ad_stream(spark, "kafka", ...)`` with the Kafka
     offset as ``event_id``); by default the Parquet files in ``root/src``.
+    ``keep_days`` / ``watermark`` bound the per-user state (see
+    ``blacklist_filter_stream``).
     """
     p = paths(root)
     if lines is None:
@@ -66,7 +69,8 @@ def start_kept(spark: SparkSession, root: str, threshold: int = DEFAULT_THRESHOL
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
         lines = r.parquet(p["src"])
-    kept = blacklist_filter_stream(parse_ad_log(lines, keep=["event_id"]), threshold)
+    kept = blacklist_filter_stream(parse_ad_log(lines, keep=["event_id"]), threshold,
+                                   keep_days=keep_days, watermark=watermark)
     return start_query(kept, p["ck_kept"], sink="parquet", path=p["kept"], trigger=trigger)
 
 
@@ -167,7 +171,8 @@ def state_partitions(spark: SparkSession, n: int | None):
 def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
                      threshold: int = DEFAULT_THRESHOLD,
                      span_minutes: int = DEFAULT_SPAN_MINUTES,
-                     trigger: dict | None = None, partitions: int | None = None) -> list:
+                     trigger: dict | None = None, partitions: int | None = None,
+                     keep_days: int | None = None, watermark: str | None = None) -> list:
     """Start the three dashboard queries on a live ``lines`` stream.
 
     Returns the query handles; each resumes from its checkpoint under
@@ -177,7 +182,8 @@ def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
     from mallscope.streaming.queries import DEFAULT_TRIGGER
     trig = trigger or DEFAULT_TRIGGER
     with state_partitions(spark, partitions):
-        kq = start_kept(spark, root, threshold, trigger=trig, lines=lines)
+        kq = start_kept(spark, root, threshold, trigger=trig, lines=lines,
+                        keep_days=keep_days, watermark=watermark)
         kq.processAllAvailable()
         return [kq, start_daily(spark, root, trigger=trig),
                 start_trend(spark, root, span_minutes, trigger=trig)]

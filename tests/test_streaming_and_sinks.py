@@ -161,3 +161,34 @@ def test_run_ad_dashboard_on_a_line_stream(spark):
     assert same(res["kept"], kept)
     assert same(res["r6"], A.date_area_city_ad_count(kept))
     assert same(res["r8"], A.ad_minute_json(A.ad_minute_counts(kept, 600)))
+
+
+def test_quiet_users_leave_the_blacklist_state(spark):
+    from mallscope.functions.adlog import parse_ad_log, render_ad_log
+    from mallscope.sources.streams import LINE_SCHEMA
+    from mallscope.streaming.blacklist import blacklist_filter_stream
+    from mallscope.streaming.queries import start_query
+    root = os.path.join(checkpoint_root(spark), "t-exp-" + uuid.uuid4().hex[:8])
+    schema = "timestamp long, area string, city string, userid string, adid string, event_id long"
+    h = 3_600_000
+    d0 = 1_704_067_200_000                       # 2024-01-01 00:00 UTC
+    slices = [[(d0 + 10 * h, "A", "c", "q", "1", 1), (d0 + 10 * h + 1, "A", "c", "q", "1", 2),
+               (d0 + 11 * h, "A", "c", "p", "1", 3)],
+              [(d0 + 26 * h, "A", "c", "p", "1", 4)],          # next day: watermark -> day 2, 01:00
+              [(d0 + 27 * h, "A", "c", "p", "2", 5)]]
+    state_rows, out = [], []
+    for i, rows in enumerate(slices):
+        render_ad_log(spark.createDataFrame(rows, schema), keep=["event_id"]) \
+            .write.mode("append").parquet(root + "/src")
+        lines = spark.readStream.schema(LINE_SCHEMA).parquet(root + "/src")
+        kept = blacklist_filter_stream(parse_ad_log(lines, keep=["event_id"]), threshold=3,
+                                       keep_days=0, watermark="1 hour")
+        q = start_query(kept, root + "/ck", sink="parquet", path=root + "/out",
+                        trigger={"availableNow": True})
+        q.awaitTermination(120)
+        state_rows.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    # after the next day's batch the watermark passes q's day: a no-data batch
+    # times q out; p stays
+    assert state_rows == [2, 1, 1], state_rows
+    got = sorted(r.event_id for r in spark.read.parquet(root + "/out").collect())
+    assert got == [1, 2, 3, 4, 5]
