@@ -27,11 +27,14 @@ DEFAULT_MAX_OFFSETS_PER_TRIGGER = 5_000_000
 
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
                   starting_offsets: dict | str | None = None,
-                  max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER) -> dict:
+                  max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
+                  min_partitions: int | None = None) -> dict:
     """The reader options for a Kafka topic.
 
     ``starting_offsets`` is ``"earliest"``, ``"latest"`` or a map
     ``{topic: {partition: offset}}`` (S6: start from given offsets).
+    ``min_partitions`` above the topic's partition count makes Spark split
+    the offset range of a large (hot) topic partition over several tasks.
     """
     opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic}
     if group_id:
@@ -42,6 +45,8 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
                                                     for t, parts in starting_offsets.items()}))
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 

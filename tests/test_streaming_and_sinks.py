@@ -192,3 +192,12 @@ def test_quiet_users_leave_the_blacklist_state(spark):
     assert state_rows == [2, 1, 1], state_rows
     got = sorted(r.event_id for r in spark.read.parquet(root + "/out").collect())
     assert got == [1, 2, 3, 4, 5]
+
+
+def test_kafka_options_mapping():
+    from mallscope.sources.streams import kafka_options
+    o = kafka_options("h:9092", "ads_log", starting_offsets={"ads_log": {0: 10, 1: 5}},
+                      min_partitions=64)
+    assert o["subscribe"] == "ads_log" and o["minPartitions"] == "64"
+    assert o["startingOffsets"] == '{"ads_log": {"0": 10, "1": 5}}'
+    assert o["maxOffsetsPerTrigger"] == "5000000"
