@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mallscope.session import scratch_path
+from mallscope.sources.files import file_size
 
 # Largest side we broadcast by hint, in bytes of the Parquet files it reads
 # (columnar, compressed). Above it the join is a shuffle join, which AQE may
@@ -16,12 +17,6 @@ from mallscope.session import scratch_path
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
-def _file_system(spark, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def input_bytes_at_most(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when the files ``df`` reads add up to at most ``max_bytes``.
 
@@ -36,8 +31,7 @@ def input_bytes_at_most(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
         return False
     total = 0
     for f in files:
-        p, fs = _file_system(df.sparkSession, f)
-        total += int(fs.getFileStatus(p).getLen())
+        total += file_size(df.sparkSession, f)
         if total > max_bytes:
             return False
     return True

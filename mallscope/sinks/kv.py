@@ -23,27 +23,16 @@ import re
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from mallscope.sources.files import delete, list_dirs
+
 VERSION_COL = "batch_id"
 _VERSION_DIR = re.compile(rf"^{VERSION_COL}=(\d+)$")
 
 
-def _fs(spark: SparkSession, root: str):
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(root)
-    return path, path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def versions(spark: SparkSession, root: str) -> list[int]:
     """Committed version numbers (folders holding a ``_SUCCESS`` marker), ascending."""
-    path, fs = _fs(spark, root)
-    if not fs.exists(path):
-        return []
-    out = []
-    for st in fs.listStatus(path):
-        m = _VERSION_DIR.match(st.getPath().getName())
-        if m and st.isDirectory() and fs.exists(st.getPath().suffix("/_SUCCESS")):
-            out.append(int(m.group(1)))
-    return sorted(out)
+    names = list_dirs(spark, root, marker="_SUCCESS")
+    return sorted(int(m.group(1)) for m in map(_VERSION_DIR.match, names) if m)
 
 
 def _version_path(root: str, batch_id: int) -> str:
@@ -52,9 +41,8 @@ def _version_path(root: str, batch_id: int) -> str:
 
 def _prune(spark: SparkSession, root: str, retain: int) -> None:
     vs = versions(spark, root)
-    path, fs = _fs(spark, root)
     for v in vs[:-retain] if retain > 0 else []:
-        fs.delete(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_version_path(root, v)), True)
+        delete(spark, _version_path(root, v))
 
 
 def read_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
