@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-FIELDS = ["timestamp", "area", "city", "userid", "adid"]
+from mallscope.constants import AD_LINE_FIELDS as FIELDS
 
 
 def render_ad_log(ads: DataFrame, keep: list[str] | None = None) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mallscope.constants import TOP_CATEGORIES
 from mallscope.functions.scalars import split_ids
 from mallscope.operators.joins import (DEFAULT_BROADCAST_BYTES, broadcast_if_small,
                                        input_bytes_at_most)
@@ -122,7 +123,7 @@ def category_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict,
                     .agg(*[F.sum(f"{k}_count").cast("bigint").alias(f"{k}_count") for k in KINDS]))
 
 
-def hot_categories(counts: DataFrame, n: int = 10) -> DataFrame:
+def hot_categories(counts: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
     """Top ``n`` by pay, then order, then click count; ties by id text.
 
     ``orderBy(...).limit(n)`` plans as TakeOrderedAndProject: a per-partition

@@ -10,16 +10,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mallscope.constants import BLACKLIST_THRESHOLD, TOP_ADS, TREND_SPAN_MINUTES
 from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute,
                                          minute_to_hhmm, pairs_to_json)
 from mallscope.operators.joins import broadcast_if_small, materialize, materialize_small
 from mallscope.operators.ranking import top_ranked
 
-# Fixed value: clicks of one user on one ad in one day that put the user on
-# the blacklist.
-DEFAULT_THRESHOLD = 50
-# Fixed value: the trailing span of the per-minute trend.
-DEFAULT_SPAN_MINUTES = 3
+DEFAULT_THRESHOLD = BLACKLIST_THRESHOLD
+DEFAULT_SPAN_MINUTES = TREND_SPAN_MINUTES
 ORDER_KEY = ("timestamp", "event_id")
 
 
@@ -110,7 +108,7 @@ def date_area_ad_rollup(counts: DataFrame) -> DataFrame:
     return counts.groupBy("date", "area", "adid").agg(F.sum("n").cast("bigint").alias("n"))
 
 
-def top3_ads_by_area(rollup: DataFrame, n: int = 3) -> DataFrame:
+def top3_ads_by_area(rollup: DataFrame, n: int = TOP_ADS) -> DataFrame:
     """Exactly ``n`` ads per (date, area), most clicks first, ties by adid."""
     return top_ranked(rollup, ["date", "area"], [F.desc("n"), F.asc("adid")], n,
                       ties="row_number", rank_col="rn")

@@ -16,18 +16,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from mallscope.constants import OTHER_LABEL, TOP_CITIES
 from mallscope.functions.scalars import double_text, half_up_tenth, percent_tenth
 
-# Fixed value: the label of the remainder entry in the share text.
-OTHER_LABEL = "其他"
-
 
 def item_counts(rows: DataFrame, group: list[str], item: str, n: str = "n") -> DataFrame:
     """Rows -> count per (group..., item); map-side partial aggregation."""
     return rows.groupBy(*group, item).agg(F.count(F.lit(1)).alias(n))
 
 
-def top_share_text(counts: DataFrame, group: list[str], item: str, n: str = "n", k: int = 2,
+def top_share_text(counts: DataFrame, group: list[str], item: str, n: str = "n",
+                   k: int = TOP_CITIES,
                    other: str = OTHER_LABEL, out: str = "share_text",
                    total: str = "total") -> DataFrame:
     """(group..., item, n) -> (group..., total, share_text).

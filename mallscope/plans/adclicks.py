@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mallscope.constants import TOP_ADS
 from mallscope.functions.scalars import kv_key
 from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad_minute_counts,
                                      ad_minute_json, blacklist_filter, blacklist_points,
@@ -32,7 +33,7 @@ def daily_city_counts(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> Dat
     return date_area_city_ad_count(kept_clicks(ads, threshold))
 
 
-def daily_top3_ads(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD, n: int = 3) -> DataFrame:
+def daily_top3_ads(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD, n: int = TOP_ADS) -> DataFrame:
     """Per (date, area) the top ``n`` ads as JSON."""
     return top3_ads_json(top3_ads_by_area(date_area_ad_rollup(daily_city_counts(ads, threshold)), n))
 

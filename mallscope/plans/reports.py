@@ -11,13 +11,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 
+from mallscope.constants import RESULT_TABLES as TABLES
 from mallscope.plans import retail
 from mallscope.sinks.tables import replace_table, write_jdbc
 
-# The result table names.
-TABLES = {"r1": "category_top10", "r2": "category_session_top10",
-          "r3": "jump_page_ratio", "r4": "area_count_info"}
-
 Writer = Callable[[DataFrame, str], None]
 
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mallscope.constants import TOP_CATEGORIES, TOP_CITIES, TOP_PRODUCTS, TOP_SESSIONS
 from mallscope.functions.scalars import with_task_id
 from mallscope.operators.actions import (category_counts_for_users, hot_categories,
                                          session_counts_for_users)
@@ -21,7 +22,7 @@ from mallscope.operators.shares import OTHER_LABEL, top_share_text
 DEFAULT_TASK_ID = "mallscope-task"
 
 
-def hot_category_top10(actions: DataFrame, users: DataFrame, cond: dict, n: int = 10,
+def hot_category_top10(actions: DataFrame, users: DataFrame, cond: dict, n: int = TOP_CATEGORIES,
                        task_id: str = DEFAULT_TASK_ID) -> DataFrame:
     """Top categories by pay, order, click counts among filtered actions.
 
@@ -35,7 +36,8 @@ def hot_category_top10(actions: DataFrame, users: DataFrame, cond: dict, n: int
 
 
 def hot_category_top_sessions(actions: DataFrame, users: DataFrame, cond: dict,
-                              n_categories: int = 10, n_sessions: int = 10,
+                              n_categories: int = TOP_CATEGORIES,
+                              n_sessions: int = TOP_SESSIONS,
                               task_id: str = DEFAULT_TASK_ID) -> DataFrame:
     """R2: the ``n_sessions`` sessions with most clicks in each hot category.
 
@@ -84,7 +86,7 @@ def area_click_counts(actions: DataFrame, cities: DataFrame, products: DataFrame
 
 
 def area_product_shares(actions: DataFrame, cities: DataFrame, products: DataFrame,
-                        k_cities: int = 2, other: str = OTHER_LABEL) -> DataFrame:
+                        k_cities: int = TOP_CITIES, other: str = OTHER_LABEL) -> DataFrame:
     """A6 + A7: (area, product_name, product_count, city_click_ratio) for every product."""
     counts = area_click_counts(actions, cities, products)
     return top_share_text(counts, ["area", "product_name"], "city_name", "n", k=k_cities,
@@ -92,7 +94,8 @@ def area_product_shares(actions: DataFrame, cities: DataFrame, products: DataFra
 
 
 def area_product_top3(actions: DataFrame, cities: DataFrame, products: DataFrame,
-                      n: int = 3, k_cities: int = 2, other: str = OTHER_LABEL,
+                      n: int = TOP_PRODUCTS, k_cities: int = TOP_CITIES,
+                      other: str = OTHER_LABEL,
                       task_id: str = DEFAULT_TASK_ID) -> DataFrame:
     """Per area, the products with the ``n`` highest click counts.
 

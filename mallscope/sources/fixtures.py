@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from mallscope.functions.scalars import ntz_epoch_ms
 from mallscope.operators.joins import broadcast_if_small
 
-# Fixed values of the test model: the job conditions used by the batch
+# Parameters of the test model: the job conditions used by the batch
 # results and the blacklist threshold used at sf0.01 (the default threshold
 # of 50 clicks never fires on these tables).
 CONDITIONS_TEXT = ('{startDate:"2024-01-05", endDate:"2024-01-25", startAge:"20", '

@@ -40,7 +40,7 @@ KEPT_SCHEMA = T.StructType([
 R6_KEYS = ["date", "area", "city", "adid"]
 R7_KEYS = ["date", "area"]
 MINUTE_KEYS = ["adid", "minute"]
-# Fixed value: how late a click may arrive and still count in its minute.
+# Default: how late a click may arrive and still count in its minute.
 DEFAULT_WATERMARK = "10 minutes"
 
 

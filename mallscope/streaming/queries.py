@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
-# Fixed value: the micro-batch interval of the ad stream.
-DEFAULT_TRIGGER = {"processingTime": "3 seconds"}
+from mallscope.constants import BATCH_INTERVAL
+
+DEFAULT_TRIGGER = {"processingTime": BATCH_INTERVAL}
 
 
 def start_query(df: DataFrame, checkpoint: str, sink: str = "parquet", path: str | None = None,
