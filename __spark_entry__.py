@@ -25,7 +25,7 @@ from pyspark.sql import types as T  # noqa: E402
 from mallscope.functions.adlog import parse_ad_log, render_ad_log  # noqa: E402
 from mallscope.functions.scalars import with_task_id  # noqa: E402
 from mallscope.operators import actions as act  # noqa: E402
-from mallscope.operators.ads import (ad_minute_counts, ad_minute_json, blacklist_filter,  # noqa: E402
+from mallscope.operators.ads import (ad_minute_counts, blacklist_filter,  # noqa: E402
                                      blacklist_points, date_area_ad_rollup,
                                      date_area_city_ad_count, top3_ads_by_area, top3_ads_json,
                                      trailing_minutes, user_ad_daily_counts)
@@ -147,9 +147,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["kv_key"] = lambda s, d: adclicks.daily_city_kv(_r6(s, d))
     q["date_area_ad_rollup"] = lambda s, d: date_area_ad_rollup(_r6(s, d))
     q["top3_ads_by_area"] = lambda s, d: top3_ads_by_area(date_area_ad_rollup(_r6(s, d)))
-    q["top3_ads_json"] = lambda s, d: top3_ads_json(top3_ads_by_area(date_area_ad_rollup(_r6(s, d))))
+    q["top3_ads_json"] = lambda s, d: adclicks.daily_top3_ads(fx.ads(s, d), THRESHOLD)
     q["ad_minute_counts"] = lambda s, d: ad_minute_counts(_kept(s, d), SPAN)
-    q["ad_minute_json"] = lambda s, d: ad_minute_json(ad_minute_counts(_kept(s, d), SPAN))
+    q["ad_minute_json"] = lambda s, d: adclicks.minute_trend(fx.ads(s, d), THRESHOLD, SPAN)
     # streaming twins: the dashboard fed with time slices of the clicks,
     # results read back from its stores (same oracle as the batch forms)
     q["stream_blacklist_filter"] = lambda s, d: _stream(s, d)["kept"]

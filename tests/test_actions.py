@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from mallscope.operators.actions import (category_events, category_pivot, classify_action,
                                          filter_actions, hot_categories)
 

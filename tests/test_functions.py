@@ -1,5 +1,3 @@
-from pyspark.sql import functions as F
-
 from mallscope.functions.adlog import parse_ad_log, render_ad_log
 from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_hhmm, half_up_tenth,
                                          kv_key, ntz_epoch_ms, pairs_to_json, percent_tenth,
@@ -63,3 +61,10 @@ def test_conditions_lenient_json(spark):
                                 'endAge: "50", professionals: "", targetPageFlow:"1,2,3"}')
     assert c["startDate"] == "2024-01-05" and c["startAge"] == "20" and c["professionals"] == ""
     assert c["city"] is None and c["targetPageFlow"] == "1,2,3"
+
+
+def test_fixture_conditions_text_parses_to_the_fixture_conditions(spark):
+    from mallscope.sources import fixtures as fx
+    c = parse_conditions(spark, fx.CONDITIONS_TEXT)
+    assert {k: c[k] for k in fx.CONDITIONS} == fx.CONDITIONS
+    assert c["professionals"] == "" and c["categoryIds"] == ""

@@ -2,8 +2,6 @@
 
 import re
 
-import pytest
-
 from conftest import SF_SMALL
 
 
