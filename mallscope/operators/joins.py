@@ -43,21 +43,29 @@ def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES)
 
 
 def materialize_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Write a derived table, then broadcast it only if the written bytes are under the bound.
+    """A derived table (an aggregate or filter of its inputs) ready to join.
 
-    The size is measured on the written files, so the check costs no job and
-    does not re-run the plan; above the bound the table joins by shuffle.
+    Inputs under the bound: the table is no larger, so it is broadcast as it
+    is, computed inside the broadcast. Larger inputs: it is written to the
+    shared checkpoint folder first (lineage cut) and broadcast only if the
+    written bytes are under the bound; otherwise it joins by shuffle.
     """
+    if input_bytes_at_most(df, max_bytes):
+        return F.broadcast(df)
     return broadcast_if_small(_write(df)[0], max_bytes)
 
 
-def materialize(df: DataFrame) -> DataFrame:
+def materialize(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     A Parquet table rather than an RDD checkpoint: computed once, columnar,
     its file sizes are real statistics for the planner and AQE, and the
     lineage is cut (a lost executor does not recompute upstream stages).
+    When the inputs are under ``max_bytes`` re-reading them is cheaper than
+    a write, and ``df`` is returned as it is.
     """
+    if input_bytes_at_most(df, max_bytes):
+        return df
     return _write(df)[0]
 
 

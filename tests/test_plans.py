@@ -37,10 +37,22 @@ def test_r4_pre_aggregates_before_dimension_joins(spark):
     assert re.search(r"WindowGroupLimit .*rank\(.*\), 3, Partial", p)
 
 
-def test_r5_broadcasts_the_written_block_table(spark):
+def test_r5_broadcasts_the_block_table(spark):
     p = plan_of(spark, "blacklist_filter")
     assert "BroadcastHashJoin" in p and "LeftOuter" in p
-    assert "materialized" in p
+
+
+def test_derived_tables_are_written_only_for_large_inputs(spark):
+    from mallscope.operators.ads import blacklist_points
+    from mallscope.operators.joins import materialize_small
+    from mallscope.sources import fixtures as fx
+    pts = blacklist_points(fx.ads(spark, SF_SMALL), 2)
+    small = materialize_small(pts)                   # inputs under the bound: no write
+    assert not any("materialized" in f for f in small.inputFiles())
+    big = materialize_small(pts, max_bytes=0)        # bound 0: written, then not broadcast
+    assert big.inputFiles() and all("materialized" in f for f in big.inputFiles())
+    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
 
 
 def test_r3_normal_sessions_skip_the_chunked_path(spark):
