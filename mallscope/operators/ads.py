@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from mallscope.constants import BLACKLIST_THRESHOLD, TOP_ADS, TREND_SPAN_MINUTES
 from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute,
                                          minute_to_hhmm, pairs_to_json)
-from mallscope.operators.joins import broadcast_if_small, materialize, materialize_small
+from mallscope.operators.joins import (broadcast_if_small, input_bytes_at_most, materialize,
+                                       materialize_small)
 from mallscope.operators.ranking import top_ranked
 
 DEFAULT_THRESHOLD = BLACKLIST_THRESHOLD
@@ -42,20 +43,21 @@ def blacklist_points(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     semantics) clicks are ordered by batch first and the batch of that click
     is returned as ``blocked_batch`` as well.
 
-    Only groups that reach the threshold matter, so their keys are found
-    first with a partial aggregate (a count per group; the shuffle carries
-    one row per group and map task) and written; just the clicks of those
-    groups go on to the ranking, through a semi join with the size-checked
-    key list. The ``row_number() = threshold`` filter there becomes a
+    Only groups that reach the threshold matter: on inputs above the
+    broadcast bound their keys are found first with a partial aggregate (a
+    count per group; the shuffle carries one row per group and map task) and
+    written, and just the clicks of those groups go on to the ranking,
+    through a semi join with the size-checked key list. The ``row_number() = threshold`` filter there becomes a
     WindowGroupLimit: each map task keeps at most ``threshold`` rows per
     (date, user, ad), so even a bot with a third of all clicks ships a few
     rows.
     """
     order = ORDER_KEY if batch_col is None else (batch_col, *ORDER_KEY)
     r = with_date(ads.select("userid", "adid", *order))
-    heavy = materialize_small(r.groupBy("date", "userid", "adid").count()
-                               .filter(F.col("count") >= threshold).drop("count"))
-    r = r.join(heavy, ["date", "userid", "adid"], "left_semi")
+    if not input_bytes_at_most(r):
+        heavy = materialize_small(r.groupBy("date", "userid", "adid").count()
+                                   .filter(F.col("count") >= threshold).drop("count"))
+        r = r.join(heavy, ["date", "userid", "adid"], "left_semi")
     w = Window.partitionBy("date", "userid", "adid").orderBy(*order)
     hit = r.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == threshold)
     out = [F.col("__bp.timestamp").alias("blocked_ts"),

@@ -105,3 +105,12 @@ def test_micro_batch_form_equals_replay_with_larger_batches(spark):
             df = spark.createDataFrame(with_batch, SCHEMA + ", batch long")
             got = sorted(r.event_id for r in blacklist_filter(df, 3, batch_col="batch").collect())
             assert got == replay_reference(rows, 3, size), (seed, size)
+
+
+def test_heavy_group_prefilter_path_gives_the_same_points(spark, monkeypatch):
+    import mallscope.operators.ads as A
+    rows = random_clicks(9)
+    df = spark.createDataFrame(rows, SCHEMA)
+    direct = sorted(map(tuple, A.blacklist_points(df, 3).collect()))
+    monkeypatch.setattr(A, "input_bytes_at_most", lambda *a, **k: False)   # take the large-input path
+    assert sorted(map(tuple, A.blacklist_points(df, 3).collect())) == direct
