@@ -148,26 +148,40 @@ def _chunked(rows: DataFrame, cols, session, order, value, next_name, levels: in
     return inner.unionByName(last)
 
 
-def page_view_counts(actions: DataFrame, pages: list[str], page: str = "page_id") -> DataFrame:
-    """A4: visits per listed page (page compared as text), -> (page, n)."""
+def _tally(weight: str | None):
+    return F.count(F.lit(1)) if weight is None else F.sum(weight).cast("bigint")
+
+
+def page_view_counts(actions: DataFrame, pages: list[str], page: str = "page_id",
+                     weight: str | None = None) -> DataFrame:
+    """A4: visits per listed page (page compared as text), -> (page, n).
+
+    ``weight`` names a count column when the rows are already aggregated.
+    """
     p = F.col(page).cast("string")
     return (actions.filter(p.isin(list(pages))).groupBy(p.alias("page"))
-                   .agg(F.count(F.lit(1)).alias("n")))
+                   .agg(_tally(weight).alias("n")))
 
 
 def page_jump_counts(transitions: DataFrame, pairs: list[tuple[str, str]],
-                     page: str = "page_id", next_page: str = "next_page_id") -> DataFrame:
+                     page: str = "page_id", next_page: str = "next_page_id",
+                     weight: str | None = None) -> DataFrame:
     """A5: count each listed page-to-page jump, -> (from_page, to_page, jump, n).
 
     Only immediate neighbours count; pairs never seen are absent (not 0).
+    ``weight`` names a count column when the rows are already aggregated.
     """
     jump = F.concat(F.col(page).cast("string"), F.lit("-"), F.col(next_page).cast("string"))
     keys = [f"{a}-{b}" for a, b in pairs]
     t = transitions.filter(F.col(next_page).isNotNull()).select(
         F.col(page).cast("string").alias("from_page"),
         F.col(next_page).cast("string").alias("to_page"), jump.alias("jump"))
+    if weight is not None:
+        t = transitions.filter(F.col(next_page).isNotNull()).select(
+            F.col(page).cast("string").alias("from_page"),
+            F.col(next_page).cast("string").alias("to_page"), jump.alias("jump"), weight)
     return t.filter(F.col("jump").isin(keys)).groupBy("from_page", "to_page", "jump").agg(
-        F.count(F.lit(1)).alias("n"))
+        _tally(weight).alias("n"))
 
 
 def jump_ratio(jumps: DataFrame, views: DataFrame) -> DataFrame:

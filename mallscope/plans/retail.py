@@ -65,8 +65,11 @@ def page_jump_ratio(actions: DataFrame, flow: str, task_id: str = DEFAULT_TASK_I
     pairs = page_flow_pairs(flow)
     from_pages = sorted({a for a, _ in pairs})
     t = session_transitions(actions, chunk=session_chunks() if split_hot else None)
-    jumps = page_jump_counts(t, pairs)
-    views = page_view_counts(actions, from_pages)
+    # every action is one row of `t`: one tiny (page, next page) aggregate
+    # gives both the jump counts and the visit counts, in one pass
+    moves = t.groupBy("page_id", "next_page_id").agg(F.count(F.lit(1)).alias("n"))
+    jumps = page_jump_counts(moves, pairs, weight="n")
+    views = page_view_counts(moves, from_pages, weight="n")
     return with_task_id(jump_ratio(jumps, views), task_id)
 
 
