@@ -17,17 +17,22 @@ from mallscope.sources.files import file_size
 DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
 
 
+# More input files than this: no size proof is attempted (no broadcast).
+MAX_CHECKED_FILES = 1000
+
+
 def input_bytes_at_most(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     """True when the files ``df`` reads add up to at most ``max_bytes``.
 
     Uses the relation's own file list (``inputFiles``) and file sizes: no
     Spark job, and the listing stops as soon as the bound is passed. A
     dimension built from its inputs by projections, filters and lookups is
-    no larger than they are. Without input files (no file source) there is
-    no proof and the answer is False.
+    no larger than they are. Without input files (no file source), or with
+    more than ``MAX_CHECKED_FILES`` of them, there is no proof and the answer
+    is False - a shuffle join, which is always safe.
     """
     files = df.inputFiles()
-    if not files:
+    if not files or len(files) > MAX_CHECKED_FILES:
         return False
     total = 0
     for f in files:
