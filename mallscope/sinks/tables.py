@@ -36,6 +36,10 @@ def replace_table(df: DataFrame, name: str, path: str | None = None,
     Partitioning a fact by ``date`` makes the date bounds of P1 prune whole
     folders at read time.
     """
+    if partition_by:
+        # AQE rebalance: rows of a folder go together (few files per folder),
+        # a hot folder is split over several tasks, small ones are merged
+        df = df.hint("rebalance", *partition_by)
     w = df.write.mode("overwrite").format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
