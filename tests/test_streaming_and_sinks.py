@@ -201,3 +201,19 @@ def test_kafka_options_mapping():
     assert o["subscribe"] == "ads_log" and o["minPartitions"] == "64"
     assert o["startingOffsets"] == '{"ads_log": {"0": 10, "1": 5}}'
     assert o["maxOffsetsPerTrigger"] == "5000000"
+
+
+def test_dashboard_on_kafka_shaped_rows(spark):
+    # what read_ad_stream("kafka") returns, fed from files: value text + partition/offset
+    from mallscope.sources.streams import KAFKA_ROW_SCHEMA
+    root = os.path.join(checkpoint_root(spark), "kafka-" + uuid.uuid4().hex[:8])
+    fx.kafka_rows(spark, SF_SMALL).write.parquet(root + "/in")
+    rows = spark.readStream.schema(KAFKA_ROW_SCHEMA).parquet(root + "/in")
+    lines = rows.select(F.col("value").alias("line"),
+                        (F.col("offset") * 10_000 + F.col("partition")).alias("event_id"))
+    qs = D.run_ad_dashboard(spark, root, lines, threshold=2, span_minutes=600,
+                            trigger={"availableNow": True}, partitions=4)
+    for q in qs:
+        q.awaitTermination(300)
+    kept = A.blacklist_filter(fx.ads(spark, SF_SMALL), 2)
+    assert same(D.read_results(spark, root)["r6"], A.date_area_city_ad_count(kept))
