@@ -187,9 +187,9 @@ def test_quiet_users_leave_the_blacklist_state(spark):
                         trigger={"availableNow": True})
         q.awaitTermination(120)
         state_rows.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
-    # after the next day's batch the watermark passes q's day: a no-data batch
-    # times q out; p stays
-    assert state_rows == [2, 1, 1], state_rows
+    # once the watermark passes q's day, q times out (a no-data batch may do
+    # it right after the next day's batch); p stays
+    assert state_rows[0] == 2 and state_rows[1] in (1, 2) and state_rows[2] == 1, state_rows
     got = sorted(r.event_id for r in spark.read.parquet(root + "/out").collect())
     assert got == [1, 2, 3, 4, 5]
 
