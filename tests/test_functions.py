@@ -68,3 +68,23 @@ def test_fixture_conditions_text_parses_to_the_fixture_conditions(spark):
     c = parse_conditions(spark, fx.CONDITIONS_TEXT)
     assert {k: c[k] for k in fx.CONDITIONS} == fx.CONDITIONS
     assert c["professionals"] == "" and c["categoryIds"] == ""
+
+
+def test_load_table_by_catalog_name_and_conform(spark):
+    import os
+    import uuid
+
+    import pytest
+
+    from mallscope.session import checkpoint_root
+    from mallscope.sinks.tables import replace_table
+    from mallscope.sources.tables import CITY_INFO, conform, load_table
+    name = "t_cities_" + uuid.uuid4().hex[:6]
+    df = spark.createDataFrame([(1, "X", "A", "extra")], "city_id int, city_name string, area string, z string")
+    replace_table(df, name, path=os.path.join(checkpoint_root(spark), name))
+    got = load_table(spark, name, CITY_INFO)
+    assert got.columns == ["city_id", "city_name", "area"]               # extra column dropped
+    assert dict(got.dtypes)["city_id"] == "bigint" and got.first().city_id == 1
+    with pytest.raises(ValueError):
+        conform(df.drop("area"), CITY_INFO)                               # strict: missing column
+    assert conform(df.drop("area"), CITY_INFO, strict=False).first().area is None
