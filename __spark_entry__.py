@@ -158,6 +158,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_ad_minute_counts"] = lambda s, d: trailing_minutes(_stream(s, d)["minutes"], SPAN)
     q["stream_ad_minute_json"] = lambda s, d: _stream(s, d)["r8"]
     q["checkpoint_restart"] = lambda s, d: _stream(s, d, restart_after=1)["kept"]
+    # bounded state: quiet users and finished days leave the state stores
+    q["stream_bounded_state"] = lambda s, d: _stream(
+        s, d, expire_after="2 days", keep_days=1, watermark="1 day")["r6"]
     q["stream_offset_ranges"] = _stream_offsets
     # sinks: write, read back
     q["upsert_kv"] = _sink_upsert
@@ -166,9 +169,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-def _stream(spark, d, restart_after=None):
+def _stream(spark, d, restart_after=None, **bounds):
     root = dashboard.replay_once(spark, d, fx.ads(spark, d), THRESHOLD, SPAN,
-                                 restart_after=restart_after)
+                                 restart_after=restart_after, **bounds)
     return dashboard.read_results(spark, root)
 
 

@@ -212,7 +212,8 @@ def write_slices(ads: DataFrame, src: str, slices: int):
 def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
            span_minutes: int = DEFAULT_SPAN_MINUTES, slices: int = 4,
            restart_after: int | None = None, root: str | None = None,
-           partitions: int | None = 8, expire_after: str | None = None) -> str:
+           partitions: int | None = 8, expire_after: str | None = None,
+           keep_days: int | None = None, watermark: str | None = None) -> str:
     """Feed ``ads`` through the dashboard slice by slice; return the output root.
 
     Each slice is committed to the source folder first, then the kept-clicks
@@ -229,7 +230,8 @@ def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHO
     try:
         for i in write_slices(ads, p["src"], slices):
             with state_partitions(spark, partitions):
-                kq = start_kept(spark, root, threshold, trigger={"availableNow": True})
+                kq = start_kept(spark, root, threshold, trigger={"availableNow": True},
+                                keep_days=keep_days, watermark=watermark)
                 kq.awaitTermination()
                 if kq.exception() is not None:
                     raise kq.exception()
@@ -264,9 +266,14 @@ _RUNS: dict = {}
 
 
 def replay_once(spark: SparkSession, sf_key: str, ads: DataFrame, threshold: int,
-                span_minutes: int, slices: int = 4, restart_after: int | None = None) -> str:
-    """``replay`` memoised per input and parameters within this process."""
-    key = (sf_key, threshold, span_minutes, slices, restart_after)
+                span_minutes: int, slices: int = 4, restart_after: int | None = None,
+                **bounds) -> str:
+    """``replay`` memoised per input and parameters within this process.
+
+    ``bounds`` are the state bounds of ``replay`` (expire_after, keep_days,
+    watermark).
+    """
+    key = (sf_key, threshold, span_minutes, slices, restart_after, tuple(sorted(bounds.items())))
     if key not in _RUNS:
-        _RUNS[key] = replay(spark, ads, threshold, span_minutes, slices, restart_after)
+        _RUNS[key] = replay(spark, ads, threshold, span_minutes, slices, restart_after, **bounds)
     return _RUNS[key]
