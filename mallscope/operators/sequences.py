@@ -57,8 +57,9 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     so any re-execution gives the same answer.
 
     With ``hot_rows`` only sessions holding more than about ``hot_rows`` rows
-    take the chunked path: ``hot_keys`` finds them on a sample, the (written,
-    size-checked) list is broadcast into a semi / anti join, and every other
+    take the chunked path: ``hot_keys`` finds them on a sample, the
+    size-checked list (written first when the input is large) is broadcast
+    into a semi / anti join, and every other
     session keeps the one-shuffle plain window; with no hot session the plan
     is just the plain window. Both paths give exact answers, so the sample
     only decides which plan a session takes.
@@ -72,7 +73,7 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
                         cols, session, order, value, next_name, len(chunks))
     from mallscope.operators.joins import materialize_small
     hot = materialize_small(hot_keys(actions, session, hot_rows))
-    if hot.isEmpty():                           # reads the small written list
+    if hot.isEmpty():                           # a small job over the hot list
         return _plain(actions.select(*cols), session, order, value, next_name)
     normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
                     session, order, value, next_name)
