@@ -35,3 +35,13 @@ def list_dirs(spark: SparkSession, path: str, marker: str | None = None) -> list
 def delete(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
     fs.delete(p, True)
+
+
+def publish_folder(spark: SparkSession, staging: str, target: str) -> None:
+    """Move a fully written folder into place with one rename (atomic on HDFS
+    and local disks), so a file-stream reader sees all of it or none."""
+    src, fs = _fs(spark, staging)
+    dst, _ = _fs(spark, target)
+    fs.mkdirs(dst.getParent())
+    if not fs.rename(src, dst):
+        raise OSError(f"could not move {staging} to {target}")

@@ -28,6 +28,7 @@ from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad
                                      date_area_ad_rollup, date_area_city_ad_count,
                                      top3_ads_by_area, top3_ads_json, trailing_minutes)
 from mallscope.session import checkpoint_root
+from mallscope.sources.files import publish_folder
 from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
 from mallscope.sources.streams import LINE_SCHEMA
 from mallscope.streaming.blacklist import blacklist_filter_stream
@@ -65,7 +66,8 @@ def start_kept(spark: SparkSession, root: str, threshold: int = DEFAULT_THRESHOL
     """
     p = paths(root)
     if lines is None:
-        r = spark.readStream.schema(LINE_SCHEMA)
+        # files directly in src, or in slice=N folders published by a rename
+        r = spark.readStream.schema(LINE_SCHEMA).option("basePath", p["src"])
         if max_files_per_trigger:
             r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
         lines = r.parquet(p["src"])
@@ -190,11 +192,12 @@ def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
 
 
 def write_slices(ads: DataFrame, src: str, slices: int):
-    """Yield after writing each time slice of ``ads`` as lines into ``src``.
+    """Yield after publishing each time slice of ``ads`` as lines under ``src``.
 
     Slice bounds are approximate quantiles of the click time, so slices are
-    similar in size; each slice is written by one job, in time order, and
-    may hold many files.
+    similar in size. Each slice is written by one job into a staging folder
+    (it may hold many files) and then moved to ``src/slice=N`` with one
+    rename, so a running file stream sees a slice whole or not at all.
     """
     probs = [i / slices for i in range(1, slices)]
     bounds = ads.approxQuantile("timestamp", probs, 0.001) if slices > 1 else []
@@ -205,7 +208,9 @@ def write_slices(ads: DataFrame, src: str, slices: int):
             part = part.filter(F.col("timestamp") >= F.lit(int(edges[i])))
         if edges[i + 1] is not None:
             part = part.filter(F.col("timestamp") < F.lit(int(edges[i + 1])))
-        render_ad_log(part, keep=["event_id"]).write.mode("append").parquet(src)
+        staging = f"{src.rstrip('/')}_staging/slice={i}"
+        render_ad_log(part, keep=["event_id"]).write.mode("overwrite").parquet(staging)
+        publish_folder(ads.sparkSession, staging, f"{src.rstrip('/')}/slice={i}")
         yield i
 
 
@@ -216,36 +221,35 @@ def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHO
            keep_days: int | None = None, watermark: str | None = None) -> str:
     """Feed ``ads`` through the dashboard slice by slice; return the output root.
 
-    Each slice is committed to the source folder first, then the kept-clicks
-    query runs once over everything new (``availableNow``) from its
-    checkpoint, so no micro-batch ever sees half a slice. The two readers of
-    its output keep running (the Parquet sink's log publishes whole batches);
-    with ``restart_after=i`` they too are stopped after slice ``i`` and
-    started again from their checkpoints. ``partitions`` is the state
+    The three queries keep running; each slice is published whole (one
+    folder rename) and all queries drain it before the next. With
+    ``restart_after=i`` every query is stopped after slice ``i`` and started
+    again from its checkpoint (recovery test). ``partitions`` is the state
     partition count of the stateful queries.
     """
     root = root or os.path.join(checkpoint_root(spark), "dashboard-" + uuid.uuid4().hex[:12])
     p = paths(root)
-    readers: list = []
+    qs: list = []
+
+    def start_all():
+        with state_partitions(spark, partitions):
+            kq = start_kept(spark, root, threshold, keep_days=keep_days, watermark=watermark)
+            kq.processAllAvailable()
+            return [kq, start_daily(spark, root, expire_after=expire_after),
+                    start_trend(spark, root, span_minutes)]
+
     try:
         for i in write_slices(ads, p["src"], slices):
-            with state_partitions(spark, partitions):
-                kq = start_kept(spark, root, threshold, trigger={"availableNow": True},
-                                keep_days=keep_days, watermark=watermark)
-                kq.awaitTermination()
-                if kq.exception() is not None:
-                    raise kq.exception()
-                if not readers:
-                    readers = [start_daily(spark, root, expire_after=expire_after),
-                               start_trend(spark, root, span_minutes)]
-            for q in readers:
+            if not qs:
+                qs = start_all()
+            for q in qs:
                 q.processAllAvailable()
             if restart_after is not None and i == restart_after:
-                for q in readers:
+                for q in qs:
                     q.stop()
-                readers = []
+                qs = []
     finally:
-        for q in readers:
+        for q in qs:
             q.stop()
     return root
 
