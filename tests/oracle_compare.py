@@ -1,6 +1,10 @@
 """Run queries() against oracle_sql() the way the driver does (local check).
 
-Usage: python tests/oracle_compare.py [sf_dir] [key ...]
+Usage: python tests/oracle_compare.py [--plain] [sf_dir] [key ...]
+
+Compares row count, column names, column types (Spark -> DuckDB names) and the
+order-insensitive values. ``--plain`` uses a default SparkSession instead of
+``mallscope.get_session`` (as a caller's session might be).
 """
 
 from __future__ import annotations
