@@ -11,7 +11,8 @@ with the age of the stream.
   published by the folder commit.
 
 Versions older than the last ``retain`` are removed after a write (the one
-before the newest stays for replays). On a cluster the root is a shared
+before the newest stays for replays); ``retain=0`` keeps every version, e.g.
+for a per-batch log. On a cluster the root is a shared
 folder (e.g. under ``spark.checkpoint.dir``); a table format with MERGE can
 stand in for the same calls.
 """
