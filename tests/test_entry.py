@@ -35,3 +35,19 @@ def test_registry_covers_the_plan_and_every_key_has_an_oracle():
     assert not (set(PLANNED) - set(q)), sorted(set(PLANNED) - set(q))
     assert set(q) == set(o)
     assert not (NOT_REGISTERED & set(q))
+
+
+def test_bench_prints_one_json_line():
+    import json
+    import os
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, BENCH_SF_DIR=SF_SMALL, BENCH_CPUS="4", BENCH_REPEAT="0", BENCH_STREAM="0")
+    out = subprocess.run([sys.executable, os.path.join(repo, "bench.py")], env=env, cwd=repo,
+                         capture_output=True, text=True, timeout=600)
+    lines = [line for line in out.stdout.splitlines() if line.strip()]
+    assert len(lines) == 1, out.stdout[-500:]
+    d = json.loads(lines[0])
+    assert {"metric", "value", "unit", "queries", "sf"} <= set(d) and d["unit"] == "sec"
+    assert all(v is not None for v in d["queries"].values()), d.get("errors")
