@@ -20,6 +20,9 @@ LINE_SCHEMA = T.StructType([T.StructField("line", T.StringType()),
                             T.StructField("event_id", T.LongType())])
 
 
+# event_id of a Kafka record: offset * KAFKA_PARTITION_SLOTS + partition.
+KAFKA_PARTITION_SLOTS = 10_000
+
 # Largest micro-batch read from Kafka: it bounds every per-key step of a
 # batch (e.g. one user's clicks in the blacklist state function).
 DEFAULT_MAX_OFFSETS_PER_TRIGGER = 5_000_000
@@ -56,13 +59,16 @@ def read_ad_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = N
     """S3: a streaming DataFrame with a text ``line`` column (+ source columns).
 
     ``fmt="kafka"``: key/value are cast to text, topic/partition/offset kept
-    for offset capture. ``fmt="parquet"``: files with ``line`` (and
+    for offset capture, and ``event_id`` = offset x ``KAFKA_PARTITION_SLOTS`` +
+    partition (unique while a topic has fewer partitions than that). ``fmt="parquet"``: files with ``line`` (and
     ``event_id``) columns, e.g. written by ``render_ad_log``.
     """
     r = spark.readStream
     if fmt == "kafka":
         df = r.format("kafka").options(**(options or {})).load()
-        return df.select(F.col("value").cast("string").alias("line"),
+        # a unique tie-break per click: offsets are unique per topic partition
+        eid = F.col("offset") * KAFKA_PARTITION_SLOTS + F.col("partition")
+        return df.select(F.col("value").cast("string").alias("line"), eid.alias("event_id"),
                          F.col("key").cast("string").alias("key"),
                          "topic", "partition", "offset")
     if max_files_per_trigger:

@@ -209,8 +209,9 @@ def test_dashboard_on_kafka_shaped_rows(spark):
     root = os.path.join(checkpoint_root(spark), "kafka-" + uuid.uuid4().hex[:8])
     fx.kafka_rows(spark, SF_SMALL).write.parquet(root + "/in")
     rows = spark.readStream.schema(KAFKA_ROW_SCHEMA).parquet(root + "/in")
+    from mallscope.sources.streams import KAFKA_PARTITION_SLOTS
     lines = rows.select(F.col("value").alias("line"),
-                        (F.col("offset") * 10_000 + F.col("partition")).alias("event_id"))
+                        (F.col("offset") * KAFKA_PARTITION_SLOTS + F.col("partition")).alias("event_id"))
     qs = D.run_ad_dashboard(spark, root, lines, threshold=2, span_minutes=600,
                             trigger={"availableNow": True}, partitions=4)
     for q in qs:
