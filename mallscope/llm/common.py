@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from types import ModuleType
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -63,7 +66,7 @@ def shuffle_partitions(spark: SparkSession) -> int:
 
 
 def sub_batches(batches: Iterator[pa.RecordBatch], column: str,
-                max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+                max_bytes: int = 2 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that ``column`` holds about ``max_bytes`` in each
     (one longer text is a batch of its own); nothing is dropped."""
     for batch in batches:
@@ -77,3 +80,61 @@ def sub_batches(batches: Iterator[pa.RecordBatch], column: str,
             end = max(start + 1, int(np.searchsorted(sizes, base + max_bytes, side="right")))
             yield batch.slice(start, end - start)
             start = end
+
+
+def worker_cache(key: Any, make: Callable[[], Any]) -> Any:
+    """What ``make`` returns, kept in this Python worker for later tasks.
+
+    Functions travel by value, with globals of their own in each task, so what
+    is kept lives in a module entry of the worker process.
+    """
+    kept = sys.modules.setdefault("_mallscope_worker", ModuleType("_mallscope_worker")).__dict__
+    if key not in kept:
+        kept[key] = make()
+    return kept[key]
+
+
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BASE = 0x9E3779B97F4A7C15
+
+
+def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers 0 to n of an odd base modulo 2^64, and of its inverse."""
+    kept = worker_cache("powers", dict)
+    if len(kept.get("up", ())) <= n:
+        for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
+            p = np.full(n + 1, base, dtype=np.uint64)
+            p[0] = 1
+            kept[name] = np.multiply.accumulate(p)
+    return kept["up"], kept["down"]
+
+
+def piece_keys(b: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash of each piece b[start:stop] of a byte array."""
+    up, down = _powers(len(b))
+    sums = np.zeros(len(b) + 1, dtype=np.uint64)
+    np.cumsum((b.astype(np.uint64) + np.uint64(1)) * up[:len(b)], out=sums[1:])
+    return (sums[stop] - sums[start]) * down[start]
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """Spread 64-bit values over all bits (one to one)."""
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+    x = (x ^ (x >> np.uint64(33))) * np.uint64(0xC4CEB9FE1A85EC53)
+    return x ^ (x >> np.uint64(33))
+
+
+def word_keys(texts: list[bytes], alnum: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """All words of ``texts`` in turn: (number of the text, 64-bit hash).
+
+    Words as ``space_words`` or, with ``alnum``, ``alnum_words`` has them.
+    """
+    raw = b"\n".join(texts)
+    b = np.frombuffer(raw.translate(_ALNUM) if alnum else raw, dtype=np.uint8)
+    inside = np.zeros(len(b) + 2, dtype=np.int8)
+    inside[1:-1] = ~_IS_SPACE[b]
+    edge = np.diff(inside)
+    start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+    of = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
+    return of, mixed(piece_keys(b, start, stop))
