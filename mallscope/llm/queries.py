@@ -5,16 +5,29 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from mallscope.llm.common import scratch
+from mallscope.llm.common import remainder, scratch
+from mallscope.llm.decontam import contamination
+from mallscope.llm.host_rules import judge
+from mallscope.llm.licenses import license_scan
+from mallscope.llm.main_text import extract_main_text
 from mallscope.llm.packing import pack_along_curve
+from mallscope.llm.secrets import secret_report
 from mallscope.llm.token_orc import read_token_orc, token_digests, write_token_orc
+from mallscope.llm.toxicity import toxicity
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
+    labels = spark.read.parquet(f"{d}/labels.parquet")
+    scored = toxicity(_documents(spark, d), labels, lambda c: remainder(c, 5) != 0)
+    return scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op4_curve_packing(spark: SparkSession, d: str) -> DataFrame:
     return pack_along_curve(_documents(spark, d))
 
@@ -25,8 +38,30 @@ def op5_token_orc(spark: SparkSession, d: str) -> DataFrame:
     return token_digests(read_token_orc(spark, path))
 
 
+def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
+    return secret_report(_documents(spark, d)).drop("text_hash")
+
+
+def op7_host_rules(spark: SparkSession, d: str) -> DataFrame:
+    return judge(_documents(spark, d))
+
+
+def op8_licenses(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan(_documents(spark, d))
+
+
+def op9_main_text(spark: SparkSession, d: str) -> DataFrame:
+    return extract_main_text(spark.read.parquet(f"{d}/pages.parquet"))
+
+
+def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return contamination(_documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")).drop("text_hash")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_curve_packing, op5_token_orc)}
+    return {f.__name__: f for f in (
+        op3_toxicity, op4_curve_packing, op5_token_orc, op6_secrets, op7_host_rules, op8_licenses, op9_main_text,
+        op10_decontamination)}
 
 
 def llm_oracle_sql() -> dict[str, str]:
