@@ -78,16 +78,18 @@ def _measure_task(batches):
                    np.array([len(x) - len(set(x)) for x in lines], dtype=np.int64), repeats,
                    np.array([len(x) for x in lines], dtype=np.int64)]
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("host"), *map(pa.array, columns)],
-            names=["doc_id", "host", "n_words", "word_chars", "n_symbols", "n_dup_lines",
+            [batch.column("doc_id"), batch.column("host"), batch.column("text_hash"), *map(pa.array, columns)],
+            names=["doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
                    "n_repeat_words", "n_lines"])
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """doc_id, host and the counts that the rules use, one row per row of ``docs``."""
+    """doc_id, host, text_hash (XXH64 of the text) and the counts that the
+    rules use, one row per row of ``docs``."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.col(host).cast("string").alias("host"), text_bytes().alias("text")).mapInArrow(
-        _measure_task, "doc_id bigint, host string, n_words bigint, word_chars bigint, n_symbols bigint, "
+                       F.col(host).cast("string").alias("host"), F.xxhash64(text_bytes()).alias("text_hash"),
+                       text_bytes().alias("text")).mapInArrow(
+        _measure_task, "doc_id bigint, host string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
                        "n_dup_lines bigint, n_repeat_words bigint, n_lines bigint")
 
 
@@ -155,4 +157,4 @@ def judge(docs: DataFrame, host: str = "source", min_words: int = 10, max_repeat
         (F.col("host_verdict") == "trusted") | ~F.col("rule_failed"))
     return j.withColumn("kept", kept).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "kept", "rule_failed", "host", "host_rate", "host_verdict")
+        "kept", "rule_failed", "host", "host_rate", "host_verdict", "text_hash")

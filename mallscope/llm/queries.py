@@ -12,8 +12,10 @@ from mallscope.llm.decontam import contamination
 from mallscope.llm.host_rules import judge
 from mallscope.llm.licenses import license_scan
 from mallscope.llm.main_text import extract_main_text
+from mallscope.llm.ngram_lm import score_documents
 from mallscope.llm.packing import pack_along_curve
 from mallscope.llm.secrets import secret_report
+from mallscope.llm.simhash_dedup import hex_digits, simhash_components
 from mallscope.llm.token_orc import read_token_orc, token_digests, write_token_orc
 from mallscope.llm.toxicity import toxicity
 
@@ -22,6 +24,16 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(f"{d}/documents.parquet")
 
 
+def op1_ngram_lm(spark: SparkSession, d: str) -> DataFrame:
+    scored = score_documents(_documents(spark, d), lambda c: remainder(c, 10) != 0)
+    return scored.withColumn("held_out", remainder("doc_id", 10) == 0)
+
+
+def op2_simhash_dedup(spark: SparkSession, d: str) -> DataFrame:
+    found = simhash_components(_documents(spark, d))
+    return found.select("doc_id", hex_digits(F.col("fp")).alias("fingerprint"), "component_id")
+
+
 def op3_toxicity(spark: SparkSession, d: str) -> DataFrame:
     labels = spark.read.parquet(f"{d}/labels.parquet")
     scored = toxicity(_documents(spark, d), labels, lambda c: remainder(c, 5) != 0)
@@ -43,7 +55,7 @@ def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_host_rules(spark: SparkSession, d: str) -> DataFrame:
-    return judge(_documents(spark, d))
+    return judge(_documents(spark, d)).drop("text_hash")
 
 
 def op8_licenses(spark: SparkSession, d: str) -> DataFrame:
@@ -60,7 +72,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
-        op3_toxicity, op4_curve_packing, op5_token_orc, op6_secrets, op7_host_rules, op8_licenses, op9_main_text,
+        op1_ngram_lm, op2_simhash_dedup, op3_toxicity, op4_curve_packing, op5_token_orc, op6_secrets, op7_host_rules, op8_licenses, op9_main_text,
         op10_decontamination)}
 
 
