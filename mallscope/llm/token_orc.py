@@ -15,23 +15,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mallscope.llm.common import sub_batches, text_bytes
-from mallscope.llm.tokens import TOKENIZER, WordEncoder
+from mallscope.llm.tokens import TOKENIZER, TextEncoder
 
 FILE_SCHEMA = "doc_id bigint, n_tokens bigint, start_in_file bigint, ids array<int>"
 
 
 def _encode_task(tokenizer: str, end_id: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches):
-        encoder, at = WordEncoder(tokenizer), 0
+        encoder, at = TextEncoder.of_worker(tokenizer), 0
         for batch in sub_batches(batches, "text"):
-            rows = [x + end for x in encoder.packed(batch.column("text").to_pylist())]
-            n = np.array([len(x) // 4 for x in rows], dtype=np.int64)
+            flat, n = encoder.encode(batch.column("text").to_pylist(), end_id)
             ends = np.cumsum(n)
-            ids = pa.ListArray.from_arrays(
-                pa.array(np.concatenate([[0], ends]).astype(np.int32)),
-                pa.array(np.frombuffer(b"".join(rows), dtype="<i4")))
+            ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
+                                           pa.array(flat.view("<i4")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n), pa.array(at + ends - n), ids],
                 names=["doc_id", "n_tokens", "start_in_file", "ids"])
