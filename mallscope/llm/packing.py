@@ -13,13 +13,12 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import space_words, sub_batches, text_bytes
-from mallscope.llm.tokens import TOKENIZER, WordEncoder
+from mallscope.llm.common import mixed, sub_batches, text_bytes, word_keys
+from mallscope.llm.tokens import TOKENIZER, TextEncoder, packed
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
@@ -57,49 +56,36 @@ def hilbert_key(points: np.ndarray, bits: int) -> np.ndarray:
     return key
 
 
-def _key_task(dims: int, bits: int, spread: float, max_words: int = 300_000):
+def _key_task(dims: int, bits: int, spread: float):
     def run(batches):
-        index: dict[bytes, int] = {}
-        table = np.zeros((0, dims), dtype=np.float32)
+        side = 1 << bits
         for batch in sub_batches(batches, "text"):
-            split = [space_words(t) for t in batch.column("text").to_pylist()]
-            if len(index) > max_words:
-                index, table = {}, table[:0]
-            fresh: list[bytes] = []
-            for words in split:
-                for w in words:
-                    if w not in index:
-                        index[w] = len(index)
-                        fresh.append(w)
-            if fresh:
-                raw = np.frombuffer(b"".join([xxhash.xxh128_digest(w) for w in fresh]), dtype="<u2")
-                raw = raw.reshape(len(fresh), 8)[:, :dims]
-                table = np.concatenate([table, raw.astype(np.float32) / 32767.5 - 1])
-            get = index.__getitem__
-            means = np.zeros((len(split), dims))
-            for i, words in enumerate(split):
-                if words:
-                    means[i] = table[np.fromiter(map(get, words), dtype=np.int64, count=len(words))].mean(axis=0)
-            side = 1 << bits
-            cells = np.clip(np.floor((np.tanh(means / spread) + 1) * side / 2), 0, side - 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), pa.array(hilbert_key(cells, bits))],
-                names=["doc_id", "text", "curve"])
+            of, key = word_keys(batch.column("text").to_pylist())
+            n = np.maximum(np.bincount(of, minlength=batch.num_rows), 1)
+            points = []
+            for d in range(dims):       # 16 bits of the word's hash a dimension
+                if d % 4 == 0:
+                    key = mixed(key + np.uint64(d))
+                lane = ((key >> np.uint64(16 * (d % 4))) & np.uint64(0xFFFF)).astype(np.float64) / 32767.5 - 1
+                mean = np.bincount(of, weights=lane, minlength=batch.num_rows) / n
+                points.append(np.clip(np.floor((np.tanh(mean / spread) + 1) * side / 2), 0, side - 1))
+            curve = hilbert_key(np.stack(points, axis=1), bits)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text"), pa.array(curve)],
+                                             names=["doc_id", "text", "curve"])
     return run
 
 
 def curve_keys(docs: DataFrame, dims: int = 4, bits: int = 12, spread: float = 0.1) -> DataFrame:
     """doc_id, text (UTF-8 bytes, null as empty) and ``curve``, the Hilbert key
-    of the document's projected mean word vector. ``dims`` is at most 8."""
+    of the document's projected mean word vector (``dims`` times ``bits`` is at
+    most 62)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
     return rows.mapInArrow(_key_task(dims, bits, spread), "doc_id bigint, text binary, curve bigint")
 
 
 def _pack_task(tokenizer: str, end_id: int, seq_len: int):
-    end = np.array([end_id], dtype="<u4").tobytes()
-
     def run(batches):
-        encoder = WordEncoder(tokenizer)
+        encoder = TextEncoder.of_worker(tokenizer)
         first = TaskContext.get().partitionId() << 32
         done = 0            # sequences that are full
         held: list[tuple] = []      # (doc_id, start, ids, doc_tokens) of the sequence being filled
@@ -128,11 +114,9 @@ def _pack_task(tokenizer: str, end_id: int, seq_len: int):
                 names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
         for batch in sub_batches(batches, "text"):
-            docs = zip(batch.column("doc_id").to_pylist(), encoder.packed(batch.column("text").to_pylist()),
-                       strict=True)
+            ids_of = packed(*encoder.encode(batch.column("text").to_pylist(), end_id))
             pieces, n = held, held_n
-            for doc_id, ids in docs:
-                ids += end
+            for doc_id, ids in zip(batch.column("doc_id").to_pylist(), ids_of, strict=True):
                 pieces.append((doc_id, 0, ids, len(ids) // 4))
                 n += len(ids) // 4
             full, rest = divmod(n, seq_len)
