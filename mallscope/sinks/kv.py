@@ -1,55 +1,121 @@
 """K4-K6: keyed result stores on plain files, safe under batch replays.
 
-A store is a folder of versions ``batch_id=<n>``; every version is a complete
-snapshot, so a reader opens only the newest one and its cost does not grow
-with the age of the stream.
-
-* ``upsert_kv``: version ``n`` = version before ``n`` with the batch's rows
-  replacing rows of equal key (hash-field upsert, K4/K5). The previous
-  version is read by number, so a replayed batch rebuilds the same version.
-* ``replace_kv``: version ``n`` = the batch's rows (whole-hash replace, K6),
-  published by the folder commit.
-
-Versions older than the last ``retain`` are removed after a write (the one
-before the newest stays for replays); ``retain=0`` keeps every version, e.g.
-for a per-batch log. On a cluster the root is a shared
-folder (e.g. under ``spark.checkpoint.dir``); a table format with MERGE can
-stand in for the same calls.
+A store is a folder with data folders and a numbered series of small
+manifests. A manifest names, for every part of the store, the folders that
+hold it now; a reader opens the newest manifest. Nothing is ever written in
+place: a batch writes one new folder and publishes the next manifest.
+
+* ``upsert_kv``: the batch's rows replace rows of equal key (hash-field
+  upsert, K4/K5), or add to them. With ``partition_by`` only the parts (e.g.
+  days) that the batch touches change. A part is a full folder and up to
+  ``max_deltas`` batches on top of it, merged when read; then it is rewritten
+  as one folder. A batch thus writes its own rows, not the store.
+* ``replace_kv``: the batch's rows become the whole content (K6).
+
+A manifest records which batch of which run (a query checkpoint's id) made it.
+A replay of that batch starts from the manifest before it, so it rebuilds the
+same content. An older batch of the same run is refused; a new run (a new
+checkpoint on an old store) goes on from the store's content.
+
+Folders that no manifest needs any more are deleted ``retain_seconds`` after
+they fell out of use - longer than the longest read. A store has one writer.
+On a cluster its root is a shared folder; a table format with MERGE can stand
+in for the same calls.
 """
 
 from __future__ import annotations
 
+import json
 import re
+import time
+import uuid
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mallscope.sources.files import delete, list_dirs
+from mallscope.sources.files import (delete, list_dirs, list_files, modified_seconds,
+                                     publish_text, read_text)
 
-VERSION_COL = "batch_id"
-_VERSION_DIR = re.compile(rf"^{VERSION_COL}=(\d+)$")
+RETAIN_SECONDS = 3600
+_PART = "__part"
+_NULL, _EMPTY = "__null__", "__empty__"
+_MANIFEST = re.compile(r"^v-(\d{12})\.json$")
 
 
 def versions(spark: SparkSession, root: str) -> list[int]:
-    """Committed version numbers (folders holding a ``_SUCCESS`` marker), ascending."""
-    names = list_dirs(spark, root, marker="_SUCCESS")
-    return sorted(int(m.group(1)) for m in map(_VERSION_DIR.match, names) if m)
+    """Numbers of the published manifests, ascending."""
+    return sorted(int(m.group(1)) for m in map(_MANIFEST.match, list_files(spark, _at(root, "manifests"))) if m)
 
 
-def _version_path(root: str, batch_id: int) -> str:
-    return f"{root.rstrip('/')}/{VERSION_COL}={int(batch_id)}"
+def _at(root: str, *names: str) -> str:
+    return "/".join([root.rstrip("/"), *names])
 
 
-def _prune(spark: SparkSession, root: str, retain: int) -> None:
-    vs = versions(spark, root)
-    for v in vs[:-retain] if retain > 0 else []:
-        delete(spark, _version_path(root, v))
+def _load(spark: SparkSession, root: str, number: int) -> dict:
+    return json.loads(read_text(spark, _at(root, "manifests", f"v-{number:012d}.json")))
 
 
-def read_version(spark: SparkSession, root: str, before: int | None = None) -> DataFrame | None:
-    """The newest committed version (strictly before ``before`` if given), or None."""
-    vs = [v for v in versions(spark, root) if before is None or v < before]
-    return spark.read.parquet(_version_path(root, vs[-1])) if vs else None
+def manifest(spark: SparkSession, root: str, before: tuple[str, int] | None = None) -> dict | None:
+    """The newest manifest, or None. ``before`` = (run, batch): as that batch
+    found the store, also if it was written already."""
+    numbers = versions(spark, root)
+    if not numbers:
+        return None
+    m = _load(spark, root, numbers[-1])
+    if before is not None and (m["run"], m["batch"]) == tuple(before):
+        return _load(spark, root, m["parent"]) if m["parent"] is not None else None
+    return m
+
+
+def _read(spark: SparkSession, root: str, m: dict, parts: list[str] | None = None) -> DataFrame:
+    schema = T.StructType.fromJson(m["schema"])
+    names = m["parts"] if parts is None else [p for p in parts if p in m["parts"]]
+    whole = [_at(root, m["parts"][p][0]) for p in names if len(m["parts"][p]) == 1]
+    out = spark.read.schema(schema).parquet(*whole) if whole else spark.createDataFrame([], schema)
+    # parts with batches on top: the folders of the same age are read together
+    layered = [m["parts"][p] for p in names if len(m["parts"][p]) > 1]
+    if not layered:
+        return out
+    layers = None
+    for age in range(max(map(len, layered))):
+        paths = [_at(root, folders[age]) for folders in layered if len(folders) > age]
+        rows = spark.read.schema(schema).parquet(*paths).withColumn("__age", F.lit(age))
+        layers = rows if layers is None else layers.unionByName(rows)
+    return out.unionByName(_merged(layers, m["keys"], m["add"], schema))
+
+
+def _merged(rows: DataFrame, keys: list[str], add: list[str], schema: T.StructType) -> DataFrame:
+    """One row per key of rows with an ``__age``: sums of the ``add`` columns,
+    else the youngest row."""
+    if not add:
+        return latest_per_key(rows, keys, [F.desc("__age")]).drop("__age").select(*schema.names)
+    return rows.groupBy(*keys).agg(
+        *[F.sum(c).cast(schema[c].dataType).alias(c) for c in add],
+        *[F.max(c).alias(c) for c in schema.names if c not in keys and c not in add]).select(*schema.names)
+
+
+def read_kv(spark: SparkSession, root: str, parts: list[str] | None = None,
+            before: tuple[str, int] | None = None) -> DataFrame | None:
+    """The current content (of some ``parts`` only, if given); None if nothing
+    was ever written."""
+    m = manifest(spark, root, before)
+    return None if m is None else _read(spark, root, m, parts)
+
+
+def part_names(spark: SparkSession, root: str, before: tuple[str, int] | None = None) -> list[str]:
+    """The parts a store holds."""
+    m = manifest(spark, root, before)
+    return [] if m is None else sorted(m["parts"])
+
+
+def part_of(*columns: str):
+    """The part a row belongs to, as text (null and empty values by a name)."""
+    def text(c):
+        v = F.col(c).cast("string")
+        return F.when(v.isNull(), F.lit(_NULL)).when(v == "", F.lit(_EMPTY)).otherwise(v)
+    return F.concat_ws("|", *[text(c) for c in columns])
 
 
 def latest_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
@@ -58,38 +124,98 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list) -> DataFrame:
     return rows.withColumn("__rn", F.row_number().over(w)).filter("__rn = 1").drop("__rn")
 
 
-def upsert_kv(df: DataFrame, root: str, batch_id: int, keys: list[str],
-              keep=None, retain: int = 2) -> None:
-    """Write version ``batch_id``: the previous version with ``df``'s rows upserted.
-
-    ``keep`` (a Column, or a function of the merged DataFrame returning one)
-    drops rows that no longer belong in the store, e.g. minute buckets that
-    left the trailing span.
+def _base(spark: SparkSession, root: str, run: str, batch: int) -> tuple[dict | None, dict | None]:
+    """(newest manifest, the one this batch starts from)."""
+    m = manifest(spark, root)
+    if m is None:
+        return None, None
+    if m["run"] == run and batch < m["batch"]:
+        raise ValueError(f"batch {batch} is older than batch {m['batch']} of the same run in {root}; "
+                         "a restart with a new checkpoint needs a new run id")
+    return m, manifest(spark, root, before=(run, batch))
+
+
+def _publish(spark: SparkSession, root: str, newest: dict | None, base: dict | None, run: str, batch: int,
+             parts: dict[str, list[str]], schema: T.StructType, retain_seconds: float,
+             keys: list[str] = (), add: list[str] = ()) -> None:
+    def folders(m):
+        return {f for fs in (m["parts"] if m else {}).values() for f in fs}
+
+    now = time.time()
+    number = 0 if newest is None else newest["number"] + 1
+    used = {f for fs in parts.values() for f in fs}
+    trash = {f: t for f, t in (newest["trash"].items() if newest else ()) if f not in used}
+    for f in (folders(newest) | folders(base)) - used:
+        trash.setdefault(f, now)
+    # the folders of the manifest this one came from serve a replay
+    due = [f for f, t in trash.items() if now - t > retain_seconds and f not in folders(base)]
+    m = {"number": number, "run": run, "batch": batch, "parent": base["number"] if base else None,
+         "parts": parts, "keys": list(keys), "add": list(add), "schema": json.loads(schema.json()),
+         "trash": {f: t for f, t in trash.items() if f not in due}}
+    publish_text(spark, _at(root, "manifests", f"v-{number:012d}.json"), json.dumps(m))
+    for f in due:
+        delete(spark, _at(root, f))
+    for old in versions(spark, root)[:-2]:
+        if old != m["parent"] and now - _written(spark, root, old) > retain_seconds:
+            delete(spark, _at(root, "manifests", f"v-{old:012d}.json"))
+
+
+def _written(spark: SparkSession, root: str, number: int) -> float:
+    return modified_seconds(spark, _at(root, "manifests", f"v-{number:012d}.json"))
+
+
+def upsert_kv(df: DataFrame, root: str, batch_id: int, keys: list[str], keep=None, run: str = "",
+              partition_by: list[str] | None = None, add: list[str] | None = None, drop_part=None,
+              max_deltas: int = 16, retain_seconds: float = RETAIN_SECONDS) -> None:
+    """Upsert ``df``'s rows (one per key) as batch ``batch_id`` of ``run``.
+
+    ``add`` names number columns that are summed with the stored row instead
+    of replacing it. ``partition_by`` (some of the keys) splits the store into
+    parts; the parts of a batch reach the driver by name (e.g. its days).
+    ``keep`` (a Column, or a function of the merged rows returning one) drops
+    rows that no longer belong, e.g. minutes that left the trailing span; with
+    it the touched parts are rewritten each time. ``drop_part`` (name -> bool)
+    retires whole parts unread.
     """
     spark = df.sparkSession
-    prev = read_version(spark, root, before=batch_id)
-    merged = df
-    if prev is not None:
-        both = df.withColumn("__src", F.lit(0)).unionByName(
-            prev.select(*df.columns).withColumn("__src", F.lit(1)))
-        merged = latest_per_key(both, keys, [F.col("__src")]).drop("__src")
+    newest, base = _base(spark, root, run, batch_id)
+    had = base["parts"] if base else {}
+    name = part_of(*partition_by) if partition_by else F.lit("all")
+    touched = sorted(r[0] for r in df.select(name).distinct().collect()) if partition_by else ["all"]
+    # parts to be written whole, and those that get the batch on top
+    whole = [p for p in touched if p not in had or keep is not None or len(had[p]) > max_deltas]
+    rows = df.withColumn(_PART, name)
+    old = [p for p in whole if p in had]
+    if old:
+        fresh = rows.filter(F.col(_PART).isin(old)).drop(_PART).withColumn("__age", F.lit(1))
+        both = fresh.unionByName(_read(spark, root, base, old).select(*df.columns).withColumn("__age", F.lit(0)))
+        merged = _merged(both, keys, add or [], df.schema)
+        rows = rows.filter(~F.col(_PART).isin(old)).unionByName(merged.withColumn(_PART, name))
     if keep is not None:
-        merged = merged.filter(keep(merged) if callable(keep) else keep)
-    merged.write.mode("overwrite").parquet(_version_path(root, batch_id))
-    _prune(spark, root, retain)
-
-
-def read_kv(spark: SparkSession, root: str) -> DataFrame:
-    """The current content of an upsert store (its newest version)."""
-    return read_version(spark, root)
-
-
-def replace_kv(df: DataFrame, root: str, batch_id: int, retain: int = 2) -> None:
+        rows = rows.filter(keep(rows) if callable(keep) else keep)
+    folder = "data/" + uuid.uuid4().hex
+    # all columns stay in the files; the part is in the folder's name. Rows
+    # are balanced over tasks, a large part over several files
+    rows.hint("rebalance", F.col(_PART)).write.partitionBy(_PART).parquet(_at(root, folder))
+    parts = {p: f for p, f in had.items() if p not in whole}
+    for d in list_dirs(spark, _at(root, folder)):
+        p = unquote(d.split("=", 1)[1])
+        parts[p] = [*parts.get(p, []), f"{folder}/{d}"]
+    if drop_part:
+        parts = {p: f for p, f in parts.items() if not drop_part(p)}
+    _publish(spark, root, newest, base, run, batch_id, parts, df.schema, retain_seconds, keys, add or [])
+
+
+def replace_kv(df: DataFrame, root: str, batch_id: int, run: str = "",
+               retain_seconds: float = RETAIN_SECONDS) -> None:
     """Publish ``df`` as the whole content of the store from ``batch_id`` on."""
-    df.write.mode("overwrite").parquet(_version_path(root, batch_id))
-    _prune(df.sparkSession, root, retain)
+    spark = df.sparkSession
+    newest, base = _base(spark, root, run, batch_id)
+    folder = "data/" + uuid.uuid4().hex
+    df.write.parquet(_at(root, folder))
+    _publish(spark, root, newest, base, run, batch_id, {"all": [folder]}, df.schema, retain_seconds)
 
 
-def read_replaced(spark: SparkSession, root: str) -> DataFrame:
-    """The newest published version of a replace store."""
-    return read_version(spark, root)
+def read_replaced(spark: SparkSession, root: str) -> DataFrame | None:
+    """The newest published content of a replace store."""
+    return read_kv(spark, root)
