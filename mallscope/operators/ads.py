@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from mallscope.constants import BLACKLIST_THRESHOLD, TOP_ADS, TREND_SPAN_MINUTES
-from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute,
+from mallscope.functions.scalars import (MS_PER_MINUTE, epoch_ms_to_date, epoch_ms_to_minute,
                                          minute_to_hhmm, pairs_to_json)
-from mallscope.operators.joins import (broadcast_if_small, input_bytes_at_most, materialize,
-                                       materialize_small)
 from mallscope.operators.ranking import top_ranked
 
 DEFAULT_THRESHOLD = BLACKLIST_THRESHOLD
@@ -43,21 +41,12 @@ def blacklist_points(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     semantics) clicks are ordered by batch first and the batch of that click
     is returned as ``blocked_batch`` as well.
 
-    Only groups that reach the threshold matter: on inputs above the
-    broadcast bound their keys are found first with a partial aggregate (a
-    count per group; the shuffle carries one row per group and map task) and
-    written, and just the clicks of those groups go on to the ranking,
-    through a semi join with the size-checked key list. The ``row_number() = threshold`` filter there becomes a
-    WindowGroupLimit: each map task keeps at most ``threshold`` rows per
-    (date, user, ad), so even a bot with a third of all clicks ships a few
-    rows.
+    The ``row_number() <= threshold`` filter becomes a WindowGroupLimit: each
+    map task keeps at most ``threshold`` rows per (date, user, ad), so even a
+    bot with a third of all clicks ships a few rows.
     """
     order = ORDER_KEY if batch_col is None else (batch_col, *ORDER_KEY)
     r = with_date(ads.select("userid", "adid", *order))
-    if not input_bytes_at_most(r):
-        heavy = materialize_small(r.groupBy("date", "userid", "adid").count()
-                                   .filter(F.col("count") >= threshold).drop("count"))
-        r = r.join(heavy, ["date", "userid", "adid"], "left_semi")
     w = Window.partitionBy("date", "userid", "adid").orderBy(*order)
     hit = r.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") == threshold)
     out = [F.col("__bp.timestamp").alias("blocked_ts"),
@@ -79,15 +68,11 @@ def blacklist_filter(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
     so the whole batch in which the user reached the threshold passes and
     later batches are dropped.
 
-    The block table (one row per blocked user) is computed first and written
-    to the shared checkpoint folder; it is broadcast only when the written
-    files are below the byte bound, otherwise this is a shuffle join that AQE
-    splits when one user is hot.
+    ``points`` are the block points if they are known already (e.g. written
+    once for several results). AQE broadcasts them if they turn out small;
+    otherwise this is a shuffle join, split where one user is hot.
     """
-    if points is None:
-        bp = materialize_small(blacklist_points(ads, threshold, batch_col))
-    else:
-        bp = broadcast_if_small(points)
+    bp = blacklist_points(ads, threshold, batch_col) if points is None else points
     bp = bp.withColumnRenamed("userid", "__u")
     j = ads.join(bp, ads["userid"] == bp["__u"], "left")
     if batch_col is not None:
@@ -126,32 +111,42 @@ def top3_ads_json(ranked: DataFrame) -> DataFrame:
     return agg.select("date", "area", pairs_to_json("__l", "adid", "n").alias("top3_json"))
 
 
+def minute_counts(ads: DataFrame) -> DataFrame:
+    """Clicks per (adid, minute since the epoch)."""
+    return (ads.select("adid", epoch_ms_to_minute("timestamp").alias("minute"))
+               .groupBy("adid", "minute").agg(F.count(F.lit(1)).alias("n")))
+
+
 def ad_minute_counts(ads: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
-                     as_of_minute=None) -> DataFrame:
+                     as_of_minute: int | None = None) -> DataFrame:
     """Clicks per (adid, minute) for the trailing ``span_minutes``.
 
     ``as_of_minute`` (minutes since the epoch) defaults to the newest minute
-    in the data. Clicks are counted per (adid, minute) first (partial +
-    final aggregate, at most ads x minutes rows) and, when the newest minute
-    must be found, that aggregate is written once: the scalar subquery and
-    the span filter read the small table, so the clicks are read once.
-    Whole minute buckets with ``minute > as_of - span`` are kept. Spans of a
-    day or more are rejected because ``HH:mm`` labels would collide.
+    in the data, a scalar subquery over the click times alone. Either way the
+    span becomes a bound on the raw ``timestamp`` column, which reaches the
+    scan, and only the clicks in the span are counted. Whole minute buckets
+    with ``minute > as_of - span`` are kept. Spans of a day or more are
+    rejected because ``HH:mm`` labels would collide.
     """
+    _check_span(span_minutes)
+    if as_of_minute is None:
+        newest = ads.select(F.max("timestamp").alias("newest")).scalar()
+        first = (epoch_ms_to_minute(newest) - F.lit(span_minutes - 1)) * F.lit(MS_PER_MINUTE)
+        return trailing_minutes(minute_counts(ads.filter(F.col("timestamp") >= first)), span_minutes)
+    first = (as_of_minute - span_minutes + 1) * MS_PER_MINUTE
+    recent = ads.filter(F.col("timestamp") >= F.lit(first))
+    return trailing_minutes(minute_counts(recent), span_minutes, as_of_minute)
+
+
+def _check_span(span_minutes: int) -> None:
     if not 0 < span_minutes < 24 * 60:
         raise ValueError("span_minutes must be in 1..1439 (HH:mm labels repeat daily)")
-    counts = (ads.select("adid", epoch_ms_to_minute("timestamp").alias("minute"))
-                 .groupBy("adid", "minute").agg(F.count(F.lit(1)).alias("n")))
-    if as_of_minute is None:
-        counts = materialize(counts)
-    return trailing_minutes(counts, span_minutes, as_of_minute)
 
 
 def trailing_minutes(minute_counts: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
                      as_of_minute=None) -> DataFrame:
     """C3 on stored buckets: keep (adid, minute, n) rows of the trailing span, add ``hhmm``."""
-    if not 0 < span_minutes < 24 * 60:
-        raise ValueError("span_minutes must be in 1..1439 (HH:mm labels repeat daily)")
+    _check_span(span_minutes)
     m = minute_counts.select("adid", "minute", "n")
     as_of = F.lit(as_of_minute) if as_of_minute is not None else m.select(F.max("minute")).scalar()
     return (m.filter(F.col("minute") > as_of - F.lit(span_minutes))

@@ -28,6 +28,19 @@ KAFKA_PARTITION_SLOTS = 10_000
 DEFAULT_MAX_OFFSETS_PER_TRIGGER = 5_000_000
 
 
+# Files a micro-batch of a file source takes at most.
+DEFAULT_MAX_FILES_PER_TRIGGER = 256
+
+
+def kafka_event_id(partition: str, offset: str):
+    """A unique number per record of one topic; fails on a partition number
+    that has no slot rather than giving two records one id."""
+    p = F.col(partition)
+    slot = F.when(p < KAFKA_PARTITION_SLOTS, p).otherwise(
+        F.raise_error(F.concat(F.lit("no event id slot for partition "), p.cast("string"))).cast("int"))
+    return F.col(offset) * KAFKA_PARTITION_SLOTS + slot
+
+
 def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = None,
                   starting_offsets: dict | str | None = None,
                   max_offsets_per_trigger: int | None = DEFAULT_MAX_OFFSETS_PER_TRIGGER,
@@ -54,20 +67,26 @@ def kafka_options(bootstrap_servers: str, topic: str, group_id: str | None = Non
 
 
 def read_ad_stream(spark: SparkSession, fmt: str = "kafka", path: str | None = None,
-                   options: dict | None = None, max_files_per_trigger: int | None = None
+                   options: dict | None = None,
+                   max_files_per_trigger: int | None = DEFAULT_MAX_FILES_PER_TRIGGER
                    ) -> DataFrame:
     """S3: a streaming DataFrame with a text ``line`` column (+ source columns).
 
     ``fmt="kafka"``: key/value are cast to text, topic/partition/offset kept
     for offset capture, and ``event_id`` = offset x ``KAFKA_PARTITION_SLOTS`` +
-    partition (unique while a topic has fewer partitions than that). ``fmt="parquet"``: files with ``line`` (and
-    ``event_id``) columns, e.g. written by ``render_ad_log``.
+    partition. That is unique within one topic of fewer partitions than that,
+    so anything else is refused: several topics here, a larger partition
+    number when it is read. ``fmt="parquet"``: files with ``line`` (and
+    ``event_id``) columns, e.g. written by ``render_ad_log``; a micro-batch
+    takes at most ``max_files_per_trigger`` of them.
     """
     r = spark.readStream
     if fmt == "kafka":
+        if "subscribePattern" in (options or {}) or "," in (options or {}).get("subscribe", ""):
+            raise ValueError("read one topic a stream: offsets of several topics give equal event ids")
         df = r.format("kafka").options(**(options or {})).load()
         # a unique tie-break per click: offsets are unique per topic partition
-        eid = F.col("offset") * KAFKA_PARTITION_SLOTS + F.col("partition")
+        eid = kafka_event_id("partition", "offset")
         return df.select(F.col("value").cast("string").alias("line"), eid.alias("event_id"),
                          F.col("key").cast("string").alias("key"),
                          "topic", "partition", "offset")
@@ -89,13 +108,11 @@ def offset_ranges(rows: DataFrame) -> DataFrame:
 
 def record_offsets(root: str):
     """S7 on a stream: a ``foreachBatch`` function that stores each batch's
-    offset ranges (topic, partition, from, until) as version ``batch_id``
-    of a store under ``root``; replaying a batch rewrites the same version.
+    offset ranges (topic, partition, from, until) in a folder of its own
+    under ``root``; replaying a batch rewrites the same folder.
     """
-    from mallscope.sinks.kv import replace_kv
-
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        replace_kv(offset_ranges(batch), root, batch_id, retain=0)
+        offset_ranges(batch).write.mode("overwrite").parquet(f"{root.rstrip('/')}/batch_id={batch_id}")
     return on_batch
 
 

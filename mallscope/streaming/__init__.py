@@ -1,4 +1,4 @@
-"""Structured Streaming: query start, per-user blacklist state, the ad dashboard."""
+"""Structured Streaming: query start, the blacklist of a micro-batch, the ad dashboard."""
 
-from mallscope.streaming.blacklist import blacklist_filter_stream
+from mallscope.streaming.blacklist import batch_block_points, passed, unblocked
 from mallscope.streaming.queries import DEFAULT_TRIGGER, start_query

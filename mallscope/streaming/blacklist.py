@@ -1,98 +1,62 @@
-"""C5 on a stream: per-user state that counts clicks and blocks the user.
-
-State per user: the block flag and the click counts per (date, adid) seen
-so far. Inside a micro-batch a user's clicks are taken in
-(timestamp, event_id) order; the click that brings one (date, adid) count to
-the threshold is kept, every later click of that user is dropped, for ever.
-Across batches the arrival order rules, as on the live stream. With clicks
-arriving in time order this equals the batch closed form
-``mallscope.operators.ads.blacklist_filter``.
-
-Each call sees one user's clicks of one micro-batch, so its size is bounded
-by the trigger's batch size (``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``),
-not by the stream.
+"""C5 on a stream: one micro-batch through the blacklist.
+
+DataFrame steps only. The clicks of users blocked earlier go first, by an
+anti join with the published block set, before anything is grouped. Of the
+rest only counts per (date, user, ad) meet the stored counters; clicks are
+ranked only in groups that reach the threshold, and there the rank limit lets
+each map task ship at most ``threshold`` of a group, however many clicks a
+bot sends.
 """
 
 from __future__ import annotations
 
-import json
-
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
 
-from mallscope.functions.scalars import epoch_ms_to_date, epoch_ms_to_timestamp
-from mallscope.operators.ads import DEFAULT_THRESHOLD
+from mallscope.operators.ads import DEFAULT_THRESHOLD, ORDER_KEY, user_ad_daily_counts, with_date
 
-CLICK_COLUMNS = ["timestamp", "area", "city", "userid", "adid", "event_id"]
-OUTPUT_SCHEMA = ("timestamp long, area string, city string, userid string, adid string, "
-                 "event_id long")
-STATE_SCHEMA = "blocked boolean, counts string"
+COUNTER_KEYS = ["date", "userid", "adid"]
+BLOCKED_SCHEMA = "userid string, blocked_ts bigint, blocked_event_id bigint"
+COUNTERS_SCHEMA = "date string, userid string, adid string, n bigint"
 
 
-DAY_MS = 86_400_000
+def unblocked(clicks: DataFrame, blocked: DataFrame) -> DataFrame:
+    """Clicks of users not in the block set (userid); a null user is never blocked."""
+    return clicks.join(blocked.select(F.col("userid").alias("__b")), F.col("userid") == F.col("__b"), "left_anti")
 
 
-def _make_state_fn(threshold: int, keep_days: int | None, expire: bool = False):
-    def step(key, batches, state):
-        if expire and state.hasTimedOut:
-            # the watermark passed this quiet user's newest day + keep_days:
-            # their counters can no longer reach the threshold
-            state.remove()
-            return
-        if state.exists:
-            blocked, counts_text = state.get
-            counts = json.loads(counts_text) if counts_text else {}
-        else:
-            blocked, counts = False, {}
-        frames = [b for b in batches if len(b)]
-        if not frames:
-            return
-        pdf = pd.concat(frames, ignore_index=True)
-        if blocked:
-            state.update((True, ""))
-            return
-        pdf = pdf.sort_values(["timestamp", "event_id"], kind="mergesort").reset_index(drop=True)
-        k = pdf["date"] + "|" + pdf["adid"].astype(str)
-        running = pdf.groupby(k, sort=False).cumcount() + 1 + k.map(counts).fillna(0).astype("int64")
-        hits = running.index[running >= threshold]
-        if len(hits):
-            pdf = pdf.iloc[: hits[0] + 1]
-            state.update((True, ""))      # blocked for ever; counters no longer needed
-        else:
-            for key_, n in k.value_counts().items():
-                counts[key_] = int(counts.get(key_, 0)) + int(n)
-            newest = max(c.split("|")[0] for c in counts)
-            if keep_days is not None:
-                cutoff = (pd.Timestamp(newest) - pd.Timedelta(days=keep_days)).strftime("%Y-%m-%d")
-                counts = {c: n for c, n in counts.items() if c.split("|")[0] >= cutoff}
-            state.update((False, json.dumps(counts)))
-            if expire:
-                day_end = int(pd.Timestamp(newest).value // 1_000_000) + DAY_MS
-                state.setTimeoutTimestamp(day_end + (keep_days or 0) * DAY_MS)
-        yield pdf[CLICK_COLUMNS]
-    return step
+def batch_block_points(fresh: DataFrame, counters: DataFrame, threshold: int = DEFAULT_THRESHOLD) -> DataFrame:
+    """Users whose click count on some ad and day reaches ``threshold`` with
+    this batch, and the click that does it: (userid, blocked_ts, blocked_event_id).
 
-
-def blacklist_filter_stream(clicks: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-                            keep_days: int | None = None,
-                            watermark: str | None = None) -> DataFrame:
-    """Streaming C5: the clicks that pass the blacklist (append mode output).
-
-    ``keep_days`` drops a user's counters of days older than their newest
-    day minus ``keep_days`` (exact when clicks of a day stop arriving after
-    that); ``None`` keeps every counter. With ``watermark`` as well, a user
-    who is not blocked and goes quiet is removed from the state once the
-    event-time watermark passes their newest day plus ``keep_days``
-    (an event-time timeout), so the state holds active users and the
-    blocked flags only.
+    ``fresh`` are clicks of users not blocked before, ``counters`` the stored
+    (date, userid, adid, n) before the batch.
+    """
+    counts = user_ad_daily_counts(fresh).withColumnRenamed("n", "__new")
+    stored = counters.select(*COUNTER_KEYS, F.col("n").alias("__had"))
+    reach = (counts.join(stored, COUNTER_KEYS, "left")
+             .select(*COUNTER_KEYS, (F.lit(threshold) - F.coalesce("__had", F.lit(0))).alias("__need"), "__new")
+             .filter((F.col("__new") >= F.col("__need")) & F.col("userid").isNotNull()).drop("__new"))
+    rows = with_date(fresh.select("userid", "adid", *ORDER_KEY)).join(reach, COUNTER_KEYS)
+    w = Window.partitionBy(*COUNTER_KEYS).orderBy(*ORDER_KEY)
+    # the constant limit is what each map task can apply
+    hit = (rows.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= threshold)
+           .filter(F.col("__rn") == F.greatest(F.col("__need"), F.lit(1))))
+    return (hit.groupBy("userid").agg(F.min(F.struct(*ORDER_KEY)).alias("__p"))
+            .select("userid", F.col("__p.timestamp").alias("blocked_ts"),
+                    F.col("__p.event_id").alias("blocked_event_id")))
+
+
+def passed(fresh: DataFrame, points: DataFrame, micro_batch: bool = False) -> DataFrame:
+    """The clicks of ``fresh`` that the blacklist lets through.
+
+    Record-exact: a user's clicks up to the blocking one. ``micro_batch``: the
+    set is read when the batch starts, so the whole batch passes and the users
+    in ``points`` are dropped from the next batch on.
     """
-    c = clicks.select(*CLICK_COLUMNS).withColumn("date", epoch_ms_to_date("timestamp"))
-    expire = watermark is not None
-    if expire:
-        c = (c.withColumn("event_time", epoch_ms_to_timestamp("timestamp"))
-              .withWatermark("event_time", watermark))
-    timeout = GroupStateTimeout.EventTimeTimeout if expire else GroupStateTimeout.NoTimeout
-    return c.groupBy("userid").applyInPandasWithState(
-        _make_state_fn(threshold, keep_days, expire), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        timeout)
+    if micro_batch:
+        return fresh
+    p = points.select(F.col("userid").alias("__u"), "blocked_ts", "blocked_event_id")
+    at = F.struct(F.col("blocked_ts").alias("timestamp"), F.col("blocked_event_id").alias("event_id"))
+    j = fresh.join(p, F.col("userid") == F.col("__u"), "left")
+    return j.filter(F.col("__u").isNull() | (F.struct(*ORDER_KEY) <= at)).select(*fresh.columns)

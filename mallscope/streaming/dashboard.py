@@ -1,136 +1,79 @@
-"""C2 C3 C7 C8 + K4-K6: the live ad dashboard as three restartable queries.
-
-1. ``kept``   lines -> parse -> per-user blacklist state -> kept clicks (Parquet sink).
-2. ``daily``  kept clicks -> running count per (date, area, city, adid) in the
-   state store (update mode) -> upsert the changed totals (R6); re-rank only
-   the (date, area) groups the batch touched -> upsert their top-3 JSON (R7).
-3. ``trend``  kept clicks -> event-time minute buckets with a watermark
-   (update mode) -> upsert changed buckets; publish the trailing-span JSON
-   per ad as a whole new version (R8).
-
-Every ``foreachBatch`` writes versioned folders keyed by ``batch_id``, so a
-replayed batch rewrites the same version and the stores stay exact.
+"""C2 C3 C5 C7 C8 + K4-K8: the live ad dashboard as one restartable query.
+
+Each micro-batch of lines is parsed once, goes through the blacklist and
+feeds every result (``foreachBatch``); what must be remembered between batches
+lies in keyed stores, which the dashboard's readers see too:
+
+==========  ======================================================
+blocked     K8 the blocked users and the click that blocked each
+counters    K7 kept clicks per (date, user, ad)
+kept        R5 the clicks that passed, a folder per batch
+r6          running clicks per (date, area, city, ad)
+r7          top-3 ads per (date, area) as JSON
+minutes, r8 the trailing minutes and their JSON per ad
+rejects     lines that are no clicks
+late        valid clicks of days that are closed (``keep_days``)
+audit       per batch: lines = kept + blocked + rejected + late
+==========  ======================================================
+
+The stores know run and batch, so a replayed batch finds them as they were
+before it and writes the same again. Work per batch follows the batch: only
+the days it touches are read and written.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+import json
 import os
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mallscope.functions.adlog import parse_ad_log, render_ad_log
-from mallscope.functions.scalars import epoch_ms_to_date, epoch_ms_to_timestamp
 from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad_minute_json,
-                                     date_area_ad_rollup, date_area_city_ad_count,
-                                     top3_ads_by_area, top3_ads_json, trailing_minutes)
+                                     date_area_ad_rollup, date_area_city_ad_count, minute_counts,
+                                     top3_ads_by_area, top3_ads_json, trailing_minutes,
+                                     user_ad_daily_counts, with_date)
 from mallscope.session import checkpoint_root
-from mallscope.sources.files import publish_folder
-from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
-from mallscope.sources.streams import LINE_SCHEMA
-from mallscope.streaming.blacklist import blacklist_filter_stream
-from mallscope.streaming.queries import start_query
+from mallscope.sinks.kv import part_names, read_kv, read_replaced, replace_kv, upsert_kv
+from mallscope.sources.files import publish_folder, read_text
+from mallscope.sources.streams import read_ad_stream
+from mallscope.streaming.blacklist import (BLOCKED_SCHEMA, COUNTER_KEYS, COUNTERS_SCHEMA,
+                                           batch_block_points, passed, unblocked)
+from mallscope.streaming.queries import DEFAULT_TRIGGER, start_query
 
 KEPT_SCHEMA = T.StructType([
     T.StructField("timestamp", T.LongType()), T.StructField("area", T.StringType()),
     T.StructField("city", T.StringType()), T.StructField("userid", T.StringType()),
     T.StructField("adid", T.StringType()), T.StructField("event_id", T.LongType())])
+REJECT_SCHEMA = "line string, event_id bigint"
+AUDIT_SCHEMA = "lines bigint, kept bigint, blocked bigint, rejected bigint, late bigint"
 R6_KEYS = ["date", "area", "city", "adid"]
 R7_KEYS = ["date", "area"]
 MINUTE_KEYS = ["adid", "minute"]
-# Default: how late a click may arrive and still count in its minute.
-DEFAULT_WATERMARK = "10 minutes"
 
 
 def paths(root: str) -> dict:
-    names = ["src", "kept", "r6", "r7", "minutes", "r8"]
-    p = {n: os.path.join(root, n) for n in names}
-    p.update({f"ck_{n}": os.path.join(root, "_checkpoints", n) for n in ["kept", "daily", "trend"]})
-    return p
-
-
-def start_kept(spark: SparkSession, root: str, threshold: int = DEFAULT_THRESHOLD,
-               trigger: dict | None = None, max_files_per_trigger: int | None = None,
-               lines: DataFrame | None = None, keep_days: int | None = None,
-               watermark: str | None = None):
-    """Query 1: text lines -> kept clicks in ``root/kept``.
-
-    ``lines`` is any streaming DataFrame with ``line`` and ``event_id``
-    columns (e.g. ``read_ad_stream(spark, "kafka", ...)`` with the Kafka
-    offset as ``event_id``); by default the Parquet files in ``root/src``.
-    ``keep_days`` / ``watermark`` bound the per-user state (see
-    ``blacklist_filter_stream``).
-    """
-    p = paths(root)
-    if lines is None:
-        # files directly in src, or in slice=N folders published by a rename
-        r = spark.readStream.schema(LINE_SCHEMA).option("basePath", p["src"])
-        if max_files_per_trigger:
-            r = r.option("maxFilesPerTrigger", str(max_files_per_trigger))
-        lines = r.parquet(p["src"])
-    kept = blacklist_filter_stream(parse_ad_log(lines, keep=["event_id"]), threshold,
-                                   keep_days=keep_days, watermark=watermark)
-    return start_query(kept, p["ck_kept"], sink="parquet", path=p["kept"], trigger=trigger)
-
-
-def _daily_batch(spark: SparkSession, root: str):
-    p = paths(root)
+    names = ["src", "kept", "blocked", "counters", "r6", "r7", "minutes", "r8", "rejects", "late", "audit"]
+    return {n: os.path.join(root, n) for n in names} | {"checkpoint": os.path.join(root, "_checkpoint")}
 
-    def on_batch(changed: DataFrame, batch_id: int) -> None:
-        changed = changed.persist()
-        upsert_kv(changed, p["r6"], batch_id, R6_KEYS)
-        # re-rank only the (date, area) groups this batch touched; the list
-        # is bounded by the batch (and by dates x areas)
-        touched = changed.select(*R7_KEYS).distinct()
-        totals = read_kv(spark, p["r6"]).join(touched, R7_KEYS, "left_semi")
-        upsert_kv(top3_ads_json(top3_ads_by_area(date_area_ad_rollup(totals))), p["r7"], batch_id,
-                  R7_KEYS)
-        changed.unpersist()
-    return on_batch
-
-
-def daily_counts(kept: DataFrame, expire_after: str | None = None) -> DataFrame:
-    """C2 on a stream: running clicks per (date, area, city, adid).
-
-    Without ``expire_after`` the totals are kept for ever. With it the day is
-    an event-time window (UTC days, the same ``date``) under a watermark of
-    ``expire_after``: a day's state is dropped once the watermark passes its
-    end, and clicks later than that are not counted.
-    """
-    if expire_after is None:
-        return date_area_city_ad_count(kept)
-    ev = kept.withColumn("event_time", epoch_ms_to_timestamp("timestamp")) \
-             .withWatermark("event_time", expire_after)
-    agg = ev.groupBy(F.window("event_time", "1 day"), "area", "city", "adid").count()
-    return agg.select(epoch_ms_to_date(F.unix_millis(F.col("window.start"))).alias("date"),
-                      "area", "city", "adid", F.col("count").alias("n"))
-
-
-def start_daily(spark: SparkSession, root: str, trigger: dict | None = None,
-                expire_after: str | None = None):
-    """Query 2 (C2 + C7): running totals per (date, area, city, adid) and top-3 per (date, area)."""
-    p = paths(root)
-    kept = spark.readStream.schema(KEPT_SCHEMA).parquet(p["kept"])
-    counts = daily_counts(kept, expire_after)
-    return start_query(counts, p["ck_daily"], output_mode="update",
-                       on_batch=_daily_batch(spark, root), trigger=trigger)
 
+def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gave the query of a checkpoint; it stays the same
+    over restarts, and a new checkpoint has another one."""
+    return json.loads(read_text(spark, os.path.join(checkpoint, "metadata")))["id"]
 
-def _trend_batch(spark: SparkSession, root: str, span_minutes: int):
-    p = paths(root)
 
-    def on_batch(changed: DataFrame, batch_id: int) -> None:
-        buckets = changed.select(
-            "adid", (F.unix_seconds(F.col("window.start")) / 60).cast("bigint").alias("minute"),
-            F.col("count").alias("n"))
-        # the bucket store keeps only the trailing span, so it stays bounded
-        upsert_kv(buckets, p["minutes"], batch_id, MINUTE_KEYS, keep=_in_span(span_minutes))
-        recent = trailing_minutes(read_kv(spark, p["minutes"]), span_minutes)
-        replace_kv(ad_minute_json(recent), p["r8"], batch_id)
-    return on_batch
+def _day_before(day: str, days: int) -> str:
+    return (dt.date.fromisoformat(day) - dt.timedelta(days=days)).isoformat()
+
+
+def _append(df: DataFrame, root: str, run: str, batch_id: int) -> None:
+    """A batch's rows in a folder of its own; a replay overwrites it."""
+    df.hint("rebalance").write.mode("overwrite").parquet(f"{root}/run={run}/batch_id={batch_id}")
 
 
 def _in_span(span_minutes: int):
@@ -140,144 +83,150 @@ def _in_span(span_minutes: int):
     return keep
 
 
-def start_trend(spark: SparkSession, root: str, span_minutes: int = DEFAULT_SPAN_MINUTES,
-                watermark: str = DEFAULT_WATERMARK, trigger: dict | None = None):
-    """Query 3 (C3): per-minute clicks per ad by event time, trailing-span JSON."""
-    p = paths(root)
-    kept = spark.readStream.schema(KEPT_SCHEMA).parquet(p["kept"])
-    ev = kept.withColumn("event_time", epoch_ms_to_timestamp("timestamp")).withWatermark("event_time", watermark)
-    agg = ev.groupBy(F.window("event_time", "1 minute"), "adid").count()
-    return start_query(agg, p["ck_trend"], output_mode="update",
-                       on_batch=_trend_batch(spark, root, span_minutes), trigger=trigger)
-
-
-@contextmanager
-def state_partitions(spark: SparkSession, n: int | None):
-    """Start stateful queries with ``n`` state partitions.
+def process_batch(spark: SparkSession, root: str, lines: DataFrame, run: str, batch_id: int,
+                  threshold: int = DEFAULT_THRESHOLD, span_minutes: int = DEFAULT_SPAN_MINUTES,
+                  micro_batch: bool = False, keep_days: int | None = None) -> None:
+    """One micro-batch of (line, event_id) through the blacklist into all stores.
 
-    A stateful query takes its partition count from
-    ``spark.sql.shuffle.partitions`` when it first starts and keeps it in its
-    checkpoint; size it to the state (users, keys), not to the batch.
+    With ``keep_days`` the days older than the newest day seen before the
+    batch minus ``keep_days`` are closed: their counters are dropped, and
+    valid clicks that still arrive for them go to ``late`` instead of the
+    results.
     """
-    if n is None:
-        yield
-        return
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", str(n))
-    try:
-        yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
+    p = paths(root)
+    at = {"batch_id": batch_id, "run": run}
+    me = (run, batch_id)
+    parsed = parse_ad_log(lines, keep=["event_id", "line"], with_rejects=True).persist()
+    clicks = with_date(parsed.filter("ok").select(*KEPT_SCHEMA.names))
+    days = part_names(spark, p["counters"], before=me)
+    closed = _day_before(days[-1], keep_days) if keep_days is not None and days else None
+    late = clicks.filter(F.col("date") < closed) if closed else clicks.limit(0)
+    open_clicks = clicks.filter(F.col("date") >= closed) if closed else clicks
+
+    blocked = read_kv(spark, p["blocked"], before=me)
+    blocked = spark.createDataFrame([], BLOCKED_SCHEMA) if blocked is None else blocked
+    fresh = unblocked(open_clicks, blocked).persist()
+    touched = sorted(r[0] for r in fresh.select("date").distinct().collect())
+    counters = read_kv(spark, p["counters"], parts=touched, before=me)
+    counters = spark.createDataFrame([], COUNTERS_SCHEMA) if counters is None else counters
+    points = batch_block_points(fresh, counters, threshold).persist()
+    kept = passed(fresh, points, micro_batch).persist()
+
+    rejects = parsed.filter("not ok").select("line", "event_id")
+    _append(rejects, p["rejects"], run, batch_id)
+    _append(late.select(*KEPT_SCHEMA.names), p["late"], run, batch_id)
+    _append(kept.select(*KEPT_SCHEMA.names), p["kept"], run, batch_id)
+    n = {"lines": parsed.count(), "kept": kept.count(), "rejected": rejects.count(),
+         "late": late.count() if closed else 0}
+    n["blocked"] = n["lines"] - n["kept"] - n["rejected"] - n["late"]
+    _append(spark.createDataFrame([tuple(n[c.split()[0]] for c in AUDIT_SCHEMA.split(", "))], AUDIT_SCHEMA),
+            p["audit"], run, batch_id)
+
+    upsert_kv(user_ad_daily_counts(kept), p["counters"], keys=COUNTER_KEYS, partition_by=["date"], add=["n"],
+              drop_part=(lambda day: day < closed) if closed else None, **at)
+    upsert_kv(points, p["blocked"], keys=["userid"], **at)
+    r6 = date_area_city_ad_count(kept).persist()
+    upsert_kv(r6, p["r6"], keys=R6_KEYS, partition_by=["date"], add=["n"], **at)
+    # re-rank only the (date, area) groups this batch touched, from their days alone
+    groups = r6.select(*R7_KEYS).distinct()
+    totals = read_kv(spark, p["r6"], parts=touched).join(groups, R7_KEYS, "left_semi")
+    upsert_kv(top3_ads_json(top3_ads_by_area(date_area_ad_rollup(totals))), p["r7"], keys=R7_KEYS,
+              partition_by=["date"], **at)
+    # the minute store keeps the trailing span only, so it stays small
+    upsert_kv(minute_counts(kept), p["minutes"], keys=MINUTE_KEYS, add=["n"], keep=_in_span(span_minutes), **at)
+    replace_kv(ad_minute_json(trailing_minutes(read_kv(spark, p["minutes"]), span_minutes)), p["r8"], **at)
+    for df in (parsed, fresh, points, kept, r6):
+        df.unpersist()
 
 
 def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
-                     threshold: int = DEFAULT_THRESHOLD,
-                     span_minutes: int = DEFAULT_SPAN_MINUTES,
-                     trigger: dict | None = None, partitions: int | None = None,
-                     keep_days: int | None = None, watermark: str | None = None) -> list:
-    """Start the three dashboard queries on a live ``lines`` stream.
-
-    Returns the query handles; each resumes from its checkpoint under
-    ``root/_checkpoints`` when started again. The kept-clicks query must have
-    committed once before the two readers of its output start.
+                     threshold: int = DEFAULT_THRESHOLD, span_minutes: int = DEFAULT_SPAN_MINUTES,
+                     trigger: dict | None = None, micro_batch: bool = False,
+                     keep_days: int | None = None):
+    """Start the dashboard on a live ``lines`` stream; returns the query handle.
+
+    ``lines`` has ``line`` and ``event_id`` columns, e.g. from
+    ``read_ad_stream``, whose sources bound a batch. Nothing waits here: the
+    query runs at ``trigger`` (3 s) and resumes from its checkpoint under
+    ``root`` when started again. ``micro_batch`` reads the block set at batch
+    start and raises the counters after the batch; without it a user is cut
+    off at the very click. ``keep_days`` bounds the counters (see
+    ``process_batch``).
     """
-    from mallscope.streaming.queries import DEFAULT_TRIGGER
-    trig = trigger or DEFAULT_TRIGGER
-    with state_partitions(spark, partitions):
-        kq = start_kept(spark, root, threshold, trigger=trig, lines=lines,
-                        keep_days=keep_days, watermark=watermark)
-        kq.processAllAvailable()
-        return [kq, start_daily(spark, root, trigger=trig),
-                start_trend(spark, root, span_minutes, trigger=trig)]
+    p = paths(root)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        run = checkpoint_id(batch.sparkSession, p["checkpoint"])
+        process_batch(batch.sparkSession, root, batch.select("line", "event_id"), run, batch_id, threshold,
+                      span_minutes, micro_batch, keep_days)
+
+    return start_query(lines, p["checkpoint"], on_batch=on_batch, trigger=trigger or DEFAULT_TRIGGER)
 
 
-def write_slices(ads: DataFrame, src: str, slices: int):
+def write_slices(ads: DataFrame, src: str, slices: int, bounds: list[int] | None = None, render=render_ad_log):
     """Yield after publishing each time slice of ``ads`` as lines under ``src``.
 
-    Slice bounds are approximate quantiles of the click time, so slices are
-    similar in size. Each slice is written by one job into a staging folder
-    (it may hold many files) and then moved to ``src/slice=N`` with one
-    rename, so a running file stream sees a slice whole or not at all.
+    Slice bounds are approximate quantiles of the click time, or ``bounds``.
+    Each slice is written by one job into a staging folder (it may hold many
+    files) and then moved to ``src/slice=N`` with one rename, so a running
+    file stream sees a slice whole or not at all.
     """
-    probs = [i / slices for i in range(1, slices)]
-    bounds = ads.approxQuantile("timestamp", probs, 0.001) if slices > 1 else []
+    if bounds is None:
+        probs = [i / slices for i in range(1, slices)]
+        bounds = ads.approxQuantile("timestamp", probs, 0.001) if slices > 1 else []
     edges = [None, *bounds, None]
-    for i in range(slices):
+    for i in range(len(edges) - 1):
         part = ads
         if edges[i] is not None:
             part = part.filter(F.col("timestamp") >= F.lit(int(edges[i])))
         if edges[i + 1] is not None:
             part = part.filter(F.col("timestamp") < F.lit(int(edges[i + 1])))
         staging = f"{src.rstrip('/')}_staging/slice={i}"
-        render_ad_log(part, keep=["event_id"]).write.mode("overwrite").parquet(staging)
+        render(part, keep=["event_id"]).write.mode("overwrite").parquet(staging)
         publish_folder(ads.sparkSession, staging, f"{src.rstrip('/')}/slice={i}")
         yield i
 
 
 def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
-           span_minutes: int = DEFAULT_SPAN_MINUTES, slices: int = 4,
-           restart_after: int | None = None, root: str | None = None,
-           partitions: int | None = 8, expire_after: str | None = None,
-           keep_days: int | None = None, watermark: str | None = None) -> str:
+           span_minutes: int = DEFAULT_SPAN_MINUTES, slices: int = 4, restart_after: int | None = None,
+           root: str | None = None, micro_batch: bool = False, keep_days: int | None = None,
+           bounds: list[int] | None = None, render=render_ad_log) -> str:
     """Feed ``ads`` through the dashboard slice by slice; return the output root.
 
-    The three queries keep running; each slice is published whole (one
-    folder rename) and all queries drain it before the next. With
-    ``restart_after=i`` every query is stopped after slice ``i`` and started
-    again from its checkpoint (recovery test). ``partitions`` is the state
-    partition count of the stateful queries.
+    For finished data: each slice is published whole (one folder rename) and
+    drained before the next. With ``restart_after=i`` the query is stopped
+    after slice ``i`` and started again from its checkpoint (recovery test).
     """
     root = root or os.path.join(checkpoint_root(spark), "dashboard-" + uuid.uuid4().hex[:12])
-    p = paths(root)
-    qs: list = []
-
-    def start_all():
-        with state_partitions(spark, partitions):
-            kq = start_kept(spark, root, threshold, keep_days=keep_days, watermark=watermark)
-            kq.processAllAvailable()
-            return [kq, start_daily(spark, root, expire_after=expire_after),
-                    start_trend(spark, root, span_minutes)]
-
+    src = paths(root)["src"]
+    query = None
     try:
-        for i in write_slices(ads, p["src"], slices):
-            if not qs:
-                qs = start_all()
-            for q in qs:
-                q.processAllAvailable()
+        for i in write_slices(ads, src, slices, bounds, render):
+            if query is None:
+                lines = read_ad_stream(spark, "parquet", path=src, options={"basePath": src})
+                query = run_ad_dashboard(spark, root, lines, threshold, span_minutes,
+                                         {"processingTime": "0 seconds"}, micro_batch, keep_days)
+            query.processAllAvailable()
             if restart_after is not None and i == restart_after:
-                for q in qs:
-                    q.stop()
-                qs = []
+                query.stop()
+                query = None
     finally:
-        for q in qs:
-            q.stop()
+        if query is not None:
+            query.stop()
     return root
 
 
 def read_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
-    """The dashboard stores as DataFrames."""
+    """The dashboard's stores as DataFrames."""
     p = paths(root)
-    return {
-        "kept": spark.read.schema(KEPT_SCHEMA).parquet(p["kept"]),
-        "r6": read_kv(spark, p["r6"]),
-        "r7": read_kv(spark, p["r7"]),
-        "minutes": read_kv(spark, p["minutes"]),
-        "r8": read_replaced(spark, p["r8"]),
-    }
-
-
-_RUNS: dict = {}
-
-
-def replay_once(spark: SparkSession, sf_key: str, ads: DataFrame, threshold: int,
-                span_minutes: int, slices: int = 4, restart_after: int | None = None,
-                **bounds) -> str:
-    """``replay`` memoised per input and parameters within this process.
-
-    ``bounds`` are the state bounds of ``replay`` (expire_after, keep_days,
-    watermark).
-    """
-    key = (sf_key, threshold, span_minutes, slices, restart_after, tuple(sorted(bounds.items())))
-    if key not in _RUNS:
-        _RUNS[key] = replay(spark, ads, threshold, span_minutes, slices, restart_after, **bounds)
-    return _RUNS[key]
+    # the run and batch of a row are in its folder's name
+    per_batch = {"kept": KEPT_SCHEMA, "late": KEPT_SCHEMA, "rejects": REJECT_SCHEMA, "audit": AUDIT_SCHEMA}
+    out = {}
+    for name, schema in per_batch.items():
+        rows = spark.read.parquet(p[name])
+        names = schema.names if isinstance(schema, T.StructType) else [c.split()[0] for c in schema.split(", ")]
+        out[name] = rows.select(*names)
+    for name in ("blocked", "counters", "r6", "r7", "minutes"):
+        out[name] = read_kv(spark, p[name])
+    out["r8"] = read_replaced(spark, p["r8"])
+    return out
