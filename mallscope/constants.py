@@ -14,6 +14,8 @@ AD_LINE_FIELDS = ["timestamp", "area", "city", "userid", "adid"]   # stream line
 BLACKLIST_THRESHOLD = 50            # R5: clicks of one user on one ad in one day that block the user
 TOP_ADS = 3                         # R7: ads kept per (date, area)
 TREND_SPAN_MINUTES = 3              # R8: trailing span of the per-minute trend
+TOP3_KEY_PREFIX = "top3_ads_per_day:"                              # R7: hash key of a date
+TREND_KEY = "last_hour_ads_click"                                  # R8: hash key of the trend
 BATCH_INTERVAL = "3 seconds"        # stream micro-batch interval
 RESULT_TABLES = {"r1": "category_top10", "r2": "category_session_top10",
                  "r3": "jump_page_ratio", "r4": "area_count_info"}

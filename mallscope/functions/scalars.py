@@ -60,10 +60,6 @@ def minute_to_hhmm(minute) -> Column:
                            F.pmod(m, F.lit(60)).cast("int"))
 
 
-def epoch_ms_to_hhmm(c) -> Column:
-    return minute_to_hhmm(epoch_ms_to_minute(c))
-
-
 def epoch_ms_to_timestamp(c) -> Column:
     """Epoch ms -> TIMESTAMP (an instant; usable for watermarks)."""
     return F.timestamp_millis(_c(c))

@@ -7,13 +7,11 @@ from mallscope.operators.actions import (category_action_counts, category_counts
                                          session_counts_for_users, users_in_age)
 from mallscope.operators.ads import (ad_minute_counts, ad_minute_json, blacklist_filter,
                                      blacklist_points, date_area_ad_rollup,
-                                     date_area_city_ad_count, top3_ads_by_area, top3_ads_json,
+                                     date_area_city_ad_count, minute_counts, top3_ads_by_area,
+                                     top3_ads_json,
                                      trailing_minutes, user_ad_daily_counts, with_date)
-from mallscope.operators.joins import (broadcast_if_small, click_star_join, drop_in,
-                                       input_bytes_at_most, keep_in, materialize,
-                                       materialize_small)
+from mallscope.operators.joins import click_star_join, drop_in, keep_in, materialize
 from mallscope.operators.ranking import top_ranked
-from mallscope.operators.sequences import (action_minute, flow_pairs_column, jump_ratio,
-                                           page_flow_pairs, page_jump_counts, page_view_counts,
+from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts, page_view_counts,
                                            session_chunks, session_transitions)
 from mallscope.operators.shares import item_counts, top_share_text

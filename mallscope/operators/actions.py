@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from mallscope.constants import TOP_CATEGORIES
 from mallscope.functions.scalars import split_ids
-from mallscope.operators.joins import (DEFAULT_BROADCAST_BYTES, broadcast_if_small,
-                                       input_bytes_at_most)
 
 KINDS = ("click", "order", "pay")
 
@@ -43,8 +41,7 @@ def users_in_age(users: DataFrame, cond: dict) -> DataFrame:
     return u.select("user_id")
 
 
-def filter_actions(actions: DataFrame, users: DataFrame, cond: dict,
-                   max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def filter_actions(actions: DataFrame, users: DataFrame, cond: dict) -> DataFrame:
     """P1 + J1: actions of users inside the optional inclusive bounds.
 
     Bounds: ``startDate``/``endDate`` compare the ``date`` text, ``startAge``/
@@ -53,7 +50,7 @@ def filter_actions(actions: DataFrame, users: DataFrame, cond: dict,
     The age bounds are applied to the user dimension *before* the join, so
     the join's build side is as small as possible.
     """
-    u = broadcast_if_small(users_in_age(users, cond), max_broadcast_bytes)
+    u = users_in_age(users, cond)
     return date_filter(actions, cond).join(u, "user_id").select(*actions.columns)
 
 
@@ -102,22 +99,17 @@ def category_pivot(events: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         *[F.count_if(F.col("kind") == k).alias(f"{k}_count") for k in KINDS])
 
 
-def category_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict,
-                              max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """P1 + A1 + A2: category counts of the filtered actions, planned by the user-side size.
+def category_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict) -> DataFrame:
+    """P1 + A1 + A2: category counts of the filtered actions.
 
-    Small user side: broadcast semi-filter of the actions, then one
-    aggregate on the category. Large user side: the actions are first
-    reduced to counts per (user, category) by a partial aggregate, and only
-    those join the users - the join shuffles user-category pairs instead of
-    every action. Counts add up, so both give the same numbers (a user row
-    that appears twice counts its actions twice, as a plain join does).
+    The actions are first reduced to counts per (user, category) by a partial
+    aggregate, and only those join the users: the join shuffles user-category
+    pairs instead of every action, and a hot user is a few rows. Counts add
+    up (a user row that appears twice counts its actions twice, as a plain
+    join does).
     """
     u = users_in_age(users, cond)
     acts = date_filter(actions, cond)
-    if input_bytes_at_most(u, max_broadcast_bytes):
-        f = acts.join(F.broadcast(u), "user_id")
-        return category_pivot(category_events(f))
     per_user = category_pivot(category_events(acts, keep=("user_id",)), by=("user_id",))
     return (per_user.join(u, "user_id").groupBy("category_id")
                     .agg(*[F.sum(f"{k}_count").cast("bigint").alias(f"{k}_count") for k in KINDS]))
@@ -138,29 +130,23 @@ def category_session_counts(actions: DataFrame, categories: DataFrame | None = N
     a = actions.filter(F.col("click_category_id") != -1).select(
         F.col("click_category_id").cast("string").alias("category_id"), "session_id")
     if categories is not None:
-        # the key list is bounded by construction (a top-n), broadcast it
-        k = F.broadcast(categories.select(F.col("category_id").alias("__k")))
+        k = categories.select(F.col("category_id").alias("__k"))
         a = a.join(k, a["category_id"] == k["__k"], "left_semi")
     return a.groupBy("category_id", "session_id").agg(F.count(F.lit(1)).alias("click_count"))
 
 
 def session_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict,
-                             categories: DataFrame,
-                             max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """A3 + J4 over P1-filtered actions, planned by the user-side size.
-
-    Clicks are first kept only in ``categories`` (a bounded top-n,
-    broadcast). Small user side: broadcast join, then the count per
-    (category, session). Large user side: counts per (user, category,
-    session) by a partial aggregate first, and only those join the users.
+                             categories: DataFrame) -> DataFrame:
+    """A3 + J4 over P1-filtered actions.
+
+    Clicks are first kept only in ``categories``, then counted per (user,
+    category, session) by a partial aggregate, and only the counts join the
+    users.
     """
     u = users_in_age(users, cond)
-    acts = date_filter(actions, cond)
-    if input_bytes_at_most(u, max_broadcast_bytes):
-        return category_session_counts(acts.join(F.broadcast(u), "user_id"), categories)
-    a = acts.filter(F.col("click_category_id") != -1).select(
+    a = date_filter(actions, cond).filter(F.col("click_category_id") != -1).select(
         "user_id", F.col("click_category_id").cast("string").alias("category_id"), "session_id")
-    k = F.broadcast(categories.select(F.col("category_id").alias("__k")))
+    k = categories.select(F.col("category_id").alias("__k"))
     per_user = (a.join(k, a["category_id"] == k["__k"], "left_semi")
                  .groupBy("user_id", "category_id", "session_id")
                  .agg(F.count(F.lit(1)).alias("click_count")))

@@ -1,4 +1,10 @@
-"""J1-J5 joins, and the size check that guards every broadcast."""
+"""J1-J5 joins.
+
+No broadcast is forced here: which side is broadcast is left to Spark, from
+file sizes when planning and from the real shuffle sizes at run time (AQE),
+both against ``spark.sql.autoBroadcastJoinThreshold``; beyond it a join
+shuffles, and AQE splits a hot key.
+"""
 
 from __future__ import annotations
 
@@ -8,117 +14,53 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mallscope.session import scratch_path
-from mallscope.sources.files import file_size
-
-# Largest side we broadcast by hint, in bytes of the Parquet files it reads
-# (columnar, compressed). Above it the join is a shuffle join, which AQE may
-# still turn into a broadcast from the real shuffle sizes, or split when one
-# key is hot.
-DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
-
-
-# More input files than this: no size proof is attempted (no broadcast).
-MAX_CHECKED_FILES = 1000
-
-
-def input_bytes_at_most(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
-    """True when the files ``df`` reads add up to at most ``max_bytes``.
-
-    Uses the relation's own file list (``inputFiles``) and file sizes: no
-    Spark job, and the listing stops as soon as the bound is passed. A
-    dimension built from its inputs by projections, filters and lookups is
-    no larger than they are. Without input files (no file source), or with
-    more than ``MAX_CHECKED_FILES`` of them, there is no proof and the answer
-    is False - a shuffle join, which is always safe.
-    """
-    files = df.inputFiles()
-    if not files or len(files) > MAX_CHECKED_FILES:
-        return False
-    total = 0
-    for f in files:
-        total += file_size(df.sparkSession, f)
-        if total > max_bytes:
-            return False
-    return True
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """Hint ``broadcast`` only when the input size is proven to be under the bound."""
-    return F.broadcast(df) if input_bytes_at_most(df, max_bytes) else df
-
-
-def materialize_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
-    """A derived table (an aggregate or filter of its inputs) ready to join.
-
-    Inputs under the bound: the table is no larger, so it is broadcast as it
-    is, computed inside the broadcast. Larger inputs: it is written to the
-    shared checkpoint folder first (lineage cut) and broadcast only if the
-    written bytes are under the bound; otherwise it joins by shuffle.
-    """
-    if input_bytes_at_most(df, max_bytes):
-        return F.broadcast(df)
-    return broadcast_if_small(_write(df)[0], max_bytes)
-
-
-def materialize(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
-    A Parquet table rather than an RDD checkpoint: computed once, columnar,
-    its file sizes are real statistics for the planner and AQE, and the
-    lineage is cut (a lost executor does not recompute upstream stages).
-    When the inputs are under ``max_bytes`` re-reading them is cheaper than
-    a write, and ``df`` is returned as it is.
+    For a result that several plans use: computed once, its file sizes are
+    real statistics for the planner, and the lineage is cut (a lost executor
+    does not recompute upstream stages).
     """
-    if input_bytes_at_most(df, max_bytes):
-        return df
-    return _write(df)[0]
-
-
-def _write(df: DataFrame):
-    spark = df.sparkSession
-    path = scratch_path(spark, "materialized", uuid.uuid4().hex)
+    path = scratch_path(df.sparkSession, "materialized", uuid.uuid4().hex)
     df.write.parquet(path)
-    return spark.read.parquet(path), path
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def click_star_join(actions: DataFrame, cities: DataFrame, products: DataFrame,
-                    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def click_star_join(actions: DataFrame, cities: DataFrame, products: DataFrame) -> DataFrame:
     """Fact inner-join city and product dimensions -> (area, product_name, city_name).
 
     Rows whose click product has no product row (``-1`` = no click) drop out,
     as in an inner join.
     """
-    c = broadcast_if_small(cities.select("city_id", "city_name", "area"), max_broadcast_bytes)
-    p = broadcast_if_small(products.select("product_id", "product_name"), max_broadcast_bytes)
+    c = cities.select("city_id", "city_name", "area")
+    p = products.select("product_id", "product_name")
     a = actions.select("city_id", "click_product_id")
     return (a.join(c, "city_id")
              .join(p, a["click_product_id"] == p["product_id"])
              .select("area", "product_name", "city_name"))
 
 
-def keep_in(df: DataFrame, column: str, keys, key_column: str | None = None,
-            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def keep_in(df: DataFrame, column: str, keys, key_column: str | None = None) -> DataFrame:
     """Keep rows whose ``column`` is in ``keys``.
 
     ``keys`` is a Python list (becomes ``isin``, for short literal lists) or a
-    DataFrame (becomes a left-semi join, broadcast only if proven small).
+    DataFrame (becomes a left-semi join; repeated keys don't matter to it).
     """
     if isinstance(keys, DataFrame):
-        kc = key_column or keys.columns[0]
-        k = broadcast_if_small(keys.select(F.col(kc).alias("__k")).distinct(), max_broadcast_bytes)
+        k = keys.select(F.col(key_column or keys.columns[0]).alias("__k"))
         return df.join(k, df[column] == k["__k"], "left_semi")
     return df.filter(F.col(column).isin(list(keys)))
 
 
-def drop_in(df: DataFrame, column: str, keys, key_column: str | None = None,
-            max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+def drop_in(df: DataFrame, column: str, keys, key_column: str | None = None) -> DataFrame:
     """Drop rows whose ``column`` is in ``keys`` (left-anti join).
 
     Null keys in ``keys`` do not remove anything (anti-join, not NOT IN).
     """
     if isinstance(keys, DataFrame):
-        kc = key_column or keys.columns[0]
-        k = broadcast_if_small(keys.select(F.col(kc).alias("__k")).distinct(), max_broadcast_bytes)
+        k = keys.select(F.col(key_column or keys.columns[0]).alias("__k"))
         return df.join(k, df[column] == k["__k"], "left_anti")
     keys = [k for k in keys if k is not None]
     return df.filter(~F.col(column).isin(keys) | F.col(column).isNull()) if keys else df

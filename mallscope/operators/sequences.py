@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from mallscope.operators.joins import materialize
 
 
 def page_flow_pairs(flow: str) -> list[tuple[str, str]]:
@@ -23,14 +26,6 @@ def page_flow_pairs(flow: str) -> list[tuple[str, str]]:
     return out
 
 
-def flow_pairs_column(flow) -> Column:
-    """P10 as an expression, for flows stored in a column: array of (from, to)."""
-    arr = F.split(F.col(flow) if isinstance(flow, str) else flow, ",")
-    n = F.size(arr)
-    return F.array_distinct(F.arrays_zip(F.slice(arr, 1, n - 1).alias("from"),
-                                         F.slice(arr, 2, n - 1).alias("to")))
-
-
 # Sessions with more rows than this take the chunked path (about one
 # shuffle partition's worth of rows).
 DEFAULT_HOT_ROWS = 2_000_000
@@ -57,12 +52,12 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     so any re-execution gives the same answer.
 
     With ``hot_rows`` only sessions holding more than about ``hot_rows`` rows
-    take the chunked path: ``hot_keys`` finds them on a sample, the
-    size-checked list (written first when the input is large) is broadcast
-    into a semi / anti join, and every other
-    session keeps the one-shuffle plain window; with no hot session the plan
-    is just the plain window. Both paths give exact answers, so the sample
-    only decides which plan a session takes.
+    take the chunked path: ``hot_keys`` finds them on a sample, the list is
+    written once and goes into a null-safe semi / anti join (the actions
+    without a session are one session, and often the largest), and every
+    other session keeps the one-shuffle plain window; with no hot session
+    the plan is just the plain window. Both paths give exact answers, so the
+    sample only decides which plan a session takes.
     """
     cols = [session, *order, value]
     if chunk is None:
@@ -71,13 +66,13 @@ def session_transitions(actions: DataFrame, session: str = "session_id",
     if hot_rows is None:
         return _chunked(actions.select(*cols, *[c.alias(f"__c{i}") for i, c in enumerate(chunks)]),
                         cols, session, order, value, next_name, len(chunks))
-    from mallscope.operators.joins import materialize_small
-    hot = materialize_small(hot_keys(actions, session, hot_rows))
-    if hot.isEmpty():                           # a small job over the hot list
+    hot = materialize(hot_keys(actions, session, hot_rows).select(F.col(session).alias("__hot")))
+    if hot.isEmpty():                           # reads the written list
         return _plain(actions.select(*cols), session, order, value, next_name)
-    normal = _plain(actions.join(hot, session, "left_anti").select(*cols),
+    is_hot = F.col(session).eqNullSafe(F.col("__hot"))
+    normal = _plain(actions.join(hot, is_hot, "left_anti").select(*cols),
                     session, order, value, next_name)
-    split = actions.join(hot, session, "left_semi").select(
+    split = actions.join(hot, is_hot, "left_semi").select(
         *cols, *[c.alias(f"__c{i}") for i, c in enumerate(chunks)])
     return normal.unionByName(_chunked(split, cols, session, order, value, next_name, len(chunks)))
 
@@ -115,11 +110,6 @@ def session_chunks(action_time: str = "action_time", event_id: str = "event_id",
             t, F.substring(t, 1, 16)]
 
 
-def action_minute(action_time: str = "action_time") -> Column:
-    """A single chunk key: the ``yyyy-MM-dd HH:mm`` of the action."""
-    return F.substring(F.col(action_time), 1, 16)
-
-
 def _plain(rows: DataFrame, session, order, value, next_name) -> DataFrame:
     w = Window.partitionBy(session).orderBy(*order)
     return rows.withColumn(next_name, F.lead(value).over(w))
@@ -157,13 +147,25 @@ def page_view_counts(actions: DataFrame, pages: list[str], page: str = "page_id"
                      weight: str | None = None) -> DataFrame:
     """A4: visits per listed page (page compared as text), -> (page, n).
 
-    ``weight`` names a count column when the rows are already aggregated.
+    The list is turned into the column's own type, so that the filter reaches
+    the scan. ``weight`` names a count column when the rows are already
+    aggregated.
     """
-    p = F.col(page).cast("string")
-    return (actions.filter(p.isin(list(pages))).groupBy(p.alias("page"))
+    listed = pages_as(pages, actions.schema[page].dataType)
+    return (actions.filter(F.col(page).isin(listed)).groupBy(F.col(page).cast("string").alias("page"))
                    .agg(_tally(weight).alias("n")))
 
 
+def pages_as(pages: list[str], kind: T.DataType) -> list:
+    """Page texts as values of a column type: a text that is no number's own
+    spelling (``"07"``, ``"x"``) equals no number and is left out."""
+    if not isinstance(kind, T.IntegralType):
+        return list(pages)
+    numbers = [int(p) for p in pages if p.lstrip("-").isdigit() and p.isascii() and str(int(p)) == p]
+    bits = {T.ByteType: 7, T.ShortType: 15, T.IntegerType: 31, T.LongType: 63}[type(kind)]
+    return [n for n in numbers if -(1 << bits) <= n < 1 << bits]
+
+
 def page_jump_counts(transitions: DataFrame, pairs: list[tuple[str, str]],
                      page: str = "page_id", next_page: str = "next_page_id",
                      weight: str | None = None) -> DataFrame:

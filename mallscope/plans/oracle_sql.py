@@ -57,6 +57,7 @@ def _mentions(text: str, name: str) -> bool:
 
 TASK = "mallscope-task"
 T = 3          # blacklist threshold of the test model
+BATCH_MS = 8 * 86_400_000     # a batch of the micro-batch stream test
 SPAN = 360     # trend span used on the test tables (about one click in four minutes)
 
 FILTERED = """select a.* from uva a join users u on a.user_id = u.user_id
@@ -123,6 +124,23 @@ def _blk():
     return [("b", BLOCKS), ("kept", KEPT)]
 
 
+def _micro_batch(ms: int) -> str:
+    return with_views(
+        """select a."timestamp", a.area, a.city, a.userid, a.adid, a.event_id
+           from a left join mb on a.userid = mb.userid where mb.userid is null or a.batch <= mb.bb""",
+        [("a", f'select *, "timestamp" // {ms} batch from ads'),
+         ("mb", f"""select userid, min(batch) bb from (
+                      select *, row_number() over (partition by {DAY}, userid, adid
+                                                   order by batch, "timestamp", event_id) rn from a)
+                    where rn = {T} group by userid""")])
+
+
+REJECTS = """select line, event_id from (
+    select event_id, case when event_id % 97 = 0 then array_to_string(string_split(line, ' ')[1:3], ' ')
+                          when event_id % 101 = 0 then concat('time', line) end line from ad_lines)
+  where line is not null"""
+
+
 def oracle_sql() -> dict[str, str]:
     q = {}
     q["load_table"] = "select c_custkey, c_name, cast(c_nationkey as bigint) c_nationkey from customer"
@@ -191,14 +209,8 @@ def oracle_sql() -> dict[str, str]:
     q["blacklist_users"] = with_views("select userid, bp.ts blocked_ts, bp.eid blocked_event_id from b",
                                       [("b", BLOCKS)])
     q["blacklist_filter"] = with_views("select * from kept", _blk())
-    q["blacklist_filter_micro_batch"] = with_views(
-        """select a."timestamp", a.area, a.city, a.userid, a.adid, a.event_id
-           from a left join mb on a.userid = mb.userid where mb.userid is null or a.batch <= mb.bb""",
-        [("a", 'select *, "timestamp" // 3000 batch from ads'),
-         ("mb", f"""select userid, min(batch) bb from (
-                      select *, row_number() over (partition by {DAY}, userid, adid
-                                                   order by batch, "timestamp", event_id) rn from a)
-                    where rn = {T} group by userid""")])
+    q["blacklist_filter_micro_batch"] = _micro_batch(3000)
+    q["stream_blacklist_micro_batch"] = _micro_batch(BATCH_MS)
     q["drop_in"] = with_views("select * from ads where userid not in (select userid from b)", [("b", BLOCKS)])
     q["date_area_city_ad_count"] = with_views("select * from r6", _blk() + [("r6", R6)])
     q["kv_key"] = with_views(
@@ -213,6 +225,18 @@ def oracle_sql() -> dict[str, str]:
     q["ad_minute_json"] = with_views(
         """select adid, concat('[', string_agg(concat('{"', hhmm, '":', n, '}'), ',' order by "minute"), ']') minutes_json
            from mc group by adid""", _blk() + [("mc", MINUTES)])
+    q["top3_ads_kv"] = with_views(
+        """select concat('top3_ads_per_day:', "date") hash_key, area field,
+                  concat('[', string_agg(concat('{"', adid, '":', n, '}'), ',' order by rn), ']') "value"
+           from rk group by "date", area""", _blk() + [("r6", R6), ("ro", ROLLUP), ("rk", RANKED)])
+    q["ad_minute_kv"] = with_views(
+        """select 'last_hour_ads_click' hash_key, adid field,
+                  concat('[', string_agg(concat('{"', hhmm, '":', n, '}'), ',' order by "minute"), ']') "value"
+           from mc group by adid""", _blk() + [("mc", MINUTES)])
+    q["stream_rejects"] = with_views(REJECTS)
+    q["stream_blacklist_users"] = q["blacklist_users"]
+    q["stream_user_ad_daily_counts"] = with_views(
+        f"""select {DAY} "date", userid, adid, count(*) n from kept group by all""", _blk())
     q["hot_category_top10_partitioned"] = q["hot_category_top10"]
     q["stream_blacklist_filter"] = q["blacklist_filter"]
     q["checkpoint_restart"] = q["blacklist_filter"]

@@ -15,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mallscope.functions.scalars import ntz_epoch_ms
-from mallscope.operators.joins import broadcast_if_small
 
 # Parameters of the test model: the job conditions used by the batch
 # results and the blacklist threshold used at sf0.01 (the default threshold
@@ -29,22 +28,9 @@ TEST_THRESHOLD = 3
 CITY_MODULUS = 25
 
 
-_RELATIONS: dict = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table as a lazy relation, opened once per session and path.
-
-    The driver tables are read-only, so, like a catalog table, the relation
-    (file listing and footer schema) is resolved once and reused; every
-    query still scans the files when it runs.
-    """
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    key = (id(spark), spark.sparkContext.applicationId, path)
-    df = _RELATIONS.get(key)
-    if df is None:
-        df = _RELATIONS[key] = spark.read.parquet(path)
-    return df
+    """A driver table as a lazy relation."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -132,7 +118,7 @@ def actions(spark: SparkSession, sf_dir: str, date_from: str | None = None,
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ads_log click stream: (timestamp ms, area, city, userid, adid, event_id)."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
-    c = broadcast_if_small(cities(spark, sf_dir))
+    c = cities(spark, sf_dir)
     return (e.join(c, (e["user_id"] % CITY_MODULUS) == c["city_id"])
              .select(ntz_epoch_ms("ts").alias("timestamp"),
                      F.col("area"), F.col("city_name").alias("city"),
@@ -148,6 +134,17 @@ def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return render_ad_log(ads(spark, sf_dir), keep=["event_id"])
 
 
+def ad_lines_with_rejects(ads_: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """The lines of clicks with some spoilt: event ids divisible by 97 lose
+    what follows the city, those divisible by 101 their time."""
+    from mallscope.functions.adlog import render_ad_log
+    lines = render_ad_log(ads_, keep=["event_id"])
+    eid, line = F.col("event_id"), F.col("line")
+    spoilt = (F.when(eid % 97 == 0, F.concat_ws(" ", F.slice(F.split(line, " "), 1, 3)))
+              .when(eid % 101 == 0, F.concat(F.lit("time"), line)).otherwise(line))
+    return lines.select(spoilt.alias("line"), "event_id")
+
+
 def kafka_rows(spark: SparkSession, sf_dir: str, topic: str = "ads_log",
                partitions: int = 3) -> DataFrame:
     """The lines as Kafka source rows (topic, partition, offset, value)."""

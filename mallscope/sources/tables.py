@@ -63,21 +63,27 @@ SCHEMAS = {
 }
 
 
-def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFrame:
+def conform(df: DataFrame, schema: T.StructType, strict: bool = True,
+            on_misfit: str | None = None) -> DataFrame:
     """Bind a DataFrame to a declared schema by column name.
 
     Missing columns raise (``strict``) or become typed nulls; extra columns
-    are dropped, so later stages read only the declared columns. Casts use
-    ``try_cast`` semantics: a value that does not fit becomes null instead of
-    failing the task.
+    are dropped, so later stages read only the declared columns. A value that
+    does not fit its declared type, or would change in it (``1.5`` as a whole
+    number), fails the job with the column's name; with
+    ``on_misfit="null"`` (the default of ``strict=False``) it becomes null.
     """
+    if on_misfit is None:
+        on_misfit = "raise" if strict else "null"
+    if on_misfit not in ("raise", "null"):
+        raise ValueError("on_misfit must be 'raise' or 'null'")
     have = set(df.columns)
     cols = []
     for f in schema.fields:
         if f.name in have:
             c = F.col(f"`{f.name}`")
             if df.schema[f.name].dataType != f.dataType:
-                c = c.try_cast(f.dataType)
+                c = _fitted(c, f, df.schema[f.name].dataType, on_misfit)
             cols.append(c.alias(f.name))
         elif strict:
             raise ValueError(f"column {f.name!r} missing; have {sorted(have)}")
@@ -86,6 +92,18 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
     return df.select(*cols)
 
 
+def _fitted(c, field: T.StructField, have: T.DataType, on_misfit: str):
+    """``c`` in the declared type; misfits are nulls or an error."""
+    cast = c.try_cast(field.dataType)
+    fits = cast.isNotNull()
+    if isinstance(have, T.NumericType) and isinstance(field.dataType, T.IntegralType):
+        fits = fits & cast.cast(have).eqNullSafe(c)
+    if on_misfit == "null":
+        return F.when(fits, cast)
+    error = F.raise_error(F.concat(F.lit(f"column {field.name}: no {field.dataType.simpleString()}: "), c.cast("string")))
+    return F.when(c.isNull(), F.lit(None)).when(fits, cast).otherwise(error).cast(field.dataType)
+
+
 def load_table(spark: SparkSession, name_or_path: str,
                schema: T.StructType | None = None) -> DataFrame:
     """A catalog table by name, or a Parquet path; conformed if a schema is given.
