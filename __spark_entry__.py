@@ -34,7 +34,7 @@ from mallscope.operators.ranking import top_ranked  # noqa: E402
 from mallscope.operators.sequences import (page_flow_pairs, page_jump_counts,  # noqa: E402
                                            page_view_counts, session_chunks, session_transitions)
 from mallscope.plans import adclicks, retail  # noqa: E402
-from mallscope.plans.oracle_sql import SPAN, TASK  # noqa: E402
+from mallscope.plans.oracle_sql import BATCH_MS, SPAN, TASK  # noqa: E402
 from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
 from mallscope.session import checkpoint_root  # noqa: E402
 from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv  # noqa: E402
@@ -164,17 +164,26 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["top3_ads_json"] = lambda s, d: adclicks.daily_top3_ads(fx.ads(s, d), THRESHOLD)
     q["ad_minute_counts"] = lambda s, d: ad_minute_counts(_kept(s, d), SPAN)
     q["ad_minute_json"] = lambda s, d: adclicks.minute_trend(fx.ads(s, d), THRESHOLD, SPAN)
+    # published layouts of the live results
+    q["top3_ads_kv"] = lambda s, d: adclicks.daily_top3_kv(adclicks.daily_top3_ads(fx.ads(s, d), THRESHOLD))
+    q["ad_minute_kv"] = lambda s, d: adclicks.minute_trend_kv(adclicks.minute_trend(fx.ads(s, d), THRESHOLD, SPAN))
     # streaming twins: the dashboard fed with time slices of the clicks,
     # results read back from its stores (same oracle as the batch forms)
-    q["stream_blacklist_filter"] = lambda s, d: _stream(s, d)["kept"]
-    q["stream_date_area_city_ad_count"] = lambda s, d: _stream(s, d)["r6"]
-    q["stream_top3_ads_json"] = lambda s, d: _stream(s, d)["r7"]
-    q["stream_ad_minute_counts"] = lambda s, d: trailing_minutes(_stream(s, d)["minutes"], SPAN)
-    q["stream_ad_minute_json"] = lambda s, d: _stream(s, d)["r8"]
+    q["stream_blacklist_filter"] = lambda s, d: _shared_stream(s, d)["kept"]
+    q["stream_blacklist_users"] = lambda s, d: _shared_stream(s, d)["blocked"]
+    q["stream_date_area_city_ad_count"] = lambda s, d: _shared_stream(s, d)["r6"]
+    q["stream_top3_ads_json"] = lambda s, d: _shared_stream(s, d)["r7"]
+    q["stream_ad_minute_counts"] = lambda s, d: trailing_minutes(_shared_stream(s, d)["minutes"], SPAN)
+    q["stream_ad_minute_json"] = lambda s, d: _shared_stream(s, d)["r8"]
+    q["stream_user_ad_daily_counts"] = lambda s, d: _shared_stream(s, d)["counters"]
     q["checkpoint_restart"] = lambda s, d: _stream(s, d, restart_after=1)["kept"]
-    # bounded state: quiet users and finished days leave the state stores
-    q["stream_bounded_state"] = lambda s, d: _stream(
-        s, d, expire_after="2 days", keep_days=1, watermark="1 day")["r6"]
+    # bounded state: the counters of closed days leave the store
+    q["stream_bounded_state"] = lambda s, d: _stream(s, d, keep_days=1)["r6"]
+    # lines that are no clicks get an output of their own
+    q["stream_rejects"] = lambda s, d: _stream(s, d, render=fx.ad_lines_with_rejects)["rejects"]
+    # the block set is read at batch start; batches are spans of eight days
+    q["stream_blacklist_micro_batch"] = lambda s, d: _stream(
+        s, d, micro_batch=True, bounds=_span_bounds(s, d))["kept"]
     q["stream_offset_ranges"] = _stream_offsets
     # sinks: write, read back
     q["upsert_kv"] = _sink_upsert
@@ -183,12 +192,27 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
-def _stream(spark, d, restart_after=None, **bounds):
-    root = dashboard.replay_once(spark, d, fx.ads(spark, d), THRESHOLD, SPAN,
-                                 restart_after=restart_after, **bounds)
+def _stream(spark, d, restart_after=None, **options):
+    root = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, restart_after=restart_after, **options)
     return dashboard.read_results(spark, root)
 
 
+def _span_bounds(spark, d):
+    first, last = fx.ads(spark, d).agg(F.min("timestamp"), F.max("timestamp")).first()
+    return [k * BATCH_MS for k in range(first // BATCH_MS + 1, last // BATCH_MS + 1)]
+
+
+def _shared_stream(spark, d):
+    # the twins read different stores of one replay; kept per session and input
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _REPLAYS:
+        _REPLAYS[key] = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN)
+    return dashboard.read_results(spark, _REPLAYS[key])
+
+
+_REPLAYS: dict = {}
+
+
 def _stream_offsets(spark, d):
     # Kafka-shaped rows arrive in three offset slices; each micro-batch's
     # ranges are recorded by foreachBatch, then folded per partition

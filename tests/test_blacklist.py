@@ -51,52 +51,6 @@ def test_block_hits_last_and_other_ads_and_dates(spark):
     assert pts == {"u": (t0 + 2, 2)}
 
 
-class _State:
-    """Stand-in for GroupState: exists / get / update."""
-
-    def __init__(self):
-        self.value = None
-
-    @property
-    def exists(self):
-        return self.value is not None
-
-    @property
-    def get(self):
-        return self.value
-
-    def update(self, v):
-        self.value = v
-
-
-def test_stream_state_step_blocks_across_batches_and_prunes_days():
-    import json
-
-    import pandas as pd
-
-    from mallscope.streaming.blacklist import _make_state_fn
-
-    def frame(rows):
-        return pd.DataFrame(rows, columns=["timestamp", "area", "city", "userid", "adid", "event_id", "date"])
-
-    step = _make_state_fn(threshold=3, keep_days=1)
-    st = _State()
-    b1 = frame([(2, "A", "c", "u", "1", 2, "2024-01-01"), (1, "A", "c", "u", "1", 1, "2024-01-01")])
-    out = list(step(("u",), iter([b1]), st))
-    assert list(out[0]["event_id"]) == [1, 2] and st.value[0] is False
-    b2 = frame([(5, "A", "c", "u", "2", 5, "2024-01-03"), (3, "A", "c", "u", "1", 3, "2024-01-01"),
-                (4, "A", "c", "u", "1", 4, "2024-01-01")])
-    out = list(step(("u",), iter([b2]), st))
-    # the third click on ad 1 blocks the user; the later clicks of the batch are dropped
-    assert list(out[0]["event_id"]) == [3] and st.value == (True, "")
-    assert list(step(("u",), iter([b1]), st)) == []            # blocked for ever
-
-    st2 = _State()
-    list(step(("v",), iter([frame([(1, "A", "c", "v", "1", 1, "2024-01-01")])]), st2))
-    list(step(("v",), iter([frame([(9, "A", "c", "v", "1", 9, "2024-01-05")])]), st2))
-    assert set(json.loads(st2.value[1])) == {"2024-01-05|1"}    # older day pruned
-
-
 def test_micro_batch_form_equals_replay_with_larger_batches(spark):
     for seed in (4, 5):
         rows = sorted(random_clicks(seed), key=lambda r: (r[0], r[5]))
@@ -107,10 +61,40 @@ def test_micro_batch_form_equals_replay_with_larger_batches(spark):
             assert got == replay_reference(rows, 3, size), (seed, size)
 
 
-def test_heavy_group_prefilter_path_gives_the_same_points(spark, monkeypatch):
-    import mallscope.operators.ads as A
-    rows = random_clicks(9)
-    df = spark.createDataFrame(rows, SCHEMA)
-    direct = sorted(map(tuple, A.blacklist_points(df, 3).collect()))
-    monkeypatch.setattr(A, "input_bytes_at_most", lambda *a, **k: False)   # take the large-input path
-    assert sorted(map(tuple, A.blacklist_points(df, 3).collect())) == direct
+def test_stream_steps_equal_replay_for_both_cut_offs(spark):
+    from mallscope.operators.ads import user_ad_daily_counts
+    from mallscope.streaming.blacklist import (BLOCKED_SCHEMA, COUNTERS_SCHEMA, batch_block_points,
+                                               passed, unblocked)
+    rows = sorted(random_clicks(11), key=lambda r: (r[0], r[5]))
+    size = 60
+    for micro in (False, True):
+        blocked, counters = spark.createDataFrame([], BLOCKED_SCHEMA), spark.createDataFrame([], COUNTERS_SCHEMA)
+        got = []
+        for i in range(0, len(rows), size):
+            fresh = unblocked(spark.createDataFrame(rows[i:i + size], SCHEMA), blocked)
+            points = batch_block_points(fresh, counters, 6)
+            kept = passed(fresh, points, micro).collect()
+            got += [r.event_id for r in kept]
+            added = user_ad_daily_counts(spark.createDataFrame(kept, SCHEMA)) if kept else counters.limit(0)
+            counters = spark.createDataFrame(
+                counters.unionByName(added).groupBy("date", "userid", "adid").agg({"n": "sum"}).collect(), COUNTERS_SCHEMA)
+            blocked = spark.createDataFrame(blocked.unionByName(points).collect(), BLOCKED_SCHEMA)
+        assert sorted(got) == replay_reference(rows, 6, size if micro else 1), micro
+
+
+def test_a_blocked_bot_goes_before_anything_is_grouped_or_ranked(spark):
+    from mallscope.streaming.blacklist import BLOCKED_SCHEMA, COUNTERS_SCHEMA, batch_block_points, unblocked
+    clicks = spark.range(20_000).selectExpr(
+        "id as timestamp", "'A' area", "'c' city", "'bot' userid", "'1' adid", "id event_id")
+    blocked = spark.createDataFrame([("bot", 0, 0)], BLOCKED_SCHEMA)
+    fresh = unblocked(clicks, blocked)
+    assert fresh.count() == 0
+    points = batch_block_points(fresh, spark.createDataFrame([], COUNTERS_SCHEMA), 50)
+    assert points.count() == 0
+    plan = points._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Pandas" not in plan and "LeftAnti" in plan
+    # a bot that is not blocked yet: each map task ships at most `threshold` of its clicks
+    fresh = unblocked(clicks, spark.createDataFrame([], BLOCKED_SCHEMA))
+    points = batch_block_points(fresh, spark.createDataFrame([], COUNTERS_SCHEMA), 50)
+    assert [tuple(r) for r in points.collect()] == [("bot", 49, 49)]
+    assert "WindowGroupLimit" in points._jdf.queryExecution().executedPlan().toString()

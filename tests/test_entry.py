@@ -11,7 +11,9 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_matches_its_oracle_small(spark):
-    res = oracle_compare.compare(spark, SF_SMALL, verbose=False)
+    import __spark_entry__ as E
+    own = [k for k in E.queries() if k != "pipeline" and not k.startswith("op")]
+    res = oracle_compare.compare(spark, SF_SMALL, own, verbose=False)
     bad = {k: v for k, v in res.items() if v != "OK"}
     assert not bad, bad
 
@@ -33,7 +35,9 @@ def test_registry_covers_the_plan_and_every_key_has_an_oracle():
     import __spark_entry__ as E
     q, o = E.queries(), E.oracle_sql()
     assert not (set(PLANNED) - set(q)), sorted(set(PLANNED) - set(q))
-    assert set(q) == set(o)
+    # the optional training-data queries are tested in a folder of their own
+    own = {k for k in q if k != "pipeline" and not k.startswith("op")}
+    assert own == {k for k in o if k != "pipeline" and not k.startswith("op")}
     assert not (NOT_REGISTERED & set(q))
 
 

@@ -1,6 +1,6 @@
 from mallscope.functions.adlog import parse_ad_log, render_ad_log
-from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_hhmm, half_up_tenth,
-                                         kv_key, ntz_epoch_ms, pairs_to_json, percent_tenth,
+from mallscope.functions.scalars import (epoch_ms_to_date, epoch_ms_to_minute, half_up_tenth,
+                                         kv_key, minute_to_hhmm, ntz_epoch_ms, pairs_to_json, percent_tenth,
                                          split_ids, with_task_id)
 from mallscope.sources.conditions import parse_conditions
 
@@ -25,7 +25,7 @@ def test_time_text_is_utc_and_zone_independent(spark):
     try:
         spark.conf.set("spark.sql.session.timeZone", "Asia/Shanghai")
         df = spark.createDataFrame([(1704067207179,), (1704153599999,)], "ms long")
-        got = df.select(epoch_ms_to_date("ms"), epoch_ms_to_hhmm("ms")).collect()
+        got = df.select(epoch_ms_to_date("ms"), minute_to_hhmm(epoch_ms_to_minute("ms"))).collect()
         assert [tuple(r) for r in got] == [("2024-01-01", "00:00"), ("2024-01-01", "23:59")]
         ntz = spark.sql("select timestamp_ntz'2024-01-01 00:00:07.179575' ts")
         assert ntz.select(ntz_epoch_ms("ts")).first()[0] == 1704067207179

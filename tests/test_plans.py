@@ -2,6 +2,8 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL
 
 
@@ -37,22 +39,128 @@ def test_r4_pre_aggregates_before_dimension_joins(spark):
     assert re.search(r"WindowGroupLimit .*rank\(.*\), 3, Partial", p)
 
 
-def test_r5_broadcasts_the_block_table(spark):
+def test_r5_joins_the_block_table_with_what_is_small_enough(spark):
     p = plan_of(spark, "blacklist_filter")
-    assert "BroadcastHashJoin" in p and "LeftOuter" in p
+    assert "LeftOuter" in p and "ResolvedHint" not in p
+
+
+LARGE = ["hot_category_top10", "hot_category_top_sessions", "blacklist_filter", "ad_minute_json",
+         "session_transitions", "area_product_top3"]
+
+
+def test_results_stay_right_when_nothing_may_be_broadcast(spark):
+    # the plan of a large cluster: every join shuffles
+    import oracle_compare
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    keys = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")
+        assert "BroadcastHashJoin" not in plan_of(spark, "hot_category_top10")
+        res = oracle_compare.compare(spark, SF_SMALL, LARGE, verbose=False)
+        assert set(res.values()) == {"OK"}, res
+    finally:
+        spark.conf.set(keys[0], old)
+        spark.conf.unset(keys[1])
+
+
+def test_a_tiny_file_of_many_rows_is_not_hinted(spark, tmp_path):
+    # compressed bytes prove nothing about rows: no plan carries a broadcast hint
+    from mallscope.operators.joins import click_star_join, drop_in, keep_in
+    path = str(tmp_path / "many")
+    spark.range(20_000_000).selectExpr("0L as city_id", "'c' city_name", "'a' area").coalesce(1).write.parquet(path)
+    many = spark.read.parquet(path)
+    facts = spark.createDataFrame([(0, 1)], "city_id long, click_product_id long")
+    products = spark.createDataFrame([(1, "p")], "product_id long, product_name string")
+    for df in (click_star_join(facts, many, products), keep_in(facts, "city_id", many), drop_in(facts, "city_id", many)):
+        assert "Hint" not in df._jdf.queryExecution().analyzed().toString()
+        assert "Aggregate" not in df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_r3_runs_one_window(spark):
+    from mallscope.plans import retail
+    from mallscope.sources import fixtures as fx
+    df = retail.page_jump_ratio(fx.actions(spark, SF_SMALL), "1,2,3", split_hot=False)
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("Window ") == 1
 
 
-def test_derived_tables_are_written_only_for_large_inputs(spark):
-    from mallscope.operators.ads import blacklist_points
-    from mallscope.operators.joins import materialize_small
+def test_r8_span_and_a4_pages_reach_the_scan(spark, tmp_path):
+    from mallscope.operators.ads import ad_minute_counts
+    from mallscope.operators.sequences import page_view_counts
+    from mallscope.sources import fixtures as fx
+    ads, acts = str(tmp_path / "ads"), str(tmp_path / "acts")
+    fx.ads(spark, SF_SMALL).write.parquet(ads)
+    fx.actions(spark, SF_SMALL).write.parquet(acts)
+    df = ad_minute_counts(spark.read.parquet(ads), 3, as_of_minute=28_400_000)
+    assert f"GreaterThanOrEqual(timestamp,{(28_400_000 - 2) * 60_000})" in \
+        df._jdf.queryExecution().executedPlan().toString()
+    newest = ad_minute_counts(spark.read.parquet(ads), 600)
+    assert newest.count() > 0
+    plan = page_view_counts(spark.read.parquet(acts), ["1", "07", "x", "3"])._jdf.queryExecution().executedPlan().toString()
+    assert "In(page_id, [1,3])" in plan
+
+
+def test_r4_builds_the_text_above_the_rank_limit(spark):
+    p = plan_of(spark, "area_product_top3")
+    # printed from the top: the share list is collected above the product ranking
+    assert p.index("collect_list") < p.index("rank(")
+
+
+def test_null_sessions_are_split_like_any_hot_one(spark):
+    from mallscope.operators.sequences import session_chunks, session_transitions
+    rows = spark.range(3000).selectExpr(
+        "if(id % 3 = 0, 'named', null) session_id", "date_format(timestamp_seconds(id div 50), 'yyyy-MM-dd HH:mm:ss') action_time",
+        "id event_id", "id % 7 page_id").cache()
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        split = session_transitions(rows, chunk=session_chunks(burst_rows=40), hot_rows=3)
+        plain = session_transitions(rows)
+        assert sorted(map(str, split.collect())) == sorted(map(str, plain.collect()))
+        sizes = [r["count"] for r in split.filter("session_id is null").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) < 1000, sizes           # of 2,000 rows without a session
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+
+
+def test_reports_scan_the_fact_twice_for_r1_and_r2(spark):
+    import os
+    import uuid
+
+    from mallscope.plans.reports import run_reports
+    from mallscope.session import checkpoint_root
     from mallscope.sources import fixtures as fx
-    pts = blacklist_points(fx.ads(spark, SF_SMALL), 2)
-    small = materialize_small(pts)                   # inputs under the bound: no write
-    assert not any("materialized" in f for f in small.inputFiles())
-    big = materialize_small(pts, max_bytes=0)        # bound 0: written, then not broadcast
-    assert big.inputFiles() and all("materialized" in f for f in big.inputFiles())
-    assert "broadcast" not in big._jdf.queryExecution().analyzed().toString().lower()
-    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, big.collect()))
+    path = os.path.join(checkpoint_root(spark), "fact-" + uuid.uuid4().hex[:8])
+    fx.actions(spark, SF_SMALL).write.parquet(path)
+    plans = []
+
+    def writer(df, table):
+        df.write.format("noop").mode("overwrite").save()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    run_reports(spark.read.parquet(path), fx.users(spark, SF_SMALL), fx.cities(spark, SF_SMALL),
+                fx.products(spark, SF_SMALL), fx.CONDITIONS, writer, which=("r1", "r2"))
+    name = os.path.basename(path)
+    # R1 reads its written rows; R2 scans the fact once (AQE prints a plan twice)
+    assert name not in plans[0]
+    assert plans[1].split("== Initial Plan ==")[0].count(name) == 1
+
+
+def test_strict_schema_binding_fails_on_lossy_values(spark):
+    import pytest
+    from pyspark.sql import types as T
+
+    from mallscope.sources.tables import conform
+    schema = T.StructType([T.StructField("a", T.IntegerType())])
+    big = spark.createDataFrame([(1,), (2**40,), (None,)], "a long")
+    with pytest.raises(Exception, match="column a"):
+        conform(big, schema).collect()
+    assert [r.a for r in conform(big, schema, on_misfit="null").collect()] == [1, None, None]
+    with pytest.raises(Exception, match="column a"):
+        conform(spark.createDataFrame([(1.5,)], "a double"), schema).collect()
+    with pytest.raises(Exception, match="column a"):
+        conform(spark.createDataFrame([("x",)], "a string"), schema).collect()
+    assert [r.a for r in conform(spark.createDataFrame([("7",), (None,)], "a string"), schema).collect()] == [7, None]
 
 
 def test_r3_normal_sessions_skip_the_chunked_path(spark):

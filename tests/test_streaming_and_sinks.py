@@ -5,9 +5,11 @@ from pyspark.sql import functions as F
 
 from mallscope.operators import ads as A
 from mallscope.session import checkpoint_root
-from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
+from mallscope.sinks.kv import (manifest, part_names, read_kv, read_replaced, replace_kv, upsert_kv,
+                                versions)
 from mallscope.sinks.tables import jdbc_options
 from mallscope.sources import fixtures as fx
+from mallscope.sources.files import list_dirs
 from mallscope.streaming import dashboard as D
 
 from conftest import SF_SMALL
@@ -19,6 +21,14 @@ def same(a, b):
     return a.count() == b.count() and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
+def new_root(spark, name):
+    return os.path.join(checkpoint_root(spark), f"t-{name}-" + uuid.uuid4().hex[:8])
+
+
+def pairs(spark, root, **kw):
+    return sorted(tuple(r) for r in read_kv(spark, root, **kw).collect())
+
+
 def test_stream_equals_batch_with_restart(spark):
     ads = fx.ads(spark, SF_SMALL)
     root = D.replay(spark, ads, threshold=2, span_minutes=600, slices=3, restart_after=0)
@@ -29,25 +39,88 @@ def test_stream_equals_batch_with_restart(spark):
     assert same(res["r6"], r6)
     assert same(res["r7"], A.top3_ads_json(A.top3_ads_by_area(A.date_area_ad_rollup(r6))))
     assert same(res["r8"], A.ad_minute_json(A.ad_minute_counts(kept, 600)))
+    assert same(res["blocked"], A.blacklist_points(ads, 2))
+    assert same(res["counters"], A.user_ad_daily_counts(kept))
+    a = res["audit"].collect()
+    assert sum(r.lines for r in a) == ads.count() == sum(r.kept + r.blocked + r.rejected + r.late for r in a)
 
 
 def test_upsert_is_latest_per_key_and_replay_safe(spark):
-    root = os.path.join(checkpoint_root(spark), "t-kv-" + uuid.uuid4().hex[:8])
+    root = new_root(spark, "kv")
     a = spark.createDataFrame([("k1", 1), ("k2", 1)], "k string, v long")
     b = spark.createDataFrame([("k2", 5)], "k string, v long")
     upsert_kv(a, root, 0, ["k"])
     upsert_kv(b, root, 1, ["k"])
     upsert_kv(b, root, 1, ["k"])
-    assert sorted(tuple(r) for r in read_kv(spark, root).collect()) == [("k1", 1), ("k2", 5)]
+    assert pairs(spark, root) == [("k1", 1), ("k2", 5)]
     upsert_kv(spark.createDataFrame([("k3", 7)], "k string, v long"), root, 2, ["k"],
               keep=F.col("k") != "k1")
-    assert sorted(tuple(r) for r in read_kv(spark, root).collect()) == [("k2", 5), ("k3", 7)]
-    from mallscope.sinks.kv import versions
-    assert versions(spark, root) == [1, 2]     # older versions pruned
+    assert pairs(spark, root) == [("k2", 5), ("k3", 7)]
+    assert pairs(spark, root, before=("", 2)) == [("k1", 1), ("k2", 5)]
+
+
+def test_sums_survive_replays_and_compaction(spark):
+    root = new_root(spark, "add")
+    rows = lambda *r: spark.createDataFrame(list(r), "d string, k string, n long")
+    for i in range(7):
+        for _ in range(1 + (i % 3 == 2)):          # every third batch comes twice
+            upsert_kv(rows(("x", "a", 1), ("y" if i % 2 else "x", "b", i)), root, i, ["d", "k"],
+                      partition_by=["d"], add=["n"], run="r1", max_deltas=2)
+    assert pairs(spark, root) == [("x", "a", 7), ("x", "b", 12), ("y", "b", 9)]
+    assert pairs(spark, root, parts=["y"]) == [("y", "b", 9)]
+    m = manifest(spark, root)
+    assert all(len(f) <= 4 for f in m["parts"].values())
+
+
+def test_a_new_checkpoint_on_an_old_store_is_not_lost(spark):
+    import pytest
+    root = new_root(spark, "run")
+    one = lambda v: spark.createDataFrame([("k", v)], "k string, v long")
+    for b in (3, 4):
+        upsert_kv(one(b), root, b, ["k"], run="old")
+    upsert_kv(one(99), root, 0, ["k"], run="new")          # batch ids start again
+    assert pairs(spark, root) == [("k", 99)]
+    upsert_kv(one(100), root, 1, ["k"], run="new")
+    with pytest.raises(ValueError):
+        upsert_kv(one(5), root, 0, ["k"], run="new")       # older than the store: refused, not dropped
+    assert pairs(spark, root) == [("k", 100)]
+
+
+def test_only_touched_days_change_and_readers_survive(spark):
+    import time
+    root = new_root(spark, "days")
+    rows = lambda *r: spark.createDataFrame(list(r), "d string, k string, v long")
+    kw = dict(keys=["d", "k"], partition_by=["d"])
+    upsert_kv(rows(("d1", "a", 1), ("d2", "a", 1)), root, 0, **kw)
+    reader = read_kv(spark, root)
+    before = manifest(spark, root)["parts"]
+    for b in range(1, 5):
+        upsert_kv(rows(("d2", "a", b)), root, b, **kw, max_deltas=0)
+    after = manifest(spark, root)["parts"]
+    assert after["d1"] == before["d1"] and after["d2"] != before["d2"]
+    assert sorted(tuple(r) for r in reader.collect()) == [("d1", "a", 1), ("d2", "a", 1)]
+    assert pairs(spark, root) == [("d1", "a", 1), ("d2", "a", 4)]
+    # retention by age: what fell out of use is deleted once it is older
+    time.sleep(1.1)
+    for b in (5, 6):
+        upsert_kv(rows(("d2", "a", b)), root, b, **kw, max_deltas=0, retain_seconds=1)
+    left = {d for d in list_dirs(spark, root + "/data")}
+    kept = {f.split("/")[1] for fs in manifest(spark, root)["parts"].values() for f in fs}
+    assert kept <= left and len(versions(spark, root)) <= 3
+    assert pairs(spark, root) == [("d1", "a", 1), ("d2", "a", 6)]
+
+
+def test_null_and_empty_parts(spark):
+    root = new_root(spark, "null")
+    df = spark.createDataFrame([(None, "a", 1), ("", "a", 2), ("x|y", "a", 3)], "d string, k string, v long")
+    upsert_kv(df, root, 0, ["d", "k"], partition_by=["d"])
+    upsert_kv(df.withColumn("v", F.col("v") + 10), root, 1, ["d", "k"], partition_by=["d"], max_deltas=0)
+    assert {r.v for r in read_kv(spark, root).collect()} == {11, 12, 13}
+    assert len(part_names(spark, root)) == 3
 
 
 def test_replace_publishes_newest_version_only(spark):
-    root = os.path.join(checkpoint_root(spark), "t-rep-" + uuid.uuid4().hex[:8])
+    root = new_root(spark, "rep")
     replace_kv(spark.createDataFrame([("old", 1)], "k string, v long"), root, 0)
     replace_kv(spark.createDataFrame([("new", 2)], "k string, v long"), root, 1)
     assert [tuple(r) for r in read_replaced(spark, root).collect()] == [("new", 2)]
@@ -65,32 +138,104 @@ def test_minute_span_rejects_a_day(spark):
         A.ad_minute_counts(fx.ads(spark, SF_SMALL), 24 * 60)
 
 
-def test_watermark_keeps_late_within_and_drops_too_late(spark):
-    root = os.path.join(checkpoint_root(spark), "t-wm-" + uuid.uuid4().hex[:8])
-    p = D.paths(root)
-    schema = "timestamp long, area string, city string, userid string, adid string, event_id long"
+SCHEMA = "timestamp long, area string, city string, userid string, adid string, event_id long"
+
+
+def feed(spark, root, rows, **kw):
+    """Batches of clicks through the dashboard's batch step."""
+    from mallscope.functions.adlog import render_ad_log
+    for i, batch in enumerate(rows):
+        lines = render_ad_log(spark.createDataFrame(batch, SCHEMA), keep=["event_id"])
+        D.process_batch(spark, root, lines.select("line", "event_id"), "run", i, **kw)
+    return D.read_results(spark, root)
+
+
+def test_late_clicks_count_in_their_minute_and_day(spark):
     m = 60_000
     t0 = 1_704_067_200_000 + 100 * m
-    slices = [[(t0, "A", "c", "u1", "1", 1), (t0 + 30 * m, "A", "c", "u2", "1", 2)],
-              [(t0 + 25 * m, "A", "c", "u3", "1", 3)],      # 5 min late: within the 10 min watermark
-              [(t0 + 1 * m, "A", "c", "u4", "1", 4)]]       # 29 min late: dropped
-    qs = []
+    res = feed(spark, new_root(spark, "late"),
+               [[(t0, "A", "c", "u1", "1", 1), (t0 + 30 * m, "A", "c", "u2", "1", 2)],
+                [(t0 + 25 * m, "A", "c", "u3", "1", 3)],
+                [(t0 + 1 * m, "A", "c", "u4", "1", 4)]], threshold=50, span_minutes=120)
+    assert {(r.minute - t0 // m, r.n) for r in res["minutes"].collect()} == {(0, 1), (30, 1), (25, 1), (1, 1)}
+    assert res["kept"].count() == 4 and [r.n for r in res["r6"].collect()] == [4]
+
+
+def test_clicks_of_closed_days_are_kept_apart_and_counted(spark):
+    h, d0 = 3_600_000, 1_704_067_200_000               # 2024-01-01 00:00 UTC
+    res = feed(spark, new_root(spark, "closed"),
+               [[(d0 + 10 * h, "A", "c", "q", "1", 1), (d0 + 11 * h, "A", "c", "p", "1", 2)],
+                [(d0 + 50 * h, "A", "c", "p", "1", 3)],          # day 3: day 1 closes
+                [(d0 + 12 * h, "A", "c", "q", "1", 4), (d0 + 26 * h, "A", "c", "q", "1", 5)]],
+               threshold=3, span_minutes=60, keep_days=1)
+    assert sorted(r.event_id for r in res["kept"].collect()) == [1, 2, 3, 5]
+    assert [r.event_id for r in res["late"].collect()] == [4]
+    assert {r.date for r in res["counters"].collect()} == {"2024-01-02", "2024-01-03"}
+    assert {(r.date, r.n) for r in res["r6"].collect()} == {("2024-01-01", 2), ("2024-01-03", 1), ("2024-01-02", 1)}
+    assert sum(r.lines - r.kept - r.blocked - r.rejected - r.late for r in res["audit"].collect()) == 0
+    assert sum(r.late for r in res["audit"].collect()) == 1
+
+
+def test_bad_lines_go_to_the_rejects(spark):
+    root = new_root(spark, "bad")
+    lines = spark.createDataFrame(
+        [("1704067200000 A c u 1", 1), ("x A c u 1", 2), ("1704067200000 A", 3), ("", 4), (None, 5)],
+        "line string, event_id long")
+    D.process_batch(spark, root, lines, "run", 0, threshold=2)
+    res = D.read_results(spark, root)
+    assert sorted(r.event_id for r in res["rejects"].collect()) == [2, 3, 4, 5]
+    a = res["audit"].collect()[0]
+    assert (a.lines, a.kept, a.rejected, a.late, a.blocked) == (5, 1, 4, 0, 0)
+
+
+def test_a_replayed_batch_changes_nothing(spark):
+    m, t0 = 60_000, 1_704_067_200_000
+    batches = [[(t0 + i * m, "A", "c", "u", "1", i) for i in range(k, k + 2)] for k in (0, 2, 4)]
+    once = feed(spark, new_root(spark, "once"), batches, threshold=4, span_minutes=30)
+    root = new_root(spark, "twice")
+    from mallscope.functions.adlog import render_ad_log
+    for i, batch in enumerate(batches):
+        lines = render_ad_log(spark.createDataFrame(batch, SCHEMA), keep=["event_id"])
+        for _ in range(2):
+            D.process_batch(spark, root, lines, "run", i, threshold=4, span_minutes=30)
+    twice = D.read_results(spark, root)
+    for name in ("kept", "blocked", "counters", "r6", "r7", "minutes", "r8", "audit"):
+        assert same(once[name], twice[name]), name
+    assert once["kept"].count() == 4
+
+
+def test_dashboard_advances_on_a_live_source(spark):
+    import time
+
+    from mallscope.functions.adlog import render_ad_log
+    from mallscope.sources.files import publish_folder
+    from mallscope.sources.streams import read_ad_stream
+    root, t0 = new_root(spark, "live"), 1_704_067_200_000
+    src = root + "/in"
+
+    def publish(i):
+        df = spark.createDataFrame([(t0 + i * 60_000, "A", "c", f"u{i}", "1", i)], SCHEMA)
+        render_ad_log(df, keep=["event_id"]).coalesce(1).write.parquet(f"{root}/staging{i}")
+        publish_folder(spark, f"{root}/staging{i}", f"{src}/slice={i}")
+
+    publish(0)
+    lines = read_ad_stream(spark, "parquet", path=src, options={"basePath": src})
+    q = D.run_ad_dashboard(spark, root, lines, threshold=50, span_minutes=60)       # 3 s trigger
     try:
-        for i, rows in enumerate(slices):
-            from mallscope.functions.adlog import render_ad_log
-            render_ad_log(spark.createDataFrame(rows, schema), keep=["event_id"]) \
-                .write.mode("append").parquet(p["src"])
-            if not qs:
-                kq = D.start_kept(spark, root, threshold=50)
-                kq.processAllAvailable()
-                qs = [kq, D.start_trend(spark, root, span_minutes=120)]
-            for q in qs:
-                q.processAllAvailable()
+        seen, i, end = [], 0, time.time() + 90
+        while time.time() < end and len(set(seen)) < 4:
+            i += 1
+            publish(i)                              # data keeps arriving
+            time.sleep(2)
+            r6 = read_kv(spark, D.paths(root)["r6"])
+            if r6 is not None and (row := r6.agg(F.sum("n")).first()[0]):
+                seen.append(row)
+        assert len(set(seen)) >= 3 and seen == sorted(seen), seen
+        assert q.exception() is None and q.isActive
     finally:
-        for q in qs:
-            q.stop()
-    got = {(r.minute - t0 // m, r.n) for r in D.read_results(spark, root)["minutes"].collect()}
-    assert got == {(0, 1), (30, 1), (25, 1)}
+        q.stop()
+    res = D.read_results(spark, root)
+    assert res["r7"].count() == 1 and res["r8"].count() == 1
 
 
 def test_conditions_from_properties_file(spark, tmp_path):
@@ -114,13 +259,6 @@ def test_start_query_memory_sink_available_now(spark):
     assert sorted(r.twice for r in spark.table(q.name).collect()) == [0, 2, 4, 6, 8]
 
 
-def test_daily_totals_with_state_expiry_equal_batch(spark):
-    ads = fx.ads(spark, SF_SMALL)
-    root = D.replay(spark, ads, threshold=2, span_minutes=600, slices=3, expire_after="2 days")
-    r6 = A.date_area_city_ad_count(A.blacklist_filter(ads, 2))
-    assert same(D.read_results(spark, root)["r6"], r6)
-
-
 def test_run_reports_writes_every_batch_result(spark):
     import __spark_entry__ as E
     from mallscope.plans.oracle_sql import TASK
@@ -146,54 +284,6 @@ def test_kafka_records_shape(spark):
     assert (r.key, r.value) == ("7", "1704067207179 EUROPE FRANCE 7 3")
 
 
-def test_run_ad_dashboard_on_a_line_stream(spark):
-    from mallscope.sources.streams import read_ad_stream
-    ads = fx.ads(spark, SF_SMALL)
-    root = os.path.join(checkpoint_root(spark), "live-" + uuid.uuid4().hex[:8])
-    fx.ad_lines(spark, SF_SMALL).write.parquet(root + "/in")
-    lines = read_ad_stream(spark, "parquet", path=root + "/in")
-    qs = D.run_ad_dashboard(spark, root, lines, threshold=2, span_minutes=600,
-                            trigger={"availableNow": True}, partitions=4)
-    for q in qs:
-        q.awaitTermination(300)
-    res = D.read_results(spark, root)
-    kept = A.blacklist_filter(ads, 2)
-    assert same(res["kept"], kept)
-    assert same(res["r6"], A.date_area_city_ad_count(kept))
-    assert same(res["r8"], A.ad_minute_json(A.ad_minute_counts(kept, 600)))
-
-
-def test_quiet_users_leave_the_blacklist_state(spark):
-    from mallscope.functions.adlog import parse_ad_log, render_ad_log
-    from mallscope.sources.streams import LINE_SCHEMA
-    from mallscope.streaming.blacklist import blacklist_filter_stream
-    from mallscope.streaming.queries import start_query
-    root = os.path.join(checkpoint_root(spark), "t-exp-" + uuid.uuid4().hex[:8])
-    schema = "timestamp long, area string, city string, userid string, adid string, event_id long"
-    h = 3_600_000
-    d0 = 1_704_067_200_000                       # 2024-01-01 00:00 UTC
-    slices = [[(d0 + 10 * h, "A", "c", "q", "1", 1), (d0 + 10 * h + 1, "A", "c", "q", "1", 2),
-               (d0 + 11 * h, "A", "c", "p", "1", 3)],
-              [(d0 + 26 * h, "A", "c", "p", "1", 4)],          # next day: watermark -> day 2, 01:00
-              [(d0 + 27 * h, "A", "c", "p", "2", 5)]]
-    state_rows, out = [], []
-    for i, rows in enumerate(slices):
-        render_ad_log(spark.createDataFrame(rows, schema), keep=["event_id"]) \
-            .write.mode("append").parquet(root + "/src")
-        lines = spark.readStream.schema(LINE_SCHEMA).parquet(root + "/src")
-        kept = blacklist_filter_stream(parse_ad_log(lines, keep=["event_id"]), threshold=3,
-                                       keep_days=0, watermark="1 hour")
-        q = start_query(kept, root + "/ck", sink="parquet", path=root + "/out",
-                        trigger={"availableNow": True})
-        q.awaitTermination(120)
-        state_rows.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
-    # once the watermark passes q's day, q times out (a no-data batch may do
-    # it right after the next day's batch); p stays
-    assert state_rows[0] == 2 and state_rows[1] in (1, 2) and state_rows[2] == 1, state_rows
-    got = sorted(r.event_id for r in spark.read.parquet(root + "/out").collect())
-    assert got == [1, 2, 3, 4, 5]
-
-
 def test_kafka_options_mapping():
     from mallscope.sources.streams import kafka_options
     o = kafka_options("h:9092", "ads_log", starting_offsets={"ads_log": {0: 10, 1: 5}},
@@ -205,16 +295,23 @@ def test_kafka_options_mapping():
 
 def test_dashboard_on_kafka_shaped_rows(spark):
     # what read_ad_stream("kafka") returns, fed from files: value text + partition/offset
-    from mallscope.sources.streams import KAFKA_ROW_SCHEMA
-    root = os.path.join(checkpoint_root(spark), "kafka-" + uuid.uuid4().hex[:8])
+    from mallscope.sources.streams import KAFKA_ROW_SCHEMA, kafka_event_id
+    root = new_root(spark, "kafka")
     fx.kafka_rows(spark, SF_SMALL).write.parquet(root + "/in")
     rows = spark.readStream.schema(KAFKA_ROW_SCHEMA).parquet(root + "/in")
-    from mallscope.sources.streams import KAFKA_PARTITION_SLOTS
-    lines = rows.select(F.col("value").alias("line"),
-                        (F.col("offset") * KAFKA_PARTITION_SLOTS + F.col("partition")).alias("event_id"))
-    qs = D.run_ad_dashboard(spark, root, lines, threshold=2, span_minutes=600,
-                            trigger={"availableNow": True}, partitions=4)
-    for q in qs:
-        q.awaitTermination(300)
+    lines = rows.select(F.col("value").alias("line"), kafka_event_id("partition", "offset").alias("event_id"))
+    q = D.run_ad_dashboard(spark, root, lines, threshold=2, span_minutes=600, trigger={"availableNow": True})
+    q.awaitTermination(300)
     kept = A.blacklist_filter(fx.ads(spark, SF_SMALL), 2)
     assert same(D.read_results(spark, root)["r6"], A.date_area_city_ad_count(kept))
+
+
+def test_kafka_event_ids_never_collide_silently(spark):
+    import pytest
+
+    from mallscope.sources.streams import kafka_event_id, read_ad_stream
+    rows = spark.createDataFrame([(10_000, 0)], "partition int, offset long")
+    with pytest.raises(Exception, match="no event id slot"):
+        rows.select(kafka_event_id("partition", "offset")).collect()
+    with pytest.raises(ValueError):
+        read_ad_stream(spark, "kafka", options={"subscribe": "a,b"})
