@@ -157,8 +157,8 @@ def min_cut(score: list[float], edges: list[tuple[int, int, float]]) -> list[boo
     edge carries its weight either way.
     """
     n = len(score)
-    if min(score, default=1) >= 0 or max(score) <= 0:
-        return [s > 0 for s in score]
+    if min(score, default=0) >= 0 or max(score) <= 0:
+        return [max(score) > 0] * n if n else []
     supply = [max(s, 0.0) for s in score]
     demand = [max(-s, 0.0) for s in score]
     to: list[int] = []
