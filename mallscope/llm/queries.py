@@ -13,6 +13,7 @@ from mallscope.llm.host_rules import judge
 from mallscope.llm.licenses import license_scan
 from mallscope.llm.main_text import extract_main_text
 from mallscope.llm.ngram_lm import score_documents
+from mallscope.llm.oracle_sql import ORACLE_SQL
 from mallscope.llm.packing import pack_along_curve
 from mallscope.llm.secrets import secret_report
 from mallscope.llm.simhash_dedup import hex_digits, simhash_components
@@ -55,7 +56,7 @@ def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_host_rules(spark: SparkSession, d: str) -> DataFrame:
-    return judge(_documents(spark, d)).drop("text_hash")
+    return judge(_documents(spark, d)).drop("text_hash", "host_rate")
 
 
 def op8_licenses(spark: SparkSession, d: str) -> DataFrame:
@@ -77,4 +78,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(ORACLE_SQL)
