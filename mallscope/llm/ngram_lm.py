@@ -101,7 +101,7 @@ def _block_task(block_tokens: int):
     return run
 
 
-def make_blocks(docs: DataFrame, is_training, block_tokens: int = 3_000_000) -> DataFrame:
+def make_blocks(docs: DataFrame, is_training, block_tokens: int = 1_500_000) -> DataFrame:
     """Blocks of about ``block_tokens`` words (a longer text lies in one)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(is_training("doc_id"), F.lit(False)).alias("train"), text_bytes().alias("text"))
@@ -120,27 +120,30 @@ class _Block:
         end = len(words)
         size = self.counts + 2
         first = np.cumsum(size) - size
-        seq = np.full(int(size.sum()), end, dtype=np.int64)
+        seq = np.full(int(size.sum()), end, dtype=np.int32)
         inside = np.ones(len(seq), dtype=bool)
         inside[first] = inside[first + size - 1] = False
         seq[inside] = which
-        self.of = np.repeat(np.arange(n_docs), size)
-        self.at = np.flatnonzero(np.arange(len(seq)) != np.repeat(first, size))    # all tokens: no opening END
-        self.token = seq[self.at]
-        train = self.train.astype(bool)[self.of[self.at]]
-        self.doc = self.of[self.at]
+        opening = np.zeros(len(seq), dtype=bool)
+        opening[first] = True
+        at = np.flatnonzero(~opening)       # all tokens: without the opening END
+        self.token = seq[at]
+        self.doc = np.repeat(np.arange(n_docs, dtype=np.int32), size)[at]
+        train = self.train.astype(bool)[self.doc]
         n = len(self.keys)
         self.count1 = np.bincount(self.token[train], minlength=n)
-        code = seq[self.at - 1] * n + self.token
+        code = seq[at - 1].astype(np.int64) * n + self.token
         self.code2, self.pair = np.unique(code, return_inverse=True)
+        self.pair = self.pair.astype(np.int32)
+        del code
         self.count2 = np.bincount(self.pair[train], minlength=len(self.code2))
         self.parent2, self.word2 = self.code2 // n, self.code2 % n
         self.deep = np.zeros(0, dtype=np.int64)
         if order > 2:
             # places whose two words before lie in the text (its opening END included)
-            second = np.flatnonzero(self.at - 2 >= first[self.doc])
+            second = np.flatnonzero(at - 2 >= first[self.doc])
             self.deep = second
-            before = self.pair[second - 1]
+            before = self.pair[second - 1].astype(np.int64)
             self.code3, self.triple = np.unique(before * n + self.token[second], return_inverse=True)
             self.count3 = np.bincount(self.triple[train[second]], minlength=len(self.code3))
             self.parent3, self.word3 = self.code3 // n, self.code3 % n
@@ -340,8 +343,8 @@ def hot_words(blocks: DataFrame, n_shards: int) -> tuple[dict[int, int], int]:
     return {r["word"] & (1 << 64) - 1: min(n_shards, 1 + r["times"] * 8 * n_shards // total) for r in often}, total
 
 
-def score_documents(docs: DataFrame, is_training, order: int = 3, discount: float = 0.8,
-                    block_tokens: int = 3_000_000) -> DataFrame:
+def score_documents(docs: DataFrame, is_training, order: int = 2, discount: float = 0.8,
+                    block_tokens: int = 1_500_000) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score.
 
     ``is_training`` maps a doc_id column to a condition: the model and the
