@@ -176,9 +176,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_ad_minute_counts"] = lambda s, d: trailing_minutes(_shared_stream(s, d)["minutes"], SPAN)
     q["stream_ad_minute_json"] = lambda s, d: _shared_stream(s, d)["r8"]
     q["stream_user_ad_daily_counts"] = lambda s, d: _shared_stream(s, d)["counters"]
-    q["checkpoint_restart"] = lambda s, d: _stream(s, d, restart_after=1)["kept"]
+    q["checkpoint_restart"] = lambda s, d: _shared_stream(s, d, restart_after=1, keep_days=1)["kept"]
     # bounded state: the counters of closed days leave the store
-    q["stream_bounded_state"] = lambda s, d: _stream(s, d, keep_days=1)["r6"]
+    q["stream_bounded_state"] = lambda s, d: _shared_stream(s, d, restart_after=1, keep_days=1)["r6"]
     # lines that are no clicks get an output of their own
     q["stream_rejects"] = lambda s, d: _stream(s, d, render=fx.ad_lines_with_rejects)["rejects"]
     # the block set is read at batch start; batches are spans of eight days
@@ -202,11 +202,11 @@ def _span_bounds(spark, d):
     return [k * BATCH_MS for k in range(first // BATCH_MS + 1, last // BATCH_MS + 1)]
 
 
-def _shared_stream(spark, d):
-    # the twins read different stores of one replay; kept per session and input
-    key = (spark.sparkContext.applicationId, d)
+def _shared_stream(spark, d, **options):
+    # the twins read different stores of one replay; kept per session, input and options
+    key = (spark.sparkContext.applicationId, d, *sorted(options.items()))
     if key not in _REPLAYS:
-        _REPLAYS[key] = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN)
+        _REPLAYS[key] = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, **options)
     return dashboard.read_results(spark, _REPLAYS[key])
 
 
