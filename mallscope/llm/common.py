@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import uuid
 from collections.abc import Callable, Iterator
@@ -138,3 +140,23 @@ def word_keys(texts: list[bytes], alnum: bool = False) -> tuple[np.ndarray, np.n
     start, stop = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     of = np.searchsorted(np.cumsum([len(t) + 1 for t in texts]), start, side="right")
     return of, mixed(piece_keys(b, start, stop))
+
+
+def release() -> None:
+    """Give memory that Python no longer uses back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``task``, giving the memory it used back to the system when it ends: a
+    Python worker waits beside the JVM for its next task, perhaps a long time."""
+    def run(batches):
+        try:
+            yield from task(batches)
+        finally:
+            release()
+    return run

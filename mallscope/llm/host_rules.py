@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import sub_batches, text_bytes, word_keys, written
+from mallscope.llm.common import sub_batches, text_bytes, tidy, word_keys, written
 
 WINDOW = 5      # words of a repeated passage
 
@@ -89,7 +89,7 @@ def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.col(host).cast("string").alias("host"), F.xxhash64(text_bytes()).alias("text_hash"),
                        text_bytes().alias("text")).mapInArrow(
-        _measure_task, "doc_id bigint, host string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
+        tidy(_measure_task), "doc_id bigint, host string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
                        "n_dup_lines bigint, n_repeat_words bigint, n_lines bigint")
 
 

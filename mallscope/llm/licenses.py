@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import alnum_words, sub_batches, text_bytes
+from mallscope.llm.common import alnum_words, sub_batches, text_bytes, tidy
 
 # Phrases that are counted wherever their words stand in a row.
 PHRASES = [
@@ -283,6 +283,6 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, min_matc
     """
     auto = LicenseAutomaton(templates, phrases)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text")).mapInArrow(
-        _scan_task(auto, min_match, max_gap, min_cover),
+        tidy(_scan_task(auto, min_match, max_gap, min_cover)),
         "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
         "base_labels string, labels string, score double, spans string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import sub_batches, text_bytes
+from mallscope.llm.common import sub_batches, text_bytes, tidy
 
 # one piece of markup; the contents of raw-text elements go with their tags
 _MARKUP = re.compile(
@@ -252,4 +252,4 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     return pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
         text_bytes("html").alias("html")).mapInArrow(
-        _extract_task, "page_id bigint, url string, text string, n_chars bigint")
+        tidy(_extract_task), "page_id bigint, url string, text string, n_chars bigint")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import alnum_words, sub_batches, text_bytes
+from mallscope.llm.common import alnum_words, sub_batches, text_bytes, tidy
 
 
 def word_features(word: bytes, buckets: int) -> list[int]:
@@ -120,7 +120,7 @@ def fit(docs: DataFrame, toxic_ids: DataFrame, unlabelled_ids: DataFrame, prior:
     rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
             .join(F.broadcast(ids), "doc_id")          # at most max_positive + max_unlabelled ids
             .select("positive", "unlabelled", "text")
-            .mapInArrow(_feature_task(buckets), "positive int, unlabelled int, features array<int>")
+            .mapInArrow(tidy(_feature_task(buckets)), "positive int, unlabelled int, features array<int>")
             .toArrow())
     lists = rows.column("features").combine_chunks()
     offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
@@ -162,7 +162,7 @@ def score_texts(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     """doc_id and score (0 to 1), one row per row of ``docs``."""
     table = docs.sparkSession.sparkContext.broadcast(weights)
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text")).mapInArrow(
-        _score_task(table, bias), "doc_id bigint, score double")
+        tidy(_score_task(table, bias)), "doc_id bigint, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, is_training, prior: float | None = None,
