@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import shuffle_partitions, sub_batches, text_bytes, word_keys, written
+from mallscope.llm.common import release, shuffle_partitions, sub_batches, text_bytes, tidy, word_keys, written
 from mallscope.llm.elias_fano import PROBABILITY, SUCCESSOR_BITS, NgramTrie, quantise
 
 #: The end of a text, a token like the words and the first context of a text.
@@ -105,7 +105,7 @@ def make_blocks(docs: DataFrame, is_training, block_tokens: int = 1_500_000) ->
     """Blocks of about ``block_tokens`` words (a longer text lies in one)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(is_training("doc_id"), F.lit(False)).alias("train"), text_bytes().alias("text"))
-    return written(rows.mapInArrow(_block_task(block_tokens), BLOCK_SCHEMA), "lm-blocks")
+    return written(rows.mapInArrow(tidy(_block_task(block_tokens)), BLOCK_SCHEMA), "lm-blocks")
 
 
 class _Block:
@@ -206,43 +206,52 @@ def _ask_task(hot: dict[int, int], n_shards: int, order: int):
 
 def _answer(order: int, n_shards: int, discount: float):
     def run(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        blocks = table.column("block").to_pylist()
-        asked = [_unpack(raw, "QII5I" + "I5I" * (order > 2)) for raw in table.column("payload").to_pylist()]
-        keys, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        count1 = np.bincount(at, weights=np.concatenate([a[1] for a in asked]), minlength=len(keys)).astype(np.int64)
-        edge = np.cumsum([len(a[0]) for a in asked])
-
-        def summed(parents, words, counts, below):
-            """Different (parent, word) in order, their summed counts and the
-            place of each question among them. Parents and words share 64
-            bits: a shard has fewer than 2^24 nodes a level."""
-            if below >= 1 << (64 - SUCCESSOR_BITS):
-                raise ValueError("a shard holds too many n-grams: raise spark.sql.shuffle.partitions")
-            code = (parents.astype(np.uint64) << np.uint64(SUCCESSOR_BITS)) | words
-            code, which = np.unique(code, return_inverse=True)
-            total = np.bincount(which, weights=counts, minlength=len(code)).astype(np.int64)
-            word = code & np.uint64((1 << SUCCESSOR_BITS) - 1)
-            return (code >> np.uint64(SUCCESSOR_BITS)).astype(np.int64), word, total, which
-
-        parents = np.concatenate([np.repeat(x, a[2]) for x, a in zip(np.split(at, edge[:-1]), asked, strict=True)])
-        parent2, word2, count2, which2 = summed(parents, np.concatenate([a[3] for a in asked]),
-                                                np.concatenate([a[4] for a in asked]), len(keys))
+        out = answered(table)
+        release()
+        return out
+
+    def summed(parents, words, counts, below):
+        """Different (parent, word) in order, their summed counts and the
+        place of each question among them. Parents and words share 64 bits: a
+        shard has fewer than 2^24 nodes a level."""
+        if below >= 1 << (64 - SUCCESSOR_BITS):
+            raise ValueError("a shard holds too many n-grams: raise spark.sql.shuffle.partitions")
+        code, which = np.unique((parents.astype(np.uint64) << np.uint64(SUCCESSOR_BITS)) | words, return_inverse=True)
+        total = np.bincount(which, weights=counts, minlength=len(code)).astype(np.int64)
+        word = code & np.uint64((1 << SUCCESSOR_BITS) - 1)
+        return (code >> np.uint64(SUCCESSOR_BITS)).astype(np.int64), word, total, which.astype(np.int32)
+
+    def parents_of(at, asked, nodes, sizes):
+        """The node of the level above for each question of the level."""
+        edge = np.cumsum([len(a[nodes]) for a in asked])
+        return np.concatenate([np.repeat(x, a[sizes]) for x, a in zip(np.split(at, edge[:-1]), asked, strict=True)])
+
+    def built(asked, keys, at, count1):
+        parent2, word2, count2, which2 = summed(
+            parents_of(at.astype(np.int32), asked, 0, 2), np.concatenate([a[3] for a in asked]),
+            np.concatenate([a[4] for a in asked]), len(keys))
+        parent3, word3, count3 = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
         if order > 2:
-            edge2 = np.cumsum([len(a[3]) for a in asked])
-            parents = np.concatenate([np.repeat(x, a[5]) for x, a in zip(np.split(which2, edge2[:-1]), asked, strict=True)])
-            parent3, word3, count3, _ = summed(parents, np.concatenate([a[6] for a in asked]),
-                                               np.concatenate([a[7] for a in asked]), len(parent2))
-        else:
-            parent3, word3, count3 = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        del parents, which2
+            parent3, word3, count3, _ = summed(
+                parents_of(which2, asked, 3, 5), np.concatenate([a[6] for a in asked]),
+                np.concatenate([a[7] for a in asked]), len(parent2))
+        del which2
         # the trie holds what the training documents hold
         kept1, kept2, kept3 = count1 > 0, count2 > 0, count3 > 0
         new1, new2 = np.cumsum(kept1) - 1, np.cumsum(kept2) - 1
-        trie = NgramTrie(keys[kept1], count1[kept1], new1[parent2[kept2]], word2[kept2], count2[kept2],
+        return NgramTrie(keys[kept1], count1[kept1], new1[parent2[kept2]], word2[kept2], count2[kept2],
                          new2[parent3[kept3]], word3[kept3], count3[kept3], discount)
+
+    def answered(table: pa.Table) -> pa.Table:
+        shard = table.column("shard")[0].as_py()
+        blocks = table.column("block").to_pylist()
+        asked = [_unpack(raw.as_py(), "QII5I" + "I5I" * (order > 2)) for raw in table.column("payload")]
+        keys, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        count1 = np.bincount(at, weights=np.concatenate([a[1] for a in asked]), minlength=len(keys)).astype(np.int64)
+        trie = built(asked, keys, at, count1)
         replies = []
-        for a in asked:
+        for i, a in enumerate(asked):
+            asked[i] = None
             place, found = trie.find_contexts(a[0])
             there = np.flatnonzero(found)
             c1, n1 = np.zeros(len(a[0]), dtype="<u4"), np.zeros(len(a[0]), dtype="<u4")
@@ -254,7 +263,7 @@ def _answer(order: int, n_shards: int, discount: float):
             replies.append(_pack(arrays))
         # of a spread word the home shard alone reports the count
         mine = (keys >> np.uint64(20)).astype(np.int64) % n_shards == shard
-        report = (int((kept1 & mine).sum()), int(count1[mine].sum()), trie.bytes)
+        report = (int(((count1 > 0) & mine).sum()), int(count1[mine].sum()), trie.bytes)
         return pa.table({
             "block": pa.array([*blocks, -1], pa.int64()), "shard": pa.array([shard] * (len(blocks) + 1), pa.int32()),
             "payload": pa.array([*replies, None], pa.binary()),
@@ -338,7 +347,7 @@ def hot_words(blocks: DataFrame, n_shards: int) -> tuple[dict[int, int], int]:
                     names=["word", "times"])
 
     total = blocks.agg(F.sum("tokens")).first()[0] or 0
-    often = (blocks.select("payload").mapInArrow(run, "word bigint, times bigint").groupBy("word")
+    often = (blocks.select("payload").mapInArrow(tidy(run), "word bigint, times bigint").groupBy("word")
              .agg(F.sum("times").alias("times")).filter(F.col("times") * 8 * n_shards >= total).collect())
     return {r["word"] & (1 << 64) - 1: min(n_shards, 1 + r["times"] * 8 * n_shards // total) for r in often}, total
 
@@ -355,16 +364,16 @@ def score_documents(docs: DataFrame, is_training, order: int = 2, discount: floa
     each; an empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    n_shards = shuffle_partitions(spark)
+    n_shards = 2 * shuffle_partitions(spark)
     blocks = make_blocks(docs, is_training, block_tokens)
     hot, _ = hot_words(blocks, n_shards)
     asked = blocks.select("block", "payload").mapInArrow(
-        _ask_task(hot, n_shards, order), "shard int, block bigint, payload binary")
+        tidy(_ask_task(hot, n_shards, order)), "shard int, block bigint, payload binary")
     answers = written(asked.groupBy("shard").applyInArrow(
         _answer(order, n_shards, discount),
         "block bigint, shard int, payload binary, words bigint, total bigint, bytes bigint"), "lm-answers")
     model = answers.filter("block = -1").agg(F.sum("words"), F.sum("total")).first()
     of = answers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "payload")).alias("answers"))
     return blocks.select("block", "payload").join(of, "block").select("payload", "answers").mapInArrow(
-        _score_task(n_shards, order, hot, model[1] or 0, model[0] or 0, discount),
+        tidy(_score_task(n_shards, order, hot, model[1] or 0, model[0] or 0, discount)),
         "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")
