@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from mallscope.llm.common import written
 from mallscope.llm.decontam import contamination
-from mallscope.llm.host_rules import judge
+from mallscope.llm.host_rules import keep_good
 from mallscope.llm.packing import pack_along_curve
 from mallscope.llm.secrets import redact
 from mallscope.llm.simhash_dedup import drop_near_duplicates
@@ -33,7 +33,7 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that fail the rules, or whose host's rate speaks against
     them, go; all others stay as they are."""
-    return _without(docs, judge(docs).filter(~F.col("kept")))
+    return keep_good(docs)
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,14 +8,18 @@ back to its documents: few rows of a host say little, many say much.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mallscope.llm.common import sub_batches, text_bytes, tidy, word_keys, written
 
 WINDOW = 5      # words of a repeated passage
+MEASURES = "__measures"
 
 _SPACE = np.zeros(256, dtype=np.int64)
 _SPACE[[9, 10, 11, 12, 13, 32]] = 1
@@ -60,37 +64,49 @@ def repeated_words(ids: np.ndarray, doc: np.ndarray, n_docs: int, window: int =
     return np.bincount(doc[covered], minlength=n_docs)
 
 
+_COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines"]
+
+
+def measured(texts: list[bytes]) -> list[np.ndarray]:
+    """The counts of ``_COUNTS`` for each text."""
+    n = len(texts)
+    raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
+    ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+
+    def total(table):
+        return np.diff(np.concatenate([[0], np.cumsum(table[raw])])[ends])
+
+    of, ids = word_keys(texts)
+    lines = [[x for x in t.split(b"\n") if x.strip()] for t in texts]
+    return [np.bincount(of, minlength=n), total(_WORD_CHAR), total(_SYMBOL),
+            np.array([len(x) - len(set(x)) for x in lines], dtype=np.int64), repeated_words(ids, of, n),
+            np.array([len(x) for x in lines], dtype=np.int64)]
+
+
 def _measure_task(batches):
     for batch in sub_batches(batches, "text"):
-        texts = batch.column("text").to_pylist()
-        n = len(texts)
-        raw = np.frombuffer(b"".join(texts), dtype=np.uint8)
-        ends = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
-
-        def total(table, raw=raw, ends=ends):
-            return np.diff(np.concatenate([[0], np.cumsum(table[raw])])[ends])
-
-        of, ids = word_keys(texts)
-        sizes = np.bincount(of, minlength=n)
-        repeats = repeated_words(ids, of, n)
-        lines = [[x for x in t.split(b"\n") if x.strip()] for t in texts]
-        columns = [sizes, total(_WORD_CHAR), total(_SYMBOL),
-                   np.array([len(x) - len(set(x)) for x in lines], dtype=np.int64), repeats,
-                   np.array([len(x) for x in lines], dtype=np.int64)]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), batch.column("host"), batch.column("text_hash"), *map(pa.array, columns)],
-            names=["doc_id", "host", "text_hash", "n_words", "word_chars", "n_symbols", "n_dup_lines",
-                   "n_repeat_words", "n_lines"])
+        counts = measured(batch.column("text").to_pylist())
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("host"), *map(pa.array, counts)],
+                                         names=["doc_id", "host", *_COUNTS])
+
+
+def _measure_rows_task(batches):
+    for whole in batches:
+        text = whole.column("text").cast(pa.binary()).fill_null(b"")
+        parts = pa.RecordBatch.from_arrays([text, pa.array(np.arange(len(text)))], names=["text", "row"])
+        for part in sub_batches([parts], "text"):
+            counts = measured(part.column("text").to_pylist())
+            rows = whole.slice(part.column("row")[0].as_py(), part.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [*rows.columns, pa.StructArray.from_arrays(list(map(pa.array, counts)), _COUNTS)],
+                names=[*rows.schema.names, MEASURES])
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
-    """doc_id, host, text_hash (XXH64 of the text) and the counts that the
-    rules use, one row per row of ``docs``."""
+    """doc_id, host and the counts that the rules use, one row per row of ``docs``."""
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.col(host).cast("string").alias("host"), F.xxhash64(text_bytes()).alias("text_hash"),
-                       text_bytes().alias("text")).mapInArrow(
-        tidy(_measure_task), "doc_id bigint, host string, text_hash bigint, n_words bigint, word_chars bigint, n_symbols bigint, "
-                       "n_dup_lines bigint, n_repeat_words bigint, n_lines bigint")
+                       F.col(host).cast("string").alias("host"), text_bytes().alias("text")).mapInArrow(
+        tidy(_measure_task), "doc_id bigint, host string, " + ", ".join(f"{c} bigint" for c in _COUNTS))
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
@@ -122,39 +138,81 @@ def host_rates(measured: DataFrame) -> DataFrame:
     return hosts.withColumn("rate", rate)
 
 
-def judge(docs: DataFrame, host: str = "source", min_words: int = 10, max_repeat_percent: int = 20,
-          max_symbols: float = 0.1, max_dup_lines: float = 0.3, mean_word: tuple[float, float] = (2.0, 15.0),
-          trusted: float = 0.02, rejected: float = 0.5) -> DataFrame:
-    """One row per row of ``docs``: its counts, its host's rate and ``kept``.
-
-    A document that fails a base rule (fewer than ``min_words`` words, more
-    than ``max_repeat_percent`` of them in repeated windows) goes. Of a host whose
-    shrunk rate is over ``rejected`` every document goes; up to ``trusted``
-    a document stays whatever the other rules say; between, it goes if it
-    fails one of them: symbols per word over ``max_symbols``, a larger share
-    of repeated lines than ``max_dup_lines``, a mean word length outside
-    ``mean_word``. A null text has no words and fails; a null host is a host
-    of its own; rows that repeat are judged each; an empty table gives no
-    rows. Other columns are not read.
+@dataclass(frozen=True)
+class Rules:
+    """A document fails a base rule with fewer than ``min_words`` words or more
+    than ``max_repeat_percent`` of them in repeated windows; it fails a further
+    rule with more than ``max_symbols`` symbols a word, more than the share
+    ``max_dup_lines`` of its lines repeated, or a mean word length outside
+    ``mean_word``. Of a host whose shrunk failure rate is over ``rejected``
+    every document goes; up to ``trusted`` the further rules don't count."""
+    min_words: int = 10
+    max_repeat_percent: int = 20
+    max_symbols: float = 0.1
+    max_dup_lines: float = 0.5
+    mean_word: tuple[float, float] = (2.0, 15.0)
+    trusted: float = 0.02
+    rejected: float = 0.5
+
+    def base_failed(self, count) -> Column:
+        return (count("n_words") < self.min_words) | (
+            count("n_repeat_words") * 100 > count("n_words") * self.max_repeat_percent)
+
+    def rule_failed(self, count) -> Column:
+        words = F.greatest(count("n_words"), F.lit(1))
+        return ((count("n_symbols") > words * self.max_symbols)
+                | (count("n_dup_lines") > F.greatest(count("n_lines"), F.lit(1)) * self.max_dup_lines)
+                | ~(count("word_chars") / words).between(*self.mean_word))
+
+    def verdict(self, rate: Column) -> Column:
+        return (F.when(rate > self.rejected, F.lit("rejected"))
+                .when(rate <= self.trusted, F.lit("trusted")).otherwise(F.lit("watched")))
+
+    def kept(self, base_failed: Column, rule_failed: Column, verdict: Column) -> Column:
+        return ~base_failed & (verdict != "rejected") & ((verdict == "trusted") | ~rule_failed)
+
+
+def _rates(measured_rows: DataFrame, rules: Rules) -> DataFrame:
+    """__host and __rate, written so that their size is known: a small table is
+    broadcast by Spark's own threshold, a large one is joined by a shuffle that
+    AQE can split at a hot host."""
+    failed = measured_rows.withColumn("failed", rules.base_failed(F.col) | rules.rule_failed(F.col))
+    return written(host_rates(failed).select(F.col("host").alias("__host"), F.col("rate").alias("__rate")), "rates")
+
+
+def judge(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:  # noqa: B008
+    """One row per row of ``docs``: its counts, its host's rate and ``kept``
+    (see ``Rules``).
+
+    A null text has no words and fails; a null host is a host of its own; rows
+    that repeat are judged each; an empty table gives no rows. Other columns
+    are not read.
     """
-    m = measure(docs, host)
-    words = F.greatest(F.col("n_words"), F.lit(1))
-    m = m.withColumn("base_failed", (F.col("n_words") < min_words)
-                     | (F.col("n_repeat_words") * 100 > F.col("n_words") * max_repeat_percent))
-    m = m.withColumn("rule_failed", (F.col("n_symbols") > words * max_symbols)
-                     | (F.col("n_dup_lines") > F.greatest(F.col("n_lines"), F.lit(1)) * max_dup_lines)
-                     | ~(F.col("word_chars") / words).between(*mean_word))
-    m = written(m.withColumn("failed", F.col("base_failed") | F.col("rule_failed")), "measured")
-    # written, so that its size is known: a small table is broadcast by
-    # Spark's own threshold, a large one is joined by a shuffle that AQE can
-    # split at a hot host
-    rates = written(host_rates(m).select(F.col("host").alias("of_host"), F.col("rate").alias("host_rate")), "rates")
-    j = m.join(rates, F.col("host").eqNullSafe(F.col("of_host")), "left")
-    verdict = (F.when(F.col("host_rate") > rejected, F.lit("rejected"))
-               .when(F.col("host_rate") <= trusted, F.lit("trusted")).otherwise(F.lit("watched")))
-    j = j.withColumn("host_verdict", verdict)
-    kept = ~F.col("base_failed") & (F.col("host_verdict") != "rejected") & (
-        (F.col("host_verdict") == "trusted") | ~F.col("rule_failed"))
+    m = written(measure(docs, host), "measured")
+    j = m.join(_rates(m, rules), F.col("host").eqNullSafe(F.col("__host")), "left")
+    j = (j.withColumn("base_failed", rules.base_failed(F.col)).withColumn("rule_failed", rules.rule_failed(F.col))
+         .withColumn("host_verdict", rules.verdict(F.col("__rate"))))
+    kept = rules.kept(F.col("base_failed"), F.col("rule_failed"), F.col("host_verdict"))
     return j.withColumn("kept", kept).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "kept", "rule_failed", "host", "host_rate", "host_verdict", "text_hash")
+        "kept", "rule_failed", "host", F.col("__rate").alias("host_rate"), "host_verdict")
+
+
+def keep_good(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:  # noqa: B008
+    """The rows of ``docs`` that ``judge`` keeps, with their columns.
+
+    The counts are made twice, once for the hosts and once beside the rows
+    themselves: the texts are then not shuffled to meet their verdicts, only
+    the hosts' rates are joined to them.
+    """
+    schema = T.StructType([*docs.schema.fields, T.StructField(MEASURES, T.StructType(
+        [T.StructField(c, T.LongType()) for c in _COUNTS]))])
+    rates = _rates(measure(docs, host), rules)
+    rows = docs.withColumn("text", F.col("text").cast("string")).mapInArrow(tidy(_measure_rows_task), schema)
+    j = rows.join(rates, F.col(host).cast("string").eqNullSafe(F.col("__host")), "left")
+
+    def count(name):
+        return F.col(f"{MEASURES}.{name}")
+
+    kept = rules.kept(rules.base_failed(count), rules.rule_failed(count), rules.verdict(F.col("__rate")))
+    return j.filter(kept).select(*docs.columns)

@@ -25,7 +25,7 @@ m as (select d.doc_id, host, cast(len(w) as bigint) n_words, cast(length(array_t
       from (select *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) lines from d) d
       left join r on d.doc_id = r.doc_id),
 f as (select *, n_words < 10 or 100 * n_repeat_words > 20 * n_words base_failed,
-             n_symbols > greatest(n_words, 1) * 0.1 or n_dup_lines > greatest(n_lines, 1) * 0.3
+             n_symbols > greatest(n_words, 1) * 0.1 or n_dup_lines > greatest(n_lines, 1) * 0.5
                or not (word_chars / greatest(n_words, 1) between 2 and 15) rule_failed from m),
 h as (select host, count(*) n, cast(count(*) filter (where base_failed or rule_failed) as double) k from f group by host),
 s as (select sum(n) n, sum(k) / sum(n) mean,

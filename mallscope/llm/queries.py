@@ -56,7 +56,7 @@ def op6_secrets(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op7_host_rules(spark: SparkSession, d: str) -> DataFrame:
-    return judge(_documents(spark, d)).drop("text_hash", "host_rate")
+    return judge(_documents(spark, d)).drop("host_rate")
 
 
 def op8_licenses(spark: SparkSession, d: str) -> DataFrame:

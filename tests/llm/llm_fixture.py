@@ -125,7 +125,7 @@ def verdicts(data):
     """(base_failed, kept) per row: the rules, host rates and the beta prior."""
     ms = [measures(t) for _, t, _ in data]
     base = [m["n_words"] < 10 or 100 * m["n_repeat_words"] > 20 * m["n_words"] for m in ms]
-    soft = [m["n_symbols"] > max(m["n_words"], 1) * 0.1 or m["n_dup_lines"] > max(m["n_lines"], 1) * 0.3
+    soft = [m["n_symbols"] > max(m["n_words"], 1) * 0.1 or m["n_dup_lines"] > max(m["n_lines"], 1) * 0.5
             or not 2 <= m["word_chars"] / max(m["n_words"], 1) <= 15 for m in ms]
     hosts = defaultdict(lambda: [0, 0])
     for (_, _, s), b, f in zip(data, base, soft, strict=True):
