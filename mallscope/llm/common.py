@@ -14,6 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from mallscope.session import scratch_path
 
@@ -160,3 +161,17 @@ def tidy(task: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
         finally:
             release()
     return run
+
+
+#: Bytes that Spark hands to a Python worker at once; a longer text is a batch
+#: of its own. Spark's default of 64 MB costs several times that beside the heap.
+BATCH_BYTES = 8 << 20
+
+
+def in_arrow(df: DataFrame, task, schema: str | T.StructType) -> DataFrame:
+    """``df.mapInArrow`` with bounded batches and a tidy end.
+
+    The batch size is a session setting and stays lowered for later queries.
+    """
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{BATCH_BYTES}b")
+    return df.mapInArrow(tidy(task), schema)

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mallscope.llm.common import sub_batches, text_bytes, tidy, word_keys, written
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes, word_keys, written
 
 WINDOW = 5      # words of a repeated passage
 MEASURES = "__measures"
@@ -104,9 +104,9 @@ def _measure_rows_task(batches):
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
     """doc_id, host and the counts that the rules use, one row per row of ``docs``."""
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
-                       F.col(host).cast("string").alias("host"), text_bytes().alias("text")).mapInArrow(
-        tidy(_measure_task), "doc_id bigint, host string, " + ", ".join(f"{c} bigint" for c in _COUNTS))
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
+                       F.col(host).cast("string").alias("host"), text_bytes().alias("text"))
+    return in_arrow(rows, _measure_task, "doc_id bigint, host string, " + ", ".join(f"{c} bigint" for c in _COUNTS))
 
 
 def host_rates(measured: DataFrame) -> DataFrame:
@@ -208,7 +208,7 @@ def keep_good(docs: DataFrame, host: str = "source", rules: Rules = Rules()) ->
     schema = T.StructType([*docs.schema.fields, T.StructField(MEASURES, T.StructType(
         [T.StructField(c, T.LongType()) for c in _COUNTS]))])
     rates = _rates(measure(docs, host), rules)
-    rows = docs.withColumn("text", F.col("text").cast("string")).mapInArrow(tidy(_measure_rows_task), schema)
+    rows = in_arrow(docs.withColumn("text", F.col("text").cast("string")), _measure_rows_task, schema)
     j = rows.join(rates, F.col(host).cast("string").eqNullSafe(F.col("__host")), "left")
 
     def count(name):

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import alnum_words, sub_batches, text_bytes, tidy
+from mallscope.llm.common import alnum_words, in_arrow, sub_batches, text_bytes
 
 # Phrases that are counted wherever their words stand in a row.
 PHRASES = [
@@ -282,7 +282,8 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, min_matc
     gives no rows. Other columns are not read.
     """
     auto = LicenseAutomaton(templates, phrases)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text")).mapInArrow(
-        tidy(_scan_task(auto, min_match, max_gap, min_cover)),
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
+    return in_arrow(
+        rows, _scan_task(auto, min_match, max_gap, min_cover),
         "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
         "base_labels string, labels string, score double, spans string")

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import sub_batches, text_bytes, tidy
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes
 
 # one piece of markup; the contents of raw-text elements go with their tags
 _MARKUP = re.compile(
@@ -249,7 +249,7 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     null ids and urls stay null; rows that repeat are extracted each; an
     empty table gives no rows. Other columns are not read.
     """
-    return pages.select(
+    rows = pages.select(
         F.col("page_id").cast("bigint").alias("page_id"), F.col("url").cast("string").alias("url"),
-        text_bytes("html").alias("html")).mapInArrow(
-        tidy(_extract_task), "page_id bigint, url string, text string, n_chars bigint")
+        text_bytes("html").alias("html"))
+    return in_arrow(rows, _extract_task, "page_id bigint, url string, text string, n_chars bigint")

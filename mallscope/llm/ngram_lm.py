@@ -21,7 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import release, shuffle_partitions, sub_batches, text_bytes, tidy, word_keys, written
+from mallscope.llm.common import in_arrow, release, shuffle_partitions, sub_batches, text_bytes, word_keys, written
 from mallscope.llm.elias_fano import PROBABILITY, SUCCESSOR_BITS, NgramTrie, quantise
 
 #: The end of a text, a token like the words and the first context of a text.
@@ -105,7 +105,7 @@ def make_blocks(docs: DataFrame, is_training, block_tokens: int = 1_500_000) ->
     """Blocks of about ``block_tokens`` words (a longer text lies in one)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"),
                        F.coalesce(is_training("doc_id"), F.lit(False)).alias("train"), text_bytes().alias("text"))
-    return written(rows.mapInArrow(tidy(_block_task(block_tokens)), BLOCK_SCHEMA), "lm-blocks")
+    return written(in_arrow(rows, _block_task(block_tokens), BLOCK_SCHEMA), "lm-blocks")
 
 
 class _Block:
@@ -347,7 +347,7 @@ def hot_words(blocks: DataFrame, n_shards: int) -> tuple[dict[int, int], int]:
                     names=["word", "times"])
 
     total = blocks.agg(F.sum("tokens")).first()[0] or 0
-    often = (blocks.select("payload").mapInArrow(tidy(run), "word bigint, times bigint").groupBy("word")
+    often = (in_arrow(blocks.select("payload"), run, "word bigint, times bigint").groupBy("word")
              .agg(F.sum("times").alias("times")).filter(F.col("times") * 8 * n_shards >= total).collect())
     return {r["word"] & (1 << 64) - 1: min(n_shards, 1 + r["times"] * 8 * n_shards // total) for r in often}, total
 
@@ -367,13 +367,14 @@ def score_documents(docs: DataFrame, is_training, order: int = 2, discount: floa
     n_shards = 2 * shuffle_partitions(spark)
     blocks = make_blocks(docs, is_training, block_tokens)
     hot, _ = hot_words(blocks, n_shards)
-    asked = blocks.select("block", "payload").mapInArrow(
-        tidy(_ask_task(hot, n_shards, order)), "shard int, block bigint, payload binary")
+    asked = in_arrow(
+        blocks.select("block", "payload"), _ask_task(hot, n_shards, order), "shard int, block bigint, payload binary")
     answers = written(asked.groupBy("shard").applyInArrow(
         _answer(order, n_shards, discount),
         "block bigint, shard int, payload binary, words bigint, total bigint, bytes bigint"), "lm-answers")
     model = answers.filter("block = -1").agg(F.sum("words"), F.sum("total")).first()
     of = answers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "payload")).alias("answers"))
-    return blocks.select("block", "payload").join(of, "block").select("payload", "answers").mapInArrow(
-        tidy(_score_task(n_shards, order, hot, model[1] or 0, model[0] or 0, discount)),
+    return in_arrow(
+        blocks.select("block", "payload").join(of, "block").select("payload", "answers"),
+        _score_task(n_shards, order, hot, model[1] or 0, model[0] or 0, discount),
         "doc_id bigint, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double")

@@ -17,7 +17,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import mixed, sub_batches, text_bytes, tidy, word_keys
+from mallscope.llm.common import in_arrow, mixed, sub_batches, text_bytes, word_keys
 from mallscope.llm.tokens import TOKENIZER, TextEncoder, packed
 
 PIECES = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -80,7 +80,7 @@ def curve_keys(docs: DataFrame, dims: int = 4, bits: int = 12, spread: float = 0
     of the document's projected mean word vector (``dims`` times ``bits`` is at
     most 62)."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
-    return rows.mapInArrow(tidy(_key_task(dims, bits, spread)), "doc_id bigint, text binary, curve bigint")
+    return in_arrow(rows, _key_task(dims, bits, spread), "doc_id bigint, text binary, curve bigint")
 
 
 def _pack_task(tokenizer: str, end_id: int, seq_len: int):
@@ -151,4 +151,4 @@ def pack_along_curve(docs: DataFrame, tokenizer: str = TOKENIZER, end_id: int =
     keyed = curve_keys(docs, dims, bits).withColumn("tie", F.xxhash64("doc_id", "text"))
     ordered = (keyed.repartitionByRange("curve", "tie")
                .sortWithinPartitions("curve", "tie").select("doc_id", "text"))
-    return ordered.mapInArrow(tidy(_pack_task(tokenizer, end_id, seq_len)), PIECES)
+    return in_arrow(ordered, _pack_task(tokenizer, end_id, seq_len), PIECES)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import sub_batches, text_bytes, tidy, written
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes, written
 from mallscope.llm.components import connected_components
 
 SEED = 42
@@ -82,9 +82,9 @@ def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
     """doc_id, text_hash (XXH64 of the text) and fp, the 64-bit SimHash as a
     signed number, one row per row of ``docs``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
-                       text_bytes().alias("text")).mapInArrow(
-        tidy(_fingerprint_task(shingle)), "doc_id bigint, text_hash bigint, fp bigint")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
+                       text_bytes().alias("text"))
+    return in_arrow(rows, _fingerprint_task(shingle), "doc_id bigint, text_hash bigint, fp bigint")
 
 
 def popcount_point(fp: Column) -> Column:

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import sub_batches, text_bytes, tidy
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes
 from mallscope.llm.tokens import TOKENIZER, TextEncoder
 
 FILE_SCHEMA = "doc_id bigint, n_tokens bigint, start_in_file bigint, ids array<int>"
@@ -51,7 +51,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_
     # the texts are shuffled, not the ids, which take more room
     rows = (rows.repartitionByRange("doc_id", "tie")
             .sortWithinPartitions("doc_id", "tie").select("doc_id", "text"))
-    (rows.mapInArrow(tidy(_encode_task(tokenizer, end_id)), FILE_SCHEMA)
+    (in_arrow(rows, _encode_task(tokenizer, end_id), FILE_SCHEMA)
      .write.option("compression", "zstd").option("orc.stripe.size", str(stripe_bytes))
      .option("orc.create.index", "true").option("orc.row.index.stride", str(index_stride))
      .option("orc.bloom.filter.columns", "doc_id").option("orc.bloom.filter.fpp", str(bloom_fpp))
@@ -90,5 +90,5 @@ def _digest_task(batches):
 
 def token_digests(tokens: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and the unsigned crc32 of the ids as read."""
-    return tokens.select("doc_id", "start", "ids").mapInArrow(
-        tidy(_digest_task), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return in_arrow(
+        tokens.select("doc_id", "start", "ids"), _digest_task, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")

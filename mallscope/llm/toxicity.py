@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import alnum_words, sub_batches, text_bytes, tidy
+from mallscope.llm.common import alnum_words, in_arrow, sub_batches, text_bytes
 
 
 def word_features(word: bytes, buckets: int) -> list[int]:
@@ -117,11 +117,10 @@ def fit(docs: DataFrame, toxic_ids: DataFrame, unlabelled_ids: DataFrame, prior:
     ids = (lowest(toxic_ids, max_positive).select("doc_id", F.lit(1).alias("p"), F.lit(0).alias("u"))
            .unionAll(lowest(unlabelled_ids, max_unlabelled).select("doc_id", F.lit(0), F.lit(1)))
            .groupBy("doc_id").agg(F.max("p").alias("positive"), F.max("u").alias("unlabelled")))
-    rows = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
-            .join(F.broadcast(ids), "doc_id")          # at most max_positive + max_unlabelled ids
-            .select("positive", "unlabelled", "text")
-            .mapInArrow(tidy(_feature_task(buckets)), "positive int, unlabelled int, features array<int>")
-            .toArrow())
+    sample = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
+              .join(F.broadcast(ids), "doc_id")          # at most max_positive + max_unlabelled ids
+              .select("positive", "unlabelled", "text"))
+    rows = in_arrow(sample, _feature_task(buckets), "positive int, unlabelled int, features array<int>").toArrow()
     lists = rows.column("features").combine_chunks()
     offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
     features = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
@@ -161,8 +160,8 @@ def _score_task(weights, bias: float, max_words: int = 300_000):
 def score_texts(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     """doc_id and score (0 to 1), one row per row of ``docs``."""
     table = docs.sparkSession.sparkContext.broadcast(weights)
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text")).mapInArrow(
-        tidy(_score_task(table, bias)), "doc_id bigint, score double")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
+    return in_arrow(rows, _score_task(table, bias), "doc_id bigint, score double")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, is_training, prior: float | None = None,
