@@ -39,7 +39,7 @@ from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad
                                      user_ad_daily_counts, with_date)
 from mallscope.session import checkpoint_root
 from mallscope.sinks.kv import part_names, read_kv, read_replaced, replace_kv, upsert_kv
-from mallscope.sources.files import publish_folder, read_text
+from mallscope.sources.files import list_dirs, publish_folder, read_text
 from mallscope.sources.streams import read_ad_stream
 from mallscope.streaming.blacklist import (BLOCKED_SCHEMA, COUNTER_KEYS, COUNTERS_SCHEMA,
                                            batch_block_points, passed, unblocked)
@@ -51,6 +51,7 @@ KEPT_SCHEMA = T.StructType([
     T.StructField("adid", T.StringType()), T.StructField("event_id", T.LongType())])
 REJECT_SCHEMA = "line string, event_id bigint"
 AUDIT_SCHEMA = "lines bigint, kept bigint, blocked bigint, rejected bigint, late bigint"
+LOGS = {"kept": KEPT_SCHEMA, "late": KEPT_SCHEMA, "rejects": REJECT_SCHEMA, "audit": AUDIT_SCHEMA}
 R6_KEYS = ["date", "area", "city", "adid"]
 R7_KEYS = ["date", "area"]
 MINUTE_KEYS = ["adid", "minute"]
@@ -61,6 +62,10 @@ def paths(root: str) -> dict:
     return {n: os.path.join(root, n) for n in names} | {"checkpoint": os.path.join(root, "_checkpoint")}
 
 
+def _names(schema) -> list[str]:
+    return schema.names if isinstance(schema, T.StructType) else [c.split()[0] for c in schema.split(", ")]
+
+
 def checkpoint_id(spark: SparkSession, checkpoint: str) -> str:
     """The id that Spark gave the query of a checkpoint; it stays the same
     over restarts, and a new checkpoint has another one."""
@@ -113,13 +118,15 @@ def process_batch(spark: SparkSession, root: str, lines: DataFrame, run: str, ba
     kept = passed(fresh, points, micro_batch).persist()
 
     rejects = parsed.filter("not ok").select("line", "event_id")
-    _append(rejects, p["rejects"], run, batch_id)
-    _append(late.select(*KEPT_SCHEMA.names), p["late"], run, batch_id)
-    _append(kept.select(*KEPT_SCHEMA.names), p["kept"], run, batch_id)
     n = {"lines": parsed.count(), "kept": kept.count(), "rejected": rejects.count(),
          "late": late.count() if closed else 0}
     n["blocked"] = n["lines"] - n["kept"] - n["rejected"] - n["late"]
-    _append(spark.createDataFrame([tuple(n[c.split()[0]] for c in AUDIT_SCHEMA.split(", "))], AUDIT_SCHEMA),
+    # logs, a folder per batch that has something to log
+    for name, rows, size in (("rejects", rejects, n["rejected"]), ("late", late, n["late"]),
+                             ("kept", kept, n["kept"])):
+        if size:
+            _append(rows.select(*_names(LOGS[name])), p[name], run, batch_id)
+    _append(spark.createDataFrame([tuple(n[c] for c in _names(AUDIT_SCHEMA))], AUDIT_SCHEMA).coalesce(1),
             p["audit"], run, batch_id)
 
     upsert_kv(user_ad_daily_counts(kept), p["counters"], keys=COUNTER_KEYS, partition_by=["date"], add=["n"],
@@ -219,13 +226,12 @@ def replay(spark: SparkSession, ads: DataFrame, threshold: int = DEFAULT_THRESHO
 def read_results(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """The dashboard's stores as DataFrames."""
     p = paths(root)
-    # the run and batch of a row are in its folder's name
-    per_batch = {"kept": KEPT_SCHEMA, "late": KEPT_SCHEMA, "rejects": REJECT_SCHEMA, "audit": AUDIT_SCHEMA}
     out = {}
-    for name, schema in per_batch.items():
-        rows = spark.read.parquet(p[name])
-        names = schema.names if isinstance(schema, T.StructType) else [c.split()[0] for c in schema.split(", ")]
-        out[name] = rows.select(*names)
+    for name, schema in LOGS.items():
+        # the run and batch of a row are in its folder's name
+        logged = list_dirs(spark, p[name])
+        rows = spark.read.parquet(p[name]) if logged else spark.createDataFrame([], schema)
+        out[name] = rows.select(*_names(schema))
     for name in ("blocked", "counters", "r6", "r7", "minutes"):
         out[name] = read_kv(spark, p[name])
     out["r8"] = read_replaced(spark, p["r8"])
