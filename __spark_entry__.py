@@ -31,7 +31,7 @@ from mallscope.operators.ads import (ad_minute_counts, blacklist_filter,  # noqa
                                      trailing_minutes, user_ad_daily_counts)
 from mallscope.operators.joins import click_star_join, drop_in, keep_in  # noqa: E402
 from mallscope.operators.ranking import top_ranked  # noqa: E402
-from mallscope.operators.sequences import (page_flow_pairs, page_jump_counts,  # noqa: E402
+from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts,  # noqa: E402
                                            page_view_counts, session_chunks, session_transitions)
 from mallscope.plans import adclicks, retail  # noqa: E402
 from mallscope.plans.oracle_sql import BATCH_MS, SPAN, TASK  # noqa: E402
@@ -133,6 +133,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["page_jump_counts"] = lambda s, d: page_jump_counts(
         session_transitions(fx.actions(s, d), chunk=session_chunks()),
         page_flow_pairs(COND["targetPageFlow"]))
+    q["jump_ratio"] = lambda s, d: jump_ratio(
+        page_jump_counts(session_transitions(fx.actions(s, d)), page_flow_pairs(COND["targetPageFlow"])),
+        page_view_counts(fx.actions(s, d), sorted({a for a, _ in page_flow_pairs(COND["targetPageFlow"])})))
     q["page_jump_ratio"] = lambda s, d: retail.page_jump_ratio(
         fx.actions(s, d), COND["targetPageFlow"], task_id=TASK)
     # R4

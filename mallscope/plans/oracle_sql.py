@@ -182,6 +182,9 @@ def oracle_sql() -> dict[str, str]:
         f"""select '{TASK}' task_id, j.jump, cast(j.n as double) / coalesce(v.n, 1) ratio
             from j left join v on j.from_page = v.page""",
         [("t", TRANSITIONS), ("flow", FLOW), ("j", JUMPS), ("v", VIEWS_N)])
+    q["jump_ratio"] = with_views(
+        "select j.jump, cast(j.n as double) / coalesce(v.n, 1) ratio from j left join v on j.from_page = v.page",
+        [("t", TRANSITIONS), ("flow", FLOW), ("j", JUMPS), ("v", VIEWS_N)])
     q["click_star_join"] = with_views(
         """select c.area, p.product_name, c.city_name from uva u join cities c on u.city_id = c.city_id
            join products p on u.click_product_id = p.product_id""")
