@@ -26,7 +26,7 @@ def _documents(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op1_ngram_lm(spark: SparkSession, d: str) -> DataFrame:
-    scored = score_documents(_documents(spark, d), lambda c: remainder(c, 10) != 0)
+    scored = score_documents(_documents(spark, d), lambda c: remainder(c, 10) != 0, order=3)
     return scored.withColumn("held_out", remainder("doc_id", 10) == 0)
 
 

@@ -110,6 +110,16 @@ def test_scores_equal_plain_version(spark, order, block, shards):
         assert w[5] - 0.08 * w[1] <= g[5] <= w[5] + 1e-9, (g, w)
 
 
+def test_query_scores_with_triples(spark):
+    from mallscope.llm.queries import llm_queries
+    # the word after b is one of nine for a pair, certain for a triple
+    data = [(i, f"p{i % 9} b q{i % 9}", "s") for i in range(1, 400)]
+    got = {r.doc_id: r.score for r in llm_queries()["op1_ngram_lm"](spark, write_tables(spark, data)).collect()}
+    for (i, _, _), two, three in zip(data, plain_scores(data, 2, 0.8), plain_scores(data, 3, 0.8), strict=True):
+        assert two[4] < three[4] - 0.08 * 4
+        assert three[4] - 0.08 * 4 <= got[i] <= three[4] + 1e-9
+
+
 def test_scores_of_an_empty_table_and_without_training_rows(spark):
     assert ngram_lm.score_documents(fx.empty(spark), TRAIN).collect() == []
     data = [(1, "a b a", "s"), (2, None, "s")]
