@@ -19,14 +19,17 @@ from pyspark.sql import functions as F
 
 from mallscope.llm.common import in_arrow, sub_batches, text_bytes
 
-# one piece of markup; the contents of raw-text elements go with their tags
+# one piece of markup; raw text goes with its tags and, like a comment, runs to
+# the end of the page without an end
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|iframe|svg|head|textarea|select|object)\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>"
-    r".*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'](?=[^\"']*>))*)>"
     r"|<[!?][^>]*>",
     re.S | re.I)
+# elements that are passed over whole if they have an end tag; a head needs none,
+# what it may hold shows no text
+_SKIPPED = frozenset("title noscript template iframe svg select object".split())
 _ATTR = re.compile(r"""(class|id|role|hidden|aria-hidden|itemprop|style)\s*(?:=\s*("[^"]*"|'[^']*'|[^\s>]+))?""", re.I)
 _WORDS = re.compile(r"[a-z]+")
 
@@ -50,7 +53,7 @@ _ROOTS = frozenset("html body article main".split())
 
 class _Node:
     """An open block element and what its ancestors say."""
-    __slots__ = ("tag", "boiler", "content", "hidden", "number")
+    __slots__ = ("tag", "tagged", "named", "inside", "content", "hidden", "number")
 
     def __init__(self, tag, up, attrs, number):
         names = set()
@@ -63,13 +66,38 @@ class _Node:
                 elif name == "hidden" or name == "aria-hidden" and value == "true" or (
                         name == "style" and "display:none" in value.replace(" ", "")):
                     hidden = True
-        boiler = tag in _BOILER_TAGS or tag not in _ROOTS and bool(names & _BOILER_NAMES)
-        if tag == "header" and up and up.content and not names & _BOILER_NAMES:
-            boiler = False      # the heading of the article itself
+        named = tag not in _ROOTS and bool(names & _BOILER_NAMES)
+        tagged = tag in _BOILER_TAGS
+        if tag == "header" and up and up.content and not named:
+            tagged = False      # the heading of the article itself
         self.tag, self.number, self.hidden = tag, number, hidden
-        self.boiler = (up.boiler if up else 0) + boiler
+        self.tagged = bool(up and up.tagged) or tagged
+        self.named = bool(up and up.named) or named
+        self.inside = bool(up and up.inside) or tag in ("article", "main")
+        if self.inside and not (up and up.inside):
+            self.named = False  # names of wrappers around the article say nothing against it
         self.content = bool(up and up.content) or tag in ("article", "main") or bool(names & _CONTENT_NAMES)
 
+    @property
+    def boiler(self):
+        return self.tagged or self.named
+
+
+def _ends(marks: list[re.Match]) -> dict[int, int]:
+    """Start of each element to be passed over -> end of its end tag."""
+    ends: dict[int, int] = {}
+    open_: dict[str, list[int]] = {tag: [] for tag in _SKIPPED}
+    for m in marks:
+        tag = (m.group(3) or "").lower()
+        if tag not in _SKIPPED:
+            continue
+        if not m.group(2):
+            if tag != "svg" or not m.group(4).endswith("/"):
+                open_[tag].append(m.start())
+        elif open_[tag]:
+            ends[open_[tag].pop()] = m.end()
+    return ends
+
 
 def blocks(html: str) -> list[tuple[str, _Node, int]]:
     """(text, parent element, characters inside links) in page order."""
@@ -89,8 +117,12 @@ def blocks(html: str) -> list[tuple[str, _Node, int]]:
         linked = 0
 
     at = 0
-    for m in _MARKUP.finditer(html):
+    marks = list(_MARKUP.finditer(html))
+    ends = _ends(marks)
+    for m in marks:
         start = m.start()
+        if start < at:
+            continue
         if start > at and not in_button:
             parts.append(html[at:start])
             if in_link:
@@ -101,7 +133,9 @@ def blocks(html: str) -> list[tuple[str, _Node, int]]:
             continue
         tag, closing = tag.lower(), m.group(2)
         if tag not in _BLOCKS:
-            if tag == "br" or tag in ("td", "option"):
+            if tag in _SKIPPED:
+                at = ends.get(start, at)
+            elif tag == "br" or tag in ("td", "option"):
                 parts.append("\n")
             elif tag == "a":
                 in_link = 0 if closing else 1

@@ -208,6 +208,31 @@ def test_pages_without_article_and_odd_pages():
         assert isinstance(main_text.page_text(odd), str)
 
 
+def test_elements_without_end_tags_lose_no_text():
+    a, b = (f"This is the {n} paragraph of the article, long enough to be told from anything else here." for n in ("first", "second"))
+    want = f"{a}\n{b}"
+    for head in ("<head><title>t</title><meta charset=utf-8>", "<head><title>t</title></head>", "<title>t</title>"):
+        assert main_text.page_text(f"<html>{head}<body><article><p>{a}</p><p>{b}</p></article>") == want
+        assert main_text.page_text(f"<html>{head}<article><p>{a}</p><p>{b}</p></article>") == want
+    for odd in ("<svg viewBox='0 0 1 1'/>", '<svg width="1" />', "<svg>", "<select>", "<object data=x>", "<template>", "<iframe src=x>",
+                "<noscript>", "<svg-icon></svg-icon>", "<svg><svg><path/></svg>gone</svg>", "<svg><text>gone</text></svg>",
+                "<select><option>gone</select>", "<object><object></object>gone</object>", "<script>'<svg>gone'</script>",
+                "<svg><script>'</svg>'</script>", "<!-- <template> -->"):
+        assert main_text.page_text(f"<article><p>{a}</p>{odd}<p>{b}</p></article>") == want, odd
+        assert main_text.page_text(f"<article><p>{a}</p>{odd}<p>{b}</p></article><svg><text>x</text></svg>") == want, odd
+    for odd in ("<script>", "<style>", "<textarea>", "<!--"):
+        assert main_text.page_text(f"<article><p>{a}</p><p>{b}</p>{odd}<p>gone</p></article>") == want, odd
+    assert len(main_text.blocks("<p>x</p><svg><select>" * 20000)) == 20000
+
+
+def test_article_resets_the_names_around_it():
+    text = "This is a long enough paragraph of plain prose, with a full stop at its end and some more words."
+    for tag in ("article", "main"):
+        page = f"<body><div class='sidebar menu'><{tag}><p>{text}</p><div class=comments><article><p>No. {text}</p></article></div></{tag}></div>"
+        assert main_text.page_text(page) == text
+    assert main_text.page_text(f"<body><aside><article><p>{text}</p></article></aside>") == ""
+
+
 def test_min_cut_is_minimal():
     import itertools
     import random
