@@ -28,6 +28,9 @@ from mallscope.llm.elias_fano import PROBABILITY, SUCCESSOR_BITS, NgramTrie, qua
 END = np.uint64(0xE27D9B1F6A5C4837)
 _CUT = np.uint64(64 - SUCCESSOR_BITS)
 
+#: Tokens for each shard, about; a shard is held whole by one Python task.
+SHARD_TOKENS = 1 << 20
+
 BLOCK_SCHEMA = "block bigint, tokens bigint, payload binary"
 
 
@@ -108,6 +111,11 @@ def make_blocks(docs: DataFrame, is_training, block_tokens: int = 1_500_000) ->
     return written(in_arrow(rows, _block_task(block_tokens), BLOCK_SCHEMA), "lm-blocks")
 
 
+def _cuts(shards: np.ndarray, asked: np.ndarray) -> np.ndarray:
+    """Where each shard of ``asked`` begins and ends in ascending ``shards``."""
+    return np.stack([np.searchsorted(shards, asked), np.searchsorted(shards, asked, side="right")], axis=1)
+
+
 class _Block:
     """One block's documents and n-grams, numbered in a fixed order."""
 
@@ -133,20 +141,23 @@ class _Block:
         n = len(self.keys)
         self.count1 = np.bincount(self.token[train], minlength=n)
         code = seq[at - 1].astype(np.int64) * n + self.token
-        self.code2, self.pair = np.unique(code, return_inverse=True)
-        self.pair = self.pair.astype(np.int32)
-        del code
-        self.count2 = np.bincount(self.pair[train], minlength=len(self.code2))
-        self.parent2, self.word2 = self.code2 // n, self.code2 % n
-        self.deep = np.zeros(0, dtype=np.int64)
+        code, pair = np.unique(code, return_inverse=True)
+        self.pair = pair.astype(np.int32)
+        del pair
+        self.count2 = np.bincount(self.pair[train], minlength=len(code)).astype("<u4")
+        self.parent2, self.word2 = (code // n).astype(np.int32), (code % n).astype(np.int32)
+        self.deep = np.zeros(0, dtype=np.int32)
         if order > 2:
             # places whose two words before lie in the text (its opening END included)
             second = np.flatnonzero(at - 2 >= first[self.doc])
-            self.deep = second
-            before = self.pair[second - 1].astype(np.int64)
-            self.code3, self.triple = np.unique(before * n + self.token[second], return_inverse=True)
-            self.count3 = np.bincount(self.triple[train[second]], minlength=len(self.code3))
-            self.parent3, self.word3 = self.code3 // n, self.code3 % n
+            del at
+            self.deep = second.astype(np.int32)
+            code = self.pair[second - 1].astype(np.int64) * n + self.token[second]
+            code, triple = np.unique(code, return_inverse=True)
+            self.triple = triple.astype(np.int32)
+            del triple
+            self.count3 = np.bincount(self.triple[train[second]], minlength=len(code)).astype("<u4")
+            self.parent3, self.word3 = (code // n).astype(np.int32), (code % n).astype(np.int32)
 
     def shards(self, hot: dict[int, int], n_shards: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Shard of each word's context, how many it is spread over, and the
@@ -159,7 +170,7 @@ class _Block:
             is_hot = hot_keys[at] == self.keys
             spread[is_hot] = [hot[int(k)] for k in self.keys[is_hot]]
         step = (self.keys[self.word2] >> np.uint64(8)).astype(np.int64) % spread[self.parent2]
-        return home, spread, (home[self.parent2] + step) % n_shards
+        return home, spread, ((home[self.parent2] + step) % n_shards).astype(np.int32)
 
     def requests(self, hot: dict[int, int], n_shards: int):
         """Per shard: its contexts, word pairs and (order 3) triples, as index
@@ -170,37 +181,40 @@ class _Block:
         ctx_shard = (home[ctx] + nth) % n_shards
         by_ctx = np.argsort(ctx_shard, kind="stable")
         by_pair = np.argsort(pair_shard, kind="stable")
-        ctx_cut = np.searchsorted(ctx_shard[by_ctx], np.arange(n_shards + 1))
-        pair_cut = np.searchsorted(pair_shard[by_pair], np.arange(n_shards + 1))
+        asked = np.unique(ctx_shard)
+        ctx_cut = _cuts(ctx_shard[by_ctx], asked)
+        pair_cut = _cuts(pair_shard[by_pair], asked)
         if len(self.deep):
             deep_shard = pair_shard[self.parent3]
             by_deep = np.argsort(deep_shard, kind="stable")
-            deep_cut = np.searchsorted(deep_shard[by_deep], np.arange(n_shards + 1))
-        for s in range(n_shards):
-            c = ctx[by_ctx[ctx_cut[s]:ctx_cut[s + 1]]]
-            if len(c):
-                p = by_pair[pair_cut[s]:pair_cut[s + 1]]
-                t = by_deep[deep_cut[s]:deep_cut[s + 1]] if len(self.deep) else self.deep
-                yield s, c, p, t
+            deep_cut = _cuts(deep_shard[by_deep], asked)
+        for k, s in enumerate(asked.tolist()):
+            c = ctx[by_ctx[slice(*ctx_cut[k])]]
+            p = by_pair[slice(*pair_cut[k])]
+            t = by_deep[slice(*deep_cut[k])] if len(self.deep) else self.deep
+            yield s, c, p, t
 
 
 def _ask_task(hot: dict[int, int], n_shards: int, order: int):
+    def asked(number, raw):
+        b = _Block(raw, order)
+        high = b.keys >> _CUT
+        for s, c, p, t in b.requests(hot, n_shards):
+            place = np.searchsorted(c, b.parent2[p])
+            arrays = [b.keys[c], b.count1[c].astype("<u4"),
+                      np.bincount(place, minlength=len(c)).astype("<u4"), _five(high[b.word2[p]]), b.count2[p]]
+            if order > 2:
+                children = np.bincount(np.searchsorted(p, b.parent3[t]), minlength=len(p))
+                arrays += [children.astype("<u4"), _five(high[b.word3[t]]), b.count3[t]]
+            yield pa.RecordBatch.from_pydict(
+                {"shard": pa.array([s], pa.int32()), "block": pa.array([number], pa.int64()),
+                 "payload": pa.array([_pack(arrays)], pa.binary())})
+
     def run(batches):
         for batch in batches:
-            for number, raw in zip(batch.column("block").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-                b = _Block(raw, order)
-                high = b.keys >> _CUT
-                for s, c, p, t in b.requests(hot, n_shards):
-                    place = np.searchsorted(c, b.parent2[p])
-                    arrays = [b.keys[c], b.count1[c].astype("<u4"),
-                              np.bincount(place, minlength=len(c)).astype("<u4"), _five(high[b.word2[p]]),
-                              b.count2[p].astype("<u4")]
-                    if order > 2:
-                        children = np.bincount(np.searchsorted(p, b.parent3[t]), minlength=len(p))
-                        arrays += [children.astype("<u4"), _five(high[b.word3[t]]), b.count3[t].astype("<u4")]
-                    yield pa.RecordBatch.from_pydict(
-                        {"shard": pa.array([s], pa.int32()), "block": pa.array([number], pa.int64()),
-                         "payload": pa.array([_pack(arrays)], pa.binary())})
+            for number, raw in zip(batch.column("block"), batch.column("payload"), strict=True):
+                yield from asked(number.as_py(), raw.as_py())
+                release()       # one block at a time
     return run
 
 
@@ -215,7 +229,7 @@ def _answer(order: int, n_shards: int, discount: float):
         place of each question among them. Parents and words share 64 bits: a
         shard has fewer than 2^24 nodes a level."""
         if below >= 1 << (64 - SUCCESSOR_BITS):
-            raise ValueError("a shard holds too many n-grams: raise spark.sql.shuffle.partitions")
+            raise ValueError("a shard holds too many n-grams: lower SHARD_TOKENS")
         code, which = np.unique((parents.astype(np.uint64) << np.uint64(SUCCESSOR_BITS)) | words, return_inverse=True)
         total = np.bincount(which, weights=counts, minlength=len(code)).astype(np.int64)
         word = code & np.uint64((1 << SUCCESSOR_BITS) - 1)
@@ -293,17 +307,18 @@ def _look_up(trie: NgramTrie, level: str, place, found, sizes, words):
 def _score_task(n_shards: int, order: int, hot: dict[int, int], total: int, distinct: int, discount: float):
     def run(batches):
         for batch in batches:
-            for raw, answers in zip(batch.column("payload").to_pylist(), batch.column("answers").to_pylist(), strict=True):
-                yield _score_block(_Block(raw, order), {x["shard"]: x["payload"] for x in answers},
+            for raw, answers in zip(batch.column("payload"), batch.column("answers"), strict=True):
+                yield _score_block(_Block(raw.as_py(), order), {x["shard"]: x["payload"] for x in answers.as_py()},
                                    n_shards, order, hot, total, distinct, discount)
+                release()
     return run
 
 
 def _score_block(b: _Block, answers, n_shards, order, hot, total, distinct, discount):
     n = len(b.keys)
     count, followers = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=np.int64)
-    p2, weight2 = np.zeros(len(b.code2)), np.ones(len(b.code2))
-    p3 = np.zeros(len(b.code3)) if order > 2 else None
+    p2, weight2 = np.zeros(len(b.parent2)), np.ones(len(b.parent2))
+    p3 = np.zeros(len(b.parent3)) if order > 2 else None
     for s, c, p, t in b.requests(hot, n_shards):
         c1, n1, q2, w2, *q3 = _unpack(answers[s], "IIBB" + "B" * (order > 2))
         count[c] = c1               # each shard of a spread word knows its count
@@ -331,9 +346,9 @@ def _score_block(b: _Block, answers, n_shards, order, hot, total, distinct, disc
                                                       "base_score", "score"])
 
 
-def hot_words(blocks: DataFrame, n_shards: int) -> tuple[dict[int, int], int]:
-    """The words that are to be spread, each with the number of shards, and
-    the number of tokens. A word of a share of 1/(8 shards) of all tokens has
+def hot_words(blocks: DataFrame, n_shards: int, total: int) -> dict[int, int]:
+    """The words that are to be spread, each with the number of shards, of
+    ``total`` tokens. A word of a share of 1/(8 shards) of all tokens has
     that share in some block, so blocks name their own; at most 8 * shards
     words have it overall, and only those reach the driver."""
     def run(batches):
@@ -346,10 +361,9 @@ def hot_words(blocks: DataFrame, n_shards: int) -> tuple[dict[int, int], int]:
                     [pa.array(np.append(keys, END)[often].view(np.int64)), pa.array(times[often].astype(np.int64))],
                     names=["word", "times"])
 
-    total = blocks.agg(F.sum("tokens")).first()[0] or 0
     often = (in_arrow(blocks.select("payload"), run, "word bigint, times bigint").groupBy("word")
              .agg(F.sum("times").alias("times")).filter(F.col("times") * 8 * n_shards >= total).collect())
-    return {r["word"] & (1 << 64) - 1: min(n_shards, 1 + r["times"] * 8 * n_shards // total) for r in often}, total
+    return {r["word"] & (1 << 64) - 1: min(n_shards, 1 + r["times"] * 8 * n_shards // total) for r in often}
 
 
 def score_documents(docs: DataFrame, is_training, order: int = 3, discount: float = 0.8,
@@ -364,12 +378,15 @@ def score_documents(docs: DataFrame, is_training, order: int = 3, discount: floa
     each; an empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
-    n_shards = 2 * shuffle_partitions(spark)
     blocks = make_blocks(docs, is_training, block_tokens)
-    hot, _ = hot_words(blocks, n_shards)
+    tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
+    # two shards for each partition, and more partitions for more tokens
+    partitions = max(shuffle_partitions(spark), -(-tokens // (2 * SHARD_TOKENS)))
+    n_shards = 2 * partitions
+    hot = hot_words(blocks, n_shards, tokens)
     asked = in_arrow(
         blocks.select("block", "payload"), _ask_task(hot, n_shards, order), "shard int, block bigint, payload binary")
-    answers = written(asked.groupBy("shard").applyInArrow(
+    answers = written(asked.repartition(partitions, "shard").groupBy("shard").applyInArrow(
         _answer(order, n_shards, discount),
         "block bigint, shard int, payload binary, words bigint, total bigint, bytes bigint"), "lm-answers")
     model = answers.filter("block = -1").agg(F.sum("words"), F.sum("total")).first()

@@ -110,6 +110,25 @@ def test_scores_equal_plain_version(spark, order, block, shards):
         assert w[5] - 0.08 * w[1] <= g[5] <= w[5] + 1e-9, (g, w)
 
 
+def test_shards_grow_with_the_tokens(spark, monkeypatch):
+    data = [r for r in fx.rows() if r[0] is not None and r[0] < 200]
+    tokens = sum(len(fx.lower(t).split()) + 1 for _, t, _ in data)
+    shards, answer = [], ngram_lm._answer
+    monkeypatch.setattr(ngram_lm, "SHARD_TOKENS", 500, raising=False)
+    monkeypatch.setattr(ngram_lm, "_answer", lambda order, n, discount: shards.append(n) or answer(order, n, discount))
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
+        got = {}
+        for r in ngram_lm.score_documents(fx.docs(spark, data).coalesce(1), TRAIN, block_tokens=2500).collect():
+            got[r.doc_id] = r.score
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+    assert tokens / 500 <= shards[0] <= tokens / 500 + 2 and shards[0] > 4
+    for (i, t, _), want in zip(data, plain_scores(data, 3, 0.8), strict=True):
+        assert want[4] - 0.08 * want[0] <= got[i] <= want[4] + 1e-9
+
+
 def test_query_scores_with_triples(spark):
     from mallscope.llm.queries import llm_queries
     # the word after b is one of nine for a pair, certain for a triple
