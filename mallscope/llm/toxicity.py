@@ -106,7 +106,8 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
 def fit(docs: DataFrame, toxic_ids: DataFrame, unlabelled_ids: DataFrame, prior: float,
         max_positive: int = 4_000, max_unlabelled: int = 12_000, buckets: int = 1 << 20) -> tuple[np.ndarray, float]:
     """Train on bounded samples: at most ``max_positive`` of ``toxic_ids`` and
-    ``max_unlabelled`` of ``unlabelled_ids`` (doc_id), lowest hash first.
+    ``max_unlabelled`` of ``unlabelled_ids`` (doc_id), lowest hash first. Of an
+    id with several rows one is learnt from, the text of the lowest hash.
 
     Those ids are broadcast, their texts become bucket numbers in the tasks,
     and only these reach the driver.
@@ -119,7 +120,9 @@ def fit(docs: DataFrame, toxic_ids: DataFrame, unlabelled_ids: DataFrame, prior:
            .groupBy("doc_id").agg(F.max("p").alias("positive"), F.max("u").alias("unlabelled")))
     sample = (docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
               .join(F.broadcast(ids), "doc_id")          # at most max_positive + max_unlabelled ids
-              .select("positive", "unlabelled", "text"))
+              .groupBy("doc_id", "positive", "unlabelled")
+              .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
+              .select("positive", "unlabelled", "least.text"))
     rows = in_arrow(sample, _feature_task(buckets), "positive int, unlabelled int, features array<int>").toArrow()
     lists = rows.column("features").combine_chunks()
     offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)

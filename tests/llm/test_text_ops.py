@@ -328,6 +328,15 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert {r.predicted for r in got if r.doc_id == 2002} == {1} and {r.predicted for r in got if r.doc_id in (2000, 2001)} == {0}
 
 
+def test_toxicity_learns_from_one_row_of_an_id(spark, monkeypatch):
+    drawn = []
+    monkeypatch.setattr(toxicity, "fit_nnpu", lambda p, u, *_: drawn.append((len(p), len(u))) or (np.zeros(1 << 20), 0.0))
+    data = [(i, f"text number {i}", "s") for i in range(8)] + [(3, "text number 3", "s")] * 50 + [(4, "another text", "s")]
+    docs = fx.docs(spark, data)
+    toxicity.fit(docs, docs.filter("doc_id in (3, 5)").select("doc_id"), docs.select("doc_id"), 0.1)
+    assert drawn == [(2, 8)]
+
+
 def test_toxicity_without_labels_or_rows(spark):
     none = spark.createDataFrame([], "doc_id long, toxic int")
     got = toxicity.toxicity(fx.docs(spark), none, lambda c: F.lit(True)).collect()
