@@ -169,7 +169,11 @@ def test_trees_assign_like_brute_force_and_take_whole_nodes():
         counts, sums = block_sums(own, depth, entries)
         assert np.array_equal(counts, np.bincount(want, minlength=m))
         assert np.array_equal(sums, np.array([own[want == e].sum(axis=0) for e in range(m)]))
-        assert m != 7 or whole_.mean() > 0.5
+    # entries far apart: all parts go with whole nodes, none is compared
+    points = rnd.integers(-40, 40, (900, 4)) + 400 * rnd.integers(0, 4, (900, 1))
+    order, depth = middle_splits(points, 8)
+    entry, whole_, _, _ = assign(points[order], depth, 400 * np.arange(4)[:, None] * np.ones((1, 4), dtype=np.int64))
+    assert whole_.mean() > 0.95 and np.array_equal(entry, np.round(points[order].mean(axis=1) / 400))
 
 
 def test_shards_cover_every_row_and_grow_into_the_new_one(spark):
