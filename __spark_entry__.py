@@ -29,7 +29,7 @@ from mallscope.operators.ads import (ad_minute_counts, blacklist_filter,  # noqa
                                      blacklist_points, date_area_ad_rollup,
                                      date_area_city_ad_count, top3_ads_by_area, top3_ads_json,
                                      trailing_minutes, user_ad_daily_counts)
-from mallscope.operators.joins import click_star_join, drop_in, keep_in  # noqa: E402
+from mallscope.operators.joins import click_star_join, drop_in, keep_in, materialize  # noqa: E402
 from mallscope.operators.ranking import top_ranked  # noqa: E402
 from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts,  # noqa: E402
                                            page_view_counts, session_chunks, session_transitions)
@@ -37,12 +37,13 @@ from mallscope.plans import adclicks, retail  # noqa: E402
 from mallscope.plans.oracle_sql import BATCH_MS, SPAN, TASK  # noqa: E402
 from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
 from mallscope.session import checkpoint_root  # noqa: E402
-from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv  # noqa: E402
+from mallscope.sinks.published import publish, read_newest, read_upserted, upsert  # noqa: E402
 from mallscope.sinks.tables import replace_table  # noqa: E402
 from mallscope.sources import fixtures as fx  # noqa: E402
 from mallscope.sources.streams import offset_ranges  # noqa: E402
 from mallscope.sources.tables import conform, load_table  # noqa: E402
 from mallscope.streaming import dashboard  # noqa: E402
+from mallscope.streaming.queries import read_state  # noqa: E402
 
 # the training-data operators are optional: without their folder (and the
 # pipeline built on them) everything else here still works
@@ -165,13 +166,14 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["date_area_ad_rollup"] = lambda s, d: date_area_ad_rollup(_r6(s, d))
     q["top3_ads_by_area"] = lambda s, d: top3_ads_by_area(date_area_ad_rollup(_r6(s, d)))
     q["top3_ads_json"] = lambda s, d: adclicks.daily_top3_ads(fx.ads(s, d), THRESHOLD)
-    q["ad_minute_counts"] = lambda s, d: ad_minute_counts(_kept(s, d), SPAN)
+    q["ad_minute_counts"] = lambda s, d: ad_minute_counts(blacklist_filter(
+        fx.ads(s, d), THRESHOLD, materialize(blacklist_points(fx.ads(s, d), THRESHOLD))), SPAN)
     q["ad_minute_json"] = lambda s, d: adclicks.minute_trend(fx.ads(s, d), THRESHOLD, SPAN)
     # published layouts of the live results
     q["top3_ads_kv"] = lambda s, d: adclicks.daily_top3_kv(adclicks.daily_top3_ads(fx.ads(s, d), THRESHOLD))
     q["ad_minute_kv"] = lambda s, d: adclicks.minute_trend_kv(adclicks.minute_trend(fx.ads(s, d), THRESHOLD, SPAN))
     # streaming twins: the dashboard fed with time slices of the clicks,
-    # results read back from its stores (same oracle as the batch forms)
+    # results read back as published (same oracle as the batch forms)
     q["stream_blacklist_filter"] = lambda s, d: _shared_stream(s, d)["kept"]
     q["stream_blacklist_users"] = lambda s, d: _shared_stream(s, d)["blocked"]
     q["stream_date_area_city_ad_count"] = lambda s, d: _shared_stream(s, d)["r6"]
@@ -180,8 +182,10 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["stream_ad_minute_json"] = lambda s, d: _shared_stream(s, d)["r8"]
     q["stream_user_ad_daily_counts"] = lambda s, d: _shared_stream(s, d)["counters"]
     q["checkpoint_restart"] = lambda s, d: _shared_stream(s, d, restart_after=1, keep_days=1)["kept"]
-    # bounded state: the counters of closed days leave the store
+    # bounded state: closed days leave the state, not the results
     q["stream_bounded_state"] = lambda s, d: _shared_stream(s, d, restart_after=1, keep_days=1)["r6"]
+    # the running totals as Spark's state holds them after a stop and a restart
+    q["stream_state_totals"] = _state_totals
     # lines that are no clicks get an output of their own
     q["stream_rejects"] = lambda s, d: _stream(s, d, render=fx.ad_lines_with_rejects)["rejects"]
     # the block set is read at batch start; batches are spans of eight days
@@ -197,7 +201,7 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def _stream(spark, d, restart_after=None, **options):
     root = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, restart_after=restart_after, **options)
-    return dashboard.read_results(spark, root)
+    return dashboard.read_results(spark, root, SPAN)
 
 
 def _span_bounds(spark, d):
@@ -205,12 +209,23 @@ def _span_bounds(spark, d):
     return [k * BATCH_MS for k in range(first // BATCH_MS + 1, last // BATCH_MS + 1)]
 
 
-def _shared_stream(spark, d, **options):
-    # the twins read different stores of one replay; kept per session, input and options
+def _shared_root(spark, d, **options):
+    # the twins read different results of one replay; kept per session, input and options
     key = (spark.sparkContext.applicationId, d, *sorted(options.items()))
     if key not in _REPLAYS:
         _REPLAYS[key] = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, **options)
-    return dashboard.read_results(spark, _REPLAYS[key])
+    return _REPLAYS[key]
+
+
+def _shared_stream(spark, d, **options):
+    return dashboard.read_results(spark, _shared_root(spark, d, **options), SPAN)
+
+
+def _state_totals(spark, d):
+    # R6 as the state of the totals query holds it, after a restart
+    root = _shared_root(spark, d, restart_after=1, keep_days=None)
+    state = read_state(spark, dashboard.paths(root)["ck_totals"])
+    return state.filter("level = 'city'").select("date", "area", "city", "adid", F.col("count").alias("n"))
 
 
 _REPLAYS: dict = {}
@@ -249,20 +264,21 @@ def _sink_upsert(spark, d):
     # two overlapping upserts: batch 0 writes every key with value 0, batch 1
     # the real totals; the store must hold the latest value per key
     root = _scratch(spark, "kv")
-    kv = adclicks.daily_city_kv(_r6(spark, d))
-    keys = ["hash_key", "field"]
-    upsert_kv(kv.withColumn("value", F.lit("0")), root, 0, keys)
-    upsert_kv(kv, root, 1, keys)
-    upsert_kv(kv, root, 1, keys)              # a replayed batch changes nothing
-    return read_kv(spark, root)
+    kv = materialize(adclicks.daily_city_kv(_r6(spark, d)))
+    at = {"keys": ["hash_key", "field"], "partition_by": ["hash_key"]}
+    upsert(kv.withColumn("value", F.lit("0")), root, 0, **at)
+    upsert(kv, root, 1, **at)
+    upsert(kv, root, 1, **at)                                 # a replayed batch changes nothing
+    upsert(kv.withColumn("value", F.lit("-1")), root, 0, **at)   # nor does an older one
+    return read_upserted(spark, root, kv.schema)
 
 
 def _sink_replace(spark, d):
     root = _scratch(spark, "replace")
     r7 = top3_ads_json(top3_ads_by_area(date_area_ad_rollup(_r6(spark, d))))
-    replace_kv(r7.limit(1), root, 0)          # an older version, fully replaced
-    replace_kv(r7, root, 1)
-    return read_replaced(spark, root)
+    publish(r7.limit(1), root, 0)             # an older version, fully replaced
+    publish(r7, root, 1)
+    return read_newest(spark, root, r7.schema)
 
 
 def _partitioned_actions(spark, d):

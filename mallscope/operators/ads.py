@@ -122,23 +122,24 @@ def ad_minute_counts(ads: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
     """Clicks per (adid, minute) for the trailing ``span_minutes``.
 
     ``as_of_minute`` (minutes since the epoch) defaults to the newest minute
-    in the data, a scalar subquery over the click times alone. Either way the
-    span becomes a bound on the raw ``timestamp`` column, which reaches the
-    scan, and only the clicks in the span are counted. Whole minute buckets
-    with ``minute > as_of - span`` are kept. Spans of a day or more are
-    rejected because ``HH:mm`` labels would collide.
+    in the data, one scalar subquery over the click times: where ``ads`` is
+    costly to make, write what it rests on first. Either way the span becomes
+    a bound on the raw ``timestamp`` column, which reaches the scan, and only
+    the clicks in the span are counted. Whole minute buckets with
+    ``minute > as_of - span`` are kept. Spans of a day or more are rejected
+    because ``HH:mm`` labels would collide.
     """
-    _check_span(span_minutes)
+    check_span(span_minutes)
     if as_of_minute is None:
+        # no click is newer, so the lower bound alone leaves the span
         newest = ads.select(F.max("timestamp").alias("newest")).scalar()
         first = (epoch_ms_to_minute(newest) - F.lit(span_minutes - 1)) * F.lit(MS_PER_MINUTE)
-        return trailing_minutes(minute_counts(ads.filter(F.col("timestamp") >= first)), span_minutes)
-    first = (as_of_minute - span_minutes + 1) * MS_PER_MINUTE
-    recent = ads.filter(F.col("timestamp") >= F.lit(first))
-    return trailing_minutes(minute_counts(recent), span_minutes, as_of_minute)
+    else:
+        first = F.lit((as_of_minute - span_minutes + 1) * MS_PER_MINUTE)
+    return minute_counts(ads.filter(F.col("timestamp") >= first)).withColumn("hhmm", minute_to_hhmm("minute"))
 
 
-def _check_span(span_minutes: int) -> None:
+def check_span(span_minutes: int) -> None:
     if not 0 < span_minutes < 24 * 60:
         raise ValueError("span_minutes must be in 1..1439 (HH:mm labels repeat daily)")
 
@@ -146,7 +147,7 @@ def _check_span(span_minutes: int) -> None:
 def trailing_minutes(minute_counts: DataFrame, span_minutes: int = DEFAULT_SPAN_MINUTES,
                      as_of_minute=None) -> DataFrame:
     """C3 on stored buckets: keep (adid, minute, n) rows of the trailing span, add ``hhmm``."""
-    _check_span(span_minutes)
+    check_span(span_minutes)
     m = minute_counts.select("adid", "minute", "n")
     as_of = F.lit(as_of_minute) if as_of_minute is not None else m.select(F.max("minute")).scalar()
     return (m.filter(F.col("minute") > as_of - F.lit(span_minutes))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from mallscope.constants import TOP3_KEY_PREFIX, TOP_ADS, TREND_KEY
 from mallscope.functions.scalars import kv_key
+from mallscope.operators.joins import materialize
 from mallscope.operators.ads import (DEFAULT_SPAN_MINUTES, DEFAULT_THRESHOLD, ad_minute_counts,
                                      ad_minute_json, blacklist_filter, blacklist_points,
                                      date_area_ad_rollup, date_area_city_ad_count,
@@ -48,7 +49,12 @@ def daily_top3_ads(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD, n: int =
 def minute_trend(ads: DataFrame, threshold: int = DEFAULT_THRESHOLD,
                  span_minutes: int = DEFAULT_SPAN_MINUTES, points: DataFrame | None = None,
                  as_of_minute: int | None = None) -> DataFrame:
-    """Per ad the trailing per-minute counts as JSON."""
+    """Per ad the trailing per-minute counts as JSON.
+
+    The block points are written once unless they are given: the newest minute
+    and the counts then take a filter by them each, not the blacklist.
+    """
+    points = materialize(blacklist_points(ads, threshold)) if points is None else points
     kept = kept_clicks(ads, threshold, points)
     return ad_minute_json(ad_minute_counts(kept, span_minutes, as_of_minute))
 

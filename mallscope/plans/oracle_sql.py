@@ -244,6 +244,7 @@ def oracle_sql() -> dict[str, str]:
     q["stream_blacklist_filter"] = q["blacklist_filter"]
     q["checkpoint_restart"] = q["blacklist_filter"]
     q["stream_date_area_city_ad_count"] = q["date_area_city_ad_count"]
+    q["stream_state_totals"] = q["date_area_city_ad_count"]
     q["stream_bounded_state"] = q["date_area_city_ad_count"]
     q["replace_table"] = q["date_area_city_ad_count"]
     q["stream_top3_ads_json"] = q["top3_ads_json"]

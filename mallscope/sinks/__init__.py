@@ -1,6 +1,8 @@
-from mallscope.sinks.kv import read_kv, read_replaced, replace_kv, upsert_kv
+from mallscope.sinks.published import (compact_totals, latest_totals, publish, read_newest,
+                                       read_published, read_upserted, upsert)
 from mallscope.sinks.tables import (jdbc_options, kafka_records, publish_ad_log, replace_table,
                                     write_jdbc)
 
-__all__ = ["upsert_kv", "read_kv", "replace_kv", "read_replaced",
+__all__ = ["upsert", "read_upserted", "publish", "read_published", "read_newest", "latest_totals",
+           "compact_totals",
            "write_jdbc", "jdbc_options", "replace_table", "kafka_records", "publish_ad_log"]

@@ -1,13 +1,11 @@
 """File-system helpers on Hadoop's FileSystem API (any Spark-supported store).
 
-Used for the driver-side metadata steps only: the manifests of the keyed
-stores, retiring their old folders, a checkpoint's id.
+Used for the driver-side metadata steps only: which batches a published
+table has, moving a written folder into place, dropping superseded ones.
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import SparkSession
 
 
@@ -44,40 +42,6 @@ def publish_folder(spark: SparkSession, staging: str, target: str) -> None:
         raise OSError(f"could not move {staging} to {target}")
 
 
-def list_files(spark: SparkSession, path: str) -> list[str]:
-    """Names of the files directly in ``path``; [] if absent."""
-    p, fs = _fs(spark, path)
-    if not fs.exists(p):
-        return []
-    return [st.getPath().getName() for st in fs.listStatus(p) if st.isFile()]
-
-
-def read_text(spark: SparkSession, path: str) -> str:
-    """A small text file."""
-    p, fs = _fs(spark, path)
-    stream = fs.open(p)
-    try:
-        return bytes(stream.readAllBytes()).decode("utf-8")
-    finally:
-        stream.close()
-
-
-def publish_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small text file under a name of its own, then rename it into
-    place; an existing target is an error (someone else wrote it)."""
-    target, fs = _fs(spark, path)
-    staging, _ = _fs(spark, path + ".tmp-" + uuid.uuid4().hex)
-    out = fs.create(staging, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(target) or not fs.rename(staging, target):
-        fs.delete(staging, False)
-        raise OSError(f"{path} already exists")
-
-
-def modified_seconds(spark: SparkSession, path: str) -> float:
-    """When a file was last written, in seconds since the epoch."""
+def make_dir(spark: SparkSession, path: str) -> None:
     p, fs = _fs(spark, path)
-    return fs.getFileStatus(p).getModificationTime() / 1000
+    fs.mkdirs(p)

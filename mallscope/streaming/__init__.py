@@ -1,4 +1,4 @@
-"""Structured Streaming: query start, the blacklist of a micro-batch, the ad dashboard."""
+"""Structured Streaming: query start and state, the blacklist, running totals, the trend, the ad dashboard."""
 
-from mallscope.streaming.blacklist import batch_block_points, passed, unblocked
-from mallscope.streaming.queries import DEFAULT_TRIGGER, start_query
+from mallscope.streaming.blacklist import batch_block_points, counter_totals, passes, unblocked
+from mallscope.streaming.queries import DEFAULT_TRIGGER, read_state, start_query, start_stateful, state_info

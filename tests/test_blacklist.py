@@ -1,7 +1,7 @@
 import datetime as dt
 import random
 
-from mallscope.operators.ads import blacklist_filter, blacklist_points
+from mallscope.operators.ads import blacklist_filter, blacklist_points, user_ad_daily_counts
 
 SCHEMA = "timestamp long, area string, city string, userid string, adid string, event_id long"
 DAY = 86_400_000
@@ -62,39 +62,35 @@ def test_micro_batch_form_equals_replay_with_larger_batches(spark):
 
 
 def test_stream_steps_equal_replay_for_both_cut_offs(spark):
-    from mallscope.operators.ads import user_ad_daily_counts
-    from mallscope.streaming.blacklist import (BLOCKED_SCHEMA, COUNTERS_SCHEMA, batch_block_points,
-                                               passed, unblocked)
+    from mallscope.streaming.blacklist import BLOCKED_SCHEMA, batch_block_points, passes, unblocked
     rows = sorted(random_clicks(11), key=lambda r: (r[0], r[5]))
     size = 60
     for micro in (False, True):
-        blocked, counters = spark.createDataFrame([], BLOCKED_SCHEMA), spark.createDataFrame([], COUNTERS_SCHEMA)
+        blocked = spark.createDataFrame([], BLOCKED_SCHEMA)
         got = []
         for i in range(0, len(rows), size):
             fresh = unblocked(spark.createDataFrame(rows[i:i + size], SCHEMA), blocked)
-            points = batch_block_points(fresh, counters, 6)
-            kept = passed(fresh, points, micro).collect()
-            got += [r.event_id for r in kept]
-            added = user_ad_daily_counts(spark.createDataFrame(kept, SCHEMA)) if kept else counters.limit(0)
-            counters = spark.createDataFrame(
-                counters.unionByName(added).groupBy("date", "userid", "adid").agg({"n": "sum"}).collect(), COUNTERS_SCHEMA)
+            # the totals after the batch, blocked users' clicks included, as the state has them
+            totals = user_ad_daily_counts(spark.createDataFrame(rows[:i + size], SCHEMA))
+            points = batch_block_points(fresh, totals, 6)
+            got += [r.event_id for r in passes(fresh, points, micro).filter("passes").collect()]
             blocked = spark.createDataFrame(blocked.unionByName(points).collect(), BLOCKED_SCHEMA)
         assert sorted(got) == replay_reference(rows, 6, size if micro else 1), micro
 
 
 def test_a_blocked_bot_goes_before_anything_is_grouped_or_ranked(spark):
-    from mallscope.streaming.blacklist import BLOCKED_SCHEMA, COUNTERS_SCHEMA, batch_block_points, unblocked
+    from mallscope.streaming.blacklist import BLOCKED_SCHEMA, batch_block_points, unblocked
     clicks = spark.range(20_000).selectExpr(
         "id as timestamp", "'A' area", "'c' city", "'bot' userid", "'1' adid", "id event_id")
     blocked = spark.createDataFrame([("bot", 0, 0)], BLOCKED_SCHEMA)
     fresh = unblocked(clicks, blocked)
     assert fresh.count() == 0
-    points = batch_block_points(fresh, spark.createDataFrame([], COUNTERS_SCHEMA), 50)
+    points = batch_block_points(fresh, user_ad_daily_counts(clicks), 50)
     assert points.count() == 0
     plan = points._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Pandas" not in plan and "LeftAnti" in plan
     # a bot that is not blocked yet: each map task ships at most `threshold` of its clicks
     fresh = unblocked(clicks, spark.createDataFrame([], BLOCKED_SCHEMA))
-    points = batch_block_points(fresh, spark.createDataFrame([], COUNTERS_SCHEMA), 50)
+    points = batch_block_points(fresh, user_ad_daily_counts(clicks), 50)
     assert [tuple(r) for r in points.collect()] == [("bot", 49, 49)]
     assert "WindowGroupLimit" in points._jdf.queryExecution().executedPlan().toString()
