@@ -139,8 +139,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     ``n_words``; ``n_hit``, the words inside any occurrence of a window;
     ``n_items`` and ``items_sha256`` (item ids sorted as strings,
     comma-joined) of the items with occurring windows; ``contaminated``.
-    Null and empty texts have no words; items without words and null item ids
-    are passed over; repeated rows each get the result; an empty table on
+    Null and empty texts have no words; items without words are passed over.
+    A null item id is no id to be listed, but its item's words are hit like
+    any other's; repeated rows each get the result; an empty table on
     either side gives no rows or no hits. Columns beside doc_id, text and
     item_id aren't read. ``text_hash`` tells rows of one doc_id apart.
     """
@@ -148,7 +149,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFr
     path = scratch(spark, "positional-index")
     build_index(docs, path)
     index = read_index(spark, path)
-    windows = written(test_windows(items.filter("item_id is not null").select("item_id", "text"), window), "windows")
+    windows = written(test_windows(items.select("item_id", "text"), window), "windows")
     hits = written(search(index, windows), "window-hits")
     spots = (hits.select("row", F.explode(F.sequence("start", F.col("start") + F.col("length") - 1)).alias("pos"))
              .distinct().groupBy("row").agg(F.count("*").alias("n_hit")))

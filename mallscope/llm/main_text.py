@@ -10,7 +10,7 @@ flow) is the labelling of least total cost.
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html import unescape
 
 import pyarrow as pa
@@ -19,14 +19,12 @@ from pyspark.sql import functions as F
 
 from mallscope.llm.common import in_arrow, sub_batches, text_bytes
 
-# one piece of markup; raw text goes with its tags and, like a comment, runs to
-# the end of the page without an end
-_MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|textarea)(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][a-zA-Z0-9-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'](?=[^\"']*>))*)>"
-    r"|<[!?][^>]*>",
-    re.S | re.I)
+_NAME = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9-]*)")
+# what can end a tag or a stretch of it
+_EVENT = re.compile("[<>\"']")
+# raw text goes with its tags and, like a comment, runs to the end of the page
+# without an end
+_RAW = {tag: re.compile(f"</{tag}\\s*>", re.I) for tag in ("script", "style", "textarea")}
 # elements that are passed over whole if they have an end tag; a head needs none,
 # what it may hold shows no text
 _SKIPPED = frozenset("title noscript template iframe svg select object".split())
@@ -83,25 +81,77 @@ class _Node:
         return self.tagged or self.named
 
 
-def _ends(marks: list[re.Match]) -> dict[int, int]:
+def _tag_end(html: str, at: int) -> int:
+    """Where a tag ends whose name ends at ``at``; -1 if it is no tag.
+
+    A quote counts after an equals sign. A ``<`` outside quotes says that the
+    tag before it was none (``a <b and c``); every stretch is looked at once.
+    """
+    while True:
+        m = _EVENT.search(html, at)
+        if m is None or m.group() == "<":
+            return -1
+        if m.group() == ">":
+            return m.end()
+        at, k = m.end(), m.start() - 1
+        # white space between the sign and the quote: a short look back
+        while k >= 0 and html[k] in " \t\r\n" and m.start() - k < 8:
+            k -= 1
+        if k >= 0 and html[k] == "=":
+            close = html.find(m.group(), at)
+            if close >= 0:
+                at = close + 1
+
+
+def _marks(html: str) -> list[tuple[int, int, str, bool, str]]:
+    """(start, end, element, whether an end tag, attributes) of the markup in
+    page order; comments, raw text and declarations have no element."""
+    out = []
+    at, last = html.find("<"), html.rfind(">")
+    while at >= 0:
+        end, tag, closing, attrs = -1, "", False, ""
+        m = _NAME.match(html, at)
+        if m:
+            end = _tag_end(html, m.end())
+            if end >= 0:
+                tag, closing, attrs = m.group(2).lower(), bool(m.group(1)), html[m.end():end - 1]
+                if tag in _RAW and not closing and attrs[:1] in ("", "/", " ", "\t", "\r", "\n", "\f"):
+                    close = _RAW[tag].search(html, end)
+                    end, tag, attrs = close.end() if close else len(html), "", ""
+        elif html.startswith("<!--", at):
+            close = html.find("-->", at + 4)
+            end = close + 3 if close >= 0 else len(html)
+        elif html[at + 1:at + 2] in ("!", "?") and at < last:
+            end = html.find(">", at) + 1
+        if end >= 0:
+            out.append((at, end, tag, closing, attrs))
+        at = html.find("<", max(end, at + 1))
+    return out
+
+
+def _ends(marks: list[tuple[int, int, str, bool, str]]) -> dict[int, int]:
     """Start of each element to be passed over -> end of its end tag."""
     ends: dict[int, int] = {}
     open_: dict[str, list[int]] = {tag: [] for tag in _SKIPPED}
-    for m in marks:
-        tag = (m.group(3) or "").lower()
+    for start, end, tag, closing, attrs in marks:
         if tag not in _SKIPPED:
             continue
-        if not m.group(2):
-            if tag != "svg" or not m.group(4).endswith("/"):
-                open_[tag].append(m.start())
+        if not closing:
+            if tag != "svg" or not attrs.endswith("/"):
+                open_[tag].append(start)
         elif open_[tag]:
-            ends[open_[tag].pop()] = m.end()
+            ends[open_[tag].pop()] = end
     return ends
 
 
 def blocks(html: str) -> list[tuple[str, _Node, int]]:
-    """(text, parent element, characters inside links) in page order."""
+    """(text, parent element, characters inside links) in page order.
+
+    Work grows with the page: each character is scanned a bounded number of
+    times, an end tag without a start costs nothing.
+    """
     stack = [_Node("html", None, "", 0)]
+    depth = Counter()           # open elements above the root, by name
     out: list[tuple[str, _Node, int]] = []
     parts: list[str] = []
     linked = made = 0
@@ -117,21 +167,18 @@ def blocks(html: str) -> list[tuple[str, _Node, int]]:
         linked = 0
 
     at = 0
-    marks = list(_MARKUP.finditer(html))
+    marks = _marks(html)
     ends = _ends(marks)
-    for m in marks:
-        start = m.start()
+    for start, end, tag, closing, attrs in marks:
         if start < at:
             continue
         if start > at and not in_button:
             parts.append(html[at:start])
             if in_link:
                 linked += start - at
-        at = m.end()
-        tag = m.group(3)
-        if tag is None:
+        at = end
+        if not tag:
             continue
-        tag, closing = tag.lower(), m.group(2)
         if tag not in _BLOCKS:
             if tag in _SKIPPED:
                 at = ends.get(start, at)
@@ -145,18 +192,20 @@ def blocks(html: str) -> list[tuple[str, _Node, int]]:
         flush()
         in_link = in_button = 0
         if closing:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
+            while depth[tag]:
+                last = stack.pop().tag
+                depth[last] -= 1
+                if last == tag:
                     break
             continue
         # a block element ends an open paragraph, an item ends an open item
         if stack[-1].tag == "p" or stack[-1].tag in _HEADINGS and tag in _HEADINGS or (
                 tag in ("li", "dt", "dd", "tr", "td", "th") and stack[-1].tag == tag):
-            stack.pop()
+            depth[stack.pop().tag] -= 1
         if tag not in _VOID:
             made += 1
-            stack.append(_Node(tag, stack[-1], m.group(4), made))
+            depth[tag] += 1
+            stack.append(_Node(tag, stack[-1], attrs, made))
     if at < len(html) and not in_button:
         parts.append(html[at:])
     flush()
@@ -279,8 +328,8 @@ def _extract_task(batches):
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars (code points), one row per row of ``pages``.
 
-    A null or empty html, or a page without content, gives an empty text;
-    null ids and urls stay null; rows that repeat are extracted each; an
+    A null or empty html, or a page without content, gives an empty text; a
+    ``<`` that starts no tag is text, however often it occurs; null ids and urls stay null; rows that repeat are extracted each; an
     empty table gives no rows. Other columns are not read.
     """
     rows = pages.select(

@@ -42,7 +42,7 @@ from f join g on f.host is not distinct from g.host
 """
 
 OP10 = f"""
-with i as (select distinct cast(item_id as varchar) item_id, {_words('text')} w from benchmark where item_id is not null),
+with i as (select distinct cast(item_id as varchar) item_id, {_words('text')} w from benchmark),
 k as (select distinct item_id, least(len(w), 10) n, array_to_string(w[s:s + 9], ' ') phrase
       from (select *, unnest(range(1, greatest(len(w) - 9, 1) + 1)) s from i where len(w) > 0)),
 d as (select doc_id, {_words('text')} w from documents),
@@ -52,7 +52,8 @@ o as (select doc_id, s, n, phrase from (
 x as (select o.doc_id, o.s, o.n, k.item_id from o join k on o.n = k.n and o.phrase = k.phrase),
 hit as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(s, s + n)) p from x) group by doc_id),
 who as (select doc_id, count(distinct item_id) n_items,
-               array_to_string(list_sort(list(distinct item_id)), ',') ids from x group by doc_id)
+               array_to_string(list_sort(list(distinct item_id) filter (where item_id is not null)), ',') ids
+        from x group by doc_id)
 select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(n_hit, 0) as bigint) n_hit,
        cast(coalesce(n_items, 0) as bigint) n_items, sha256(coalesce(ids, '')) items_sha256, n_hit is not null contaminated
 from d left join hit on d.doc_id = hit.doc_id left join who on d.doc_id = who.doc_id

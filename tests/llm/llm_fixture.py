@@ -59,6 +59,7 @@ def rows(seed=7, n=60):
         out.append((n + 2 * k, t, "src0"))
         out.append((n + 2 * k + 1, t.replace("the", "The").replace("  ", " "), "src1"))
     line = "the same line again and again\n"
+    out.append((190, "A passage of an item with NO id at all, in " + " ".join(_words(rnd, 30)), "src1"))
     out += [(200, None, "src0"), (201, "", "src0"), (202, " \t\n ", None), (203, line * 6, "src1"),
             (204, "solo", "src2"), (205, " ".join(_words(rnd, 30_000)), "src2"), (None, "a text without an id " * 3, "src2"),
             (206, "Söhne\x00 ünd\x1cTöchter \U0001F600 passwd: abc secret=x token: token: abcdefgh api_key='Zz9/zz99'", "src1"),
@@ -148,9 +149,9 @@ def windows(items, size=10):
     out = defaultdict(set)
     for i, t in items:
         w = ALNUM.findall(lower(t))
-        if i is not None and w:
+        if w:
             for s in range(max(1, len(w) - size + 1)):
-                out[tuple(w[s:s + size])].add(str(i))
+                out[tuple(w[s:s + size])] |= set() if i is None else {str(i)}
     return out
 
 
@@ -160,7 +161,7 @@ def contamination(text, known):
     for n in {len(k) for k in known}:
         for s in range(len(w) - n + 1):
             found = known.get(tuple(w[s:s + n]))
-            if found:
+            if found is not None:
                 hit.update(range(s, s + n))
                 items |= found
     return len(w), len(hit), len(items), hashlib.sha256(",".join(sorted(items)).encode()).hexdigest(), bool(hit)

@@ -243,6 +243,8 @@ def test_contamination_equals_plain_version(spark):
     want = sorted((name(i), *fx.contamination(t, known)) for i, t, _ in fx.rows())
     assert sorted((name(r.doc_id), r.n_words, r.n_hit, r.n_items, r.items_sha256, r.contaminated) for r in got) == want
     assert sum(w[-1] for w in want) >= 3
+    # words of an item without an id are hit, and nobody is named
+    assert [w[2:4] + w[5:] for w in want if w[0] == 190] == [(4, 0, True)]
 
 
 def test_contamination_of_empty_sides(spark):

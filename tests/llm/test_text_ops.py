@@ -233,6 +233,26 @@ def test_article_resets_the_names_around_it():
     assert main_text.page_text(f"<body><aside><article><p>{text}</p></article></aside>") == ""
 
 
+@pytest.mark.parametrize("piece", ["<b ", '<a "x', "<a ='x", '<a ="x', "if a <b and c <d then ", "<!x", "<!--", "</p>",
+                                   "<div>", "<div></p>", "<p><ul><li></div>", "<script ", "<svg><title", "< ", "=\" <i "])
+def test_work_grows_with_the_page_however_malformed(piece):
+    import time
+    page = f"<article><p>A first sentence of the page.</p>{piece * ((1 << 18) // len(piece))}"
+    t = time.process_time()
+    main_text.blocks(page)
+    small = time.process_time() - t
+    t = time.process_time()
+    main_text.blocks(page * 4)
+    assert time.process_time() - t < 10 * small + 3      # in proportion; a square would be 16 times
+
+
+def test_a_sign_that_starts_no_tag_is_text():
+    text = "Here if a <b and c <d then the sum is <5 for all of them, as the table says."
+    assert main_text.page_text(f"<article><p>{text}</p></article>") == text
+    page = '<article><p title="a > b" data-x=\'<p>\'>Some text of the article, that goes on.</p></article>'
+    assert main_text.page_text(page) == "Some text of the article, that goes on."
+
+
 def test_min_cut_is_minimal():
     import itertools
     import random
