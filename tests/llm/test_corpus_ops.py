@@ -325,7 +325,7 @@ def test_pipeline_of_an_empty_table(spark):
 def test_every_operator_is_registered():
     import __spark_entry__ as e
     names = [k for k in e.queries() if k.startswith("op") and k[2:].split("_")[0].isdigit()]
-    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 11)) and "pipeline" in e.queries()
+    assert sorted(int(k[2:].split("_")[0]) for k in names) == list(range(1, 14)) and "pipeline" in e.queries()
 
 
 def test_queries_with_sql_agree(spark):
