@@ -84,6 +84,11 @@ class EliasFano:
     def successor(self, begin: np.ndarray, end: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The first position in [begin, end) whose value is ``target`` or
         more (``end`` if none), and whether it is the target."""
+        step = 1 << 14      # what one round of the search touches stays in the cache
+        if len(begin) > step:
+            parts = [self.successor(begin[i:i + step], end[i:i + step], target[i:i + step])
+                     for i in range(0, len(begin), step)]
+            return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
         lo, hi = begin.copy(), end.copy()
         equal = np.zeros(len(lo), dtype=bool)
         active = np.flatnonzero(lo < hi)
@@ -169,7 +174,7 @@ class NgramTrie:
                 f.write(raw)
                 at += len(raw)
             f.write(bytes(8))
-        mapped = np.memmap(path, dtype=np.uint8, mode="r")
+        mapped = np.memmap(path, dtype=np.uint8, mode="r").view(np.ndarray)
         os.unlink(path)
         arrays = {name: mapped[a:a + n * t.itemsize].view(t) for name, (a, t, n) in places.items()}
         self.bytes = at

@@ -219,10 +219,22 @@ def _ask_task(hot: dict[int, int], n_shards: int, order: int):
 
 
 def _answer(order: int, n_shards: int, discount: float):
-    def run(table: pa.Table) -> pa.Table:
-        out = answered(table)
-        release()
-        return out
+    def run(batches):
+        """Rows arrive ordered by shard; one shard is held at a time."""
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            shard = batch.column("shard").to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(shard)) + 1).tolist(), len(shard)]
+            for a, z in zip(edges, edges[1:], strict=False):
+                if a == z:
+                    continue
+                if held and held[0].column("shard")[0].as_py() != int(shard[a]):
+                    yield from answered(held)
+                    release()
+                held.append(batch.slice(a, z - a))
+        if held:
+            yield from answered(held)
+            release()
 
     def summed(parents, words, counts, below):
         """Different (parent, word) in order, their summed counts and the
@@ -240,40 +252,50 @@ def _answer(order: int, n_shards: int, discount: float):
         edge = np.cumsum([len(a[nodes]) for a in asked])
         return np.concatenate([np.repeat(x, a[sizes]) for x, a in zip(np.split(at, edge[:-1]), asked, strict=True)])
 
-    def built(asked, keys, at, count1):
+    def answered(held: list[pa.RecordBatch]) -> list[pa.RecordBatch]:
+        """The answers of the shard whose messages are ``held``, which is emptied."""
+        table = pa.Table.from_batches(held)
+        held.clear()
+        shard = table.column("shard")[0].as_py()
+        blocks = table.column("block").to_pylist()
+        asked = [_unpack(raw.as_py(), "QII5I" + "I5I" * (order > 2)) for raw in table.column("payload")]
+        # the different questions of each level, and which of them each block asks
+        keys, which1 = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
+        which1 = which1.astype(np.int32)
+        count1 = np.bincount(which1, weights=np.concatenate([a[1] for a in asked]), minlength=len(keys)).astype(np.int64)
         parent2, word2, count2, which2 = summed(
-            parents_of(at.astype(np.int32), asked, 0, 2), np.concatenate([a[3] for a in asked]),
+            parents_of(which1, asked, 0, 2), np.concatenate([a[3] for a in asked]),
             np.concatenate([a[4] for a in asked]), len(keys))
-        parent3, word3, count3 = np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        parent3, word3, count3, which3 = (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64),
+                                          np.zeros(0, np.int32))
         if order > 2:
-            parent3, word3, count3, _ = summed(
+            parent3, word3, count3, which3 = summed(
                 parents_of(which2, asked, 3, 5), np.concatenate([a[6] for a in asked]),
                 np.concatenate([a[7] for a in asked]), len(parent2))
-        del which2
+        lengths = [[len(a[i]) for i in ((0, 3, 6) if order > 2 else (0, 3))] for a in asked]
+        del asked, table
         # the trie holds what the training documents hold
         kept1, kept2, kept3 = count1 > 0, count2 > 0, count3 > 0
         new1, new2 = np.cumsum(kept1) - 1, np.cumsum(kept2) - 1
-        return NgramTrie(keys[kept1], count1[kept1], new1[parent2[kept2]], word2[kept2], count2[kept2],
+        trie = NgramTrie(keys[kept1], count1[kept1], new1[parent2[kept2]], word2[kept2], count2[kept2],
                          new2[parent3[kept3]], word3[kept3], count3[kept3], discount)
-
-    def answered(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        blocks = table.column("block").to_pylist()
-        asked = [_unpack(raw.as_py(), "QII5I" + "I5I" * (order > 2)) for raw in table.column("payload")]
-        keys, at = np.unique(np.concatenate([a[0] for a in asked]), return_inverse=True)
-        count1 = np.bincount(at, weights=np.concatenate([a[1] for a in asked]), minlength=len(keys)).astype(np.int64)
-        trie = built(asked, keys, at, count1)
-        replies = []
-        for i, a in enumerate(asked):
-            asked[i] = None
-            place, found = trie.find_contexts(a[0])
-            there = np.flatnonzero(found)
-            c1, n1 = np.zeros(len(a[0]), dtype="<u4"), np.zeros(len(a[0]), dtype="<u4")
-            c1[there], n1[there] = trie.count1[place[there]], trie.size2[place[there]]
-            p2, w2 = _look_up(trie, "2", place, found, a[2], a[3])
-            arrays = [c1, n1, p2[0], p2[1]]
-            if order > 2:
-                arrays.append(_look_up(trie, "3", w2, p2[0] > 0, a[5], a[6])[0][0])
+        # each different question is searched once, however many blocks ask it
+        place, found = trie.find_contexts(keys)
+        there = np.flatnonzero(found)
+        c1, n1 = np.zeros(len(keys), dtype="<u4"), np.zeros(len(keys), dtype="<u4")
+        c1[there], n1[there] = trie.count1[place[there]], trie.size2[place[there]]
+        p2, at2 = _look_up(trie, "2", place, found, np.bincount(parent2, minlength=len(keys)), word2)
+        levels = [(which1, (c1, n1)), (which2, tuple(p2))]
+        if order > 2:
+            p3, _ = _look_up(trie, "3", at2, p2[0] > 0, np.bincount(parent3, minlength=len(word2)), word3)
+            levels.append((which3, (p3[0],)))
+        replies, begin = [], [0] * len(levels)
+        for sizes in lengths:
+            arrays = []
+            for i, (which, values) in enumerate(levels):
+                mine = which[begin[i]:begin[i] + sizes[i]]
+                arrays += [v[mine] for v in values]
+                begin[i] += sizes[i]
             replies.append(_pack(arrays))
         # of a spread word the home shard alone reports the count
         mine = (keys >> np.uint64(20)).astype(np.int64) % n_shards == shard
@@ -283,7 +305,7 @@ def _answer(order: int, n_shards: int, discount: float):
             "payload": pa.array([*replies, None], pa.binary()),
             "words": pa.array([None] * len(blocks) + [report[0]], pa.int64()),
             "total": pa.array([None] * len(blocks) + [report[1]], pa.int64()),
-            "bytes": pa.array([None] * len(blocks) + [report[2]], pa.int64())})
+            "bytes": pa.array([None] * len(blocks) + [report[2]], pa.int64())}).to_batches()
     return run
 
 
@@ -386,8 +408,10 @@ def score_documents(docs: DataFrame, is_training, order: int = 3, discount: floa
     hot = hot_words(blocks, n_shards, tokens)
     asked = in_arrow(
         blocks.select("block", "payload"), _ask_task(hot, n_shards, order), "shard int, block bigint, payload binary")
-    answers = written(asked.repartition(partitions, "shard").groupBy("shard").applyInArrow(
-        _answer(order, n_shards, discount),
+    # shards are dealt by number, so each task has the same number of them
+    dealt = asked.repartitionById(partitions, F.col("shard")).sortWithinPartitions("shard")
+    answers = written(in_arrow(
+        dealt, _answer(order, n_shards, discount),
         "block bigint, shard int, payload binary, words bigint, total bigint, bytes bigint"), "lm-answers")
     model = answers.filter("block = -1").agg(F.sum("words"), F.sum("total")).first()
     of = answers.filter("block >= 0").groupBy("block").agg(F.collect_list(F.struct("shard", "payload")).alias("answers"))
