@@ -1,15 +1,14 @@
 """Secrets in texts by a trigram inverted index.
 
-DataFrame and SQL functions only. Each rule's regex gives a Boolean query over
-the trigrams that any match must contain. The index holds postings
-(trigram, document) for the trigrams that the rules ask for; intersecting them
-leaves candidates, on which the regex itself is run. A rule without mandatory
-trigrams scans every text.
+DataFrame and SQL functions only. The index holds postings (trigram, text) of
+every trigram of every text, whatever the rules. Each rule's regex gives a
+Boolean query over the trigrams that any match must contain; intersecting
+their postings leaves candidates, on which the regex itself is run. A rule
+without mandatory trigrams scans every text.
 """
 
 from __future__ import annotations
 
-import string
 from dataclasses import dataclass
 from itertools import product
 from re import _constants as sre
@@ -131,27 +130,45 @@ def _keyed(docs: DataFrame) -> DataFrame:
         "text_hash", F.xxhash64("text"))
 
 
-def build_index(keyed: DataFrame, trigrams: list[str]) -> DataFrame:
-    """Postings (trigram, doc_id, text_hash) of the given trigrams in the
-    lower-cased texts, written ordered by trigram within each file."""
-    lower = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
-    rows = keyed.select("doc_id", "text_hash", lower.alias("lower"))
-    held = F.filter(F.array(*(F.lit(t) for t in trigrams)), lambda t: F.contains(F.col("lower"), t))
-    return written(rows.select(F.explode(held).alias("trigram"), "doc_id", "text_hash")
+#: A text is read in pieces of this many characters, each with the two that
+#: follow, so that the trigrams held at once don't grow with the text.
+PIECE_CHARS = 4096
+
+
+def build_index(docs: DataFrame) -> DataFrame:
+    """Postings (trigram, text_hash) of all trigrams of the lower-cased texts,
+    written ordered by trigram within each file.
+
+    ``trigram`` is the XXH64 of the three characters and ``text_hash`` that of
+    the text (null as empty): equal numbers of different texts or trigrams can
+    only add candidates. A text longer than a piece may repeat a posting.
+    """
+    piece = F.regexp_extract_all(F.lower("text"), F.lit(f"(?s)(?=(.{{1,{PIECE_CHARS + 2}}})).{{1,{PIECE_CHARS}}}"),
+                                 F.lit(1))
+    three = F.array_distinct(F.regexp_extract_all("piece", F.lit("(?s)(?=(...))"), F.lit(1)))
+    return written(_keyed(docs).select("text_hash", F.explode(piece).alias("piece"))
+                   .select("text_hash", F.explode(three).alias("three"))
+                   .select(F.xxhash64("three").alias("trigram"), "text_hash")
                    .sortWithinPartitions("trigram"), "trigram-index")
 
 
 def candidates(index: DataFrame, queries: dict[str, list[frozenset[str]]]) -> DataFrame:
-    """kind, doc_id, text_hash: documents that hold all trigrams of one of the
-    kind's alternatives."""
+    """kind, text_hash: texts that hold all trigrams of one of the kind's
+    alternatives. Of the index only pages that hold asked trigrams are read."""
     spark = index.sparkSession
     terms = [(kind, i, t, len(q)) for kind, alternatives in queries.items()
              for i, q in enumerate(alternatives) for t in sorted(q)]
-    asked = spark.createDataFrame(terms, "kind string, alternative int, trigram string, needed int")
+    asked = (spark.createDataFrame(terms, "kind string, alternative int, three string, needed int")
+             .withColumn("trigram", F.xxhash64("three")))
+    # lists of up to ten values are pushed into the scan as they are
+    values = sorted({t for _, _, t, _ in terms})
+    held = F.lit(False)
+    for i in range(0, len(values), 10):
+        held = held | F.col("trigram").isin([F.xxhash64(F.lit(t)) for t in values[i:i + 10]])
     # a row for each trigram of each rule: bounded by the rules
-    return (index.distinct().join(F.broadcast(asked), "trigram")
-            .groupBy("kind", "alternative", "needed", "doc_id", "text_hash").agg(F.count("*").alias("n"))
-            .filter(F.col("n") == F.col("needed")).select("kind", "doc_id", "text_hash").distinct())
+    return (index.filter(held).distinct().join(F.broadcast(asked), "trigram")
+            .groupBy("kind", "alternative", "needed", "text_hash").agg(F.count("*").alias("n"))
+            .filter(F.col("n") == F.col("needed")).select("kind", "text_hash").distinct())
 
 
 def _matches(rows: DataFrame, rule: Rule) -> DataFrame:
@@ -172,9 +189,12 @@ def _matches(rows: DataFrame, rule: Rule) -> DataFrame:
             .filter("size is not null"))
 
 
-def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def find_secrets(docs: DataFrame, rules: list[Rule] = RULES, index: DataFrame | None = None) -> DataFrame:
     """kind, doc_id, text_hash, start, end: the secrets of every text.
 
+    ``index`` is ``build_index`` of these texts, or of more, made before; it
+    serves any rules. Without it one is built.
+
     Per rule the matches are leftmost and don't overlap; those that are too
     short are dropped. ``start`` and ``end`` (exclusive) are code points.
     Repeated rows give their spans once (the same doc_id and text); null
@@ -186,14 +206,10 @@ def find_secrets(docs: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
     asked = {k: q for k, q in queries.items() if k not in scan_fully}
     found: list[DataFrame] = []
     if asked:
-        trigrams = sorted({t for q in asked.values() for c in q for t in c})
-        hits = written(candidates(build_index(keyed, trigrams), asked), "secret-candidates")
-        # few documents are candidates: their texts are read once for all rules
-        kinds = hits.groupBy("doc_id", "text_hash").agg(F.collect_set("kind").alias("kinds"))
-        at = written(kinds, "secret-documents").select(
-            F.col("doc_id").alias("d"), F.col("text_hash").alias("h"), "kinds")
-        texts = written(keyed.join(at, F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("text_hash") == F.col("h")))
-                        .select("doc_id", "text_hash", "text", "kinds"), "secret-texts")
+        hits = candidates(build_index(docs) if index is None else index, asked)
+        # few texts are candidates: they are read once for all rules
+        at = written(hits.groupBy("text_hash").agg(F.collect_set("kind").alias("kinds")), "secret-candidates")
+        texts = written(keyed.join(at, "text_hash").select("doc_id", "text_hash", "text", "kinds"), "secret-texts")
         found += [_matches(texts.filter(F.array_contains("kinds", r.kind)), r) for r in rules if r.kind in asked]
     found += [_matches(keyed.filter(F.col("text").rlike(r.pattern)), r) for r in rules if r.kind in scan_fully]
     every = found[0]
