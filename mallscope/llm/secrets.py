@@ -145,7 +145,7 @@ def build_index(docs: DataFrame) -> DataFrame:
     """
     piece = F.regexp_extract_all(F.lower("text"), F.lit(f"(?s)(?=(.{{1,{PIECE_CHARS + 2}}})).{{1,{PIECE_CHARS}}}"),
                                  F.lit(1))
-    three = F.array_distinct(F.regexp_extract_all("piece", F.lit("(?s)(?=(...))"), F.lit(1)))
+    three = F.array_distinct(F.regexp_extract_all("piece", F.lit("(?s)(?=(...))."), F.lit(1)))
     return written(_keyed(docs).select("text_hash", F.explode(piece).alias("piece"))
                    .select("text_hash", F.explode(three).alias("three"))
                    .select(F.xxhash64("three").alias("trigram"), "text_hash")

@@ -322,6 +322,27 @@ def test_more_rules_and_redaction(spark):
                      (6, f"{mask};{mask}", 17), (6, f"{mask};{mask}", 17)]
 
 
+def test_index_holds_every_trigram_and_serves_later_rules(spark, monkeypatch):
+    monkeypatch.setattr(secrets, "PIECE_CHARS", 7)      # texts of many pieces
+    data = [(1, "Zürich pass ZÜR-9911 \U0001F600ab", "s"), (2, "zür 12", "s"), (3, "ab", "s"), (4, None, "s"),
+            (5, "x" * 30 + "QRS-77" + "y" * 30, "s"), (6, "abcdef" * 9, "s"), (6, "abcdef" * 9, "s")]
+    docs = fx.docs(spark, data)
+    index = secrets.build_index(docs)
+    every = {t[i:i + 3] for _, t, _ in data if t for t in [t.lower()] for i in range(len(t) - 2)}
+    named = spark.createDataFrame([(t,) for t in every], "t string").selectExpr("t", "xxhash64(t) as trigram")
+    held = {(r.t, r.text_hash) for r in index.join(named, "trigram").collect()}
+    of = {r.text_hash: r.text.lower() for r in secrets._keyed(docs).collect()}
+    assert held == {(t, h) for t in every for h, text in of.items() if t in text}
+    assert index.select("trigram").distinct().count() == len(every)
+    # rules made after the index
+    later = [secrets.Rule("badge", r"QRS-[0-9]{2}"), secrets.Rule("seven", "(?:cdefab){2}")]
+    want = sorted(map(tuple, secrets.find_secrets(docs, later).collect()))
+    monkeypatch.setattr(secrets, "build_index", None)
+    assert sorted(map(tuple, secrets.find_secrets(docs, later, index).collect())) == want
+    assert sorted((k, i, a, b) for k, i, _, a, b in want) == [
+        ("badge", 5, 30, 36), ("seven", 6, 2, 14), ("seven", 6, 14, 26), ("seven", 6, 26, 38), ("seven", 6, 38, 50)]
+
+
 # --- 3: toxicity --------------------------------------------------------------
 
 def test_toxicity_learns_from_positives_and_unlabelled(spark):
