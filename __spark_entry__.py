@@ -24,11 +24,13 @@ from pyspark.sql import types as T  # noqa: E402
 
 from mallscope.functions.adlog import parse_ad_log, render_ad_log  # noqa: E402
 from mallscope.functions.scalars import with_task_id  # noqa: E402
+from mallscope.functions.sql import register_sql  # noqa: E402
 from mallscope.operators import actions as act  # noqa: E402
 from mallscope.operators.ads import (ad_minute_counts, blacklist_filter,  # noqa: E402
                                      blacklist_points, date_area_ad_rollup,
                                      date_area_city_ad_count, top3_ads_by_area, top3_ads_json,
                                      trailing_minutes, user_ad_daily_counts)
+from mallscope.operators.condition_sets import condition_set_counts, condition_set_top  # noqa: E402
 from mallscope.operators.joins import click_star_join, drop_in, keep_in, materialize  # noqa: E402
 from mallscope.operators.ranking import top_ranked  # noqa: E402
 from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jump_counts,  # noqa: E402
@@ -36,6 +38,7 @@ from mallscope.operators.sequences import (jump_ratio, page_flow_pairs, page_jum
 from mallscope.plans import adclicks, retail  # noqa: E402
 from mallscope.plans.oracle_sql import BATCH_MS, SPAN, TASK  # noqa: E402
 from mallscope.plans.oracle_sql import oracle_sql as _oracle_sql  # noqa: E402
+from mallscope.plans.sql_text import area_product_top3_sql  # noqa: E402
 from mallscope.session import checkpoint_root  # noqa: E402
 from mallscope.sinks.published import publish, read_newest, read_upserted, upsert  # noqa: E402
 from mallscope.sinks.tables import replace_table  # noqa: E402
@@ -123,6 +126,14 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     # the behaviour log as a date-partitioned table: P1's date bounds prune folders
     q["hot_category_top10_partitioned"] = lambda s, d: retail.hot_category_top10(
         _partitioned_actions(s, d), fx.users(s, d), COND, task_id=TASK)
+    # R1 and R2 from one pass over the actions
+    q["category_levels"] = lambda s, d: act.category_levels(
+        fx.actions(s, d, COND["startDate"], COND["endDate"]), fx.users(s, d), COND)
+    q["hot_category_top10_one_pass"] = lambda s, d: _hot_category_reports(s, d)[0]
+    q["hot_category_top_sessions_one_pass"] = lambda s, d: _hot_category_reports(s, d)[1]
+    # many conditions at once, one set for each supplier
+    q["condition_set_counts"] = _condition_set_counts
+    q["condition_set_top10"] = lambda s, d: condition_set_top(_condition_set_counts(s, d))
     q["keep_in"] = lambda s, d: keep_in(fx.actions(s, d), "page_id", [1, 2, 3]).select("event_id", "page_id")
     # R3
     # a low hot-session bound so the driver tables exercise both the plain and
@@ -149,6 +160,9 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _area_counts(s, d).groupBy("area", "product_name").agg(F.sum("n").cast("bigint").alias("product_count")),
         ["area"], [F.desc("product_count")], 3, ties="rank")
     q["area_product_top3"] = q_area_product_top3
+    # the same as SQL text, with the library's SQL functions
+    q["area_product_top3_sql"] = _area_product_top3_sql
+    q["sql_functions"] = _sql_functions
     # ad stream, batch forms
     q["render_ad_log"] = lambda s, d: render_ad_log(fx.ads(s, d), keep=["event_id"])
     q["parse_ad_log"] = lambda s, d: parse_ad_log(fx.ad_lines(s, d), keep=["event_id"])
@@ -199,6 +213,31 @@ def _queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return q
 
 
+def _hot_category_reports(spark, d):
+    return retail.hot_category_reports(fx.actions(spark, d, COND["startDate"], COND["endDate"]),
+                                       fx.users(spark, d), COND, task_id=TASK)
+
+
+def _condition_set_counts(spark, d):
+    return condition_set_counts(fx.actions(spark, d), fx.users(spark, d), fx.condition_sets(spark, d))
+
+
+def _area_product_top3_sql(spark, d):
+    for name, df in (("user_visit_action", fx.actions(spark, d)), ("city_info", fx.cities(spark, d)),
+                     ("product_info", fx.products(spark, d))):
+        df.createOrReplaceTempView(name)
+    return area_product_top3_sql(spark, TASK)
+
+
+def _sql_functions(spark, d):
+    register_sql(spark)
+    return spark.sql("""
+        SELECT epoch_ms_to_date(timestamp) AS date, minute_to_hhmm(timestamp div 60000) AS hhmm, adid, event_id,
+               percent_tenth(event_id, event_id + 7) AS share, half_up_tenth(event_id / 7D) AS tenth,
+               size(split_ids(concat_ws(',', adid, '', userid))) AS n_ids
+        FROM {ads}""", ads=fx.ads(spark, d))
+
+
 def _stream(spark, d, restart_after=None, **options):
     root = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, restart_after=restart_after, **options)
     return dashboard.read_results(spark, root, SPAN)

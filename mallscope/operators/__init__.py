@@ -1,7 +1,7 @@
 """Reusable DataFrame operators (batch and, where Spark allows, streaming)."""
 
 from mallscope.operators.actions import (category_action_counts, category_counts_for_users,
-                                         category_events, category_pivot,
+                                         category_events, category_levels, category_pivot,
                                          category_session_counts, classify_action, date_filter,
                                          explode_ids, filter_actions, hot_categories,
                                          session_counts_for_users, users_in_age)

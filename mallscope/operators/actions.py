@@ -115,6 +115,29 @@ def category_counts_for_users(actions: DataFrame, users: DataFrame, cond: dict)
                     .agg(*[F.sum(f"{k}_count").cast("bigint").alias(f"{k}_count") for k in KINDS]))
 
 
+def category_levels(actions: DataFrame, users: DataFrame, cond: dict) -> DataFrame:
+    """A1 + A2 + A3 over P1-filtered actions, from one pass over them.
+
+    Rows of level ``category`` hold the counts of a category, rows of level
+    ``session`` those of a category in one session (``session_id`` is null in
+    the former, and in the latter for actions without a session). The actions
+    are read and exploded once and reduced to counts per (user, category,
+    session) by a partial aggregate; the grouping sets double only what is
+    left after the join with the users. Sessions of all categories are
+    counted, since the hot ones are not known yet.
+    """
+    u = users_in_age(users, cond)
+    events = category_events(date_filter(actions, cond), keep=("user_id", "session_id"))
+    counts = [f"{k}_count" for k in KINDS]
+    per_user = category_pivot(events, by=("user_id", "session_id"))
+    rows = per_user.join(u, "user_id").select("category_id", "session_id", *counts)
+    levels = rows.groupingSets([["category_id"], ["category_id", "session_id"]], "category_id", "session_id")
+    return (levels.agg(F.grouping("session_id").alias("__all"),
+                       *[F.sum(c).cast("bigint").alias(c) for c in counts])
+            .select(F.when(F.col("__all") == 1, "category").otherwise("session").alias("level"),
+                    "category_id", "session_id", *counts))
+
+
 def hot_categories(counts: DataFrame, n: int = TOP_CATEGORIES) -> DataFrame:
     """Top ``n`` by pay, then order, then click count; ties by id text.
 

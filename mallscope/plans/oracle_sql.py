@@ -135,6 +135,38 @@ def _micro_batch(ms: int) -> str:
                     where rn = {T} group by userid""")])
 
 
+LEVELS = """select case when grouping(session_id) = 1 then 'category' else 'session' end "level", category_id, session_id,
+    count(*) filter (where kind = 'click') click_count, count(*) filter (where kind = 'order') order_count,
+    count(*) filter (where kind = 'pay') pay_count
+  from es where category_id <> '' group by grouping sets ((category_id), (category_id, session_id))"""
+
+SESSION_EVENTS = """select session_id, cast(click_category_id as varchar) category_id, 'click' kind from f where click_category_id <> -1
+  union all select session_id, unnest(string_split(order_category_ids, ',')), 'order' from f
+    where click_category_id = -1 and order_category_ids is not null
+  union all select session_id, unnest(string_split(pay_category_ids, ',')), 'pay' from f
+    where click_category_id = -1 and order_category_ids is null and pay_category_ids is not null"""
+
+# the bounds of the condition sets, and what each set keeps (counted per day and age first)
+SETS = """select s_suppkey set_id, case when s_suppkey % 7 <> 0 then printf('2024-01-%02d', 1 + s_suppkey % 20) end lo_d,
+    case when s_suppkey % 5 <> 0 then printf('2024-01-%02d', 5 + s_suppkey % 25) end hi_d,
+    case when s_suppkey % 3 <> 0 then 10 + s_suppkey % 30 end lo_a,
+    case when s_suppkey % 4 <> 0 then 20 + s_suppkey % 40 end hi_a from supplier"""
+DAY_AGE = """select age, "date", category_id, count(*) filter (where kind = 'click') c,
+    count(*) filter (where kind = 'order') o, count(*) filter (where kind = 'pay') p
+  from es where category_id <> '' group by all"""
+SET_COUNTS = """select set_id, category_id, cast(sum(c) as bigint) click_count, cast(sum(o) as bigint) order_count,
+    cast(sum(p) as bigint) pay_count
+  from sets join da on (lo_d is null or "date" >= lo_d) and (hi_d is null or "date" <= hi_d)
+    and (lo_a is null or age >= lo_a) and (hi_a is null or age <= hi_a)
+  group by set_id, category_id"""
+
+
+def _sets():
+    events = SESSION_EVENTS.replace("select session_id,", 'select age, "date",')
+    return [("f", 'select a.*, u.age from uva a join users u on a.user_id = u.user_id'), ("es", events),
+            ("da", DAY_AGE), ("sets", SETS), ("sc", SET_COUNTS)]
+
+
 REJECTS = """select line, event_id from (
     select event_id, case when event_id % 97 = 0 then array_to_string(string_split(line, ' ')[1:3], ' ')
                           when event_id % 101 = 0 then concat('time', line) end line from ad_lines)
@@ -240,6 +272,19 @@ def oracle_sql() -> dict[str, str]:
     q["stream_blacklist_users"] = q["blacklist_users"]
     q["stream_user_ad_daily_counts"] = with_views(
         f"""select {DAY} "date", userid, adid, count(*) n from kept group by all""", _blk())
+    q["category_levels"] = with_views("select * from lv", [("f", FILTERED), ("es", SESSION_EVENTS), ("lv", LEVELS)])
+    q["condition_set_counts"] = with_views("select * from sc", _sets())
+    q["condition_set_top10"] = with_views(
+        """select * from (select *, cast(row_number() over (partition by set_id
+             order by pay_count desc, order_count desc, click_count desc, category_id) as int) place from sc)
+           where place <= 10""", _sets())
+    q["sql_functions"] = with_views(
+        f"""select {DAY} "date", strftime(make_timestamp("timestamp" * 1000), '%H:%M') hhmm, adid, event_id,
+                  floor(cast(event_id as double) * 1000 / (event_id + 7) + 0.5) / 10 share,
+                  floor(event_id / cast(7 as double) * 10 + 0.5) / 10 tenth, cast(2 as int) n_ids from ads""")
+    q["area_product_top3_sql"] = q["area_product_top3"]
+    q["hot_category_top10_one_pass"] = q["hot_category_top10"]
+    q["hot_category_top_sessions_one_pass"] = q["hot_category_top_sessions"]
     q["hot_category_top10_partitioned"] = q["hot_category_top10"]
     q["stream_blacklist_filter"] = q["blacklist_filter"]
     q["checkpoint_restart"] = q["blacklist_filter"]

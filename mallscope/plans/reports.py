@@ -12,7 +12,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 
 from mallscope.constants import RESULT_TABLES as TABLES
-from mallscope.operators.joins import materialize
 from mallscope.plans import retail
 from mallscope.sinks.tables import replace_table, write_jdbc
 
@@ -38,16 +37,15 @@ def run_reports(actions: DataFrame, users: DataFrame, cities: DataFrame, product
     """Compute and write the chosen reports; returns {report: table name}.
 
     R1/R2 use the date and age bounds of ``cond``, R3 its ``targetPageFlow``
-    over all actions, R4 all actions. R1's few rows are computed once and
-    written; R2 takes its categories from them.
+    over all actions, R4 all actions. R1 and R2 asked for together come from
+    one pass over the filtered actions.
     """
-    categories = None
-    if "r1" in which:
-        categories = materialize(retail.hot_category_top10(actions, users, cond, task_id=task_id))
+    both = None
+    if "r1" in which and "r2" in which:
+        both = retail.hot_category_reports(actions, users, cond, task_id=task_id)
     build = {
-        "r1": lambda: categories,
-        "r2": lambda: retail.hot_category_top_sessions(actions, users, cond, task_id=task_id,
-                                                       categories=categories),
+        "r1": lambda: both[0] if both else retail.hot_category_top10(actions, users, cond, task_id=task_id),
+        "r2": lambda: both[1] if both else retail.hot_category_top_sessions(actions, users, cond, task_id=task_id),
         "r3": lambda: retail.page_jump_ratio(actions, cond["targetPageFlow"], task_id=task_id),
         "r4": lambda: retail.area_product_top3(actions, cities, products, task_id=task_id),
     }

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 
 from mallscope.constants import TOP_CATEGORIES, TOP_CITIES, TOP_PRODUCTS, TOP_SESSIONS
 from mallscope.functions.scalars import with_task_id
-from mallscope.operators.actions import (category_counts_for_users, hot_categories,
+from mallscope.operators.actions import (category_counts_for_users, category_levels, hot_categories,
                                          session_counts_for_users)
+from mallscope.operators.joins import materialize
 from mallscope.operators.ranking import top_ranked
 from mallscope.operators.sequences import page_flow_pairs, session_chunks, session_transitions
 from mallscope.operators.shares import OTHER_LABEL, top_share_text
@@ -54,6 +55,26 @@ def hot_category_top_sessions(actions: DataFrame, users: DataFrame, cond: dict,
     return with_task_id(ranked.select("category_id", "session_id", "click_count"), task_id)
 
 
+def hot_category_reports(actions: DataFrame, users: DataFrame, cond: dict, n_categories: int = TOP_CATEGORIES,
+                         n_sessions: int = TOP_SESSIONS,
+                         task_id: str = DEFAULT_TASK_ID) -> tuple[DataFrame, DataFrame]:
+    """R1 and R2 from one scan and one explode of the actions.
+
+    The counts per category and per (category, session) are computed together
+    and written once to the shared checkpoint folder; R1 is the top of the
+    former, R2 ranks the latter within R1's categories.
+    """
+    levels = materialize(category_levels(actions, users, cond))
+    top = hot_categories(levels.filter("level = 'category'"), n_categories)
+    sessions = levels.filter("level = 'session' and click_count > 0").select(
+        "category_id", "session_id", "click_count")
+    hot = sessions.join(top.select(F.col("category_id").alias("__k")), F.col("category_id") == F.col("__k"), "left_semi")
+    ranked = top_ranked(hot, ["category_id"], [F.desc("click_count"), F.asc("session_id")], n_sessions,
+                        ties="row_number", rank_col=None)
+    return (with_task_id(top.select("category_id", "click_count", "order_count", "pay_count"), task_id),
+            with_task_id(ranked, task_id))
+
+
 def page_jump_ratio(actions: DataFrame, flow: str, task_id: str = DEFAULT_TASK_ID,
                     split_hot: bool = True) -> DataFrame:
     """Conversion rate of each adjacent pair of the target page flow.

@@ -115,6 +115,19 @@ def actions(spark: SparkSession, sf_dir: str, date_from: str | None = None,
         eid.alias("event_id"))
 
 
+def condition_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Job conditions as texts, one of each supplier; some bounds are empty or left out."""
+    k = F.col("s_suppkey")
+    text = lambda c: F.concat(F.lit('"'), c, F.lit('"'))
+    day = lambda n: F.concat(F.lit("2024-01-"), F.lpad(n.cast("string"), 2, "0"))
+    parts = [F.concat(F.lit("startDate:"), text(F.when(k % 7 == 0, "").otherwise(day(1 + k % 20)))),
+             F.when(k % 5 != 0, F.concat(F.lit("endDate:"), text(day(5 + k % 25)))),
+             F.concat(F.lit("startAge:"), text(F.when(k % 3 == 0, "").otherwise((10 + k % 30).cast("string")))),
+             F.when(k % 4 != 0, F.concat(F.lit("endAge:"), text((20 + k % 40).cast("string"))))]
+    return table(spark, sf_dir, "supplier").select(
+        k.alias("set_id"), F.concat(F.lit("{"), F.concat_ws(", ", *parts), F.lit("}")).alias("params"))
+
+
 def ads(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ads_log click stream: (timestamp ms, area, city, userid, adid, event_id)."""
     e = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "props")
