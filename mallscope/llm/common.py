@@ -48,6 +48,18 @@ def text_bytes(column: str = "text") -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """``names``, each with as many underscores before it as make it differ
+    from all columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out
+
+
 def scratch(spark: SparkSession, name: str) -> str:
     """A new path in the shared checkpoint folder."""
     return scratch_path(spark, f"llm-{name}-{uuid.uuid4().hex[:16]}")

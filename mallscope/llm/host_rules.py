@@ -16,10 +16,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from mallscope.llm.common import in_arrow, sub_batches, text_bytes, word_keys, written
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes, unused, word_keys, written
 
 WINDOW = 5      # words of a repeated passage
-MEASURES = "__measures"
 
 _SPACE = np.zeros(256, dtype=np.int64)
 _SPACE[[9, 10, 11, 12, 13, 32]] = 1
@@ -90,16 +89,18 @@ def _measure_task(batches):
                                          names=["doc_id", "host", *_COUNTS])
 
 
-def _measure_rows_task(batches):
-    for whole in batches:
-        text = whole.column("text").cast(pa.binary()).fill_null(b"")
-        parts = pa.RecordBatch.from_arrays([text, pa.array(np.arange(len(text)))], names=["text", "row"])
-        for part in sub_batches([parts], "text"):
-            counts = measured(part.column("text").to_pylist())
-            rows = whole.slice(part.column("row")[0].as_py(), part.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [*rows.columns, pa.StructArray.from_arrays(list(map(pa.array, counts)), _COUNTS)],
-                names=[*rows.schema.names, MEASURES])
+def _measure_rows_task(name: str):
+    def run(batches):
+        for whole in batches:
+            text = whole.column("text").cast(pa.binary()).fill_null(b"")
+            parts = pa.RecordBatch.from_arrays([text, pa.array(np.arange(len(text)))], names=["text", "row"])
+            for part in sub_batches([parts], "text"):
+                counts = measured(part.column("text").to_pylist())
+                rows = whole.slice(part.column("row")[0].as_py(), part.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [*rows.columns, pa.StructArray.from_arrays(list(map(pa.array, counts)), _COUNTS)],
+                    names=[*rows.schema.names, name])
+    return run
 
 
 def measure(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -172,12 +173,12 @@ class Rules:
         return ~base_failed & (verdict != "rejected") & ((verdict == "trusted") | ~rule_failed)
 
 
-def _rates(measured_rows: DataFrame, rules: Rules) -> DataFrame:
-    """__host and __rate, written so that their size is known: a small table is
+def _rates(measured_rows: DataFrame, rules: Rules, host: str = "__host", rate: str = "__rate") -> DataFrame:
+    """``host`` and ``rate``, written so that their size is known: a small table is
     broadcast by Spark's own threshold, a large one is joined by a shuffle that
     AQE can split at a hot host."""
     failed = measured_rows.withColumn("failed", rules.base_failed(F.col) | rules.rule_failed(F.col))
-    return written(host_rates(failed).select(F.col("host").alias("__host"), F.col("rate").alias("__rate")), "rates")
+    return written(host_rates(failed).select(F.col("host").alias(host), F.col("rate").alias(rate)), "rates")
 
 
 def judge(docs: DataFrame, host: str = "source", rules: Rules = Rules()) -> DataFrame:  # noqa: B008
@@ -203,16 +204,18 @@ def keep_good(docs: DataFrame, host: str = "source", rules: Rules = Rules()) ->
 
     The counts are made twice, once for the hosts and once beside the rows
     themselves: the texts are then not shuffled to meet their verdicts, only
-    the hosts' rates are joined to them.
+    the hosts' rates are joined to them. Nulls, repeated rows and empty tables
+    as in ``judge``; further columns may have any name.
     """
-    schema = T.StructType([*docs.schema.fields, T.StructField(MEASURES, T.StructType(
+    measures, its_host, rate = unused(docs, "__measures", "__host", "__rate")
+    schema = T.StructType([*docs.schema.fields, T.StructField(measures, T.StructType(
         [T.StructField(c, T.LongType()) for c in _COUNTS]))])
-    rates = _rates(measure(docs, host), rules)
-    rows = in_arrow(docs.withColumn("text", F.col("text").cast("string")), _measure_rows_task, schema)
-    j = rows.join(rates, F.col(host).cast("string").eqNullSafe(F.col("__host")), "left")
+    rates = _rates(measure(docs, host), rules, its_host, rate)
+    rows = in_arrow(docs.withColumn("text", F.col("text").cast("string")), _measure_rows_task(measures), schema)
+    j = rows.join(rates, F.col(host).cast("string").eqNullSafe(F.col(its_host)), "left")
 
     def count(name):
-        return F.col(f"{MEASURES}.{name}")
+        return F.col(f"{measures}.{name}")
 
-    kept = rules.kept(rules.base_failed(count), rules.rule_failed(count), rules.verdict(F.col("__rate")))
+    kept = rules.kept(rules.base_failed(count), rules.rule_failed(count), rules.verdict(F.col(rate)))
     return j.filter(kept).select(*docs.columns)

@@ -17,7 +17,7 @@ from re import _parser as sre_parser
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import written
+from mallscope.llm.common import unused, written
 
 
 @dataclass(frozen=True)
@@ -255,14 +255,20 @@ def secret_report(docs: DataFrame, rules: list[Rule] = RULES, base: list[Rule] =
 
 def redact(docs: DataFrame, rules: list[Rule] = RULES, mask: str = "[secret]") -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mask`` (overlapping
-    spans by one); all rows and columns stay, ``n_chars`` follows the text."""
+    spans by one); all rows and columns stay, ``n_chars`` follows the text.
+
+    A null text stays null, texts without a secret stay as they are, rows that
+    repeat are masked each, an empty table gives no rows, and further columns
+    may have any name.
+    """
+    d, h, found, masked_text = unused(docs, "__d", "__h", "__spans", "__clean")
     spans = find_secrets(docs, rules)
     of = (spans.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_list(F.struct("start", "end"))).alias("all"))
-          .select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h"), F.col("all").alias("__spans")))
+          .select(F.col("doc_id").alias(d), F.col("text_hash").alias(h), F.col("all").alias(found)))
     of = written(of, "redact-spans")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    joined = docs.join(of, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__d"))
-                       & (F.xxhash64(text) == F.col("__h")), "left")
+    joined = docs.join(of, F.col("doc_id").cast("bigint").eqNullSafe(F.col(d))
+                       & (F.xxhash64(text) == F.col(h)), "left")
     state = F.struct(F.lit(0).cast("bigint").alias("at"), F.lit("").alias("out"))
 
     def step(acc, span):
@@ -274,16 +280,16 @@ def redact(docs: DataFrame, rules: list[Rule] = RULES, mask: str = "[secret]") -
     def finish(acc):
         return F.concat(acc["out"], F.substring(F.col("text"), (acc["at"] + 1).cast("int"), F.length("text")))
 
-    clean = F.when(F.col("__spans").isNull(), F.col("text")).otherwise(F.aggregate("__spans", state, step, finish))
-    out = joined.withColumn("__clean", clean)
+    clean = F.when(F.col(found).isNull(), F.col("text")).otherwise(F.aggregate(found, state, step, finish))
+    out = joined.withColumn(masked_text, clean)
     columns = []
     for c in docs.columns:
         if c == "text":
-            columns.append(F.col("__clean").alias("text"))
+            columns.append(F.col(masked_text).alias("text"))
         elif c == "n_chars":
             kind = docs.schema["n_chars"].dataType
-            columns.append(F.when(F.col("__spans").isNull(), F.col("n_chars"))
-                           .otherwise(F.length("__clean").cast(kind)).alias("n_chars"))
+            columns.append(F.when(F.col(found).isNull(), F.col("n_chars"))
+                           .otherwise(F.length(masked_text).cast(kind)).alias("n_chars"))
         else:
             columns.append(F.col(c))
     return out.select(*columns)

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import in_arrow, sub_batches, text_bytes, written
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes, unused, written
 from mallscope.llm.components import connected_components
 
 SEED = 42
@@ -164,19 +164,27 @@ def hex_digits(fp: Column) -> Column:
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """One row of each component stays, that of the smallest doc_id (of
-    several such rows the one with the least text hash); columns as before."""
+    """One row of each component stays, that of the smallest doc_id; columns as before.
+
+    Of several such rows the one with the least text hash stays, and of rows
+    that agree in doc_id and text the one whose other columns are least as
+    JSON text. A null doc_id comes after all others; null, empty and blank
+    texts are near duplicates of each other; an empty table gives no rows.
+    Further columns may have any name.
+    """
+    d, h, group, again_, row = unused(docs, "__d", "__h", "__root", "__again", "__row")
     found = simhash_components(docs, shingle)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")).alias("first")
-    keep = found.groupBy("root").agg(first, F.count("*").alias("n")).select(
-        F.col("first.doc_id").alias("__d"), F.col("first.text_hash").alias("__h"), F.col("root").alias("__root"))
-    times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("__n")).filter("__n > 1").select(
-        F.col("doc_id").alias("__dd"), F.col("text_hash").alias("__hh"), "__n")
-    keep = written(keep.join(times, F.col("__d").eqNullSafe(F.col("__dd")) & (F.col("__h") == F.col("__hh")), "left")
-                   .select("__d", "__h", "__root", F.col("__n").isNotNull().alias("__again")), "kept")
+    keep = found.groupBy("root").agg(first).select(
+        F.col("first.doc_id").alias(d), F.col("first.text_hash").alias(h), F.col("root").alias(group))
+    times = found.groupBy("doc_id", "text_hash").agg(F.count("*").alias("n")).filter("n > 1")
+    keep = written(keep.join(times, F.col(d).eqNullSafe(F.col("doc_id")) & (F.col(h) == F.col("text_hash")), "left")
+                   .select(d, h, group, F.col("n").isNotNull().alias(again_)), "kept")
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.join(keep, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__d")) & (F.xxhash64(text) == F.col("__h")))
-    once = rows.filter(~F.col("__again"))
+    rows = docs.join(keep, F.col("doc_id").cast("bigint").eqNullSafe(F.col(d)) & (F.xxhash64(text) == F.col(h)))
+    once = rows.filter(~F.col(again_))
     # rows that occur more than once word for word: few, so only they are shuffled again
-    again = rows.filter("__again").dropDuplicates(["__root"])
-    return once.select(*docs.columns).unionAll(again.select(*docs.columns))
+    order = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]), {"ignoreNullFields": "false"})
+    least = F.min_by(F.struct(*docs.columns), order).alias(row)
+    again = rows.filter(again_).groupBy(group).agg(least).select(f"{row}.*")
+    return once.select(*docs.columns).unionAll(again)
