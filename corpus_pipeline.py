@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import written
+from mallscope.llm.common import unused, written
 from mallscope.llm.decontam import contamination
 from mallscope.llm.host_rules import keep_good
 from mallscope.llm.packing import pack_along_curve
@@ -24,9 +24,10 @@ def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
     The rejected rows are written first: a small table is then broadcast by
     Spark's own threshold.
     """
-    gone = written(rejected.select(F.col("doc_id").alias("__d"), F.col("text_hash").alias("__h")).distinct(), "rejected")
+    d, h = unused(docs, "__d", "__h")
+    gone = written(rejected.select(F.col("doc_id").alias(d), F.col("text_hash").alias(h)).distinct(), "rejected")
     text_hash = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col("__d")) & (text_hash == F.col("__h")),
+    return docs.join(gone, F.col("doc_id").cast("bigint").eqNullSafe(F.col(d)) & (text_hash == F.col(h)),
                      "left_anti")
 
 
