@@ -11,26 +11,29 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import in_arrow, sub_batches, text_bytes
+from mallscope.llm.common import in_arrow, sub_batches, text_bytes, written
 from mallscope.llm.tokens import TOKENIZER, TextEncoder
 
-FILE_SCHEMA = "doc_id bigint, n_tokens bigint, start_in_file bigint, ids array<int>"
+# ``part`` numbers the ranges in doc_id order; file names say nothing about it
+FILE_SCHEMA = "part int, doc_id bigint, n_tokens bigint, start_in_part bigint, ids array<int>"
 
 
 def _encode_task(tokenizer: str, end_id: int):
     def run(batches):
-        encoder, at = TextEncoder.of_worker(tokenizer), 0
+        encoder, at, part = TextEncoder.of_worker(tokenizer), 0, TaskContext.get().partitionId()
         for batch in sub_batches(batches, "text"):
             flat, n = encoder.encode(batch.column("text").to_pylist(), end_id)
             ends = np.cumsum(n)
             ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]).astype(np.int32)),
                                            pa.array(flat.view("<i4")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(n), pa.array(at + ends - n), ids],
-                names=["doc_id", "n_tokens", "start_in_file", "ids"])
+                [pa.array(np.full(len(n), part, dtype=np.int32)), batch.column("doc_id"), pa.array(n),
+                 pa.array(at + ends - n), ids],
+                names=["part", "doc_id", "n_tokens", "start_in_part", "ids"])
             at += int(ends[-1])
     return run
 
@@ -40,7 +43,7 @@ def write_token_orc(docs: DataFrame, path: str, tokenizer: str = TOKENIZER, end_
                     bloom_fpp: float = 0.01) -> None:
     """Encode ``docs`` (doc_id, text) and write them in ascending doc_id order.
 
-    File names ascend with doc_id, and so do the rows of a file. A null text
+    ``part`` ascends with doc_id, and so do the rows of a part. A null text
     is empty (the end id alone); a null doc_id sorts first; rows that share a
     doc_id stay side by side in the order of a hash of their texts. An empty
     table gives files without rows. Only ``doc_id`` and ``text`` are read, so
@@ -65,16 +68,17 @@ def read_token_orc(spark: SparkSession, path: str, doc_ids: list[int] | None = N
     and Bloom filters skip what can't match. ``start`` counts the ids of all
     documents before it over all files.
     """
-    files = spark.read.schema(FILE_SCHEMA).orc(path).withColumn("file", F.col("_metadata.file_path"))
-    # one row per file: its size, then where it begins
-    totals = files.groupBy("file").agg(F.sum("n_tokens").alias("size"))
-    base = totals.select(F.col("file"), F.expr(
-        "coalesce(sum(size) over (order by file rows between unbounded preceding and 1 preceding), 0)"
-    ).alias("base"))
+    files = spark.read.schema(FILE_SCHEMA).orc(path)
+    # one row per part: its size, then where it begins; written, so that the
+    # planner knows how small it is and the ids need no shuffle to meet it
+    totals = files.groupBy("part").agg(F.sum("n_tokens").alias("size"))
+    base = written(totals.select("part", F.expr(
+        "coalesce(sum(size) over (order by part rows between unbounded preceding and 1 preceding), 0)"
+    ).alias("base")), "orc-bases")
     if doc_ids is not None:
         files = files.filter(F.col("doc_id").isin([int(x) for x in doc_ids]))
-    return files.join(base, "file").select(
-        "doc_id", (F.col("base") + F.col("start_in_file")).alias("start"), "n_tokens", "ids")
+    return files.join(base, "part").select(
+        "doc_id", (F.col("base") + F.col("start_in_part")).alias("start"), "n_tokens", "ids")
 
 
 def _digest_task(batches):
