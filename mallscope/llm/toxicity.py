@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import alnum_words, in_arrow, sub_batches, text_bytes
+from mallscope.llm.common import alnum_words, in_arrow, sub_batches, text_bytes, written
 
 
 def word_features(word: bytes, buckets: int) -> list[int]:
@@ -45,56 +45,64 @@ def _feature_task(buckets: int):
     return run
 
 
-def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, buckets: int,
-             max_features: int = 20_000, steps: int = 300, rate: float = 0.05, ridge: float = 1e-4,
-             min_positives: int = 3, enrichment: float = 3.0) -> tuple[np.ndarray, float]:
-    """Weights by bucket and the bias, from rows of bucket numbers.
+def choose_features(in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, prior: float,
+                    max_features: int = 20_000, enrichment: float = 3.0) -> np.ndarray:
+    """Places of the counts that are most typical of the positives.
 
-    Kept are the ``max_features`` buckets seen in ``min_positives`` positives
-    or more that are most typical of them: at least ``enrichment`` times as
-    frequent as the unlabelled rows' negatives would have them by chance.
+    ``in_p`` of ``n_p`` positive and ``in_u`` of ``n_u`` unlabelled rows hold
+    a feature. Kept are at most ``max_features`` that are at least
+    ``enrichment`` times as frequent in positives as the unlabelled rows'
+    negatives would have them by chance.
     """
-    weights = np.zeros(buckets, dtype=np.float32)
-    n_p, n_u = len(positive), len(unlabelled)
-    if not n_p or not n_u or not prior:
-        return weights, -4.0
-    in_p = np.bincount(np.concatenate(positive), minlength=buckets)
-    in_u = np.bincount(np.concatenate(unlabelled), minlength=buckets)
     rate_p = in_p / n_p
     # the unlabelled rows hold ``prior`` of positives: take their share out
     rate_n = np.maximum(in_u / n_u - prior * rate_p, 0) / (1 - prior)
     lift = (rate_p + 0.5 / n_p) / (rate_n + 0.5 / n_u)
     gain = (rate_p - rate_n) / np.sqrt(rate_p * (1 - rate_p) / n_p + (rate_n + 1 / n_u) / n_u)
-    use = np.flatnonzero((in_p >= min_positives) & (lift >= enrichment) & (gain > 3))
-    use = use[np.argsort(-gain[use], kind="stable")[:max_features]]
-    if not len(use):
-        return weights, -4.0
-    column = np.full(buckets, -1, dtype=np.int64)
-    column[use] = np.arange(len(use))
+    use = np.flatnonzero((lift >= enrichment) & (gain > 3))
+    return use[np.argsort(-gain[use], kind="stable")[:max_features]]
 
-    def matrix(rows):
-        row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-        col = column[np.concatenate(rows)]
-        keep = col >= 0
-        return row[keep], col[keep], len(rows)
 
-    xp, xu = matrix(positive), matrix(unlabelled)
-    w, b = np.zeros(len(use)), -1.0
-    m, v = np.zeros(len(use) + 1), np.zeros(len(use) + 1)
+def nnpu_risk(xp, xu, w: np.ndarray, b: float, prior: float):
+    """The negative part of the risk, the whole risk and the step's gradient.
 
+    ``xp`` and ``xu`` are (row numbers, feature numbers, rows) of the ones.
+    The risk is prior E_p[l(s, 1)] + max(0, E_u[l(s, 0)] - prior E_p[l(s, 0)])
+    with logistic losses l. Where the part in the maximum is negative the step
+    climbs it: its gradient is that part's, turned round.
+    """
     def score(x):
         return np.bincount(x[0], weights=w[x[1]], minlength=x[2]) + b
 
     def back(x, g):
-        return np.append(np.bincount(x[1], weights=g[x[0]], minlength=len(use)), g.sum())
+        return np.append(np.bincount(x[1], weights=g[x[0]], minlength=len(w)), g.sum())
+
+    sp, su = score(xp), score(xu)
+    up_p, up_u = 1 / (1 + np.exp(-np.clip(sp, -30, 30))), 1 / (1 + np.exp(-np.clip(su, -30, 30)))
+    # logistic losses: log(1+e^-s) for the label 1, log(1+e^s) for 0
+    negative = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
+    positive = prior * np.logaddexp(0, -sp).mean()
+    g_neg = back(xu, up_u / len(su)) - back(xp, prior * up_p / len(sp))
+    g = back(xp, prior * (up_p - 1) / len(sp)) + g_neg if negative >= 0 else -g_neg
+    return negative, positive + max(0.0, negative), g
+
+
+def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, use: np.ndarray,
+             buckets: int, steps: int = 300, rate: float = 0.05,
+             ridge: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Weights by bucket and the bias, from rows of places in ``use``, the chosen buckets."""
+    weights = np.zeros(buckets, dtype=np.float32)
+    if not len(use) or not positive or not unlabelled or not prior:
+        return weights, -4.0
 
+    def matrix(rows):
+        return np.repeat(np.arange(len(rows)), [len(r) for r in rows]), np.concatenate(rows), len(rows)
+
+    xp, xu = matrix(positive), matrix(unlabelled)
+    w, b = np.zeros(len(use)), -1.0
+    m, v = np.zeros(len(use) + 1), np.zeros(len(use) + 1)
     for step in range(1, steps + 1):
-        sp, su = score(xp), score(xu)
-        up_p, up_u = 1 / (1 + np.exp(-np.clip(sp, -30, 30))), 1 / (1 + np.exp(-np.clip(su, -30, 30)))
-        # logistic losses: log(1+e^-s) for the label 1, log(1+e^s) for 0
-        negative = np.logaddexp(0, su).mean() - prior * np.logaddexp(0, sp).mean()
-        g_neg = back(xu, up_u / n_u) - back(xp, prior * up_p / n_p)
-        g = back(xp, prior * (up_p - 1) / n_p) + g_neg if negative >= 0 else -g_neg
+        _, _, g = nnpu_risk(xp, xu, w, b, prior)
         g[:-1] += ridge * w
         m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
         change = rate * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-8)
@@ -103,14 +111,37 @@ def fit_nnpu(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: fl
     return weights, float(b)
 
 
+def _chosen_task(use: np.ndarray, buckets: int):
+    def run(batches):
+        place = np.full(buckets, -1, dtype=np.int64)
+        place[use] = np.arange(len(use))
+        for batch in batches:
+            lists = batch.column("features")
+            ends, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
+            held = []
+            for a, b in zip(ends[:-1], ends[1:], strict=True):
+                at = place[values[a:b]]
+                bits = np.zeros(len(use), dtype=bool)
+                bits[at[at >= 0]] = True
+                held.append(np.packbits(bits).tobytes())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("positive"), batch.column("unlabelled"), pa.array(held, type=pa.binary())],
+                names=["positive", "unlabelled", "held"])
+    return run
+
+
 def fit(docs: DataFrame, toxic_ids: DataFrame, unlabelled_ids: DataFrame, prior: float,
-        max_positive: int = 4_000, max_unlabelled: int = 12_000, buckets: int = 1 << 20) -> tuple[np.ndarray, float]:
+        max_positive: int = 4_000, max_unlabelled: int = 12_000, buckets: int = 1 << 20,
+        min_positives: int = 3) -> tuple[np.ndarray, float]:
     """Train on bounded samples: at most ``max_positive`` of ``toxic_ids`` and
     ``max_unlabelled`` of ``unlabelled_ids`` (doc_id), lowest hash first. Of an
     id with several rows one is learnt from, the text of the lowest hash.
 
-    Those ids are broadcast, their texts become bucket numbers in the tasks,
-    and only these reach the driver.
+    Those ids are broadcast and their texts become bucket numbers in the tasks,
+    written once. Rows by bucket are counted by Spark; the driver gets the
+    counts of buckets that ``min_positives`` positives hold (at most
+    ``buckets`` rows), chooses features, and then gets one bit a text and
+    feature: 40 MB at most, however long the texts are.
     """
     def lowest(ids, n):
         return ids.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
@@ -123,14 +154,23 @@ def fit(docs: DataFrame, toxic_ids: DataFrame, unlabelled_ids: DataFrame, prior:
               .groupBy("doc_id", "positive", "unlabelled")
               .agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("least"))
               .select("positive", "unlabelled", "least.text"))
-    rows = in_arrow(sample, _feature_task(buckets), "positive int, unlabelled int, features array<int>").toArrow()
-    lists = rows.column("features").combine_chunks()
-    offsets, values = lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)
-    features = [values[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
-    pos, unl = rows.column("positive").to_numpy(), rows.column("unlabelled").to_numpy()
-    order = sorted(range(len(features)), key=lambda i: (len(features[i]), features[i].tobytes()))
-    return fit_nnpu([features[i] for i in order if pos[i]], [features[i] for i in order if unl[i]],
-                    prior, buckets)
+    rows = written(in_arrow(sample, _feature_task(buckets), "positive int, unlabelled int, features array<int>"),
+                   "toxic-sample")
+    n_p, n_u = (int(n or 0) for n in rows.agg(F.sum("positive"), F.sum("unlabelled")).first())
+    use = np.zeros(0, dtype=np.int64)
+    if n_p and n_u:
+        counts = (rows.select("positive", "unlabelled", F.explode("features").alias("bucket")).groupBy("bucket")
+                  .agg(F.sum("positive").alias("p"), F.sum("unlabelled").alias("u")).filter(F.col("p") >= min_positives)
+                  .orderBy("bucket").toArrow())
+        if counts.num_rows:
+            bucket, in_p, in_u = (counts.column(c).to_numpy() for c in ("bucket", "p", "u"))
+            use = bucket[choose_features(in_p, in_u, n_p, n_u, prior)].astype(np.int64)
+    chosen = in_arrow(rows, _chosen_task(use, buckets), "positive int, unlabelled int, held binary").toArrow()
+    pos, unl = chosen.column("positive").to_numpy(), chosen.column("unlabelled").to_numpy()
+    held = chosen.column("held").to_pylist()
+    places = [np.flatnonzero(np.unpackbits(np.frombuffer(x, dtype=np.uint8), count=len(use))) for x in held]
+    order = sorted(range(len(held)), key=held.__getitem__)
+    return fit_nnpu([places[i] for i in order if pos[i]], [places[i] for i in order if unl[i]], prior, use, buckets)
 
 
 def _score_task(weights, bias: float, max_words: int = 300_000):
