@@ -8,12 +8,15 @@ holds. Long runs are chained in template order into covered spans.
 
 from __future__ import annotations
 
+import os
+import zlib
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mallscope.llm.common import alnum_words, in_arrow, sub_batches, text_bytes
+from mallscope.llm.common import alnum_words, in_arrow, sub_batches, text_bytes, worker_cache
 
 # Phrases that are counted wherever their words stand in a row.
 PHRASES = [
@@ -67,15 +70,28 @@ to copy, modify, publish, use, compile, sell, or distribute this software"""),
 ]
 
 
+TEXT_FOLDER = os.path.join(os.path.dirname(os.path.abspath(__file__)), "license_texts")
+
+
+def full_texts(folder: str = TEXT_FOLDER) -> list[tuple[str, str]]:
+    """(label, text) of the whole licences in ``folder``: the label is the
+    file's name up to the first ``-`` or ``.``, in lower case."""
+    out = []
+    for name in sorted(os.listdir(folder)):
+        with open(os.path.join(folder, name), encoding="utf-8") as f:
+            out.append((name.replace(".", "-").split("-")[0].lower(), f.read()))
+    return out
+
+
 class LicenseAutomaton:
     """Suffix automaton of several word sequences.
 
     ``phrases`` and ``templates`` are (text, label) and (label, text) as in
-    the lists above. A state knows where in the templates its words end and
-    which whole phrases end with it.
+    the lists above. A state of ``min_match`` words or more knows where in the
+    templates its words end, and every state which whole phrases end with it.
     """
 
-    def __init__(self, templates=TEMPLATES, phrases=PHRASES):
+    def __init__(self, templates=TEMPLATES, phrases=PHRASES, min_match: int = 1):
         self.number: dict[bytes, int] = {}
         self.next: list[dict[int, int]] = [{}]
         self.link, self.length = [-1], [0]
@@ -99,11 +115,11 @@ class LicenseAutomaton:
             for i, c in enumerate(ids):
                 at = self.next[at][c]
                 v = at
-                while v > 0:
+                while v > 0 and self.length[v] >= min_match:
                     self.ends[v].append((t, i))
                     v = self.link[v]
         for t, ids in enumerate(words):
-            if self.is_phrase[t]:
+            if self.is_phrase[t] and ids:
                 v = 0
                 for c in ids:
                     v = self.next[v][c]
@@ -114,13 +130,25 @@ class LicenseAutomaton:
                     if u == v:
                         self.phrases[s].append(t)
         n = len(self.number) + 1
-        self.pairs = np.zeros((n, n), dtype=bool)       # word pairs that some template holds
-        for ids in words:
-            self.pairs[ids[:-1], ids[1:]] = True
+        # word pairs that some template holds, as sorted codes
+        self.pairs = np.unique(np.array([a * n + b for ids in words for a, b in zip(ids[:-1], ids[1:], strict=True)],
+                                        dtype=np.int64))
         self.phrase_words = np.zeros(n, dtype=bool)     # last words of phrases
+        self.one_word = np.zeros(n, dtype=bool)         # phrases of one word
         for t, ids in enumerate(words):
-            if self.is_phrase[t]:
+            if self.is_phrase[t] and ids:
                 self.phrase_words[ids[-1]] = True
+                self.one_word[ids[-1]] |= len(ids) == 1
+
+    def linked(self, ids: np.ndarray) -> np.ndarray:
+        """Which words of ``ids`` (0: in no template) stand with their next one in some template."""
+        if len(ids) < 2 or not len(self.pairs):
+            return np.zeros(max(len(ids) - 1, 0), dtype=bool)
+        out = (ids[:-1] > 0) & (ids[1:] > 0)
+        at = np.flatnonzero(out)
+        codes = ids[at].astype(np.int64) * (len(self.number) + 1) + ids[at + 1]
+        out[at] = self.pairs[np.minimum(np.searchsorted(self.pairs, codes), len(self.pairs) - 1)] == codes
+        return out
 
     def _extend(self, last: int, c: int) -> int:
         nxt, link, length = self.next, self.link, self.length
@@ -220,10 +248,13 @@ def _chain(auto: LicenseAutomaton, matches, max_gap: int):
     return spans
 
 
-def _scan_task(auto: LicenseAutomaton, min_match: int, max_gap: int, min_cover: float):
-    number = auto.number.get
+def _scan_task(templates, phrases, min_match: int, max_gap: int, min_cover: float):
+    key = ("licences", zlib.crc32(repr((templates, phrases, min_match)).encode()))
 
     def run(batches):
+        # built once in each Python worker: its states are far larger than the texts
+        auto = worker_cache(key, lambda: LicenseAutomaton(templates, phrases, min_match))
+        number = auto.number.get
         for batch in sub_batches(batches, "text"):
             split = [alnum_words(t) for t in batch.column("text").to_pylist()]
             sizes = np.array([len(w) for w in split], dtype=np.int64)
@@ -231,12 +262,14 @@ def _scan_task(auto: LicenseAutomaton, min_match: int, max_gap: int, min_cover:
                               dtype=np.int32, count=int(sizes.sum()) + len(split))
             # a run of words in which every pair stands in some template; a
             # match of two words or more lies inside one run
-            linked = auto.pairs[ids[:-1], ids[1:]] if len(ids) > 1 else np.zeros(0, dtype=bool)
-            edge = np.diff(np.concatenate([[False], linked, [False]]).astype(np.int8))
+            linked = np.concatenate([[False], auto.linked(ids), [False]])
+            edge = np.diff(linked.astype(np.int8))
             begin, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) + 1
             named = np.concatenate([[0], np.cumsum(auto.phrase_words[ids])])
             use = (end - begin >= min_match) | (named[end] > named[begin])
-            begin, end = begin[use], end[use]
+            # a phrase of one word may stand in no run
+            alone = np.flatnonzero(auto.one_word[ids] & ~linked[:-1] & ~linked[1:]) if len(ids) else begin[:0]
+            begin, end = np.concatenate([begin[use], alone]), np.concatenate([end[use], alone + 1])
             base = np.cumsum(sizes + 1) - (sizes + 1)
             of = np.searchsorted(base, begin, side="right") - 1
             runs: dict[int, list] = {}
@@ -268,10 +301,11 @@ def _scan_task(auto: LicenseAutomaton, min_match: int, max_gap: int, min_cover:
     return run
 
 
-def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, min_match: int = 4,
+def license_scan(docs: DataFrame, templates=None, phrases=PHRASES, min_match: int = 4,
                  max_gap: int = 12, min_cover: float = 0.8) -> DataFrame:
     """Licences named or quoted in each row of ``docs``.
 
+    ``templates`` are ``TEMPLATES`` and ``full_texts()`` unless given.
     ``n_base`` counts the places of the phrases, ``first_word`` and
     ``last_word`` are their smallest and largest start (null without any).
     ``labels`` adds the templates of which chained matches of ``min_match``
@@ -281,9 +315,9 @@ def license_scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, min_matc
     labels and score 0; rows that repeat are scanned each; an empty table
     gives no rows. Other columns are not read.
     """
-    auto = LicenseAutomaton(templates, phrases)
+    templates = [*TEMPLATES, *full_texts()] if templates is None else templates
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text_bytes().alias("text"))
     return in_arrow(
-        rows, _scan_task(auto, min_match, max_gap, min_cover),
+        rows, _scan_task(templates, phrases, min_match, max_gap, min_cover),
         "doc_id bigint, n_words bigint, n_base bigint, first_word bigint, last_word bigint, "
         "base_labels string, labels string, score double, spans string")
