@@ -317,6 +317,40 @@ def test_pipeline_equals_plain_version(spark):
                 assert zlib.crc32(ids[p.start:p.start + p.length].tobytes()) == p.ids_crc32
 
 
+CLASHES = ["__d", "__h", "__root", "__again", "__row", "__host", "__rate", "__spans", "__clean", "__measures", "_x"]
+
+
+def test_stages_leave_columns_of_any_name_alone(spark):
+    import corpus_pipeline as cp
+    from mallscope.llm.common import unused
+    data = fx.rows()
+    docs = fx.docs(spark, data).drop(*CLASHES)
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.concat(F.lit(c + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    assert unused(docs, "__D", "free") == ["___D", "free"]
+    d = scratch(spark, "t-tables")
+    docs.write.parquet(f"{d}/documents.parquet")
+    fx.benchmark(spark).write.parquet(f"{d}/benchmark.parquet")
+    docs = spark.read.parquet(f"{d}/documents.parquet")
+    for name, stage in cp.STAGES[:-1]:
+        plain = stage(spark, docs.drop(*CLASHES), d).select("doc_id", "text").collect()
+        got = stage(spark, docs, d)
+        assert got.columns == docs.columns, name
+        rows = got.collect()
+        key = lambda r: (r.doc_id is None, r.doc_id or 0, r.text or "")
+        assert sorted(map(key, rows)) == sorted(map(key, plain)), name
+        assert all(r[c] == f"{c}:{'' if r.doc_id is None else r.doc_id}" for r in rows for c in CLASHES), name
+
+
+def test_of_equal_rows_the_one_with_the_least_other_columns_stays(spark):
+    rows = [(1, "one text of some words", s, n) for s, n in (("b", 1), ("a", 2), (None, 3), ("a", 1))]
+    rows += [(2, "one text of some words", "0", 0), (5, None, "z", None), (5, None, "y", 4), (5, None, "y", None)]
+    for order in (rows, rows[::-1], rows[3:] + rows[:3]):
+        docs = spark.createDataFrame(order, "doc_id long, text string, source string, n int").repartition(3)
+        got = sorted(map(tuple, simhash_dedup.drop_near_duplicates(docs).collect()))
+        assert got == [(1, "one text of some words", "a", 1), (5, None, "y", 4)]
+
+
 def test_pipeline_of_an_empty_table(spark):
     import corpus_pipeline as cp
     assert cp.run(spark, write_tables(spark, [])).collect() == []

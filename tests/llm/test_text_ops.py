@@ -78,6 +78,64 @@ def test_token_orc_lookup_reads_by_id(spark):
     assert "PushedFilters: [In(doc_id, [" in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_token_orc_files_hold_stripes_indexes_and_bloom_filters(spark):
+    path = scratch(spark, "t-orc")
+    docs = spark.range(0, 60_000, 2).selectExpr("id as doc_id", "concat('number ', id, ' of many ', id * 7) as text")
+    write_token_orc(docs, path, stripe_bytes=1 << 16, index_stride=1000)
+    jvm = spark._jvm
+    files = [f for f in spark.read.orc(path).inputFiles()]
+    stripes = 0
+    for f in files:
+        reader = jvm.org.apache.orc.OrcFile.createReader(
+            jvm.org.apache.hadoop.fs.Path(f), jvm.org.apache.orc.OrcFile.readerOptions(spark._jsc.hadoopConfiguration()))
+        assert reader.getRowIndexStride() == 1000
+        column = list(reader.getSchema().getFieldNames()).index("doc_id") + 1
+        rows = reader.rows()
+        for stripe in reader.getStripes():
+            streams = rows.readStripeFooter(stripe).getStreamsList()
+            kinds = {s.getKind().toString() for s in streams if s.getColumn() == column}
+            assert {"ROW_INDEX", "BLOOM_FILTER_UTF8"} <= kinds, kinds
+            stripes += 1
+        rows.close()
+    assert stripes > len(files)
+
+    def rows_read(df):
+        found = df.collect()
+        leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+        return len(found), leaf.metrics().apply("numOutputRows").value()
+
+    raw = spark.read.orc(path).select("doc_id", "ids")
+    assert rows_read(raw) == (30_000, 30_000)
+    # only the row groups that the statistics and filters leave are read; odd
+    # ids lie between others, so the Bloom filters alone can tell
+    hit, read = rows_read(raw.filter("doc_id = 30000"))
+    assert hit == 1 and read <= 2000, read
+    miss = [rows_read(raw.filter(f"doc_id = {k}"))[1] for k in range(10_001, 20_001, 2000)]
+    assert sorted(miss)[len(miss) // 2] == 0, miss
+
+
+def test_token_orc_parts_are_in_order_whatever_the_files_are_called(spark):
+    path = scratch(spark, "t-orc")
+    old = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")       # several ranges
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", "7")    # and several files of each
+        write_token_orc(fx.docs(spark), path)
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", old)
+        spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+    raw = spark.read.orc(path)
+    assert raw.select("part").distinct().count() > 2 and len(raw.inputFiles()) > raw.select("part").distinct().count()
+    tokens = read_token_orc(spark, path)
+    at = 0
+    for r in sorted(tokens.collect(), key=lambda r: r.start):
+        assert r.start == at
+        at += r.n_tokens
+    ids = [r.doc_id for r in sorted(tokens.collect(), key=lambda r: r.start)]
+    assert ids == [None] + sorted(i for i in ids if i is not None)
+    assert "BroadcastHashJoin" in tokens._jdf.queryExecution().executedPlan().toString()
+
+
 def test_token_orc_of_an_empty_table(spark):
     path = scratch(spark, "t-orc")
     write_token_orc(fx.empty(spark), path)
@@ -182,6 +240,78 @@ def test_licences_equal_plain_version(spark):
     assert licenses.license_scan(fx.empty(spark)).collect() == []
 
 
+def test_whole_licences_among_other_words(spark):
+    texts = {f"{label}{i}": (label, text) for i, (label, text) in enumerate(licenses.full_texts())}
+    assert {label for label, _ in texts.values()} == {"apache", "artistic", "bsd", "cc0", "gfdl", "gpl", "lgpl", "mpl"}
+    data, want = [], {}
+    for k, (label, text) in enumerate(texts.values()):
+        words = text.split()
+        words[len(words) // 2:len(words) // 2] = ["oddword"] * 8
+        data += [(2 * k, "foo " * 50 + " ".join(words) + " bar", "s"), (2 * k + 1, " ".join(text.split()[:len(words) // 3]), "s")]
+        want[2 * k] = label
+    got = {r.doc_id: r for r in licenses.license_scan(fx.docs(spark, data)).collect()}
+    for k, label in want.items():
+        assert label in got[k].labels.split(",") and got[k].score > 0.95, (k, label, got[k].labels, got[k].score)
+    for k, r in got.items():
+        # a third of a text is not the text: at most a notice in it is found
+        spans = [s.split(":") for s in r.spans.split(",") if s] if k % 2 else []
+        assert all(int(b) - int(a) < r.n_words / 2 for _, a, b in spans), (k, r.spans)
+
+
+def test_phrases_of_one_word(spark):
+    data = [(1, "agpl", "s"), (2, "x agpl y agpl the terms of agpl", "s"), (3, "gpl", "s"), (4, "", "s")]
+    got = licenses.license_scan(fx.docs(spark, data), [("t", "under the terms of agpl here")], [("agpl", "agpl")]).collect()
+    assert {r.doc_id: (r.n_base, r.first_word, r.last_word) for r in got} == {
+        1: (1, 0, 0), 2: (3, 1, 7), 3: (0, None, None), 4: (0, None, None)}
+
+
+def chained(template, words, min_match, max_gap):
+    """Covered spans of one template, from all its common runs with ``words``."""
+    ends = []                   # longest run ending at each word, and where it ends in the template
+    for i in range(len(words)):
+        run = {}
+        for e in range(len(template)):
+            n = 0
+            while n <= min(i, e) and words[i - n] == template[e - n]:
+                n += 1
+            run[e] = n
+        n = max(run.values())
+        ends.append((n, sorted(e for e in run if run[e] == n)))
+    out, chain = [], None
+    for i, (n, at) in enumerate(ends):
+        if n < min_match or (i + 1 < len(ends) and ends[i + 1][0] > n):
+            continue
+        start = i - n + 1
+        if chain:
+            shared = max(0, chain[1] - start + 1)
+            later = [e for e in at if e - n + 1 > chain[2] - shared]
+            if later and start - chain[1] - 1 <= max_gap:
+                chain = [chain[0], i, min(later), chain[3] + n - shared]
+                continue
+            out.append(chain)
+        chain = [start, i, min(at), n]
+    return [(a, b, min(1.0, c / len(template))) for a, b, _, c in out + [chain] * bool(chain)]
+
+
+def test_chains_equal_plain_version():
+    import random
+    rnd = random.Random(5)
+    seen = 0
+    for _ in range(200):
+        template = [rnd.choice("abcdef") for _ in range(rnd.randint(3, 25))]
+        words = []
+        for _ in range(rnd.randint(1, 4)):
+            a = rnd.randrange(len(template))
+            words += template[a:a + rnd.randint(1, 12)] + [rnd.choice("abcxyz") for _ in range(rnd.randint(0, 4))]
+        auto = licenses.LicenseAutomaton([("t", " ".join(template))], [])
+        numbers = [auto.number.get(w.encode(), 0) for w in words]
+        _, matches = licenses._scan_runs(auto, [(0, numbers)], 3)
+        got = [(a, b, share) for _, a, b, share in licenses._chain(auto, matches, 2)]
+        assert got == chained(template, words, 3, 2), (template, words)
+        seen += len(got) > 1
+    assert seen > 10
+
+
 # --- 9: main text -------------------------------------------------------------
 
 PAGE = """<!DOCTYPE html><html><head><title>No &amp; title</title><style>p{}</style><script>var t="</p>";</script></head>
@@ -369,6 +499,42 @@ def test_toxicity_learns_from_positives_and_unlabelled(spark):
     assert {r.predicted for r in got if r.doc_id == 2002} == {1} and {r.predicted for r in got if r.doc_id in (2000, 2001)} == {0}
 
 
+def test_risk_and_gradient_of_positive_unlabelled_learning():
+    rnd = np.random.default_rng(2)
+
+    def part(n, share):
+        dense = rnd.random((n, 4)) < share
+        r, c = np.nonzero(dense)
+        return dense, (r, c, n)
+
+    (dp, xp), (du, xu) = part(6, 0.6), part(11, 0.3)
+    turned = 0
+    for _ in range(40):
+        w, b, prior = rnd.normal(size=4) * 3, float(rnd.normal()), float(rnd.uniform(0.05, 0.9))
+
+        def parts(w, b):
+            loss = lambda s, y: np.log1p(np.exp(-y * s))
+            sp, su = dp @ w + b, du @ w + b
+            return (loss(su, -1).mean() - prior * loss(sp, -1).mean(), prior * loss(sp, 1).mean())
+
+        negative, positive = parts(w, b)
+        got = toxicity.nnpu_risk(xp, xu, w, b, prior)
+        assert np.isclose(got[0], negative) and np.isclose(got[1], positive + max(0.0, negative))
+        # the step goes down the whole risk, or up its negative part where that is below 0
+        goal = (lambda w, b: sum(parts(w, b))) if negative >= 0 else (lambda w, b: -parts(w, b)[0])
+        h = 1e-6
+        slope = [(goal(w + h * e, b) - goal(w - h * e, b)) / (2 * h) for e in np.eye(4)]
+        slope.append((goal(w, b + h) - goal(w, b - h)) / (2 * h))
+        assert np.allclose(got[2], slope, atol=1e-5)
+        turned += negative < 0
+    assert 0 < turned < 40
+
+
+def test_features_chosen_are_typical_of_positives():
+    use = toxicity.choose_features(np.array([50, 50, 10, 50]), np.array([60, 900, 12, 55]), 50, 1000, 0.05, max_features=2)
+    assert use.tolist() == [3, 0]
+
+
 def test_toxicity_learns_from_one_row_of_an_id(spark, monkeypatch):
     drawn = []
     monkeypatch.setattr(toxicity, "fit_nnpu", lambda p, u, *_: drawn.append((len(p), len(u))) or (np.zeros(1 << 20), 0.0))
