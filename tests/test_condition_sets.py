@@ -113,3 +113,36 @@ def test_share_line_of_ties_nulls_and_the_rest(spark):
     line = lambda e: spark.sql(f"select share_line({e}, 'rest') t").first().t
     assert line("array(struct('a' as item, 66.7D as pct), struct('b' as item, 33.4D as pct))") == "a:66.7%,b:33.4%,rest:-0.1%"
     assert line("array(struct(cast(null as string) as item, 100D as pct))") == "null:100.0%,rest:0.0%"
+
+
+def test_a_set_takes_four_sums_of_a_month_however_wide_its_bounds(spark):
+    import random
+    import re
+
+    r = random.Random(3)
+    dates = [f"2024-{m:02d}-{d:02d}" for m in (1, 2, 4) for d in range(1, 29, 3)] + ["2024-02-99", "soon", None]
+    rows = [row(i, r.choice(dates), r.randrange(40), click=r.choice([-1, 1, 2, 3]), pay="9") for i in range(400)]
+    ages = [(u, r.choice([None, 18, 25, 31, 40, 62])) for u in range(38)] + [(5, 25)]
+    actions, users = spark.createDataFrame(rows, UVA), spark.createDataFrame(ages, "user_id long, age int")
+    starts, ends = ["", "2024-01-04", "2024-01-05", "2024-02", "2024-03-15", "2025-01-01", "a"], ["", "2024-01-04", "2024-02-12", "2024-04-30", "2023", "z"]
+    texts = {10 * i + j: f'{{startDate:"{s}", endDate:"{e}", startAge:"{r.choice(["", 17, 25, 26, 63])}", endAge:"{r.choice(["", 10, 25, 61, 99])}"}}'
+             for i, s in enumerate(starts) for j, e in enumerate(ends)}
+    df = condition_set_counts(actions, users, spark.createDataFrame(list(texts.items()), "set_id long, params string"))
+    # facts are met at corners of date and age, not date by date
+    assert re.search(r"\[month#\d+L?, d#\d+L?, a#\d+L?\]", df._jdf.queryExecution().executedPlan().toString())
+    bounds = {b.set_id: b for b in condition_bounds(spark.createDataFrame(list(texts.items()), "set_id long, params string")).collect()}
+    by_user = {}
+    for u, a in ages:
+        by_user.setdefault(u, []).append(a)
+    want = {}
+    for x in (dict(zip(actions.columns, t, strict=True)) for t in rows):
+        kind, ids = ("click", [str(x["click_category_id"])]) if x["click_category_id"] != -1 else ("pay", ["9"])
+        for a in by_user.get(x["user_id"], []):
+            for k, b in bounds.items():
+                d = x["date"]
+                if all([b.start_date is None or (d is not None and d >= b.start_date), b.end_date is None or (d is not None and d <= b.end_date),
+                        b.start_age is None or (a is not None and a >= b.start_age), b.end_age is None or (a is not None and a <= b.end_age)]):
+                    for c in ids:
+                        n = want.setdefault((k, c), [0, 0, 0])
+                        n[0 if kind == "click" else 2] += 1
+    assert tuples(df) == sorted((*k, *v) for k, v in want.items())
