@@ -228,8 +228,8 @@ def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
     for n in ("clicks", "gate"):
         make_dir(spark, p[n])
 
-    def stream(name: str, schema: T.StructType) -> DataFrame:
-        return spark.readStream.schema(schema).option("basePath", p[name]).parquet(p[name])
+    def stream(name: str, schema: T.StructType, folders: str = "") -> DataFrame:
+        return spark.readStream.schema(schema).option("basePath", p[name]).parquet(os.path.join(p[name], folders))
 
     queries = {"ingest": start_query(ingest(lines), p["ck_ingest"], path=p["clicks"], trigger=trigger,
                                      partition_by=[BATCH])}
@@ -242,8 +242,9 @@ def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
         queries["blacklist"].awaitTermination()
 
     def kept() -> DataFrame:
+        # only the folders of kept clicks: a block set may be deleted while a query lists them
         whole = T.StructType([*KEPT_SCHEMA.fields, BATCH_FIELD, T.StructField(RESULT, T.StringType())])
-        return stream("gate", whole).filter(F.col(RESULT) == "kept").select(*KEPT_SCHEMA.names)
+        return stream("gate", whole, f"{BATCH}=*/{RESULT}=kept").select(*KEPT_SCHEMA.names)
 
     queries["totals"] = start_stateful(tt.running_totals(kept(), keep_days), p["ck_totals"],
                                        tt.publish_totals(p["results"], keep_days), trigger, state_partitions)

@@ -387,3 +387,20 @@ def test_kafka_event_ids_never_collide_silently(spark):
         rows.select(kafka_event_id("partition", "offset")).collect()
     with pytest.raises(ValueError):
         read_ad_stream(spark, "kafka", options={"subscribe": "a,b"})
+
+
+def test_streams_list_no_folder_that_the_blacklist_deletes(spark):
+    import glob
+
+    rows = [(1704067200000 + 1000 * i, "a", "c", str(i // 2), "1", i) for i in range(10)]
+    ads = spark.createDataFrame(rows, D.KEPT_SCHEMA)
+    # each slice blocks another user, so that older block sets are deleted
+    root = D.replay(spark, ads, threshold=2, span_minutes=60, bounds=[1704067200000 + 2000 * i for i in range(1, 5)])
+    gate = D.paths(root)["gate"]
+    sets = [b for b in batches_of(spark, gate) if "result=blocked" in list_dirs(spark, f"{gate}/batch={b}")]
+    assert len(batches_of(spark, gate)) == 5 and sets == [3, 4]
+    for name in ("totals", "trend"):
+        logs = [open(f).read() for f in glob.glob(f"{root}/_checkpoint/{name}/sources/0/[0-9]*")]
+        assert logs and sum(x.count("result=kept/") for x in logs) >= 5
+        assert not any(r in x for x in logs for r in ("result=blocked", "result=audit", "result=counters"))
+    assert D.read_results(spark, root, 60)["kept"].count() == 10
