@@ -239,10 +239,16 @@ def _sql_functions(spark, d):
 
 
 def _stream(spark, d, restart_after=None, **options):
-    root = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, restart_after=restart_after, **options)
+    root = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, restart_after=restart_after,
+                            state_partitions=_state_parts(spark), **options)
     return dashboard.read_results(spark, root, SPAN)
 
 
+def _state_parts(spark):
+    # the state has a part for each core, so that all of them work on a batch
+    return max(4, spark.sparkContext.defaultParallelism)
+
+
 def _span_bounds(spark, d):
     first, last = fx.ads(spark, d).agg(F.min("timestamp"), F.max("timestamp")).first()
     return [k * BATCH_MS for k in range(first // BATCH_MS + 1, last // BATCH_MS + 1)]
@@ -252,7 +258,8 @@ def _shared_root(spark, d, **options):
     # the twins read different results of one replay; kept per session, input and options
     key = (spark.sparkContext.applicationId, d, *sorted(options.items()))
     if key not in _REPLAYS:
-        _REPLAYS[key] = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN, **options)
+        _REPLAYS[key] = dashboard.replay(spark, fx.ads(spark, d), THRESHOLD, SPAN,
+                                         state_partitions=_state_parts(spark), **options)
     return _REPLAYS[key]
 
 

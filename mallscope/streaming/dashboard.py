@@ -38,7 +38,7 @@ from mallscope.streaming import totals as tt
 from mallscope.streaming import trend as tr
 from mallscope.streaming.blacklist import (BLOCKED_SCHEMA, COUNTER_KEYS, COUNTERS_SCHEMA, batch_block_points,
                                            counter_totals, passes, unblocked)
-from mallscope.streaming.queries import DEFAULT_TRIGGER, start_query, start_stateful
+from mallscope.streaming.queries import DEFAULT_TRIGGER, conf_of, start_query, start_stateful
 
 KEPT_SCHEMA = T.StructType([
     T.StructField("timestamp", T.LongType()), T.StructField("area", T.StringType()),
@@ -55,6 +55,8 @@ PROGRESS_SCHEMA = AUDIT_SCHEMA + ", through bigint, newest_day string, set_batch
 DENIED_SCHEMA = "userid string"
 RESULT = "result"
 QUERIES = ["ingest", "blacklist", "totals", "trend"]
+#: A stateful query runs without AQE; what its batches do apart from the state need not.
+BATCH_CONF = {"spark.sql.adaptive.enabled": "true", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16m"}
 
 
 def paths(root: str) -> dict:
@@ -72,7 +74,7 @@ def ingest(lines: DataFrame) -> DataFrame:
 
 
 def blacklist_batch(root: str, threshold: int = DEFAULT_THRESHOLD, micro_batch: bool = False,
-                    keep_days: int | None = None, denied: str | None = None):
+                    keep_days: int | None = None, denied: str | None = None, partitions: str | None = None):
     """A ``foreachBatch`` function: a batch's changed counters and its clicks
     through the blacklist.
 
@@ -82,11 +84,18 @@ def blacklist_batch(root: str, threshold: int = DEFAULT_THRESHOLD, micro_batch:
     counters have left the state, and valid clicks that still come for them go
     to ``late``. ``denied`` (C4) names a published table of users (``publish``)
     whose newest batch is read whenever a batch starts; they are dropped as
-    blocked users are.
+    blocked users are. ``partitions`` are the shuffle partitions of the batch's
+    joins (default: those of the state), which AQE merges by size.
     """
     p = paths(root)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
+        # the batch's own joins are ordinary ones: planned by their real sizes,
+        # not in the fixed parts of the state
+        with conf_of(batch.sparkSession, BATCH_CONF | ({"spark.sql.shuffle.partitions": partitions} if partitions else {})):
+            gate_batch(batch, batch_id)
+
+    def gate_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         counted = batch.persist()
         held = [counted]
@@ -113,7 +122,8 @@ def blacklist_batch(root: str, threshold: int = DEFAULT_THRESHOLD, micro_batch:
             out = blocked.select("userid")
             if denied:
                 out = out.unionByName(read_newest(spark, denied, DENIED_SCHEMA))
-            fresh = unblocked(clicks.filter(F.col("ok") & ~F.col("__late")).select(*KEPT_SCHEMA.names), out)
+            fresh = unblocked(clicks.filter(F.col("ok") & ~F.col("__late")).select(*KEPT_SCHEMA.names), out).persist()
+            held.append(fresh)
             totals = counted.select(*COUNTER_KEYS, "n")
             points = batch_block_points(fresh, totals, threshold).persist()
             held.append(points)
@@ -150,12 +160,13 @@ def blacklist_batch(root: str, threshold: int = DEFAULT_THRESHOLD, micro_batch:
 
 
 def _together(parts: dict[str, DataFrame]) -> DataFrame:
-    """Rows of several results as one DataFrame; small ones are one task each."""
+    """Rows of several results as one DataFrame, each in as many tasks as its
+    size asks for (AQE splits a large one)."""
     rows = None
     for name, df in parts.items():
-        one = df.drop("passes").coalesce(1 if name != "kept" else 4).withColumn(RESULT, F.lit(name))
+        one = df.drop("passes").withColumn(RESULT, F.lit(name))
         rows = one if rows is None else rows.unionByName(one, allowMissingColumns=True)
-    return rows
+    return rows.hint("rebalance", RESULT)
 
 
 def read_gate(spark: SparkSession, root: str, result: str, schema: T.StructType | str,
@@ -236,7 +247,8 @@ def run_ad_dashboard(spark: SparkSession, root: str, lines: DataFrame,
     if "availableNow" in trigger:
         queries["ingest"].awaitTermination()
     counters = counter_totals(stream("clicks", CLICKS_SCHEMA).filter("ok"), keep_days)
-    queries["blacklist"] = start_stateful(counters, p["ck_blacklist"], blacklist_batch(root, threshold, micro_batch, keep_days, denied),
+    queries["blacklist"] = start_stateful(counters, p["ck_blacklist"], blacklist_batch(root, threshold, micro_batch, keep_days, denied,
+                                                                                         spark.conf.get("spark.sql.shuffle.partitions")),
                                           trigger, state_partitions)
     if "availableNow" in trigger:
         queries["blacklist"].awaitTermination()

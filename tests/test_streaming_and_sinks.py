@@ -404,3 +404,12 @@ def test_streams_list_no_folder_that_the_blacklist_deletes(spark):
         assert logs and sum(x.count("result=kept/") for x in logs) >= 5
         assert not any(r in x for x in logs for r in ("result=blocked", "result=audit", "result=counters"))
     assert D.read_results(spark, root, 60)["kept"].count() == 10
+
+
+def test_a_batch_is_written_in_as_many_tasks_as_it_needs(spark):
+    parts = {"kept": spark.range(10).withColumn("passes", F.lit(True)), "counters": spark.range(5).selectExpr("id n")}
+    out = D._together(parts)
+    # no result is squeezed through one task: the write may split a large one
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RebalancePartitions" in plan and "Repartition 1" not in plan
+    assert {r.result: r["count"] for r in out.groupBy("result").count().collect()} == {"kept": 10, "counters": 5}
